@@ -14,7 +14,7 @@ from statelake.operators import profile as prof
 from statelake.operators.envelope import decode, encode, reject_reason
 from statelake.operators.latest import dedup_newest, drop_copies, latest_by, rows_of_changed_keys
 from statelake.operators.lifecycle import ORDER_STAGES, cancelled_stage, lifecycle_events
-from statelake.operators.merge import and_changed, changed_rows, merge_rows, not_older, replace_rows
+from statelake.operators.merge import and_changed, merge_rows, not_older
 from statelake.operators.offsets import advance_offsets, next_offsets, resume
 from statelake.operators.sampling import child_rows, stratified_sample
 from statelake.operators.summary import cancellation_rate, daily_revenue, daily_summary, delivery_time
@@ -218,8 +218,7 @@ def merge_unconditional(spark, folder):
 def merge_skip_unchanged(spark, folder):
     target, source = _merge_sides(spark, folder)
     guard = and_changed(["event_id"], not_older("event_time"))
-    changed = changed_rows(target, source, ["order_id"], guard, unique_source=True)
-    return plain(replace_rows(target, changed, ["order_id"]))
+    return plain(merge_rows(target, source, ["order_id"], guard, unique_source=True))
 
 
 @query
