@@ -27,7 +27,7 @@ def parse_columns(df: DataFrame, columns: list[str], pattern: str | None = None)
 
 
 def seconds_between(later: Column | str, earlier: Column | str) -> Column:
-    """Whole seconds: each side is floored to the second before subtracting."""
+    """Whole seconds: each side loses its fraction before subtracting."""
     return F.unix_timestamp(later) - F.unix_timestamp(earlier)
 
 

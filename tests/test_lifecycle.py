@@ -1,0 +1,46 @@
+from statelake.functions.identity import random_id
+from statelake.operators.lifecycle import ORDER_STAGES, cancelled_stage, lifecycle_events
+from statelake.schemas import ORDERS_CSV_SCHEMA
+from tests.helpers import at, rows
+
+
+def orders(spark):
+    return spark.createDataFrame(
+        [
+            ("o1", "c1", "delivered", at("2024-01-01"), at("2024-01-02"), at("2024-01-03"), at("2024-01-04"), None),
+            ("o2", "c2", "created", at("2024-01-01"), None, None, None, None),
+            ("o3", "c3", "created", None, None, at("2024-01-01"), None, None),
+            ("o4", "c4", "approved", at("2024-01-01"), at("2024-01-01"), None, None, None),
+        ],
+        ORDERS_CSV_SCHEMA,
+    )
+
+
+def test_events_per_order(spark):
+    got = rows(lifecycle_events(orders(spark)), "order_id", "event_type", "order_status")
+    assert got == [
+        ("o1", "DELIVERED", "delivered"), ("o1", "ORDER_CREATED", "created"), ("o1", "PAYMENT_APPROVED", "approved"),
+        ("o1", "SHIPPED", "shipped"), ("o2", "ORDER_CREATED", "created"), ("o3", "ORDER_CREATED", "created"),
+        ("o3", "SHIPPED", "shipped"), ("o4", "ORDER_CREATED", "created"), ("o4", "PAYMENT_APPROVED", "approved"),
+    ]
+
+
+def test_order_is_by_time_then_stage_and_unknown_times_come_last(spark):
+    got = [(r["order_id"], r["event_type"]) for r in lifecycle_events(orders(spark)).collect()]
+    assert got[:3] == [("o1", "ORDER_CREATED"), ("o2", "ORDER_CREATED"), ("o4", "ORDER_CREATED")]
+    assert got[3:5] == [("o4", "PAYMENT_APPROVED"), ("o3", "SHIPPED")]
+    assert got[-1] == ("o3", "ORDER_CREATED")
+
+
+def test_ids_repeat_across_runs_unless_random(spark):
+    first, second = (rows(lifecycle_events(orders(spark)), "event_id") for _ in range(2))
+    assert first == second and len(set(first)) == 9
+    ids = rows(lifecycle_events(orders(spark), identity=random_id()), "event_id")
+    assert len(set(ids)) == 9 and set(ids).isdisjoint(first)
+
+
+def test_cancelled_stage(spark):
+    df = orders(spark).withColumnRenamed("order_estimated_delivery_date", "cancelled_at")
+    df = df.withColumn("cancelled_at", df["order_purchase_timestamp"])
+    got = lifecycle_events(df, (*ORDER_STAGES, cancelled_stage("cancelled_at")))
+    assert got.filter("event_type = 'CANCELLED'").count() == 3
