@@ -45,6 +45,7 @@ def refresh_gold(
     summary = daily_order_summary(state, as_of, wanted).select(*GOLD_SCHEMA.names)
     doomed = None
     if prune_missing:
+        # a row per day, and the table's own partition limit bounds the days
         doomed = set(days) if days is not None else {r[0] for r in gold.read(spark).select("order_date").collect()}
     columns = [c for c in GOLD_SCHEMA.names if c != "order_date"]
     return upsert(gold, summary, ["order_date"], None, columns, delete_missing_in=doomed, unique_source=True)

@@ -218,6 +218,17 @@ WHERE log."offset" >= coalesce(p.next_offset, 0)""",
     "stored_offsets": f"{_LOG}, {_POSITIONS} {_ADVANCED}",
     "lifecycle_unpivot": _lifecycle(_STAGES),
     "lifecycle_with_cancelled": _lifecycle([*_STAGES, _CANCELLED]),
+    "lifecycle_records": f"""SELECT event_id, order_id, customer_id, event_type,
+       strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f') AS original_event_time,
+       '2024-02-01T00:00:00.000000+00:00' AS event_time, '2024-02-01T00:00:00.000000+00:00' AS ingestion_time,
+       order_status FROM ({_lifecycle(_STAGES)})""",
+    "orders_to_daily": f"""WITH life AS (
+  SELECT *, CASE event_type WHEN 'ORDER_CREATED' THEN 0 WHEN 'PAYMENT_APPROVED' THEN 1 WHEN 'SHIPPED' THEN 2 ELSE 3 END AS rank
+  FROM ({_lifecycle(_STAGES)})
+), state AS (
+  SELECT CAST(event_time AS DATE) AS event_date, event_type AS current_status FROM life
+  QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY event_time DESC, rank DESC) = 1
+) {_daily("SELECT * FROM state")}""",
     "stratified_orders": f"""SELECT o_orderkey, o_orderstatus, o_totalprice
 FROM ({_sample({"F": 500, "O": 70, "P": 2_000_000})})""",
     "child_semi_join": f"""SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem

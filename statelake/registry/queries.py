@@ -9,11 +9,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statelake.functions.clocks import parse_timestamp, seconds_between
+from statelake.functions.clocks import iso_naive, iso_zoned, parse_timestamp, seconds_between
+from statelake.functions.identity import stable_id
 from statelake.operators import profile as prof
-from statelake.operators.envelope import decode, encode, reject_reason
+from statelake.operators.envelope import decode, encode, reject_reason, stamp_event
 from statelake.operators.latest import dedup_newest, drop_copies, latest_by, rows_of_changed_keys
-from statelake.operators.lifecycle import ORDER_STAGES, cancelled_stage, lifecycle_events
+from statelake.operators.lifecycle import ORDER_STAGES, cancelled_stage, lifecycle_events, unpivot_stages
 from statelake.operators.merge import and_changed, merge_rows, not_older
 from statelake.operators.offsets import advance_offsets, next_offsets, resume
 from statelake.operators.sampling import child_rows, stratified_sample
@@ -308,6 +309,33 @@ def lifecycle_with_cancelled(spark, folder):
     return plain(lifecycle_events(wide_orders(spark, folder), stages, ordered=False))
 
 
+@query
+def lifecycle_records(spark, folder):
+    """Lifecycle events as keyed log records with their three clocks, read back."""
+    events = lifecycle_events(wide_orders(spark, folder), ordered=False)
+    run = F.lit(PROCESSED_AT).cast("timestamp")
+    return decode(encode(stamp_event(events, run, run)), metadata={})
+
+
+@query
+def orders_to_daily(spark, folder):
+    """Wide orders all the way to the daily summary: events, records, raw rows, state, days."""
+    events = unpivot_stages(wide_orders(spark, folder)).select(
+        stable_id("order_id", "event_type").alias("event_id"),
+        "order_id", "customer_id", "event_type",
+        iso_naive("event_time").alias("original_event_time"),
+        iso_zoned("event_time").alias("event_time"),
+        iso_zoned("event_time").alias("ingestion_time"),
+        "order_status",
+        F.lit(inputs.TOPIC).alias("topic"),
+        F.lit(0).alias("partition"),
+        F.col("stage_rank").cast("long").alias("offset"),
+        F.lit(PROCESSED_AT).cast("timestamp").alias("timestamp"),
+    )
+    raw = to_bronze(encode(events, keep=("topic", "partition", "offset", "timestamp")), PROCESSED_AT)
+    return daily_summary(current_state(raw, FOLD_RULES, PROCESSED_AT))
+
+
 def _sample(spark, folder, caps):
     return stratified_sample(table(spark, folder, "orders"), "o_orderstatus", caps, "o_orderkey")
 

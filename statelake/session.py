@@ -15,6 +15,7 @@ from statelake.sources.paths import delete, size_in_bytes
 # One reduce task should hold about this much; it is also the target file size of the state tables.
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
 MAX_SHUFFLE_PARTITIONS = 100_000
+MAX_SCAN_TASKS = 200_000
 
 _own_scratch: dict[str, str] = {}
 
@@ -30,12 +31,22 @@ def shuffle_partitions_for(input_bytes: int, floor: int = 8) -> int:
     return max(floor, min(wanted, MAX_SHUFFLE_PARTITIONS))
 
 
+def split_bytes_for(input_bytes: int) -> int:
+    """Scan split size that keeps a scan below ``MAX_SCAN_TASKS`` tasks."""
+    return max(TARGET_PARTITION_BYTES, math.ceil(input_bytes / MAX_SCAN_TASKS))
+
+
 def engine_conf(input_bytes: int | None = None) -> dict[str, str]:
-    """Settings for a run over about ``input_bytes`` of Parquet."""
+    """Settings for a run over about ``input_bytes`` of Parquet.
+
+    Skewed joins are split even where that costs another shuffle: a key may own a third of the rows,
+    and its task would outlast any shuffle.
+    """
     conf = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES),
@@ -43,6 +54,7 @@ def engine_conf(input_bytes: int | None = None) -> dict[str, str]:
     }
     if input_bytes is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions_for(input_bytes))
+        conf["spark.sql.files.maxPartitionBytes"] = str(split_bytes_for(input_bytes))
     return conf
 
 
@@ -76,15 +88,19 @@ def build_session(app: str, master: str | None = None, conf: dict[str, str] | No
 
 
 def fit_session(spark: SparkSession, *paths: str) -> None:
-    """Pin the zone to UTC and widen shuffles to suit the data under ``paths``.
+    """Pin the zone to UTC, let skewed joins be split, and suit task sizes to the data under ``paths``.
 
-    The width is only ever raised, so a session tuned by hand keeps its setting.
+    Widths are only ever raised, so a session tuned by hand keeps its settings.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = shuffle_partitions_for(sum(size_in_bytes(spark, p) for p in paths), floor=current)
-    if wanted > current:
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    total = sum(size_in_bytes(spark, p) for p in paths)
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = shuffle_partitions_for(total, floor=width)
+    if wanted > width:
         spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    if total / MAX_SCAN_TASKS > TARGET_PARTITION_BYTES:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes_for(total)))
 
 
 def shared_folder(spark: SparkSession) -> str:
