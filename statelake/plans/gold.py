@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from statelake.functions.clocks import clock
 from statelake.operators.summary import STATUS_COLUMNS, daily_summary
 from statelake.schemas import GOLD_SCHEMA
-from statelake.sources.snapshots import SnapshotTable, upsert
+from statelake.sources.snapshots import MAX_PARTITIONS, SnapshotTable, upsert
 
 
 def daily_order_summary(
@@ -23,8 +23,9 @@ def daily_order_summary(
     return daily_summary(state, wanted=wanted, with_other=with_other).withColumn("updated_at", clock(as_of))
 
 
-def gold_table(path: str) -> SnapshotTable:
-    return SnapshotTable(path, GOLD_SCHEMA, "order_date")
+def gold_table(path: str, partition_by: str | None = None) -> SnapshotTable:
+    """The summary table. It holds one row per day, so by default it is not split into a file per day."""
+    return SnapshotTable(path, GOLD_SCHEMA, partition_by)
 
 
 def refresh_gold(
@@ -35,8 +36,8 @@ def refresh_gold(
     as_of: dt.datetime | str | Column | None = None,
     wanted: Mapping[str, str] = STATUS_COLUMNS,
     prune_missing: bool = False,
-) -> list[object]:
-    """Recompute summary rows and merge them; returns the days that were written.
+) -> bool:
+    """Recompute summary rows and merge them; returns whether the table changed.
 
     ``days``, as returned by ``refresh_silver``, limits the scan to those partitions of the state.
     A day whose orders have all moved on keeps its old row unless ``prune_missing``.
@@ -45,7 +46,18 @@ def refresh_gold(
     summary = daily_order_summary(state, as_of, wanted).select(*GOLD_SCHEMA.names)
     doomed = None
     if prune_missing:
-        # a row per day, and the table's own partition limit bounds the days
-        doomed = set(days) if days is not None else {r[0] for r in gold.read(spark).select("order_date").collect()}
+        doomed = set(days) if days is not None else _stored_days(spark, gold)
     columns = [c for c in GOLD_SCHEMA.names if c != "order_date"]
-    return upsert(gold, summary, ["order_date"], None, columns, delete_missing_in=doomed, unique_source=True)
+    return bool(
+        upsert(
+            gold, summary, ["order_date"], None, columns,
+            delete_missing_in=doomed, delete_column="order_date", unique_source=True,
+        )
+    )
+
+
+def _stored_days(spark: SparkSession, gold: SnapshotTable) -> set[object]:
+    rows = gold.read(spark).select("order_date").limit(MAX_PARTITIONS + 1).collect()
+    if len(rows) > MAX_PARTITIONS:
+        raise ValueError(f"the summary holds more than {MAX_PARTITIONS} days; name the days to refresh")
+    return {row["order_date"] for row in rows}

@@ -13,6 +13,7 @@ from statelake.operators.envelope import decode
 from statelake.operators.offsets import advance_offsets, next_offsets, resume
 from statelake.schemas import BRONZE_SCHEMA, CORRUPT_COLUMN, OFFSET_SCHEMA
 from statelake.sources.files import append_parquet, read_parquet
+from statelake.sources.kafka import read_slice
 from statelake.sources.snapshots import SnapshotTable
 
 
@@ -75,3 +76,16 @@ def ingest_bronze(
     )
     positions.replace(advance_offsets(stored, next_offsets(landed)))
     return IngestResult(True, stamp)
+
+
+def ingest_kafka(
+    spark: SparkSession,
+    servers: str,
+    topic: str,
+    bronze_path: str,
+    offsets_path: str,
+    as_of: dt.datetime | None = None,
+) -> IngestResult:
+    """``ingest_bronze`` over a topic: the stored positions go to the connector, which reads no older record."""
+    stored = offset_table(offsets_path).read(spark)
+    return ingest_bronze(spark, read_slice(spark, servers, topic, stored), bronze_path, offsets_path, as_of, resumed=True)

@@ -194,6 +194,7 @@ SELECT coalesce(n.order_date, o.order_date) AS order_date,
 FROM old o FULL OUTER JOIN new n ON o.order_date = n.order_date""",
     "gold_daily_summary": f"{_LOG} {_daily(_STATE, _OTHER)}",
     "medallion_daily": f"{_LOG} SELECT *, TIMESTAMP '2024-02-01' AS updated_at FROM ({_daily(_STATE)})",
+    "medallion_daily_single_pass": f"{_LOG} SELECT *, TIMESTAMP '2024-02-01' AS updated_at FROM ({_daily(_STATE)})",
     "gold_ordered": f"{_LOG} SELECT order_date, total_orders FROM ({_daily(_STATE)}) ORDER BY order_date",
     "kpi_revenue": """SELECT CAST(o_orderdate AS DATE) AS order_date, count(*) AS total_orders,
        CAST(coalesce(sum(paid), 0) AS DOUBLE) AS revenue

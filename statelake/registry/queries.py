@@ -246,6 +246,13 @@ def medallion_daily(spark, folder):
     return plain(daily_order_summary(state, PROCESSED_AT))
 
 
+@query
+def medallion_daily_single_pass(spark, folder):
+    """The same without a shuffle on the event id."""
+    state = current_state(inputs.bronze(spark, folder), FOLD_RULES, PROCESSED_AT)
+    return plain(daily_order_summary(state, PROCESSED_AT))
+
+
 @query
 def gold_ordered(spark, folder):
     return gold_daily_summary(spark, folder).select("order_date", "total_orders").orderBy("order_date")

@@ -45,8 +45,8 @@ class SnapshotTable:
 
     def versions(self, spark: SparkSession) -> list[int]:
         """Committed versions, oldest first."""
-        base = f"{self.root}/manifest"
-        return [int(name) for name in child_names(spark, base) if exists(spark, f"{base}/{name}/_SUCCESS")]
+        found = [int(name) for name in child_names(spark, f"{self.root}/manifest")]
+        return [v for v in found if exists(spark, f"{self._manifest_path(v)}/_SUCCESS")]
 
     def manifest(self, spark: SparkSession, version: int | None = None) -> dict[str, str]:
         """Partition value to commit token; empty before the first commit."""
@@ -56,7 +56,7 @@ class SnapshotTable:
         at = known[-1] if version is None else version
         rows = (
             spark.read.schema("part string, token string")
-            .json(f"{self.root}/manifest/{at:010d}")
+            .json(self._manifest_path(at))
             .limit(MAX_PARTITIONS + 1)
             .collect()
         )
@@ -94,12 +94,15 @@ class SnapshotTable:
         return self._commit(df, keep)
 
     def expire(self, spark: SparkSession, keep_last: int = 1) -> int:
-        """Delete all but the newest versions and every commit they do not use; returns how many."""
+        """Delete all but the newest versions and every commit they do not use; returns how many.
+
+        Commits left behind by a crash go as well, so it must not run beside a writer.
+        """
         known = self.versions(spark)
         kept = known[-keep_last:]
         used = {token for version in kept for token in self.manifest(spark, version).values()}
         for version in known[:-keep_last]:
-            delete(spark, f"{self.root}/manifest/{version:010d}")
+            delete(spark, self._manifest_path(version))
         unused = [n for n in child_names(spark, f"{self.root}/data") if n.removeprefix("commit=") not in used]
         for name in unused:
             delete(spark, f"{self.root}/data/{name}")
@@ -113,8 +116,8 @@ class SnapshotTable:
 
     def _commit(self, df: DataFrame, keep: dict[str, str]) -> list[str]:
         spark = df.sparkSession
-        known = self.versions(spark)
-        version = known[-1] + 1 if known else 1
+        # counting unfinished manifests too, so that a commit after a crash does not run into one
+        version = 1 + max((int(n) for n in child_names(spark, f"{self.root}/manifest")), default=0)
         token = f"c{uuid.uuid4().hex}"
         target = f"{self.root}/data/commit={token}"
         rows = df.select(*self.schema.names)
@@ -131,9 +134,12 @@ class SnapshotTable:
         if len(entries) > MAX_PARTITIONS:
             raise ValueError(f"{self.root} would have more than {MAX_PARTITIONS} partitions")
         lines = spark.createDataFrame(sorted(entries.items()), "part string, token string")
-        lines.coalesce(1).write.json(f"{self.root}/manifest/{version:010d}")
+        lines.coalesce(1).write.json(self._manifest_path(version))
         return written
 
+    def _manifest_path(self, version: int) -> str:
+        return f"{self.root}/manifest/{version:010d}"
+
     def _text(self, value: object) -> str:
         return _NULL_VALUE if value is None else str(value)
 
@@ -149,51 +155,60 @@ def upsert(
     guard: str | None = None,
     update_columns: list[str] | None = None,
     delete_missing_in: Collection[object] | None = None,
+    delete_column: str | None = None,
     unique_source: bool = False,
 ) -> list[object]:
     """Merge ``source`` into ``table``; returns the partition values whose rows changed.
 
+    A table without a partition column counts as one partition, named ``""``.
+
     The source is written to the shared folder once, since it is read more than once and is usually
     the outcome of a large scan. The changed rows are then worked out against a narrow scan of the
     table and written likewise. They name the partitions to rewrite: the day each row moves to and
     the day it leaves. All other partitions are carried over by the manifest alone, so a run costs
     what its increment touches, and a run that changes nothing writes nothing.
 
-    ``delete_missing_in`` lists partitions in which target rows without a source row are removed.
+    ``delete_missing_in`` lists values of ``delete_column`` (the partition column, if there is one)
+    for which target rows without a source row are removed.
     """
+    delete_column = delete_column or table.partition_by
+    if delete_missing_in and (delete_column is None or table.partition_by not in (None, delete_column)):
+        raise ValueError("rows can be removed by the partition column, or by any column of an unpartitioned table")
     spark = source.sparkSession
     with materialized(source, "source") as fixed:
         current = table.read(spark)
         changes = changed_rows(current, fixed, keys, guard, update_columns, table.partition_by, unique_source)
         with materialized(changes, "changes") as changed:
-            return _apply(table, fixed, changed, current, keys, set(delete_missing_in or ()))
+            return _apply(table, fixed, changed, keys, set(delete_missing_in or ()), delete_column)
 
 
 def _apply(
     table: SnapshotTable,
     source: DataFrame,
     changed: DataFrame,
-    current: DataFrame,
     keys: list[str],
-    delete_missing_in: set[object],
+    doomed_values: set[object],
+    delete_column: str | None,
 ) -> list[object]:
     spark = source.sparkSession
     by = table.partition_by
     if by is None:
-        if changed.isEmpty():
-            return []
-        table.replace(replace_rows(current, changed, keys))
-        return [_WHOLE]
-    touched = _touched_partitions(changed, by) | delete_missing_in
+        touched = {_WHOLE} if doomed_values or not changed.isEmpty() else set()
+    else:
+        touched = _touched_partitions(changed, by) | doomed_values
     if not touched:
         return []
-    target = table.read(spark, partitions=touched)
-    if delete_missing_in:
-        doomed = F.col(by).isin([v for v in delete_missing_in if v is not None])
-        doomed = F.coalesce(doomed, F.lit(None in delete_missing_in))
+    target = table.read(spark, partitions=touched if by else None)
+    if doomed_values:
+        doomed = F.col(delete_column).isin([v for v in doomed_values if v is not None])
+        doomed = F.coalesce(doomed, F.lit(None in doomed_values))
         present = target.filter(doomed).join(source.select(*keys), keys, "left_semi")
         target = target.filter(~doomed).unionByName(present.select(*target.columns))
-    table.replace_partitions(replace_rows(target, changed, keys), touched)
+    merged = replace_rows(target, changed, keys)
+    if by is None:
+        table.replace(merged)
+    else:
+        table.replace_partitions(merged, touched)
     return sorted(touched, key=lambda v: (v is None, str(v)))
 
 

@@ -91,3 +91,20 @@ def test_broken_records_land_too(spark, places):
     ingest_bronze(spark, log_rows(spark, ["not json", None, *payloads(1)]), bronze, offsets, RUN3)
     assert read_bronze(spark, bronze).count() == 3
     assert rows(read_bronze(spark, bronze).filter("corrupt_record is not null"), "corrupt_record") == [("not json",)]
+
+
+def test_kafka_slice_starts_at_the_stored_positions(spark, places, monkeypatch):
+    """The connector itself is not available here, so its read is stood in for."""
+    from statelake.sources.kafka import starting_offsets
+
+    bronze, offsets = places
+    asked = []
+
+    def slice_of(spark, servers, topic, positions):
+        asked.append(starting_offsets(positions, topic))
+        return log_rows(spark, payloads(4))
+
+    monkeypatch.setattr(ingest_module, "read_slice", slice_of)
+    ingest_module.ingest_kafka(spark, "host:9092", "order-events", bronze, offsets, RUN1)
+    ingest_module.ingest_kafka(spark, "host:9092", "order-events", bronze, offsets, RUN2)
+    assert asked[0] == "earliest" and asked[1].startswith('{"order-events": {"0": ')

@@ -144,10 +144,9 @@ def test_status_vocabulary_is_an_argument_and_the_rest_is_counted(spark):
     assert (row["created_orders"], row["delivered_orders"], row["other_orders"], row["delivery_rate"]) == (1, 1, 0, 0.5)
 
 
-@pytest.mark.parametrize("prune", [False, True])
-@pytest.mark.parametrize("only_changed", [False, True])
-def test_emptied_day(spark, tmp_path, prune, only_changed):
-    silver, gold = silver_table(f"{tmp_path}/s"), gold_table(f"{tmp_path}/g")
+@pytest.mark.parametrize("prune,only_changed,by", [(False, True, None), (True, False, None), (True, True, None), (True, True, "order_date")])
+def test_emptied_day(spark, tmp_path, prune, only_changed, by):
+    silver, gold = silver_table(f"{tmp_path}/s"), gold_table(f"{tmp_path}/g", by)
     refresh_silver(spark, raw(spark, [e(1, "a", "ORDER_CREATED", 1), e(2, "b", "SHIPPED", 1, day=3)]), silver, as_of=NOW)
     refresh_gold(spark, silver, gold, as_of=NOW)
     days = refresh_silver(spark, raw(spark, [e(3, "a", "DELIVERED", 1, day=2)]), silver, as_of=NOW)

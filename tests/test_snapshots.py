@@ -60,6 +60,8 @@ def test_files_without_a_manifest_are_invisible(spark, table):
 
     os.remove(f"{table.root}/manifest/0000000009/_SUCCESS")
     assert rows(table.read(spark)) == [("a", 1, day(0))]
+    table.replace(frame(spark, [("b", 2, 0)]))
+    assert rows(table.read(spark)) == [("b", 2, day(0))] and table.versions(spark) == [1, 10]
 
 
 def test_expire_removes_what_no_kept_version_uses(spark, table):
@@ -131,6 +133,16 @@ def test_delete_missing_in_named_partitions_only(spark, table):
     assert rows(table.read(spark)) == [("a", 2, day(0)), ("c", 1, day(1))]
 
 
+def test_delete_missing_without_partitions(spark, tmp_path):
+    table = SnapshotTable(f"{tmp_path}/t", SCHEMA)
+    upsert(table, frame(spark, [("a", 1, 0), ("b", 1, 0), ("c", 1, 1), ("d", 1, None)]), ["k"])
+    upsert(table, frame(spark, [("a", 2, 0)]), ["k"], delete_missing_in=[day(0), None], delete_column="d")
+    assert rows(table.read(spark)) == [("a", 2, day(0)), ("c", 1, day(1))]
+    by_day = SnapshotTable(f"{tmp_path}/u", SCHEMA, "d")
+    with pytest.raises(ValueError):
+        upsert(by_day, frame(spark, []), ["k"], delete_missing_in=["a"], delete_column="k")
+
+
 def test_compaction_merges_small_files_and_keeps_rows(spark, table):
     many = frame(spark, [(f"k{i}", i, i % 2) for i in range(50)])
     table.replace(many)
