@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -43,3 +45,28 @@ def file_sizes(spark: SparkSession, path: str) -> list[int]:
         for status in fs.listStatus(at)
         if status.isFile() and not status.getPath().getName().startswith(("_", "."))
     ]
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, at = _open(spark, path)
+    stream = fs.open(at)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def publish_text(spark: SparkSession, path: str, text: str) -> None:
+    """Make a small file appear at ``path`` whole, by a rename; an existing one is never replaced."""
+    folder, name = path.rsplit("/", 1)
+    draft = f"{folder}/_{name}.{uuid.uuid4().hex}"
+    fs, draft_at = _open(spark, draft)
+    stream = fs.create(draft_at)
+    try:
+        stream.write(bytearray(text.encode("utf-8")))
+    finally:
+        stream.close()
+    _, at = _open(spark, path)
+    if fs.exists(at) or not fs.rename(draft_at, at):
+        fs.delete(draft_at, False)
+        raise FileExistsError(f"{path} was written meanwhile")

@@ -3,7 +3,7 @@
 A commit writes only the partitions it changes, below ``data/commit=<token>/``, and then a manifest
 listing, for every partition of the table, the commit that holds it. Files are never changed, so a
 running reader keeps a whole, consistent version, and a commit that dies before its manifest leaves
-only unreferenced files. One writer at a time is assumed.
+only unreferenced files. One writer at a time is assumed; a second one fails when it publishes.
 
 The manifest has one row per partition value (days, for the tables here) and is the only thing that
 passes through the driver; ``MAX_PARTITIONS`` bounds it.
@@ -11,6 +11,7 @@ passes through the driver; ``MAX_PARTITIONS`` bounds it.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Collection
 from dataclasses import dataclass
@@ -21,7 +22,7 @@ from pyspark.sql.types import DateType, IntegralType, StructType
 
 from statelake.operators.merge import changed_rows, replace_rows
 from statelake.session import materialized
-from statelake.sources.paths import child_names, delete, exists, file_sizes
+from statelake.sources.paths import child_names, delete, file_sizes, publish_text, read_text
 
 MAX_PARTITIONS = 100_000
 PARTITION_TYPES = (DateType, IntegralType)
@@ -45,24 +46,15 @@ class SnapshotTable:
 
     def versions(self, spark: SparkSession) -> list[int]:
         """Committed versions, oldest first."""
-        found = [int(name) for name in child_names(spark, f"{self.root}/manifest")]
-        return [v for v in found if exists(spark, f"{self._manifest_path(v)}/_SUCCESS")]
+        names = [n.removesuffix(".json") for n in child_names(spark, f"{self.root}/manifest") if n.endswith(".json")]
+        return [int(n) for n in names if n.isdigit()]
 
     def manifest(self, spark: SparkSession, version: int | None = None) -> dict[str, str]:
         """Partition value to commit token; empty before the first commit."""
         known = self.versions(spark)
         if not known:
             return {}
-        at = known[-1] if version is None else version
-        rows = (
-            spark.read.schema("part string, token string")
-            .json(self._manifest_path(at))
-            .limit(MAX_PARTITIONS + 1)
-            .collect()
-        )
-        if len(rows) > MAX_PARTITIONS:
-            raise ValueError(f"{self.root} has more than {MAX_PARTITIONS} partitions; partition it by a coarser column")
-        return {row["part"]: row["token"] for row in rows}
+        return json.loads(read_text(spark, self._manifest_path(known[-1] if version is None else version)))
 
     def read(
         self, spark: SparkSession, version: int | None = None, partitions: Collection[object] | None = None
@@ -116,8 +108,7 @@ class SnapshotTable:
 
     def _commit(self, df: DataFrame, keep: dict[str, str]) -> list[str]:
         spark = df.sparkSession
-        # counting unfinished manifests too, so that a commit after a crash does not run into one
-        version = 1 + max((int(n) for n in child_names(spark, f"{self.root}/manifest")), default=0)
+        version = 1 + max(self.versions(spark), default=0)
         token = f"c{uuid.uuid4().hex}"
         target = f"{self.root}/data/commit={token}"
         rows = df.select(*self.schema.names)
@@ -133,12 +124,11 @@ class SnapshotTable:
         entries = {**keep, **{part: token for part in written}}
         if len(entries) > MAX_PARTITIONS:
             raise ValueError(f"{self.root} would have more than {MAX_PARTITIONS} partitions")
-        lines = spark.createDataFrame(sorted(entries.items()), "part string, token string")
-        lines.coalesce(1).write.json(self._manifest_path(version))
+        publish_text(spark, self._manifest_path(version), json.dumps(entries, indent=0, sort_keys=True))
         return written
 
     def _manifest_path(self, version: int) -> str:
-        return f"{self.root}/manifest/{version:010d}"
+        return f"{self.root}/manifest/{version:010d}.json"
 
     def _text(self, value: object) -> str:
         return _NULL_VALUE if value is None else str(value)

@@ -55,13 +55,20 @@ def test_only_touched_partitions_are_written_and_emptied_ones_go(spark, table):
 def test_files_without_a_manifest_are_invisible(spark, table):
     table.replace(frame(spark, [("a", 1, 0)]))
     frame(spark, [("x", 9, 0)]).write.partitionBy("d").parquet(f"{table.root}/data/commit=cdead")
-    frame(spark, [("x", 9, 0)]).write.json(f"{table.root}/manifest/0000000009")
-    import os
-
-    os.remove(f"{table.root}/manifest/0000000009/_SUCCESS")
+    with open(f"{table.root}/manifest/_0000000002.json.draft", "w") as draft:
+        draft.write("half a manif")
     assert rows(table.read(spark)) == [("a", 1, day(0))]
     table.replace(frame(spark, [("b", 2, 0)]))
-    assert rows(table.read(spark)) == [("b", 2, day(0))] and table.versions(spark) == [1, 10]
+    assert rows(table.read(spark)) == [("b", 2, day(0))] and table.versions(spark) == [1, 2]
+
+
+def test_a_second_writer_fails_when_it_publishes(spark, table, monkeypatch):
+    table.replace(frame(spark, [("a", 1, 0)]))
+    monkeypatch.setattr(SnapshotTable, "versions", lambda self, spark: [])
+    with pytest.raises(FileExistsError):
+        table.replace(frame(spark, [("b", 2, 0)]))
+    monkeypatch.undo()
+    assert rows(table.read(spark)) == [("a", 1, day(0))]
 
 
 def test_expire_removes_what_no_kept_version_uses(spark, table):
