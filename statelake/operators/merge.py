@@ -153,13 +153,15 @@ def changed_rows(
     output = []
     for column in target.columns:
         value = _source_value(source, column, target)
-        if column not in keys and column not in updated:
+        if column in keys:
+            # always true, or an error: it keeps the duplicate check in any plan that uses the key
+            value = F.when(F.col(f"s.{_HERE}"), value)
+        elif column not in updated:
             value = F.when(inserted, value).otherwise(F.col(f"t.{column}"))
         output.append(value.alias(column))
     if locate:
         output.append(F.col(f"t.{locate}").alias(f"{_OLD}{locate}"))
-    # reading the source tag here keeps the duplicate check in the plan
-    output.append((F.col(f"s.{_HERE}") & F.col(f"t.{_HERE}").isNotNull()).alias("__updated"))
+    output.append(F.col(f"t.{_HERE}").isNotNull().alias("__updated"))
     return joined.select(*output)
 
 

@@ -11,6 +11,7 @@ passes through the driver; ``MAX_PARTITIONS`` bounds it.
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import uuid
 from collections.abc import Collection
@@ -30,6 +31,10 @@ _NULL_VALUE = "__HIVE_DEFAULT_PARTITION__"
 _WHOLE = ""
 
 
+def _null_last(value: object) -> tuple[bool, str]:
+    return value is None, str(value)
+
+
 @dataclass(frozen=True)
 class SnapshotTable:
     """Where a table lives and what it looks like."""
@@ -106,6 +111,14 @@ class SnapshotTable:
             part: file_sizes(spark, self._path(token, part)) for part, token in self.manifest(spark).items()
         }
 
+    def values(self, parts: Collection[str]) -> list[object]:
+        """Partition values of partition names, NULL last."""
+        if self.partition_by is None:
+            return list(parts)
+        convert = dt.date.fromisoformat if isinstance(self.schema[self.partition_by].dataType, DateType) else int
+        typed = [None if part == _NULL_VALUE else convert(part) for part in parts]
+        return sorted(typed, key=_null_last)
+
     def _commit(self, df: DataFrame, keep: dict[str, str]) -> list[str]:
         spark = df.sparkSession
         version = 1 + max(self.versions(spark), default=0)
@@ -165,6 +178,10 @@ def upsert(
     if delete_missing_in and (delete_column is None or table.partition_by not in (None, delete_column)):
         raise ValueError("rows can be removed by the partition column, or by any column of an unpartitioned table")
     spark = source.sparkSession
+    if not table.versions(spark):
+        # nothing to find or keep: every row is an insert, written in one pass
+        empty = spark.createDataFrame([], table.schema)
+        return table.values(table.replace(changed_rows(empty, source, keys, guard, update_columns, None, unique_source)))
     with materialized(source, "source") as fixed:
         current = table.read(spark)
         changes = changed_rows(current, fixed, keys, guard, update_columns, table.partition_by, unique_source)
@@ -199,7 +216,7 @@ def _apply(
         table.replace(merged)
     else:
         table.replace_partitions(merged, touched)
-    return sorted(touched, key=lambda v: (v is None, str(v)))
+    return sorted(touched, key=_null_last)
 
 
 def _touched_partitions(changed: DataFrame, by: str) -> set[object]:

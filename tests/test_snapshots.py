@@ -128,6 +128,9 @@ def test_untouched_partitions_stay_in_place(spark, table):
 
 
 def test_duplicate_source_key_is_an_error_and_leaves_the_table_alone(spark, table):
+    with pytest.raises(Exception, match="more than one source row"):
+        upsert(table, frame(spark, [("a", 2, 0), ("a", 3, 0)]), ["k"])
+    assert table.versions(spark) == []
     upsert(table, frame(spark, [("a", 1, 0)]), ["k"])
     with pytest.raises(Exception, match="more than one source row"):
         upsert(table, frame(spark, [("a", 2, 0), ("a", 3, 0)]), ["k"])
