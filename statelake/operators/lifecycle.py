@@ -63,15 +63,18 @@ def lifecycle_events(
     order_id: str = "order_id",
     customer_id: str = "customer_id",
     identity: Column | None = None,
-    ordered: bool = True,
+    order: str = "total",
 ) -> DataFrame:
     """Lifecycle events of each order, by time.
 
     Ids derive from order and event type, so a second run names the same events the same way. Events
     of equal time follow the lifecycle, then the order id; with those columns in the sort the range
-    exchange can also split a day that holds a third of all events. Ask for ``ordered=False`` when
-    the next step shuffles anyway.
+    exchange can also split a day that holds a third of all events. ``order="partition"`` sorts
+    without a shuffle, which keeps the events of each order in sequence as a keyed log needs it;
+    ``order="none"`` is for a next step that shuffles anyway.
     """
+    if order not in ("total", "partition", "none"):
+        raise ValueError(f"unknown order: {order}")
     source = orders.select(
         F.col(order_id).alias("order_id"),
         F.col(customer_id).alias("customer_id"),
@@ -79,6 +82,9 @@ def lifecycle_events(
     )
     events = unpivot_stages(source, stages)
     named = events.withColumn("event_id", stable_id("order_id", "event_type") if identity is None else identity)
-    if ordered:
-        named = named.orderBy(F.col("event_time").asc_nulls_last(), "stage_rank", "order_id")
+    sequence = [F.col("event_time").asc_nulls_last(), F.col("stage_rank"), F.col("order_id")]
+    if order == "total":
+        named = named.orderBy(*sequence)
+    elif order == "partition":
+        named = named.sortWithinPartitions(*sequence)
     return named.select("event_id", "order_id", "customer_id", "event_type", "event_time", "order_status")

@@ -11,6 +11,7 @@ from statelake.functions.clocks import clock
 from statelake.operators.summary import STATUS_COLUMNS, daily_summary
 from statelake.schemas import GOLD_SCHEMA
 from statelake.sources.snapshots import MAX_PARTITIONS, SnapshotTable, upsert
+from statelake.sources.tables import merge_into, read_table
 
 
 def daily_order_summary(
@@ -61,3 +62,15 @@ def _stored_days(spark: SparkSession, gold: SnapshotTable) -> set[object]:
     if len(rows) > MAX_PARTITIONS:
         raise ValueError(f"the summary holds more than {MAX_PARTITIONS} days; name the days to refresh")
     return {row["order_date"] for row in rows}
+
+
+def merge_gold_table(
+    spark: SparkSession,
+    silver: str,
+    gold: str,
+    as_of: dt.datetime | str | Column | None = None,
+    prune_missing: bool = False,
+) -> None:
+    """The summary of one catalog table merged into another whose provider carries out ``MERGE``."""
+    summary = daily_order_summary(read_table(spark, silver), as_of).select(*GOLD_SCHEMA.names)
+    merge_into(gold, summary, ["order_date"], delete_missing=prune_missing)

@@ -15,6 +15,7 @@ from statelake.operators.latest import dedup_newest, drop_copies, latest_by, row
 from statelake.operators.merge import and_changed, not_older, not_older_then
 from statelake.schemas import SILVER_SCHEMA, SILVER_TIE_SCHEMA, TIE_COLUMN
 from statelake.sources.snapshots import SnapshotTable, upsert
+from statelake.sources.tables import merge_into
 
 TIME_COLUMNS = ["original_event_time", "event_time", "ingestion_time"]
 
@@ -163,6 +164,17 @@ def refresh_silver(
     return upsert(table, source, ["order_id"], rules.guard, columns, unique_source=True)
 
 
+def merge_silver_table(
+    bronze: DataFrame,
+    table: str,
+    rules: SilverRules = OFFSET_RULES,
+    as_of: dt.datetime | str | Column | None = None,
+) -> None:
+    """The same into a catalog table whose provider carries out ``MERGE``."""
+    usable, _ = split_rejects(bronze)
+    merge_into(table, current_state(usable, rules, as_of), ["order_id"], guard=rules.guard)
+
+
 def rejected_records(bronze: DataFrame) -> DataFrame:
     """Raw rows that ``refresh_silver`` leaves out, each with its reason."""
     return split_rejects(bronze)[1]

@@ -298,6 +298,7 @@ def log_resume(spark, folder):
 
 @query
 def log_advance(spark, folder):
+    """Stored positions moved on by a batch in which one partition was silent."""
     seen = next_offsets(deliveries(spark, folder).filter("partition <> 1"))
     return advance_offsets(_positions(spark, folder), seen)
 
@@ -313,13 +314,13 @@ def lifecycle_unpivot(spark, folder):
 @query
 def lifecycle_with_cancelled(spark, folder):
     stages = (*ORDER_STAGES, cancelled_stage("order_cancelled_at"))
-    return plain(lifecycle_events(wide_orders(spark, folder), stages, ordered=False))
+    return plain(lifecycle_events(wide_orders(spark, folder), stages, order="none"))
 
 
 @query
 def lifecycle_records(spark, folder):
     """Lifecycle events as keyed log records with their three clocks, read back."""
-    events = lifecycle_events(wide_orders(spark, folder), ordered=False)
+    events = lifecycle_events(wide_orders(spark, folder), order="none")
     run = F.lit(PROCESSED_AT).cast("timestamp")
     return decode(encode(stamp_event(events, run, run)), metadata={})
 
@@ -417,6 +418,7 @@ def ingest_two_batches(spark, folder):
 
 @query
 def stored_offsets(spark, folder):
+    """The same through an ingest run and its stored positions."""
     bronze_path, offsets_path = scratch_path(spark, "bronze"), scratch_path(spark, "offsets")
     offset_table(offsets_path).replace(_positions(spark, folder))
     ingest_bronze(spark, inputs.log(spark, folder).filter("partition <> 1"), bronze_path, offsets_path, FIRST_RUN_AT)

@@ -109,7 +109,7 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local session may go without it; it then gets one temporary folder of its own.
     """
     context = spark.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
     if not context.master.startswith("local"):

@@ -1,3 +1,6 @@
+import pytest
+from pyspark.sql import functions as F
+
 from statelake.functions.identity import random_id
 from statelake.operators.lifecycle import ORDER_STAGES, cancelled_stage, lifecycle_events
 from statelake.schemas import ORDERS_CSV_SCHEMA
@@ -44,3 +47,13 @@ def test_cancelled_stage(spark):
     df = df.withColumn("cancelled_at", df["order_purchase_timestamp"])
     got = lifecycle_events(df, (*ORDER_STAGES, cancelled_stage("cancelled_at")))
     assert got.filter("event_type = 'CANCELLED'").count() == 3
+
+
+def test_partition_order_keeps_each_order_in_sequence_without_a_shuffle(spark, capsys):
+    late = orders(spark).withColumn("order_approved_at", F.lit(at("2024-02-01")).cast("timestamp"))
+    events = lifecycle_events(late.filter("order_id = 'o1'"), order="partition")
+    assert [r["event_type"] for r in events.collect()] == ["ORDER_CREATED", "SHIPPED", "DELIVERED", "PAYMENT_APPROVED"]
+    events.explain()
+    assert "Exchange" not in capsys.readouterr().out
+    with pytest.raises(ValueError):
+        lifecycle_events(late, order="sideways")
