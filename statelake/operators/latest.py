@@ -42,11 +42,11 @@ def drop_copies(df: DataFrame, keys: Sequence[str] = ("event_id",)) -> DataFrame
     return df.dropDuplicates(list(keys))
 
 
-def rows_of_changed_keys(history: DataFrame, increment: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """All history of the keys that occur in ``increment``.
+def rows_of_changed_keys(history: DataFrame, changed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """All history of the keys that occur in ``changed``.
 
     Ranking an increment alone can let an older row of equal event time win; ranking the whole
-    history of just the changed keys cannot. The increment side is one narrow column set, reduced
-    to distinct keys before it moves.
+    history of just the changed keys cannot. The keys are made distinct before they move, so a key
+    that fills the increment still travels once per task.
     """
-    return history.join(increment.select(*keys).distinct(), list(keys), "left_semi")
+    return history.join(changed.select(*keys).distinct(), list(keys), "left_semi")

@@ -107,4 +107,6 @@ def child_rows(children: DataFrame, sample: DataFrame, key: str, child_key: str
     keys = sample.select(F.col(key).alias(name))
     if max_sample_rows is not None and max_sample_rows <= MAX_BROADCAST_KEYS:
         keys = F.broadcast(keys)
+    else:
+        keys = keys.distinct()
     return children.join(keys, name, "left_semi")

@@ -13,7 +13,9 @@ from statelake.functions.clocks import clock, parse_columns, seconds_between
 from statelake.operators.envelope import split_rejects
 from statelake.operators.latest import dedup_newest, drop_copies, latest_by, rows_of_changed_keys
 from statelake.operators.merge import and_changed, not_older, not_older_then
+from statelake.operators.sampling import MAX_BROADCAST_KEYS
 from statelake.schemas import SILVER_SCHEMA, SILVER_TIE_SCHEMA, TIE_COLUMN
+from statelake.session import materialized
 from statelake.sources.snapshots import SnapshotTable, upsert
 from statelake.sources.tables import merge_into
 
@@ -156,12 +158,27 @@ def refresh_silver(
     or use rules with ``carry_tie``.
     """
     usable, _ = split_rejects(bronze)
-    if history is not None:
-        whole, _ = split_rejects(history)
-        usable = rows_of_changed_keys(whole, usable, ["order_id"])
-    source = current_state(usable, rules, as_of)
     columns = [c for c in rules.schema.names if c != "order_id"]
-    return upsert(table, source, ["order_id"], rules.guard, columns, unique_source=True)
+    if history is None:
+        source = current_state(usable, rules, as_of)
+        return upsert(table, source, ["order_id"], rules.guard, columns, unique_source=True)
+    with materialized(usable.select("order_id").distinct(), "orders") as changed:
+        source = to_state_rows(latest_of_changed(history, changed, rules), rules, as_of)
+        return upsert(table, source, ["order_id"], rules.guard, columns, unique_source=True)
+
+
+def latest_of_changed(history: DataFrame, changed: DataFrame, rules: SilverRules = OFFSET_RULES) -> DataFrame:
+    """The newest events of the ``changed`` orders, one row each, over the whole raw layer.
+
+    Up to ``MAX_BROADCAST_KEYS`` orders, counted first, their ids are broadcast and the history is
+    filtered where it lies. Above that the history is ranked before it is filtered, so that what the
+    join moves is one row per order: a single order may own a third of the history.
+    """
+    whole, _ = split_rejects(history)
+    typed = parse_columns(whole, TIME_COLUMNS)
+    if changed.count() <= MAX_BROADCAST_KEYS:
+        return latest_events(typed.join(F.broadcast(changed), ["order_id"], "left_semi"), rules)
+    return rows_of_changed_keys(latest_events(typed, rules), changed, ["order_id"])
 
 
 def merge_silver_table(

@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 
 from statelake.operators.merge import not_older, or_unset
+from statelake.plans import silver as silver_module
 from statelake.operators.summary import daily_summary
 from statelake.plans.gold import daily_order_summary, gold_table, refresh_gold
 from statelake.plans.ingest import to_bronze
@@ -102,7 +103,7 @@ def test_stored_null_time_is_stuck_unless_the_guard_allows_it(spark, tmp_path):
         assert rows(table.read(spark), "current_status") == [(expected,)]
 
 
-def test_equal_times_across_increments(spark, tmp_path):
+def test_equal_times_across_increments(spark, tmp_path, monkeypatch):
     """The log holds SHIPPED after CREATED at one instant; increments arrive the wrong way round."""
     pair = raw(spark, [e(1, "a", "ORDER_CREATED", 5), e(2, "a", "SHIPPED", 5)])
     created, shipped = pair.filter("event_id = 'e1'"), pair.filter("event_id = 'e2'")
@@ -117,6 +118,12 @@ def test_equal_times_across_increments(spark, tmp_path):
         refresh_silver(spark, part, ranked, as_of=NOW, history=pair)
     assert rows(ranked.read(spark), "event_type") == [("SHIPPED",)]
 
+    monkeypatch.setattr(silver_module, "MAX_BROADCAST_KEYS", 0)
+    many = silver_table(f"{tmp_path}/many")
+    for part in (shipped, created):
+        refresh_silver(spark, part, many, as_of=NOW, history=pair)
+    assert rows(many.read(spark), "event_type") == [("SHIPPED",)]
+
     tied = SilverRules(carry_tie=True)
     carried = silver_table(f"{tmp_path}/carried", tied)
     for part in (shipped, created):
