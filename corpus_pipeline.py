@@ -12,7 +12,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
-    judged = quality.quality(docs, read_table(spark, sf_dir, "labels"), carry=docs.columns)
+    judged = quality.quality(docs, read_table(spark, sf_dir, "labels"))
     return judged.filter("kept").select(*docs.columns)
 
 

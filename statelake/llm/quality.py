@@ -18,10 +18,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statelake.llm.common import spaced, stored, words
+from statelake.llm.common import spaced, words
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
 @dataclass(frozen=True)
@@ -132,36 +133,32 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, rules: QualityRules, text: s
     mass = rules.smoothing * rules.buckets
     good = F.log((F.col("target") + rules.smoothing) / F.lit(all_target + mass))
     raw = F.log((F.col("raw") + rules.smoothing) / F.lit(all_raw + mass))
-    return counts.select("bucket", (good - raw).alias("weight"))
+    return counts.select("bucket", F.round(good - raw, 6).alias("weight"))
 
 
-KEYS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+def score(weights: list[float], rules: QualityRules) -> Column:
+    """The mean weight of a row's n-grams, from its word and word-pair hashes; zero without words."""
+    table = F.split(F.lit(",".join(repr(w) for w in weights)), ",").cast("array<double>")
+    add = lambda acc, gram: acc + F.get(table, F.pmod(gram, F.lit(rules.buckets)).cast("int"))
+    ones = F.aggregate("__h", F.lit(0.0), add)
+    both = F.aggregate("__hh", ones, add)
+    return F.when(F.size("__h") > 0, F.round(both / (F.size("__h") + F.size("__hh")), 9)).otherwise(F.lit(0.0))
 
 
-def judge(docs: DataFrame, weights: DataFrame, rules: QualityRules, carry: list[str], text: str = "text") -> DataFrame:
-    """One row per row of ``docs``: ``carry``, the counts, ``base_failed``, ``score`` and ``kept``.
-
-    Rows are numbered before their n-grams are exploded, so the sum over a document is complete
-    within its task and the exchange carries one row per document.
-    """
-    rows = (
-        counted(docs, text)
-        .select(F.monotonically_increasing_id().alias("__row"), *carry, *KEYS, "__h", "__hh")
-        .select("__row", *carry, *KEYS, F.explode_outer(F.concat("__h", "__hh")).alias("gram"))
-        .withColumn("bucket", buckets_of(F.col("gram"), rules))
-    )
-    scored = rows.join(F.broadcast(weights), "bucket", "left")
+def judge(docs: DataFrame, weights: list[float], rules: QualityRules, text: str = "text") -> DataFrame:
+    """``docs`` with the counts, ``base_failed``, ``score`` and ``kept``; every row stays where it is."""
     return (
-        scored.groupBy("__row")
-        .agg(*[F.first(c).alias(c) for c in [*carry, *KEYS]], F.avg("weight").alias("score"))
-        .withColumn("score", F.coalesce(F.round("score", 9), F.lit(0.0)))
+        counted(docs, text)
         .withColumn("base_failed", base_failed(rules))
+        .withColumn("score", score(weights, rules))
         .withColumn("kept", ~F.col("base_failed") & (F.col("score") >= rules.threshold))
-        .drop("__row")
+        .drop("__h", "__hh")
     )
 
 
-def quality(docs: DataFrame, labels: DataFrame, rules: QualityRules = QualityRules(), carry: list[str] | None = None) -> DataFrame:
-    """Judge all documents; ``carry`` names the columns kept beside the verdict."""
-    weights = stored(log_ratios(docs, trusted_ids(labels, rules), rules), "log-ratios")
-    return judge(docs, weights, rules, carry or ["doc_id"])
+def quality(docs: DataFrame, labels: DataFrame, rules: QualityRules = QualityRules(), text: str = "text") -> DataFrame:
+    """Judge all documents. The weights (``buckets`` numbers at most) pass through the driver."""
+    table = [0.0] * rules.buckets
+    for row in log_ratios(docs, trusted_ids(labels, rules), rules, text).collect():
+        table[row["bucket"]] = row["weight"]
+    return judge(docs, table, rules, text)

@@ -14,7 +14,8 @@ def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
 
 def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = read_table(spark, folder, "documents"), read_table(spark, folder, "labels")
-    return quality.quality(docs, labels)
+    judged = quality.quality(docs, labels)
+    return judged.select("doc_id", *quality.COUNTS, "base_failed", "score", "kept")
 
 
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
