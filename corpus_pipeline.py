@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from statelake.llm import quality, secrets, mixing
+from statelake.llm import decontam, mixing, quality, secrets, simhash
 from statelake.llm.common import read_table, stored
 
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
@@ -16,6 +15,17 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return judged.filter("kept").select(*docs.columns)
 
 
+def one_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
+    return simhash.one_of_each(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the contamination rule names go; all others stay as they are."""
+    judged = decontam.contamination(docs, read_table(spark, sf_dir, "benchmark"), docs.columns)
+    return judged.filter(~F.col("contaminated")).select(*docs.columns)
+
+
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Found secrets are replaced by a marker in their documents."""
     return secrets.redact(docs)
@@ -26,7 +36,13 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(docs)
 
 
-STAGES = [("quality rules", keep_quality), ("secret scans", redact_secrets), ("mixing", mix_sources)]
+STAGES = [
+    ("quality rules", keep_quality),
+    ("simhash near-dedup", one_of_copies),
+    ("benchmark decontamination", decontaminate),
+    ("secret scans", redact_secrets),
+    ("mixing sources", mix_sources),
+]
 # SQL has no function for the hashes of the quality stage.
 ORACLE_SQL = None
 

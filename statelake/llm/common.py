@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,14 +13,19 @@ from statelake.session import scratch_path
 SPACE = r"[\x20\x09-\x0D]"
 # Rows per Arrow batch handed to Python: texts are long, and a batch has to fit beside its arrays.
 ARROW_ROWS = 512
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
-def fit_arrow(spark: SparkSession) -> None:
-    """Keep Arrow batches of texts small. Only ever lowers the session's setting."""
+def fit_python(spark: SparkSession) -> None:
+    """Keep Arrow batches of texts small (only ever lowers the session's setting), and let Python
+    workers find this package where it lies; a cluster may ship it with ``--py-files`` as well."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key))
     if now <= 0 or now > ARROW_ROWS:
         spark.conf.set(key, str(ARROW_ROWS))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if ROOT not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(p for p in (known, ROOT) if p)
 
 
 def spaced(text: Column) -> Column:

@@ -67,7 +67,7 @@ def source_targets(sizes: DataFrame, rules: MixRules) -> DataFrame:
         .withColumn("demand", F.sum("source_size").over(whole) * F.lit(rules.share))
         .withColumn("level", level)
         .withColumn("capped", F.col("level") * F.col("weight") >= F.col("ceiling"))
-        .withColumn("shared", F.min(F.when(~F.col("capped"), F.col("level"))).over(whole))
+        .withColumn("shared", F.max(F.when(~F.col("capped"), F.col("level"))).over(whole))
     )
     target = F.when(F.col("capped"), F.col("ceiling")).otherwise(F.col("shared") * F.col("weight"))
     return filled.select("src", "source_size", target.alias("target"), "opens", "closes")

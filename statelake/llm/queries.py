@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from statelake.llm import mixing, quality, secrets
+from statelake.llm import decontam, mixing, quality, secrets, simhash
 from statelake.llm.common import read_table
 
 
@@ -18,11 +18,20 @@ def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", *quality.COUNTS, "base_failed", "score", "kept")
 
 
+def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, folder, "documents"))
+
+
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(read_table(spark, folder, "documents"))
 
 
+def op9_decontam(spark: SparkSession, folder: str) -> DataFrame:
+    docs, benchmark = read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark")
+    return decontam.contamination(docs, benchmark, ["doc_id"]).drop("removal_spans")
+
+
 def all_queries() -> dict:
     """Every query of this subpackage by name."""
-    named = [op4_secrets, op5_quality, op7_mixing]
+    named = [op4_secrets, op5_quality, op6_simhash, op7_mixing, op9_decontam]
     return {f.__name__: f for f in named}
