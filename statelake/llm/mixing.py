@@ -76,7 +76,7 @@ def source_targets(sizes: DataFrame, rules: MixRules) -> DataFrame:
 def progress(part: Column, opens: Column, closes: Column) -> Column:
     """The time at which a source with a linear weight has delivered ``part`` of its demand."""
     slope = closes - opens
-    root = (F.sqrt(opens * opens + 2 * slope * part) - opens) / slope
+    root = (F.sqrt(opens * opens + 2 * slope * part) - opens) / slope + F.lit(0.0)
     return F.when(slope == 0, part).otherwise(root)
 
 

@@ -13,9 +13,10 @@ zero); an empty table gives an empty result; further columns are ignored.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from statelake.llm.common import spaced, words
@@ -118,22 +119,27 @@ def trusted_ids(labels: DataFrame, rules: QualityRules) -> DataFrame:
     return good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rules.max_trusted)
 
 
-def log_ratios(docs: DataFrame, trusted: DataFrame, rules: QualityRules, text: str = "text") -> DataFrame:
-    """``(bucket, weight)``: log of the trusted over the raw probability; at most ``buckets`` rows."""
-    marked = (
-        docs.join(F.broadcast(trusted.withColumn("trusted", F.lit(1))), "doc_id", "left")
-        .select(text, F.coalesce("trusted", F.lit(0)).alias("trusted"))
+def gram_counts(docs: DataFrame, trusted: DataFrame, rules: QualityRules, text: str = "text") -> DataFrame:
+    """``(bucket, raw, target)``: n-grams of the corpus and of its trusted part; at most ``buckets`` rows."""
+    marked = docs.join(F.broadcast(trusted.withColumn("trusted", F.lit(1))), "doc_id", "left").select(
+        text, F.coalesce("trusted", F.lit(0)).alias("trusted")
     )
     grams = hashed(marked, text).select("trusted", F.explode(F.concat("__h", "__hh")).alias("gram"))
-    counts = grams.groupBy(buckets_of(F.col("gram"), rules).alias("bucket")).agg(F.count("*").alias("raw"), F.sum("trusted").alias("target"))
-    totals = counts.agg(F.sum("raw").alias("all_raw"), F.sum("target").alias("all_target")).first()
-    all_raw, all_target = totals["all_raw"] or 0, totals["all_target"] or 0
+    counts = grams.groupBy(buckets_of(F.col("gram"), rules).alias("bucket"))
+    return counts.agg(F.count("*").alias("raw"), F.sum("trusted").alias("target"))
+
+
+def log_ratios(counts: list[Row], rules: QualityRules) -> list[float]:
+    """Per bucket the log of the trusted over the raw probability; zero where nothing was counted."""
+    weights = [0.0] * rules.buckets
+    all_raw, all_target = sum(r["raw"] for r in counts), sum(r["target"] for r in counts)
     if not all_target:
-        return counts.select("bucket", F.lit(0.0).alias("weight"))
+        return weights
     mass = rules.smoothing * rules.buckets
-    good = F.log((F.col("target") + rules.smoothing) / F.lit(all_target + mass))
-    raw = F.log((F.col("raw") + rules.smoothing) / F.lit(all_raw + mass))
-    return counts.select("bucket", F.round(good - raw, 6).alias("weight"))
+    level = math.log((all_raw + mass) / (all_target + mass))
+    for r in counts:
+        weights[r["bucket"]] = round(math.log((r["target"] + rules.smoothing) / (r["raw"] + rules.smoothing)) + level, 6)
+    return weights
 
 
 def score(weights: list[float], rules: QualityRules) -> Column:
@@ -157,8 +163,6 @@ def judge(docs: DataFrame, weights: list[float], rules: QualityRules, text: str
 
 
 def quality(docs: DataFrame, labels: DataFrame, rules: QualityRules = QualityRules(), text: str = "text") -> DataFrame:
-    """Judge all documents. The weights (``buckets`` numbers at most) pass through the driver."""
-    table = [0.0] * rules.buckets
-    for row in log_ratios(docs, trusted_ids(labels, rules), rules, text).collect():
-        table[row["bucket"]] = row["weight"]
-    return judge(docs, table, rules, text)
+    """Judge all documents. The counts (``buckets`` rows at most) pass through the driver."""
+    counts = gram_counts(docs, trusted_ids(labels, rules), rules, text).collect()
+    return judge(docs, log_ratios(counts, rules), rules, text)
