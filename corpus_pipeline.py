@@ -9,10 +9,15 @@ from statelake.llm import decontam, mixing, quality, secrets, simhash
 from statelake.llm.common import read_table, stored
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """Id, text and the whole row as one struct, so that no column of it clashes with an operator's."""
+    return docs.select("doc_id", "text", F.struct(*docs.columns).alias("__doc"))
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
-    judged = quality.quality(docs, read_table(spark, sf_dir, "labels"))
-    return judged.filter("kept").select(*docs.columns)
+    judged = quality.quality(packed(docs), read_table(spark, sf_dir, "labels"))
+    return judged.filter("kept").select("__doc.*")
 
 
 def one_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,8 +27,8 @@ def one_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the contamination rule names go; all others stay as they are."""
-    judged = decontam.contamination(docs, read_table(spark, sf_dir, "benchmark"), docs.columns)
-    return judged.filter(~F.col("contaminated")).select(*docs.columns)
+    judged = decontam.contamination(packed(docs), read_table(spark, sf_dir, "benchmark"), ["__doc"])
+    return judged.filter(~F.col("contaminated")).select("__doc.*")
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from statelake.llm.common import fit_python, stored
 from statelake.llm.tokens import ALPHANUMERIC, word_hashes
@@ -291,8 +292,9 @@ def marked(docs: DataFrame, block: Block, carry: list[str], text: str = "text")
         if held:
             yield shard()
 
-    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
-    return docs.select(*carry, text).mapInArrow(run, f"{kinds}, n_words bigint, removal_spans {SPANS}, items array<string>")
+    found = StructType.fromDDL(f"n_words bigint, removal_spans {SPANS}, items array<string>")
+    schema = StructType([docs.schema[c] for c in carry] + found.fields)
+    return docs.select(*carry, text).mapInArrow(run, schema)
 
 
 def _merged(spans) -> object:

@@ -121,7 +121,7 @@ def trusted_ids(labels: DataFrame, rules: QualityRules) -> DataFrame:
 
 def gram_counts(docs: DataFrame, trusted: DataFrame, rules: QualityRules, text: str = "text") -> DataFrame:
     """``(bucket, raw, target)``: n-grams of the corpus and of its trusted part; at most ``buckets`` rows."""
-    marked = docs.join(F.broadcast(trusted.withColumn("trusted", F.lit(1))), "doc_id", "left").select(
+    marked = docs.select("doc_id", text).join(F.broadcast(trusted.withColumn("trusted", F.lit(1))), "doc_id", "left").select(
         text, F.coalesce("trusted", F.lit(0)).alias("trusted")
     )
     grams = hashed(marked, text).select("trusted", F.explode(F.concat("__h", "__hh")).alias("gram"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from statelake.llm import decontam, mixing, quality, secrets, simhash
+from statelake.llm import decontam, licenses, mixing, quality, secrets, simhash, warc
 from statelake.llm.common import read_table
 
 
@@ -26,12 +26,20 @@ def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(read_table(spark, folder, "documents"))
 
 
+def op8_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.license_scan(read_table(spark, folder, "documents"), ["doc_id"]).drop("spans")
+
+
 def op9_decontam(spark: SparkSession, folder: str) -> DataFrame:
     docs, benchmark = read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark")
     return decontam.contamination(docs, benchmark, ["doc_id"]).drop("removal_spans")
 
 
+def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archived(read_table(spark, folder, "pages"))
+
+
 def all_queries() -> dict:
     """Every query of this subpackage by name."""
-    named = [op4_secrets, op5_quality, op6_simhash, op7_mixing, op9_decontam]
+    named = [op4_secrets, op5_quality, op6_simhash, op7_mixing, op8_licenses, op9_decontam, op10_warc]
     return {f.__name__: f for f in named}

@@ -162,10 +162,14 @@ def redacted(text: Column, spans: Column) -> Column:
 
 
 def redact(docs: DataFrame, rules: SecretRules = SecretRules(), text: str = "text", owner: str = "source", repository: str = "doc_id") -> DataFrame:
-    """``docs`` with all found spans taken out of ``text``; only rows that have matches move."""
-    columns = docs.columns
-    scan = scanned(docs, columns, text, owner, repository)
-    clean = scan.filter(F.size("__hits") == 0).select(*columns)
+    """``docs`` with all found spans taken out of ``text``; only rows that have matches move.
+
+    Rows travel as one struct, so no column of theirs can clash with the operator's.
+    """
+    packed = docs.select(F.struct(*docs.columns).alias("__doc"), text, *{owner, repository} - {text})
+    scan = scanned(packed, ["__doc"], text, owner, repository)
+    clean = scan.filter(F.size("__hits") == 0).select("__doc")
     hit = spans_of(scan.filter(F.size("__hits") > 0), rules)
-    cut = F.when(F.size("spans") > 0, redacted(F.col(text), F.col("spans"))).otherwise(F.col(text))
-    return clean.unionByName(hit.withColumn(text, cut).select(*columns))
+    old = F.col("__doc")[text]
+    cut = F.when(F.size("spans") > 0, redacted(old, F.col("spans"))).otherwise(old)
+    return clean.unionByName(hit.select(F.col("__doc").withField(text, cut).alias("__doc"))).select("__doc.*")
