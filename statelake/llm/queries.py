@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from statelake.llm import decontam, licenses, mixing, quality, secrets, simhash, warc
+from statelake.llm import decontam, extraction, licenses, mixing, quality, secrets, simhash, warc
 from statelake.llm.common import read_table
 
 
+def op1_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return extraction.main_text(read_table(spark, folder, "pages"))
+
+
 def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secrets(read_table(spark, folder, "documents"))
 
@@ -41,5 +45,5 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
 
 def all_queries() -> dict:
     """Every query of this subpackage by name."""
-    named = [op4_secrets, op5_quality, op6_simhash, op7_mixing, op8_licenses, op9_decontam, op10_warc]
+    named = [op1_extraction, op4_secrets, op5_quality, op6_simhash, op7_mixing, op8_licenses, op9_decontam, op10_warc]
     return {f.__name__: f for f in named}
