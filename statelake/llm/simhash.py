@@ -37,6 +37,7 @@ SEED = 42
 SHINGLE = 3
 MAX_BITS = 2
 SMALL_GROUP = 48
+VERIFY_ROWS = 1 << 17
 
 
 def fingerprint(text: str | None) -> int:
@@ -143,20 +144,18 @@ def links(distinct: DataFrame) -> DataFrame:
             columns = [pa.array(np.ascontiguousarray(pairs[:, i]).view(np.int64)) for i in (0, 1)]
             return pa.RecordBatch.from_arrays(columns, ["u", "v"])
 
+        size = 0
         for batch in batches:
-            keys, fps = np.asarray(batch.column(0)), np.asarray(batch.column(1))
-            if not len(keys):
-                continue
-            last = int(np.searchsorted(keys, keys[-1]))
-            if last:
-                rest.append((keys[:last], fps[:last]))
+            rest.append((np.asarray(batch.column(0)), np.asarray(batch.column(1))))
+            size += len(batch)
+            if size >= VERIFY_ROWS and rest[0][0][0] != rest[-1][0][-1]:
+                keys, fps = (np.concatenate(x) for x in zip(*rest, strict=True))
+                last = int(np.searchsorted(keys, keys[-1]))
+                rest[:] = [(keys[:last], fps[:last])]
                 yield linked()
-                rest.clear()
-            elif rest and rest[-1][0][-1] != keys[0]:
-                yield linked()
-                rest.clear()
-            rest.append((keys[last:], fps[last:]))
-        if rest:
+                rest[:] = [(keys[last:], fps[last:])]
+                size = len(keys) - last
+        if size:
             yield linked()
 
     keyed = distinct.select("fp").mapInArrow(expand, "key bigint, fp bigint")
