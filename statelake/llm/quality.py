@@ -79,9 +79,14 @@ def _let(value: Column, body) -> Column:
 
 
 def hashed(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with ``__h``, the hashes of its words, and ``__hh``, those of its word pairs."""
-    ones = docs.withColumn("__h", F.transform(words(F.col(text)), lambda x: F.xxhash64(x)))
-    return ones.withColumn("__hh", window_hashes(F.col("__h"), 2))
+    """``docs`` with ``__h``, the hashes of its words, and ``__hh``, those of its word pairs.
+
+    They come out of a one-row generator. A later filter on what is derived from them is pushed down
+    to it but not through it; otherwise the optimizer would repeat the hashing at every use.
+    """
+    ones = F.transform(words(F.col(text)), lambda x: F.xxhash64(x))
+    both = F.transform(F.array(ones), lambda h: F.struct(h.alias("__h"), window_hashes(h, 2).alias("__hh")))
+    return docs.select("*", F.inline(both))
 
 
 def counted(docs: DataFrame, text: str = "text") -> DataFrame:
