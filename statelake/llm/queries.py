@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from statelake.llm import decontam, extraction, katz, licenses, mixing, quality, secrets, simhash, warc
+from statelake.llm import decontam, extraction, katz, licenses, mixing, quality, secrets, simhash, suffix, warc
 from statelake.llm.common import read_table
 
 
@@ -12,6 +12,10 @@ def op1_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return extraction.main_text(read_table(spark, folder, "pages"))
 
 
+def op2_suffix(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix.without_repeats(read_table(spark, folder, "documents")).drop("kept")
+
+
 def op3_katz(spark: SparkSession, folder: str) -> DataFrame:
     return katz.scored(read_table(spark, folder, "documents"))
 
@@ -49,5 +53,5 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
 
 def all_queries() -> dict:
     """Every query of this subpackage by name."""
-    named = [op1_extraction, op3_katz, op4_secrets, op5_quality, op6_simhash, op7_mixing, op8_licenses, op9_decontam, op10_warc]
+    named = [op1_extraction, op2_suffix, op3_katz, op4_secrets, op5_quality, op6_simhash, op7_mixing, op8_licenses, op9_decontam, op10_warc]
     return {f.__name__: f for f in named}
