@@ -1,3 +1,119 @@
-"""DuckDB SQL with the same result as the query of the same name, where SQL can express it."""
+"""DuckDB SQL with the same result as the query of the same name, where SQL can express it.
 
-ORACLE: dict[str, str] = {}
+Not here: extraction (a tree), language-model scores (CRC-32), quality rules and SimHash (XXH64), and
+the license scan (rolling hashes); their tests compare with brute force.
+"""
+
+from statelake.llm.secrets import KINDS
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+def _found(number: int, kind: str) -> str:
+    pattern, group = KINDS[kind]
+    quoted = pattern.replace("'", "''")
+    return f"""
+      SELECT doc_id, source, {number} AS kind, generate_subscripts(m, 1) AS i, m, g, p FROM (
+        SELECT doc_id, source, regexp_extract_all(coalesce(text, ''), '{quoted}') AS m,
+               regexp_extract_all(coalesce(text, ''), '{quoted}', {group}) AS g,
+               list_transform(string_split_regex(coalesce(text, ''), '{quoted}'), lambda x: length(x)) AS p
+        FROM documents) WHERE len(m) > 0"""
+
+
+OP2 = """
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+x AS (SELECT doc_id, octet_length(b) AS n, hex(b) AS h FROM d),
+w AS (SELECT doc_id, p, md5(substr(h, 2 * p + 1, 200)) AS k FROM (SELECT doc_id, h, unnest(range(0, n - 99)) AS p FROM x WHERE n >= 100)),
+r AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY k ORDER BY doc_id, p) AS t FROM w) WHERE t > 1),
+s AS (SELECT doc_id, p, CASE WHEN p > lag(p) OVER o + 100 OR lag(p) OVER o IS NULL THEN 1 ELSE 0 END AS fresh FROM r WINDOW o AS (PARTITION BY doc_id ORDER BY p)),
+i AS (SELECT doc_id, p, sum(fresh) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM s),
+q AS (SELECT doc_id, min(p) AS a, max(p) + 100 AS e FROM i GROUP BY doc_id, run),
+g AS (SELECT doc_id, a, e, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY a), 0) AS f FROM q),
+k AS (SELECT doc_id, sum(e - a) AS gone, count(*) AS runs, max(e) AS last,
+             string_agg(substr(h, 2 * f + 1, 2 * (a - f)), '' ORDER BY a) AS kept FROM g JOIN x USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, coalesce(runs, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM x LEFT JOIN k USING (doc_id)
+"""
+
+OP4 = f"""
+WITH raw AS ({" UNION ALL ".join(_found(k, kind) for k, kind in enumerate(KINDS))}),
+spans AS (
+  SELECT doc_id, source, kind, g[i] AS v, list_sum(p[1:i]) + coalesce(list_sum(list_transform(m[1:i-1], lambda x: length(x))), 0) AS s,
+         list_sum(p[1:i]) + list_sum(list_transform(m[1:i], lambda x: length(x))) AS e FROM raw),
+kept AS (
+  SELECT *, max(CASE WHEN kind < 3 THEN e END) OVER (PARTITION BY doc_id ORDER BY s, kind ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached
+  FROM spans WHERE (kind <> 0 OR length(v) >= 12)
+    AND (kind < 3 OR (regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]') AND NOT regexp_matches(v, '[0-9a-f]{{16}}|AKIA[A-Z0-9]{{14}}')))),
+found AS (SELECT * FROM kept WHERE kind < 3 OR coalesce(reached, 0) <= s),
+owned AS (SELECT v, count(DISTINCT CASE WHEN source IS NULL THEN '1' ELSE '0' || source END) <= 1 AS live FROM found GROUP BY v),
+named AS (
+  SELECT doc_id, kind, live, s, concat_ws(':', ['assign', 'access', 'hex', 'generic'][kind + 1], CAST(CAST(s AS BIGINT) AS VARCHAR), CAST(CAST(e AS BIGINT) AS VARCHAR)) AS t
+  FROM found JOIN owned USING (v) WHERE kind < 3 OR live),
+rows AS (
+  SELECT doc_id, count_if(kind = 0) AS a, count_if(kind = 1) AS c, count_if(kind = 2) AS h, count_if(live) AS l, count_if(NOT live) AS n,
+         string_agg(CASE WHEN kind < 3 THEN t END, ',' ORDER BY s, kind) AS base, string_agg(t, ',' ORDER BY s, kind) AS everything
+  FROM named GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(a, 0) AS BIGINT) AS n_assign, CAST(coalesce(c, 0) AS BIGINT) AS n_access, CAST(coalesce(h, 0) AS BIGINT) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(everything, '') AS spans,
+       CAST(coalesce(l, 0) AS BIGINT) AS n_live, CAST(coalesce(n, 0) AS BIGINT) AS n_shared
+FROM documents LEFT JOIN rows USING (doc_id)
+"""
+
+OP7 = r"""
+WITH d AS (
+  SELECT doc_id, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS src, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS place,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+s AS (SELECT src, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY src) - 1 AS k FROM d GROUP BY src),
+w AS (
+  SELECT *, CAST([3, 1, 2][k % 3 + 1] AS DOUBLE) AS weight, CAST([1.5, 1.0, 0.5][k % 3 + 1] AS DOUBLE) AS opens,
+         CAST([0.5, 1.0, 1.5][k % 3 + 1] AS DOUBLE) AS closes, CAST(source_size * 2 AS DOUBLE) AS ceiling,
+         CAST(sum(source_size) OVER () AS DOUBLE) * CAST(1.5 AS DOUBLE) AS demand FROM s),
+l AS (
+  SELECT *, (demand - coalesce(sum(ceiling) OVER (ORDER BY ceiling / weight, src ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) /
+            sum(weight) OVER (ORDER BY ceiling / weight, src ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
+c AS (SELECT *, level * weight >= ceiling AS capped, max(CASE WHEN level * weight < ceiling THEN level END) OVER () AS shared FROM l),
+t AS (SELECT src, source_size, opens, closes, CASE WHEN capped THEN ceiling ELSE shared * weight END AS target FROM c),
+p AS (
+  SELECT doc_id, size, source_size, target, opens, closes, CAST(floor(target) AS BIGINT) AS budget,
+         coalesce(sum(size) OVER (PARTITION BY src ORDER BY place, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM d JOIN t USING (src)),
+m AS (SELECT *, CASE WHEN source_size > 0 THEN budget // source_size ELSE 0 END AS passes FROM p),
+f AS (SELECT *, CAST(start AS DOUBLE) / budget AS part FROM m)
+SELECT doc_id, size, source_size, target,
+       CAST(passes * size + least(greatest(budget - passes * source_size - start, 0), size) AS BIGINT) AS taken,
+       CASE WHEN size > 0 AND start < budget THEN
+         CASE WHEN opens = closes THEN part
+              ELSE (sqrt(opens * opens + 2 * (closes - opens) * part) - opens) / (closes - opens) + CAST(0.0 AS DOUBLE) END END AS position
+FROM f
+"""
+
+OP9 = f"""
+WITH item AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+sized AS (SELECT item_id, w, least(13, len(w)) AS k FROM item WHERE len(w) > 0),
+win AS (SELECT DISTINCT item_id, k, array_to_string(w[i : i + k - 1], ' ') AS t FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS i FROM sized)),
+doc AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+place AS (
+  SELECT doc_id, k, i, array_to_string(w[i : i + k - 1], ' ') AS t
+  FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM doc, (SELECT DISTINCT k FROM win) WHERE len(w) >= k)),
+hit AS (SELECT doc_id, item_id, place.k AS k, i FROM place JOIN win ON place.k = win.k AND place.t = win.t),
+word AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest(range(i, i + k)) AS j FROM hit) GROUP BY doc_id),
+named AS (
+  SELECT doc_id, count(*) AS n, string_agg(v, ',' ORDER BY v) AS t
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS v FROM hit WHERE item_id IS NOT NULL) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(word.n, 0) AS BIGINT) AS n_hit, CAST(coalesce(named.n, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(named.t, '')) AS items_sha256, coalesce(word.n, 0) > 0 AND 20 * coalesce(word.n, 0) >= len(w) AS contaminated
+FROM doc LEFT JOIN word USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+OP10 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+q AS (SELECT page_id, strlen(h) AS n, sha1(h) AS digest, max(page_id) OVER (PARTITION BY h) AS top FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN n < 1000 OR page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN n < 1000 OR page_id = top THEN NULL ELSE top END AS refers_to
+FROM q
+"""
+
+ORACLE: dict[str, str] = {"op2_suffix": OP2, "op4_secrets": OP4, "op7_mixing": OP7, "op9_decontam": OP9, "op10_warc": OP10}

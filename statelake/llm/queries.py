@@ -35,7 +35,7 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    return mixing.mix(read_table(spark, folder, "documents"))
+    return mixing.mix(read_table(spark, folder, "documents")).drop("positions")
 
 
 def op8_licenses(spark: SparkSession, folder: str) -> DataFrame:
