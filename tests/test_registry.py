@@ -2,7 +2,9 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from statelake.registry.oracle import ORACLE
+from statelake.registry.queries import all_queries as queries
 from tests.parity import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
@@ -14,7 +16,7 @@ def db():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(queries()) == set(ORACLE)
 
 
 @pytest.mark.parametrize("name", sorted(queries()))
