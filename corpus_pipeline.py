@@ -16,7 +16,7 @@ def packed(docs: DataFrame) -> DataFrame:
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
-    judged = quality.quality(packed(docs), read_table(spark, sf_dir, "labels"))
+    judged = quality.quality(packed(docs), read_table(spark, sf_dir, "labels"), carry=("__doc",))
     return judged.filter("kept").select("__doc.*")
 
 

@@ -167,7 +167,12 @@ def judge(docs: DataFrame, weights: list[float], rules: QualityRules, text: str
     )
 
 
-def quality(docs: DataFrame, labels: DataFrame, rules: QualityRules = QualityRules(), text: str = "text") -> DataFrame:
-    """Judge all documents. The counts (``buckets`` rows at most) pass through the driver."""
+def quality(
+    docs: DataFrame, labels: DataFrame, rules: QualityRules = QualityRules(), text: str = "text", carry: tuple[str, ...] = ("doc_id",)
+) -> DataFrame:
+    """Judge all documents; beside the verdict a row keeps ``carry`` and its text.
+
+    The counts (``buckets`` rows at most) pass through the driver.
+    """
     counts = gram_counts(docs, trusted_ids(labels, rules), rules, text).collect()
-    return judge(docs, log_ratios(counts, rules), rules, text)
+    return judge(docs.select(*carry, text), log_ratios(counts, rules), rules, text)

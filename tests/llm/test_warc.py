@@ -1,0 +1,47 @@
+import hashlib
+
+from statelake.llm.warc import archived, read_archive, warc_records, write_archive
+from statelake.session import scratch_path
+
+BIG, OTHER = "<p>" + "x" * 1200, "<p>é" + "y" * 1100
+PAGES = [
+    (1, "http://a/1", BIG, "x"), (2, "http://a/2", BIG, "x"), (9, None, BIG, "x"), (3, "http://b\r\nX: 1", "small", "x"),
+    (4, "http://b/4", "small", "x"), (5, "u", None, "x"), (6, "u", "", "x"), (7, "u", OTHER, "x"), (7, "u", OTHER, "x"), (None, "u", OTHER, "x"),
+]
+
+
+def pages(spark):
+    return spark.createDataFrame(PAGES, "page_id bigint, url string, html string, record_type string")
+
+
+def test_records_of_pages(spark):
+    got = sorted((tuple(r) for r in archived(pages(spark)).collect()), key=str)
+    want = []
+    for i, _, html, _ in PAGES:
+        data = (html or "").encode()
+        top = {BIG: 9, OTHER: 7}.get(html)
+        kind = "revisit" if top and i != top else "response"
+        want.append((i, len(data), hashlib.sha1(data).hexdigest(), kind, top if kind == "revisit" else None))
+    want[8] = (*want[8][:3], "revisit", 7)  # of two equal rows one is the response
+    assert got == sorted(want, key=str)
+
+
+def test_payloads_are_stored_once_and_records_come_back(spark):
+    folder = scratch_path(spark, "test-archive")
+    write_archive(pages(spark), folder)
+    assert spark.read.parquet(f"{folder}/payloads").count() == 4
+    rows = warc_records(read_archive(spark, folder)).collect()
+    assert len(rows) == len(PAGES) and all(r["verified"] for r in rows)
+    for r in rows:
+        head, _, rest = bytes(r["record"]).partition(b"\r\n\r\n")
+        fields = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:])
+        block = rest[: int(fields["Content-Length"])]
+        assert rest[len(block) :] == b"\r\n\r\n" and fields["WARC-Type"] == r["record_type"]
+        body = block.partition(b"\r\n\r\n")[2]
+        assert body == (b"" if r["record_type"] == "revisit" else bytes(r["payload"]))
+        assert fields["WARC-Payload-Digest"] == "sha1:" + hashlib.sha1(r["payload"]).hexdigest()
+    assert sorted(bytes(r["payload"]) for r in rows) == sorted((h or "").encode() for _, _, h, _ in PAGES)
+
+
+def test_empty_table(spark):
+    assert archived(pages(spark).filter("1 = 0")).count() == 0
