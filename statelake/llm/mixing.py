@@ -35,7 +35,7 @@ class MixRules:
     share: float = 1.5
     cap: int = 2
     schedules: tuple[tuple[float, float], ...] = ((1.5, 0.5), (1.0, 1.0), (0.5, 1.5))
-    places: int = 4
+    places: int = 3
 
 
 def source_targets(sizes: DataFrame, rules: MixRules) -> DataFrame:
