@@ -27,6 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -403,7 +404,8 @@ def scored(docs: DataFrame, rules: KatzRules = KatzRules(), text: str = "text")
             columns = [batch.column(0), batch.column(1), pa.array(n), *(pa.array(x) for x in sums)]
             empty = [c.type for c in columns]
             part = pa.array((mixed(ids.astype(np.uint64)) % np.uint64(parts)).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([part, *(pa.nulls(len(n), f.type) for f in list(BLOCK_ARROW)[1:]), *columns], sent.names)
+            sender = pa.array(np.full(len(n), base))
+            yield pa.RecordBatch.from_arrays([part, pa.nulls(len(n), pa.int32()), sender, pa.nulls(len(n), pa.binary()), *columns], sent.names)
             if size >= FLUSH_TOKENS:
                 yield from flush()
                 size = 0
@@ -411,29 +413,54 @@ def scored(docs: DataFrame, rules: KatzRules = KatzRules(), text: str = "text")
             yield from flush()
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows of texts pass; the blocks of each part are answered and added up per text."""
+        """Rows of texts pass; the blocks of each part are answered by one packed reply per sender."""
         words, backoffs = shared.value, lookup.value[0]
         held: list[tuple[int, int, bytes]] = []
         now = None
-        kind_of_id = None
+        empty: list = []
 
-        def part_sums() -> Iterator[pa.RecordBatch]:
-            for rows, known, base_log, log in answered(held, words, backoffs):
-                columns = [pa.array(rows), pa.nulls(len(rows), kind_of_id), pa.nulls(len(rows), pa.int64()), pa.array(known), pa.array(base_log), pa.array(log)]
-                yield pa.RecordBatch.from_arrays(columns, made.names)
+        def replies() -> Iterator[pa.RecordBatch]:
+            rows = [(base, pack_sums(*sums)) for base, sums in answered(held, words, backoffs)]
+            if rows:
+                columns = [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())]
+                yield pa.RecordBatch.from_arrays([*columns, *(pa.nulls(len(rows), k) for k in empty)], replied.names)
 
         for batch in batches:
-            kind_of_id = batch.column(5).type
             own = batch.filter(batch.column(3).is_null())
-            yield own.select(made.names)
+            empty = [c.type for c in own.columns[4:]]
+            yield own.select(replied.names)
             blocks = batch.filter(batch.column(3).is_valid())
             for part, kind, base, data in zip(*(blocks.column(i).to_pylist() for i in range(4)), strict=True):
                 if part != now:
-                    yield from part_sums()
+                    yield from replies()
                     held.clear()
                     now = part
                 held.append((kind, base, data))
-        yield from part_sums()
+        yield from replies()
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Replies added to the rows of the texts their sender had, sorted by sender, replies first."""
+        now = None
+        sums: list[tuple] = []
+        for batch in batches:
+            for base in dict.fromkeys(batch.column(0).to_pylist()):
+                own = batch.filter(pc.equal(batch.column(0), base))
+                if base != now:
+                    now, sums = base, []
+                sums += [unpack_sums(d) for d in own.column(1).drop_null().to_pylist()]
+                texts = own.filter(own.column(1).is_null())
+                if not len(texts):
+                    continue
+                place = np.asarray(texts.column(2)) - base
+                totals = [np.asarray(texts.column(i)).copy() for i in (5, 6, 7)]
+                where = np.full(int(place.max()) + 1, -1, dtype=np.int64)
+                where[place] = np.arange(len(place))
+                for row, *values in sums:
+                    inside = row < len(where)
+                    at = where[row[inside]]
+                    for total, value in zip(totals, values, strict=True):
+                        np.add.at(total, at[at >= 0], value[inside][at >= 0])
+                yield pa.RecordBatch.from_arrays([texts.column(3), texts.column(4), *(pa.array(x) for x in totals)], summed.names)
 
     numbered = docs.select(
         F.monotonically_increasing_id().alias("__row"), "doc_id", held_out(F.col("doc_id")).alias("__held"), text
@@ -442,22 +469,34 @@ def scored(docs: DataFrame, rules: KatzRules = KatzRules(), text: str = "text")
     cold = bigrams.filter(F.col("count") < least).mapInArrow(cold_counts, BLOCK)
     padded = cold.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in made.fields])
     dealt = tokens.unionByName(padded).repartition("part").sortWithinPartitions("part")
-    sums = dealt.mapInArrow(answer, StructType([StructField(f.name, f.dataType) for f in made.fields]))
-    per_row = sums.groupBy("__row").agg(
-        F.first("doc_id", ignorenulls=True).alias("doc_id"),
-        *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base", "score")],
-    )
-    return per_row.select(
+    replied = StructType([f for f in sent.fields if f.name not in ("part", "kind")])
+    summed = StructType([f for f in made.fields if f.name != "__row"])
+    replies = dealt.mapInArrow(answer, replied)
+    senders = replies.repartition("from_row").sortWithinPartitions("from_row", F.col("data").isNull())
+    return senders.mapInArrow(add_up, summed).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known",
         F.lit(model.total).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), "score",
     )
 
 
-def answered(blocks: list[tuple[int, int, bytes]], words: Unigrams, backoffs: Backoff) -> Iterator[tuple]:
-    """Sums per text over the blocks of one part: rows, known tokens, base score, score."""
+def pack_sums(rows: np.ndarray, known: np.ndarray, base: np.ndarray, log: np.ndarray) -> bytes:
+    raw = rows.astype(np.uint32).tobytes() + known.astype(np.uint32).tobytes() + base.tobytes() + log.tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(raw)
+
+
+def unpack_sums(data: bytes) -> tuple[np.ndarray, ...]:
+    raw = zstandard.ZstdDecompressor().decompress(data)
+    n = len(raw) // 24
+    whole = (np.frombuffer(raw, np.uint32, n, offset).astype(np.int64) for offset in (0, 4 * n))
+    return (*whole, *(np.frombuffer(raw, np.float64, n, offset) for offset in (8 * n, 16 * n)))
+
+
+def answered(blocks: list[tuple[int, int, bytes]], words: Unigrams, backoffs: Backoff) -> Iterator[tuple[int, tuple]]:
+    """Sums per text over the blocks of one part, by sender: rows, known tokens, base score, score."""
     held: dict[int, list] = {k: [] for k in (BIGRAM_COUNTS, BIGRAM_TOKENS, WORDS_TRAINED, WORDS_HELD)}
     for kind, base, data in blocks:
         held[kind].append((base, unpack(data)))
+    found: dict[int, list] = {}
     if held[BIGRAM_TOKENS]:
         keys = np.concatenate([np.zeros(0, np.uint64), *(x[0] for _, x in held[BIGRAM_COUNTS])])
         counts = np.concatenate([np.zeros(0, np.int64), *(x[1] for _, x in held[BIGRAM_COUNTS])])
@@ -466,7 +505,7 @@ def answered(blocks: list[tuple[int, int, bytes]], words: Unigrams, backoffs: Ba
         for base, (bigram, row) in held[BIGRAM_TOKENS]:
             at = np.searchsorted(keys, bigram)
             logs = backoffs.log_bigram(bigram, np.where(keys[at] == bigram, counts[at], 0))
-            yield _per_row(row, base, np.zeros(len(row)), np.zeros(len(row)), logs)
+            found.setdefault(base, []).append((row, np.zeros(len(row)), np.zeros(len(row)), logs))
     rare = held[WORDS_TRAINED] + held[WORDS_HELD]
     if rare:
         keys, counts = counted(np.concatenate([x[0] for _, x in held[WORDS_TRAINED]] or [np.zeros(0, np.uint64)]))
@@ -475,10 +514,9 @@ def answered(blocks: list[tuple[int, int, bytes]], words: Unigrams, backoffs: Ba
         for base, (tokens, row) in rare:
             at = np.searchsorted(keys, tokens)
             count = np.where(keys[at] == tokens, counts[at], 0)
-            yield _per_row(row, base, count > 0, words.base(count), np.log10(words.probability(count) / share))
-
-
-def _per_row(row: np.ndarray, base: int, *values: np.ndarray) -> tuple:
-    rows, at = np.unique(row, return_inverse=True)
-    known, base_log, log = (np.bincount(at, weights=v, minlength=len(rows)) for v in values)
-    return rows + base, np.rint(known).astype(np.int64), base_log, log
+            found.setdefault(base, []).append((row, count > 0, words.base(count), np.log10(words.probability(count) / share)))
+    for base, parts in found.items():
+        row, *values = (np.concatenate(x) for x in zip(*parts, strict=True))
+        rows, at = np.unique(row, return_inverse=True)
+        known, base_log, log = (np.bincount(at, weights=v, minlength=len(rows)) for v in values)
+        yield base, (rows, np.rint(known), base_log, log)
