@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+from dataclasses import replace
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from statelake.plans.sample import stratified_orders, write_sample
 from statelake.plans.silver import (
     INGESTION_RULES,
     OFFSET_RULES,
+    SilverRules,
     merge_silver_table,
     prepare_silver,
     refresh_silver,
@@ -24,12 +26,24 @@ from statelake.plans.silver import (
     silver_table,
 )
 from statelake.schemas import GOLD_SCHEMA, LOG_SCHEMA, ORDERS_CSV_SCHEMA, SILVER_SCHEMA
-from statelake.session import build_session
+from statelake.session import build_session, fit_session
 from statelake.sources import tables
 from statelake.sources.files import landed_from, read_bronze, read_csv, read_parquet
 from statelake.sources.kafka import write_log
 
 RULES = {"offset": OFFSET_RULES, "ingestion": INGESTION_RULES}
+
+
+def chosen_rules(args: argparse.Namespace) -> SilverRules:
+    """The named rules with the options of the command line on top."""
+    return replace(
+        RULES[args.rules],
+        **({"copies": "fold"} if args.fold else {}),
+        **({"skip_unchanged": True} if args.skip_unchanged else {}),
+        **({"carry_tie": True} if args.carry_tie else {}),
+    )
+
+
 ORDER_TIMES = [name for name in ORDERS_CSV_SCHEMA.names if name.endswith(("_at", "_timestamp", "_date"))]
 
 
@@ -79,12 +93,13 @@ def silver(spark: SparkSession, args: argparse.Namespace) -> None:
     since = landed_from(args.since_date, args.since_hour) if args.since_date else None
     raw = read_bronze(spark, args.raw, since)
     history = read_bronze(spark, args.raw) if since is not None else None
+    rules = chosen_rules(args)
     if args.catalog_table:
-        merge_silver_table(raw, args.catalog_table, RULES[args.rules])
+        merge_silver_table(raw, args.catalog_table, rules, history=history)
         state = tables.read_table(spark, args.catalog_table)
     else:
-        table = silver_table(args.table, RULES[args.rules])
-        days = refresh_silver(spark, raw, table, RULES[args.rules], history=history)
+        table = silver_table(args.table, rules)
+        days = refresh_silver(spark, raw, table, rules, history=history)
         print("changed days:", *days)
         state = table.read(spark)
     row_count(state, "silver_rows").show()
@@ -98,7 +113,9 @@ def gold(spark: SparkSession, args: argparse.Namespace) -> None:
         summary = tables.read_table(spark, args.catalog_table)
     else:
         table = gold_table(args.table)
-        refresh_gold(spark, silver_table(args.silver), table, prune_missing=args.prune_missing)
+        # only what refreshes of the state noted since the last run, unless all of it is asked for
+        days = [] if args.changed_only else None
+        refresh_gold(spark, silver_table(args.silver), table, days, prune_missing=args.prune_missing)
         summary = table.read(spark)
     summary.orderBy("order_date").show(100, truncate=False)
 
@@ -134,13 +151,23 @@ def parser() -> argparse.ArgumentParser:
 
     job(profile, "orders")
     job(sample, "orders", "out", optional=("items", "payments"))
-    job(events, "orders", optional=("out", "servers")).add_argument("--topic", default="order-events")
-    job(ingest, "raw", "offsets", optional=("log", "servers")).add_argument("--topic", default="order-events")
+    def one_of(sub: argparse.ArgumentParser, *names: str) -> argparse.ArgumentParser:
+        group = sub.add_mutually_exclusive_group(required=True)
+        for name in names:
+            group.add_argument(f"--{name}")
+        return sub
+
+    one_of(job(events, "orders"), "out", "servers").add_argument("--topic", default="order-events")
+    one_of(job(ingest, "raw", "offsets"), "log", "servers").add_argument("--topic", default="order-events")
     job(prepare, "raw")
-    state = job(silver, "raw", optional=("table", "catalog-table", "since-date"))
+    state = one_of(job(silver, "raw", optional=("since-date",)), "table", "catalog-table")
+    for flag in ("fold", "skip-unchanged", "carry-tie"):
+        state.add_argument(f"--{flag}", action="store_true")
     state.add_argument("--since-hour", type=int, default=0)
     state.add_argument("--rules", choices=sorted(RULES), default="offset")
-    job(gold, "silver", optional=("table", "catalog-table")).add_argument("--prune-missing", action="store_true")
+    summary = one_of(job(gold, "silver"), "table", "catalog-table")
+    for flag in ("prune-missing", "changed-only"):
+        summary.add_argument(f"--{flag}", action="store_true")
     made = job(create_tables)
     made.add_argument("--catalog", default="local")
     made.add_argument("--provider", default="iceberg")
@@ -149,7 +176,10 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
-    args.run(build_session(f"statelake-{args.job}", args.master), args)
+    spark = build_session(f"statelake-{args.job}", args.master)
+    inputs = (vars(args).get(name) for name in ("orders", "items", "payments", "log", "raw", "silver", "table"))
+    fit_session(spark, *[path for path in inputs if path and "/" in path])
+    args.run(spark, args)
 
 
 if __name__ == "__main__":

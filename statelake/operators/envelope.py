@@ -71,7 +71,12 @@ def decode(
         wide = StructType(schema.fields + [StructField(corrupt_column, StringType())])
         payload = F.from_json(text, wide, {"columnNameOfCorruptRecord": corrupt_column})
     carried = [F.col(name).alias(alias) for name, alias in metadata.items()]
-    return log.select(payload.alias("event"), *carried).select("event.*", *metadata.values())
+    # A one-row generator: later filters on the fields stay above it, so a payload is parsed once.
+    return log.select(*carried, F.inline(F.array(payload))).select(*payload_names(schema, corrupt_column), *metadata.values())
+
+
+def payload_names(schema: StructType, corrupt_column: str | None) -> list[str]:
+    return [*schema.names, *([corrupt_column] if corrupt_column else [])]
 
 
 def reject_reason(

@@ -58,13 +58,13 @@ def _spread_nulls(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.withColumn(_SPREAD, F.when(_any_null(keys), F.spark_partition_id()).otherwise(F.lit(-1)))
 
 
-def _reject_copies(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _reject_copies(source: DataFrame, keys: Sequence[str], also: Sequence[str] = (_SPREAD,)) -> DataFrame:
     """Raise while running when a non-NULL key occurs twice.
 
     The window clusters and sorts on the join columns, so it rides on the exchange and sort that the
     join needs anyway.
     """
-    window = Window.partitionBy(*keys, _SPREAD).orderBy(*keys)
+    window = Window.partitionBy(*keys, *also).orderBy(*keys)
     numbered = source.withColumn(_COPY, F.row_number().over(window))
     broken = (F.col(_COPY) > 1) & ~_any_null(keys)
     message = F.lit(f"merge: more than one source row for a key {tuple(keys)}")
@@ -72,13 +72,17 @@ def _reject_copies(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     return numbered.withColumn(_HERE, here).drop(_COPY)
 
 
-def _matching(keys: Sequence[str]) -> Column:
+def _equal(keys: Sequence[str]) -> Column:
     condition = F.col(f"t.{keys[0]}") == F.col(f"s.{keys[0]}")
-    for key in [*keys[1:], _SPREAD]:
+    for key in keys[1:]:
         condition = condition & (F.col(f"t.{key}") == F.col(f"s.{key}"))
     return condition
 
 
+def _matching(keys: Sequence[str]) -> Column:
+    return _equal([*keys, _SPREAD])
+
+
 def _guard(guard: str | None) -> Column:
     return F.lit(True) if guard is None else F.coalesce(F.expr(guard), F.lit(False))
 
@@ -135,19 +139,25 @@ def changed_rows(
     update_columns: Sequence[str] | None = None,
     locate: str | None = None,
     unique_source: bool = False,
+    few: bool = False,
 ) -> DataFrame:
     """Only the rows a merge inserts or updates, in their final form.
 
     With ``locate`` the column ``__old_<locate>`` tells where an updated row lies now (NULL for an
-    insert), and ``__updated`` tells the two apart. The target is first cut down to the keys of the
-    source by a semi join: against a small source that is a broadcast filter over a narrow scan, and
-    the bulk of the target is never shuffled. Columns that the update replaces anyway are not read.
+    insert), and ``__updated`` tells the two apart. One join from the source to the target, of which
+    only the columns are read that the update does not replace. ``few`` says that the keys of the
+    source are known to be small: they are then broadcast to cut the target down where it lies. NULL
+    keys match nothing; they pass by the join, so they never gather in a task.
     """
     updated = set(update_columns) if update_columns is not None else set(source.columns)
-    candidates = target.join(source.select(*keys), list(keys), "left_semi")
-    t = candidates.withColumn(_HERE, F.lit(True)).withColumn(_SPREAD, F.lit(-1)).alias("t")
-    s = _tag_source(source, keys, unique_source).alias("s")
-    joined = s.join(t, _matching(keys), "left").filter(F.col(f"t.{_HERE}").isNull() | _guard(guard))
+    null = _any_null(keys)
+    named, nameless = source.filter(~null), source.filter(null)
+    stored = target.filter(~null)
+    if few:
+        stored = stored.join(F.broadcast(named.select(*keys).distinct()), list(keys), "left_semi")
+    t = stored.withColumn(_HERE, F.lit(True)).alias("t")
+    s = (named.withColumn(_HERE, F.lit(True)) if unique_source else _reject_copies(named, keys, [])).alias("s")
+    joined = s.join(t, _equal(keys), "left").filter(F.col(f"t.{_HERE}").isNull() | _guard(guard))
 
     inserted = F.col(f"t.{_HERE}").isNull()
     output = []
@@ -162,7 +172,13 @@ def changed_rows(
     if locate:
         output.append(F.col(f"t.{locate}").alias(f"{_OLD}{locate}"))
     output.append(F.col(f"t.{_HERE}").isNotNull().alias("__updated"))
-    return joined.select(*output)
+    passed = [
+        (F.col(c) if c in source.columns else F.lit(None).cast(target.schema[c].dataType)).alias(c) for c in target.columns
+    ]
+    if locate:
+        passed.append(F.lit(None).cast(target.schema[locate].dataType).alias(f"{_OLD}{locate}"))
+    passed.append(F.lit(False).alias("__updated"))
+    return joined.select(*output).unionByName(nameless.select(*passed))
 
 
 def replace_rows(target: DataFrame, changed: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -171,7 +187,7 @@ def replace_rows(target: DataFrame, changed: DataFrame, keys: Sequence[str]) ->
     Equal to ``merge_rows`` when ``changed`` comes from ``changed_rows``. A small ``changed`` is
     broadcast by Spark from its measured size and the target streams through without a shuffle.
     """
-    left = _spread_nulls(target, keys).alias("t")
-    right = changed.filter(~_any_null(keys)).select(*keys).withColumn(_SPREAD, F.lit(-1)).alias("s")
-    kept = left.join(right, _matching(keys), "left_anti").select(*[F.col(f"t.{c}") for c in target.columns])
-    return kept.unionByName(changed.select(*target.columns))
+    null = _any_null(keys)
+    left, right = target.filter(~null).alias("t"), changed.filter(~null).select(*keys).alias("s")
+    kept = left.join(right, _equal(keys), "left_anti").select(*[F.col(f"t.{c}") for c in target.columns])
+    return kept.unionByName(target.filter(null)).unionByName(changed.select(*target.columns))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 # A log has far fewer partitions than this; beyond it positions are joined by shuffle instead.
 MAX_BROADCAST_POSITIONS = 100_000
+# Up to so many are written into the filter itself, which a file scan then prunes by.
+MAX_LITERAL_POSITIONS = 256
 _SLOT = ["topic", "partition"]
 
 
@@ -36,13 +38,27 @@ def local_if_small(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
     return df.sparkSession.createDataFrame(rows, df.schema), True
 
 
+def _from_positions(rows: list[Row]) -> Column:
+    """A record is new when it is past its partition's position, or its partition has none."""
+    new = F.lit(False)
+    known = F.lit(False)
+    for row in rows:
+        here = (F.col("topic") == row["topic"]) & (F.col("partition") == row["partition"])
+        known = known | here
+        new = new | (here & (F.col("offset") >= row["next_offset"]))
+    return new | ~known
+
+
 def resume(log: DataFrame, positions: DataFrame) -> DataFrame:
     """The part of ``log`` at or after the stored positions; unknown partitions count from zero.
 
-    The positions are counted first. Up to ``MAX_BROADCAST_POSITIONS`` they travel by broadcast and
+    The positions are counted first. Few of them become a filter of plain comparisons, which reaches
+    the scan of a log in files. Up to ``MAX_BROADCAST_POSITIONS`` they travel by broadcast and
     the log is filtered where it lies; above that the join shuffles.
     """
     small, fits = local_if_small(positions.select(*_SLOT, "next_offset"), MAX_BROADCAST_POSITIONS)
+    if fits and (rows := small.limit(MAX_LITERAL_POSITIONS + 1).collect()) and len(rows) <= MAX_LITERAL_POSITIONS:
+        return log.filter(_from_positions(rows))
     side = F.broadcast(small) if fits else small
     joined = log.join(side, _SLOT, "left")
     return joined.filter(F.col("offset") >= F.coalesce("next_offset", F.lit(0))).select(*log.columns)

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, VariantType
 
 # Sample size wanted per order status, and the seed.
 ORDER_STATUS_CAPS = {
@@ -86,27 +87,32 @@ def stratified_sample(
     prefix = F.substring(_HASH, 1, width)
     chosen = hashed.join(F.broadcast(limits), stratum).filter(F.col(_EDGE).isNull() | (prefix <= F.col(_EDGE)))
     on_edge = F.coalesce(prefix == F.col(_EDGE), F.lit(False))
-    # Rows off the edge are in whatever their rank. They keep their salt in both groupings, so that even
-    # a third of the table sharing one key stays spread out; edge rows meet once, already cut to the need.
-    chosen = chosen.withColumn(_SALT, F.pmod(F.spark_partition_id(), F.lit(SALTS)))
-    order = [F.col(_HASH), *[F.col(k) for k in keys]]
-    for salt in (F.col(_SALT), F.when(on_edge, F.lit(-1)).otherwise(F.col(_SALT))):
-        rank = F.row_number().over(Window.partitionBy(stratum, on_edge, prefix, salt).orderBy(*order))
-        chosen = chosen.withColumn(_RANK, rank).filter(~on_edge | (F.col(_RANK) <= F.col(_NEED)))
-    return chosen.select(*df.columns)
+    # Rows off the edge are in whatever their rank and are not moved at all. Edge rows are first cut to
+    # the need within salted groups, so that a third of the table sharing one key stays spread out.
+    sure = chosen.filter(~on_edge)
+    edge = chosen.filter(on_edge).withColumn(_SALT, F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+    order = [F.col(_HASH), *[F.col(c).asc_nulls_first() for c in [*keys, *_sortable(df, keys)]]]
+    for group in ([stratum, prefix, _SALT], [stratum, prefix]):
+        rank = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+        edge = edge.withColumn(_RANK, rank).filter(F.col(_RANK) <= F.col(_NEED)).drop(_RANK)
+    return sure.select(*df.columns).unionByName(edge.select(*df.columns))
+
+
+def _sortable(df: DataFrame, keys: Sequence[str]) -> list[str]:
+    """The other columns, to decide between rows of one key; maps have no order and are left out."""
+    return [f.name for f in df.schema.fields if f.name not in keys and not isinstance(f.dataType, (MapType, VariantType))]
 
 
 def child_rows(children: DataFrame, sample: DataFrame, key: str, child_key: str | None = None, max_sample_rows: int | None = None) -> DataFrame:
     """Rows of ``children`` whose key is in ``sample``.
 
-    Pass ``max_sample_rows`` when the sample has a known bound (the sum of its caps): up to
-    ``MAX_BROADCAST_KEYS`` the key list is then broadcast and the children are filtered in place.
-    Without a bound it is a shuffled semi join, where adaptive execution splits a hot child key.
+    With ``max_sample_rows``, the bound a sample claims to have (the sum of its caps), the keys are
+    counted; up to ``MAX_BROADCAST_KEYS`` they are broadcast and the children are filtered in place.
+    Otherwise it is a shuffled semi join, where adaptive execution splits a hot child key.
     """
     name = child_key or key
-    keys = sample.select(F.col(key).alias(name))
-    if max_sample_rows is not None and max_sample_rows <= MAX_BROADCAST_KEYS:
+    keys = sample.select(F.col(key).alias(name)).distinct()
+    claimed = max_sample_rows is not None and max_sample_rows <= MAX_BROADCAST_KEYS
+    if claimed and keys.limit(MAX_BROADCAST_KEYS + 1).count() <= MAX_BROADCAST_KEYS:
         keys = F.broadcast(keys)
-    else:
-        keys = keys.distinct()
     return children.join(keys, name, "left_semi")

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from statelake.functions.clocks import clock
 from statelake.operators.summary import STATUS_COLUMNS, daily_summary
 from statelake.schemas import GOLD_SCHEMA
+from statelake.session import sized
 from statelake.sources.snapshots import MAX_PARTITIONS, SnapshotTable, upsert
 from statelake.sources.tables import merge_into, read_table
 
@@ -40,21 +41,28 @@ def refresh_gold(
 ) -> bool:
     """Recompute summary rows and merge them; returns whether the table changed.
 
-    ``days``, as returned by ``refresh_silver``, limits the scan to those partitions of the state.
-    A day whose orders have all moved on keeps its old row unless ``prune_missing``.
+    ``days``, as returned by ``refresh_silver``, limits the scan to those partitions of the state. Days
+    that earlier refreshes of the state noted and no summary has taken in yet always join them, so a
+    run that died between the two tables is made good by the next. The notes are dropped once the
+    summary is committed. A day whose orders have all moved on keeps its old row unless
+    ``prune_missing``.
     """
-    state = silver.read(spark, partitions=days)
-    summary = daily_order_summary(state, as_of, wanted).select(*GOLD_SCHEMA.names)
-    doomed = None
-    if prune_missing:
-        doomed = set(days) if days is not None else _stored_days(spark, gold)
-    columns = [c for c in GOLD_SCHEMA.names if c != "order_date"]
-    return bool(
-        upsert(
+    notes, noted = silver.noted_changes(spark)
+    if days is not None:
+        days = None if noted is None else set(days) | noted
+    with sized(spark, paths=(silver.root, gold.root)):
+        state = silver.read(spark, partitions=days)
+        summary = daily_order_summary(state, as_of, wanted).select(*GOLD_SCHEMA.names)
+        doomed = None
+        if prune_missing:
+            doomed = set(days) if days is not None else _stored_days(spark, gold)
+        columns = [c for c in GOLD_SCHEMA.names if c != "order_date"]
+        changed = upsert(
             gold, summary, ["order_date"], None, columns,
             delete_missing_in=doomed, delete_column="order_date", unique_source=True,
         )
-    )
+    silver.drop_notes(spark, notes)
+    return bool(changed)
 
 
 def _stored_days(spark: SparkSession, gold: SnapshotTable) -> set[object]:

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 from dataclasses import dataclass
+from types import MappingProxyType
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,7 +65,7 @@ def ingest_bronze(
     cached. A crash between the two steps repeats records but loses none; deduplication on the event
     id takes the repeats out.
     """
-    stamp = as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    stamp = as_of or dt.datetime.now(dt.timezone.utc)
     positions = offset_table(offsets_path)
     stored = positions.read(spark)
     fresh = log if resumed else resume(log, stored)
@@ -85,7 +87,8 @@ def ingest_kafka(
     bronze_path: str,
     offsets_path: str,
     as_of: dt.datetime | None = None,
+    options: Mapping[str, str] = MappingProxyType({}),
 ) -> IngestResult:
     """``ingest_bronze`` over a topic: the stored positions go to the connector, which reads no older record."""
     stored = offset_table(offsets_path).read(spark)
-    return ingest_bronze(spark, read_slice(spark, servers, topic, stored), bronze_path, offsets_path, as_of, resumed=True)
+    return ingest_bronze(spark, read_slice(spark, servers, topic, stored, options), bronze_path, offsets_path, as_of, resumed=True)

@@ -3,19 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statelake.functions.clocks import clock, parse_columns, seconds_between
-from statelake.operators.envelope import split_rejects
+from statelake.operators.envelope import reject_reason, split_rejects
 from statelake.operators.latest import dedup_newest, drop_copies, latest_by, rows_of_changed_keys
 from statelake.operators.merge import and_changed, not_older, not_older_then
-from statelake.operators.sampling import MAX_BROADCAST_KEYS
 from statelake.schemas import SILVER_SCHEMA, SILVER_TIE_SCHEMA, TIE_COLUMN
-from statelake.session import materialized
+from statelake.session import materialized, sized
 from statelake.sources.snapshots import SnapshotTable, upsert
 from statelake.sources.tables import merge_into
 
@@ -67,6 +67,18 @@ class SilverRules:
             guard = and_changed(identity, guard or "TRUE")
         return guard
 
+    def __post_init__(self) -> None:
+        if self.carry_tie and self.order[:2] != ("event_time", "offset"):
+            raise ValueError("the carried tie is the offset, so events have to be ordered by event time and offset")
+
+    @property
+    def rejects(self) -> Column:
+        """Why a record cannot be used: its times have to be readable where the rules look at them."""
+        times = ["event_time"]
+        if self.lag == "ingestion" or "ingestion_time" in self.order:
+            times.append("ingestion_time")
+        return reject_reason(times=times)
+
     @property
     def schema(self):
         return SILVER_TIE_SCHEMA if self.carry_tie else SILVER_SCHEMA
@@ -84,8 +96,12 @@ INGESTION_RULES = SilverRules(
 
 
 def prepare_silver(bronze: DataFrame, copy_order: Sequence[str] = ("ingestion_time", "offset")) -> DataFrame:
-    """All events, typed, one row per event id, with their date and ingestion lag."""
-    typed = parse_columns(bronze, ["event_time", "ingestion_time"])
+    """All events, typed, one row per event id, with their date and ingestion lag.
+
+    Records without an event id are no events; ``rejected_records`` lists them.
+    """
+    named = bronze.filter(F.col("event_id").isNotNull())
+    typed = parse_columns(named, ["event_time", "ingestion_time"])
     deduped = dedup_newest(typed, ["event_id"], copy_order)
     return deduped.withColumn("event_date", F.to_date("event_time")).withColumn(
         "ingestion_lag_sec", seconds_between("ingestion_time", "event_time")
@@ -134,8 +150,9 @@ def current_state(
     """Current state of each order in ``bronze``.
 
     Times are parsed before they are compared, so mixed zones and fraction lengths order correctly.
+    Records without an event or order id belong to no order and are left out.
     """
-    typed = parse_columns(bronze, TIME_COLUMNS)
+    typed = parse_columns(bronze.filter("event_id IS NOT NULL AND order_id IS NOT NULL"), TIME_COLUMNS)
     return to_state_rows(latest_events(typed, rules), rules, as_of)
 
 
@@ -153,32 +170,58 @@ def refresh_silver(
 ) -> list[object]:
     """Merge the state of ``bronze`` into ``table``; returns the days whose rows changed.
 
-    Records without ids or with unreadable times are left out. When ``bronze`` is only an increment,
-    either pass the whole raw layer as ``history`` to rank the changed orders over all their events,
-    or use rules with ``carry_tie``.
+    Records without ids or with unreadable times the rules need are left out. When ``bronze`` is only
+    an increment, either pass the whole raw layer, increment included, as ``history`` to rank the
+    changed orders over all their events, or use rules with ``carry_tie``. The changed days are noted
+    beside the table before it is committed, until a summary has taken them in.
     """
-    usable, _ = split_rejects(bronze)
     columns = [c for c in rules.schema.names if c != "order_id"]
+    with sized(spark, bronze, *([] if history is None else [history]), paths=(table.root,)):
+        with _state_of(bronze, rules, as_of, history) as source:
+            return upsert(table, source, ["order_id"], rules.guard, columns, unique_source=True, note_changes=True)
+
+
+def usable_records(bronze: DataFrame, rules: SilverRules) -> DataFrame:
+    return split_rejects(bronze, rules.rejects)[0]
+
+
+@contextmanager
+def _state_of(
+    bronze: DataFrame, rules: SilverRules, as_of: dt.datetime | str | Column | None, history: DataFrame | None
+) -> Iterator[DataFrame]:
+    """State rows of an increment: of its own events, or of all events in ``history`` it may concern."""
+    usable = usable_records(bronze, rules)
     if history is None:
-        source = current_state(usable, rules, as_of)
-        return upsert(table, source, ["order_id"], rules.guard, columns, unique_source=True)
-    with materialized(usable.select("order_id").distinct(), "orders") as changed:
-        source = to_state_rows(latest_of_changed(history, changed, rules), rules, as_of)
-        return upsert(table, source, ["order_id"], rules.guard, columns, unique_source=True)
+        yield to_state_rows(latest_events(parse_columns(usable, TIME_COLUMNS), rules), rules, as_of)
+        return
+    typed = parse_columns(usable_records(history, rules), TIME_COLUMNS)
+    with materialized(changed_orders(typed, usable), "orders") as orders:
+        yield to_state_rows(latest_of_changed(typed, orders, rules), rules, as_of)
 
 
-def latest_of_changed(history: DataFrame, changed: DataFrame, rules: SilverRules = OFFSET_RULES) -> DataFrame:
-    """The newest events of the ``changed`` orders, one row each, over the whole raw layer.
+def changed_orders(history: DataFrame, increment: DataFrame) -> DataFrame:
+    """The orders an increment may change: its own, and those that any copy of its events names.
 
-    Up to ``MAX_BROADCAST_KEYS`` orders, counted first, their ids are broadcast and the history is
-    filtered where it lies. Above that the history is ranked before it is filtered, so that what the
-    join moves is one row per order: a single order may own a third of the history.
+    A later copy of an event can name another order; the order it named before then loses it.
     """
-    whole, _ = split_rejects(history)
-    typed = parse_columns(whole, TIME_COLUMNS)
-    if changed.count() <= MAX_BROADCAST_KEYS:
-        return latest_events(typed.join(F.broadcast(changed), ["order_id"], "left_semi"), rules)
-    return rows_of_changed_keys(latest_events(typed, rules), changed, ["order_id"])
+    ids = increment.select("event_id").distinct()
+    named = history.join(ids, "event_id", "left_semi").select("order_id")
+    return named.unionByName(increment.select("order_id")).distinct()
+
+
+def latest_of_changed(history: DataFrame, orders: DataFrame, rules: SilverRules) -> DataFrame:
+    """The newest events of ``orders``, one row each, as a ranking of the whole raw layer gives them.
+
+    All copies of every event that any copy places in one of the orders are deduplicated before the
+    orders are picked. Whether the ids travel by broadcast or by shuffle is up to Spark and their
+    measured size; the steps and their result are the same.
+    """
+    if rules.copies == "fold":
+        return latest_events(rows_of_changed_keys(history, orders, ["order_id"]), rules)
+    events = rows_of_changed_keys(history, orders, ["order_id"]).select("event_id")
+    copies = rows_of_changed_keys(history, events, ["event_id"])
+    single = dedup_newest(copies, ["event_id"], rules.copy_order) if rules.copies == "newest" else drop_copies(copies, ["event_id"])
+    return latest_by(rows_of_changed_keys(single, orders, ["order_id"]), ["order_id"], rules.order)
 
 
 def merge_silver_table(
@@ -186,12 +229,14 @@ def merge_silver_table(
     table: str,
     rules: SilverRules = OFFSET_RULES,
     as_of: dt.datetime | str | Column | None = None,
+    history: DataFrame | None = None,
 ) -> None:
     """The same into a catalog table whose provider carries out ``MERGE``."""
-    usable, _ = split_rejects(bronze)
-    merge_into(table, current_state(usable, rules, as_of), ["order_id"], guard=rules.guard)
+    with sized(bronze.sparkSession, bronze, *([] if history is None else [history])):
+        with _state_of(bronze, rules, as_of, history) as source:
+            merge_into(table, source, ["order_id"], guard=rules.guard)
 
 
-def rejected_records(bronze: DataFrame) -> DataFrame:
+def rejected_records(bronze: DataFrame, rules: SilverRules = OFFSET_RULES) -> DataFrame:
     """Raw rows that ``refresh_silver`` leaves out, each with its reason."""
-    return split_rejects(bronze)[1]
+    return split_rejects(bronze, rules.rejects)[1]

@@ -1,29 +1,12 @@
-"""Keep tables in good shape."""
+"""Keep tables of a provider in good shape."""
 
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from statelake.session import TARGET_PARTITION_BYTES
-from statelake.sources.snapshots import SnapshotTable
 from statelake.sources.tables import maintenance_sql, provider_supports_calls
 
 
-def compact(spark: SparkSession, table: SnapshotTable, target_bytes: int = TARGET_PARTITION_BYTES) -> list[str]:
-    """Rewrite the partitions that have more files than their bytes call for; returns those partitions.
-
-    Readers keep the version they opened. Partitions already in shape are not read.
-    """
-    worn = [
-        part
-        for part, sizes in table.files_per_partition(spark).items()
-        if len(sizes) > max(1, -(-sum(sizes) // target_bytes))
-    ]
-    if worn:
-        table.replace_partitions(table.read(spark, partitions=worn), worn)
-    return worn
-
-
 def maintain_provider_table(spark: SparkSession, catalog: str, table: str, older_than: str) -> None:
     """Compaction, snapshot expiry and orphan removal by the provider's own procedures."""
     if not provider_supports_calls(spark, catalog):

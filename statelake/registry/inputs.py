@@ -15,10 +15,8 @@ from statelake.functions.clocks import iso_naive, iso_zoned
 from statelake.operators.envelope import encode
 from statelake.plans.ingest import to_bronze
 from statelake.session import fit_session
-from statelake.sources.paths import size_in_bytes
 
 TOPIC = "order-events"
-SPREAD_BELOW = 64 * 1024 * 1024
 PROCESSED_AT = "2024-02-01 00:00:00"
 # event type of the table -> (event type, order status) of an order's life
 KINDS = {
@@ -36,18 +34,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def spread_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """As ``table``; a small file is spread over the cores first.
-
-    Such a file has a single row group, hence a single task, and the log built from it is many times
-    its size. Above ``SPREAD_BELOW`` bytes the scan has splits of its own and is left alone.
-    """
-    df = table(spark, folder, name)
-    if size_in_bytes(spark, f"{folder}/{name}.parquet") >= SPREAD_BELOW:
-        return df
-    return df.repartition(spark.sparkContext.defaultParallelism)
-
-
 def plain(df: DataFrame) -> DataFrame:
     """Instants as zone-less timestamps, the form the SQL side returns."""
     zoned = [f.name for f in df.schema.fields if isinstance(f.dataType, TimestampType)]
@@ -64,7 +50,7 @@ def _renamed(position: int) -> Column:
 def single_events(spark: SparkSession, folder: str) -> DataFrame:
     """One typed row per event, with its place in the log."""
     ts = F.col("ts").cast("timestamp")
-    return spread_table(spark, folder, "events").select(
+    return table(spark, folder, "events").select(
         F.col("event_id").cast("string").alias("event_id"),
         F.concat_ws("-", F.col("user_id").cast("string"), F.date_format("ts", "yyyyMMdd")).alias("order_id"),
         F.col("user_id").cast("string").alias("customer_id"),
@@ -93,6 +79,12 @@ def deliveries(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def moved_deliveries(spark: SparkSession, folder: str) -> DataFrame:
+    """``deliveries`` in which later copies of every seventh event name another order."""
+    moved = (F.col("number") % 7 == 0) & (F.col("offset") % 3 > 0)
+    return deliveries(spark, folder).withColumn("order_id", F.when(moved, F.concat("order_id", F.lit("-m"))).otherwise(F.col("order_id")))
+
+
 def as_text(events: DataFrame) -> DataFrame:
     """The payload form: all times as ISO text."""
     return events.withColumns(
@@ -124,7 +116,7 @@ def wide_orders(spark: SparkSession, folder: str) -> DataFrame:
     )
     status = F.col("o_orderstatus")
     return (
-        spread_table(spark, folder, "orders")
+        table(spark, folder, "orders")
         .join(lines, "o_orderkey", "left")
         .select(
             F.col("o_orderkey").cast("string").alias("order_id"),

@@ -179,6 +179,12 @@ SELECT event_id, order_id, event_type, event_time, ingestion_time, {_INGESTION_L
     "latest_state_variant_b": f"{_LOG} SELECT {_STATE_COLUMNS} FROM ({_latest('deduped', _BY_INGESTION)})",
     "latest_of_changed_orders": f"""{_LOG} SELECT {_STATE_COLUMNS} FROM ({_latest('deduped')})
 WHERE order_id IN (SELECT order_id FROM log WHERE event_type = 'CANCELLED')""",
+    "silver_increment_with_history": f"""{_LOG},
+moved AS (
+  SELECT * REPLACE (CASE WHEN CAST(event_id AS BIGINT) % 7 = 0 AND "offset" % 3 > 0 THEN order_id || '-m' ELSE order_id END AS order_id) FROM log),
+single_copy AS (SELECT * FROM moved QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ingestion_time DESC, "offset" DESC) = 1),
+touched AS (SELECT DISTINCT order_id FROM moved WHERE event_id IN (SELECT event_id FROM moved WHERE ingestion_time >= TIMESTAMP '2024-01-16'))
+SELECT {_STATE_COLUMNS} FROM ({_latest('single_copy')}) WHERE order_id IN (SELECT order_id FROM touched)""",
     "silver_projection": f"{_LOG} {_STATE}",
     "silver_projection_variant_b": f"""{_LOG}
 {_silver(_latest('deduped', _BY_INGESTION), '2024-02-01', 'order_status', _INGESTION_LAG)}""",
@@ -186,9 +192,9 @@ WHERE order_id IN (SELECT order_id FROM log WHERE event_type = 'CANCELLED')""",
     "merge_unconditional": _merged("TRUE"),
     "merge_skip_unchanged": _merged("s.event_time >= t.event_time AND s.event_id IS DISTINCT FROM t.event_id"),
     "gold_merge": f"""{_SIDES},
-old AS (SELECT *, TIMESTAMP '2024-02-01' AS updated_at FROM ({_daily("SELECT * FROM tgt")})),
+old AS (SELECT *, TIMESTAMP '2024-02-01' AS updated_at FROM ({_daily("SELECT * FROM tgt")}) WHERE order_date <= DATE '2024-01-20'),
 new AS (SELECT *, TIMESTAMP '2024-02-02' AS updated_at
-        FROM ({_daily("SELECT * FROM src WHERE current_status <> 'CANCELLED'")}))
+        FROM ({_daily("SELECT * FROM src")}) WHERE order_date >= DATE '2024-01-11')
 SELECT coalesce(n.order_date, o.order_date) AS order_date,
   {", ".join(f"CASE WHEN n.order_date IS NULL THEN o.{c} ELSE n.{c} END AS {c}" for c in _GOLD_COLUMNS)}
 FROM old o FULL OUTER JOIN new n ON o.order_date = n.order_date""",
@@ -268,6 +274,21 @@ state AS (
   FROM tgt t FULL OUTER JOIN src s ON t.order_id = s.order_id
 )
 {_daily("SELECT * FROM state")}""",
+    "ingest_nothing_new": f"""{_LOG}
+SELECT topic, "partition", max("offset") + 1 AS next_offset, count(*) AS records, FALSE AS written_twice FROM log GROUP BY ALL""",
+    "catalog_tables": f"""{_LOG}
+SELECT order_date, total_orders, delivered_orders, 1 AS tables, TRUE AS all_columns FROM ({_daily(_STATE)})""",
+    "sample_with_children": f"""WITH s AS (SELECT o_orderkey FROM ({_sample({"F": 500, "O": 70})})),
+o AS (SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey IN (SELECT o_orderkey FROM s))
+SELECT 'orders' AS part, count(*) AS rows, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM o
+UNION ALL SELECT 'lines', count(*), CAST(sum(l_orderkey) AS BIGINT) FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM s)
+UNION ALL SELECT 'customers', count(*), CAST(sum(c_custkey) AS BIGINT) FROM customer WHERE c_custkey IN (SELECT o_custkey FROM o)""",
+    "profile_orders": f"""WITH {_WIDE}
+SELECT 'category ' || order_status AS part, 'row_count' AS measure, count(*) AS value FROM wide WHERE order_status IS NOT NULL GROUP BY order_status
+{" ".join(f"UNION ALL SELECT 'nulls', '{t}', count(*) FILTER (WHERE {t} IS NULL) FROM wide" for _, _, t in _STAGES)}
+UNION ALL SELECT 'rows', 'row_count', count(*) FROM wide
+UNION ALL SELECT 'keys', 'distinct_count', count(DISTINCT order_id) FROM wide""",
+    "parse_with_pattern": "SELECT event_id, CASE WHEN event_id % 5 <> 0 THEN date_trunc('second', ts) END AS event_time FROM events",
     "csv_roundtrip": f"WITH {_WIDE} SELECT * EXCLUDE (order_cancelled_at) FROM wide",
     "stream_to_bronze": f"""{_LOG}
 SELECT event_id, order_id, event_type, "partition", "offset", ingestion_time AS ingestion_timestamp FROM log""",
@@ -275,3 +296,6 @@ SELECT event_id, order_id, event_type, "partition", "offset", ingestion_time AS
 SELECT order_id, event_type, event_time, event_type AS current_status, CAST(event_time AS DATE) AS event_date
 FROM ({_latest('deduped')})""",
 }
+
+# An interrupted run leaves no trace once the next one has ended.
+ORACLE["gold_after_interrupted_run"] = ORACLE["gold_table_refresh"]

@@ -4,6 +4,8 @@ those tables whole."""
 from __future__ import annotations
 
 import datetime as dt
+import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +15,7 @@ from statelake.functions.clocks import iso_naive, iso_zoned, parse_timestamp, se
 from statelake.functions.identity import stable_id
 from statelake.operators import profile as prof
 from statelake.operators.envelope import decode, encode, reject_reason, stamp_event
-from statelake.operators.latest import dedup_newest, drop_copies, latest_by, rows_of_changed_keys
+from statelake.operators.latest import dedup_newest, drop_copies, latest_by
 from statelake.operators.lifecycle import ORDER_STAGES, cancelled_stage, lifecycle_events, unpivot_stages
 from statelake.operators.merge import and_changed, merge_rows, not_older
 from statelake.operators.offsets import advance_offsets, next_offsets, resume
@@ -21,22 +23,26 @@ from statelake.operators.sampling import child_rows, stratified_sample
 from statelake.operators.summary import cancellation_rate, daily_revenue, daily_summary, delivery_time
 from statelake.plans.gold import daily_order_summary, gold_table, refresh_gold
 from statelake.plans.ingest import ingest_bronze, offset_table, to_bronze
+from statelake.plans.profile import profile_table
+from statelake.plans.sample import write_sample
 from statelake.plans.silver import (
     INGESTION_RULES,
     OFFSET_RULES,
     SilverRules,
+    changed_orders,
     current_state,
     latest_events,
+    latest_of_changed,
     prepare_silver,
     refresh_silver,
     silver_table,
     to_state_rows,
 )
-from statelake.plans.upkeep import compact
 from statelake.registry import inputs
 from statelake.registry.inputs import PROCESSED_AT, as_text, deliveries, plain, single_events, table, wide_orders
-from statelake.schemas import EVENT_FIELDS, LOG_SCHEMA
-from statelake.session import scratch_path
+from statelake.schemas import EVENT_FIELDS, GOLD_SCHEMA, LOG_SCHEMA
+from statelake.session import begin_query, scratch_path
+from statelake.sources import tables
 from statelake.sources.files import read_bronze, read_csv, write_csv
 from statelake.streaming.bronze import stream_bronze
 from statelake.streaming.silver import STREAM_RULES, stream_silver
@@ -52,8 +58,13 @@ _registered: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
-    _registered[fn.__name__] = fn
-    return fn
+    @functools.wraps(fn)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        begin_query(spark)  # no shuffle width of the query before
+        return fn(spark, folder)
+
+    _registered[fn.__name__] = run
+    return run
 
 
 def all_queries() -> dict[str, Query]:
@@ -176,8 +187,17 @@ def latest_state_variant_b(spark, folder):
 @query
 def latest_of_changed_orders(spark, folder):
     history = deliveries(spark, folder)
-    changed = history.filter(F.col("event_type") == "CANCELLED")
-    return _state_columns(latest_events(rows_of_changed_keys(history, changed, ["order_id"]), OFFSET_RULES))
+    orders = history.filter(F.col("event_type") == "CANCELLED").select("order_id").distinct()
+    return _state_columns(latest_of_changed(history, orders, OFFSET_RULES))
+
+
+@query
+def silver_increment_with_history(spark, folder):
+    """The orders that the second half of the log may change, ranked over all their events. Later
+    copies of some events name another order than the first."""
+    history = inputs.moved_deliveries(spark, folder)
+    increment = history.filter("ingestion_time >= timestamp'2024-01-16'")
+    return _state_columns(latest_of_changed(history, changed_orders(history, increment), OFFSET_RULES))
 
 
 @query
@@ -224,9 +244,10 @@ def merge_skip_unchanged(spark, folder):
 
 @query
 def gold_merge(spark, folder):
+    """Days up to the 20th stored, days from the 11th coming in: some kept, some updated, some new."""
     target, source = _merge_sides(spark, folder)
-    old = daily_order_summary(target, FIRST_RUN)
-    new = daily_order_summary(source.filter("current_status <> 'CANCELLED'"), SECOND_RUN)
+    old = daily_order_summary(target, FIRST_RUN).filter("order_date <= date'2024-01-20'")
+    new = daily_order_summary(source, SECOND_RUN).filter("order_date >= date'2024-01-11'")
     return plain(merge_rows(old, new, ["order_date"], unique_source=True))
 
 
@@ -427,14 +448,13 @@ def stored_offsets(spark, folder):
 
 @query
 def silver_table_two_refreshes(spark, folder):
-    """State table after a run over the early events and one over the late ones, then compacted."""
+    """State table after a run over the early events and one over the late ones."""
     silver = silver_table(scratch_path(spark, "silver"))
     raw = inputs.bronze(spark, folder)
     early = raw.filter(F.col("event_type").isin("ORDER_CREATED", "PAYMENT_APPROVED", "SHIPPED"))
     late = raw.filter(F.col("event_type").isin("SHIPPED", "DELIVERED", "CANCELLED"))
     refresh_silver(spark, early, silver, FOLD_RULES, FIRST_RUN)
     refresh_silver(spark, late, silver, FOLD_RULES, SECOND_RUN)
-    compact(spark, silver)
     return plain(silver.read(spark))
 
 
@@ -450,6 +470,106 @@ def gold_table_refresh(spark, folder):
     return gold.read(spark).drop("updated_at")
 
 
+@query
+def gold_after_interrupted_run(spark, folder):
+    """As ``gold_table_refresh``, but the second run dies between the two tables and is repeated."""
+    rules = SilverRules(copies="fold", skip_unchanged=True)
+    silver, gold = silver_table(scratch_path(spark, "silver"), rules), gold_table(scratch_path(spark, "gold"))
+    raw = inputs.bronze(spark, folder)
+    refresh_silver(spark, raw.filter("event_type <> 'CANCELLED'"), silver, rules, FIRST_RUN)
+    refresh_gold(spark, silver, gold, as_of=FIRST_RUN)
+    late = raw.filter("event_type = 'CANCELLED'")
+    refresh_silver(spark, late, silver, rules, SECOND_RUN)  # its changed days are lost with the run
+    days = refresh_silver(spark, late, silver, rules, SECOND_RUN)
+    refresh_gold(spark, silver, gold, days, SECOND_RUN, prune_missing=True)
+    return gold.read(spark).drop("updated_at")
+
+
+@query
+def ingest_nothing_new(spark, folder):
+    """A second run over a log that has not grown writes no record and keeps the positions."""
+    bronze_path, offsets_path = scratch_path(spark, "bronze"), scratch_path(spark, "offsets")
+    whole = inputs.log(spark, folder)
+    runs = [ingest_bronze(spark, whole, bronze_path, offsets_path, at) for at in (FIRST_RUN_AT, SECOND_RUN_AT)]
+    landed = read_bronze(spark, bronze_path).groupBy("topic", "partition").agg(F.count("*").alias("records"))
+    return offset_table(offsets_path).read(spark).join(landed, ["topic", "partition"]).withColumn(
+        "written_twice", F.lit(all(run.written for run in runs))
+    )
+
+
+@query
+def catalog_tables(spark, folder):
+    """Namespace, tables and properties by DDL, filled from the summary and read back by name."""
+    namespace = f"spark_catalog.q{uuid.uuid4().hex}"
+    tables.create_namespace(spark, namespace)
+    name = f"{namespace}.daily_order_summary"
+    tables.create_table(
+        spark, name, GOLD_SCHEMA, partition_by=["order_date"], provider="parquet", properties={"layer": "gold"}
+    )
+    state = to_state_rows(latest_events(deliveries(spark, folder), FOLD_RULES), FOLD_RULES, PROCESSED_AT)
+    summary = daily_order_summary(state, PROCESSED_AT).select(*spark.table(name).columns)
+    summary.write.insertInto(name)
+    listed = tables.list_tables(spark, namespace).count()
+    columns = tables.table_columns(spark, name).count()
+    return tables.read_table(spark, name).select(
+        "order_date", "total_orders", "delivered_orders", F.lit(listed).alias("tables"),
+        (F.lit(columns) >= len(GOLD_SCHEMA)).alias("all_columns"),
+    )
+
+
+@query
+def parse_with_pattern(spark, folder):
+    """Times in a form of their own, read by pattern."""
+    events = table(spark, folder, "events").select(
+        "event_id", F.date_format(F.col("ts").cast("timestamp"), "dd/MM/yyyy HH:mm:ss").alias("text")
+    )
+    texts = events.withColumn("text", F.when(F.col("event_id") % 5 == 0, F.lit("31/31/2024")).otherwise(F.col("text")))
+    return plain(texts.select("event_id", parse_timestamp("text", "dd/MM/yyyy HH:mm:ss").alias("event_time")))
+
+
+@query
+def sample_with_children(spark, folder):
+    """A sample of orders with its rows of two other tables, through CSV files."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    sample = stratified_sample(orders, "o_orderstatus", CHILD_CAPS, "o_orderkey")
+    bound = sum(CHILD_CAPS.values())
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber")
+    customers = table(spark, folder, "customer").select("c_custkey", "c_mktsegment")
+    path = scratch_path(spark, "sample")
+    write_sample(
+        {
+            "orders": sample,
+            "lines": child_rows(lines, sample, "o_orderkey", "l_orderkey", bound),
+            "customers": child_rows(customers, sample, "o_custkey", "c_custkey", bound),
+        },
+        path,
+    )
+    parts = [
+        read_csv(spark, f"{path}/{name}_sample", df.schema).groupBy(F.lit(name).alias("part")).agg(
+            F.count("*").alias("rows"), F.sum(key).alias("keys")
+        )
+        for name, df, key in (("orders", orders, "o_orderkey"), ("lines", lines, "l_orderkey"), ("customers", customers, "c_custkey"))
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query
+def profile_orders(spark, folder):
+    """All parts of a table profile, as name and number."""
+    times = ["order_purchase_timestamp", "order_approved_at", "order_delivered_carrier_date", "order_delivered_customer_date"]
+    found = []
+    for title, df in profile_table(wide_orders(spark, folder), "order_id", "order_status", times).items():
+        names = [c for c, k in df.dtypes if k == "string"]
+        label = F.concat_ws(" ", F.lit(title), *names)
+        numbers = [c for c in df.columns if c not in names]
+        pairs = F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).cast("long").alias("value")) for c in numbers])
+        found.append(df.select(label.alias("part"), F.inline(pairs)))
+    whole = found[0]
+    for part in found[1:]:
+        whole = whole.unionByName(part)
+    return whole
+
+
 @query
 def csv_roundtrip(spark, folder):
     path = scratch_path(spark, "csv")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import math
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -14,10 +16,16 @@ from statelake.sources.paths import delete, size_in_bytes
 
 # One reduce task should hold about this much; it is also the target file size of the state tables.
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 100_000
+# Beyond this a driver spends longer on scheduling than it saves; 100 TB of Parquet then is 300 MB a task.
+MAX_SHUFFLE_PARTITIONS = 1_000_000
+# Leaves of a plan whose size nobody knows report more than this.
+UNKNOWN_BYTES = 1 << 60
+_WIDTH = "spark.sql.shuffle.partitions"
 MAX_SCAN_TASKS = 200_000
 
 _own_scratch: dict[str, str] = {}
+# application id -> (width before the library raised it, width it was raised to)
+_raised: dict[str, tuple[str, str]] = {}
 
 
 def shuffle_partitions_for(input_bytes: int, floor: int = 8) -> int:
@@ -69,6 +77,7 @@ def catalog_conf(
 
     The provider's runtime jar has to be on the classpath of the session they are given to.
     """
+    # Public setting names of the connector.
     return {
         "spark.sql.extensions": extensions,
         f"spark.sql.catalog.{name}": implementation,
@@ -95,14 +104,49 @@ def fit_session(spark: SparkSession, *paths: str) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     total = sum(size_in_bytes(spark, p) for p in paths)
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = shuffle_partitions_for(total, floor=width)
-    if wanted > width:
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    width = spark.conf.get(_WIDTH)
+    wanted = shuffle_partitions_for(total, floor=int(width))
+    if wanted > int(width):
+        app = spark.sparkContext.applicationId
+        _raised[app] = (_raised.get(app, (width, width))[0], str(wanted))
+        spark.conf.set(_WIDTH, str(wanted))
     if total / MAX_SCAN_TASKS > TARGET_PARTITION_BYTES:
         spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes_for(total)))
 
 
+def begin_query(spark: SparkSession) -> None:
+    """Undo what ``fit_session`` raised for the query before; a width set by anyone else stays."""
+    now = spark.conf.get(_WIDTH)
+    before, raised = _raised.pop(spark.sparkContext.applicationId, (now, now))
+    if now == raised and before != now:
+        spark.conf.set(_WIDTH, before)
+
+
+def input_bytes(*frames: DataFrame) -> int:
+    """Bytes that the plans of ``frames`` read, as far as their sources know."""
+    total = 0
+    for df in frames:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        for i in range(leaves.size()):
+            size = int(str(leaves.apply(i).stats().sizeInBytes()))
+            total += size if size < UNKNOWN_BYTES else 0
+    return total
+
+
+@contextmanager
+def sized(spark: SparkSession, *frames: DataFrame, paths: tuple[str, ...] = ()) -> Iterator[None]:
+    """Run the jobs inside with shuffles as wide as what ``frames`` and ``paths`` hold; then as before."""
+    width = spark.conf.get(_WIDTH)
+    total = input_bytes(*frames) + sum(size_in_bytes(spark, p) for p in paths)
+    wanted = shuffle_partitions_for(total, floor=int(width))
+    if wanted > int(width):
+        spark.conf.set(_WIDTH, str(wanted))
+    try:
+        yield
+    finally:
+        spark.conf.set(_WIDTH, width)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach: ``spark.checkpoint.dir`` of the session.
 
@@ -117,6 +161,7 @@ def shared_folder(spark: SparkSession) -> str:
     app = context.applicationId
     if app not in _own_scratch:
         _own_scratch[app] = tempfile.mkdtemp(prefix="statelake-")
+        atexit.register(shutil.rmtree, _own_scratch[app], ignore_errors=True)
     return _own_scratch[app]
 
 

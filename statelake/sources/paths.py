@@ -35,18 +35,6 @@ def size_in_bytes(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(at).getLength() if fs.exists(at) else 0
 
 
-def file_sizes(spark: SparkSession, path: str) -> list[int]:
-    """Sizes of the data files directly below ``path`` (names starting with ``_`` or ``.`` are not data)."""
-    fs, at = _open(spark, path)
-    if not fs.exists(at):
-        return []
-    return [
-        status.getLen()
-        for status in fs.listStatus(at)
-        if status.isFile() and not status.getPath().getName().startswith(("_", "."))
-    ]
-
-
 def read_text(spark: SparkSession, path: str) -> str:
     fs, at = _open(spark, path)
     stream = fs.open(at)

@@ -2,8 +2,12 @@
 
 A commit writes only the partitions it changes, below ``data/commit=<token>/``, and then a manifest
 listing, for every partition of the table, the commit that holds it. Files are never changed, so a
-running reader keeps a whole, consistent version, and a commit that dies before its manifest leaves
-only unreferenced files. One writer at a time is assumed; a second one fails when it publishes.
+running reader keeps what it opened, and a commit that dies before its manifest leaves only
+unreferenced files. One writer at a time is assumed. A second one fails when it publishes where the
+file system renames exclusively; an object store does not, and needs a lock from outside.
+
+This is a directory, a pointer and the rewriting of touched days, and no more: histories, expiry and
+compaction are left to table providers.
 
 The manifest has one row per partition value (days, for the tables here) and is the only thing that
 passes through the driver; ``MAX_PARTITIONS`` bounds it.
@@ -22,10 +26,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegralType, StructType
 
 from statelake.operators.merge import changed_rows, replace_rows
-from statelake.session import materialized
-from statelake.sources.paths import child_names, delete, file_sizes, publish_text, read_text
+from statelake.session import input_bytes, materialized
+from statelake.sources.paths import child_names, delete, publish_text, read_text
 
 MAX_PARTITIONS = 100_000
+# Keys of a source written in no more bytes than this filter the table by broadcast.
+FEW_BYTES = 64 * 1024 * 1024
 PARTITION_TYPES = (DateType, IntegralType)
 _NULL_VALUE = "__HIVE_DEFAULT_PARTITION__"
 _WHOLE = ""
@@ -49,26 +55,21 @@ class SnapshotTable:
 
     # -- reading -------------------------------------------------------------------------------
 
-    def versions(self, spark: SparkSession) -> list[int]:
-        """Committed versions, oldest first."""
+    def _commits(self, spark: SparkSession) -> list[int]:
         names = [n.removesuffix(".json") for n in child_names(spark, f"{self.root}/manifest") if n.endswith(".json")]
         return [int(n) for n in names if n.isdigit()]
 
-    def manifest(self, spark: SparkSession, version: int | None = None) -> dict[str, str]:
+    def exists(self, spark: SparkSession) -> bool:
+        return bool(self._commits(spark))
+
+    def manifest(self, spark: SparkSession) -> dict[str, str]:
         """Partition value to commit token; empty before the first commit."""
-        known = self.versions(spark)
-        if not known:
-            return {}
-        return json.loads(read_text(spark, self._manifest_path(known[-1] if version is None else version)))
-
-    def read(
-        self, spark: SparkSession, version: int | None = None, partitions: Collection[object] | None = None
-    ) -> DataFrame:
-        """The table at its newest or a given version.
-
-        With ``partitions`` only those are listed and scanned.
-        """
-        entries = self.manifest(spark, version)
+        known = self._commits(spark)
+        return json.loads(read_text(spark, self._manifest_path(known[-1]))) if known else {}
+
+    def read(self, spark: SparkSession, partitions: Collection[object] | None = None) -> DataFrame:
+        """The table as last committed. With ``partitions`` only those are listed and scanned."""
+        entries = self.manifest(spark)
         if partitions is not None:
             wanted = {self._text(value) for value in partitions}
             entries = {part: token for part, token in entries.items() if part in wanted}
@@ -78,6 +79,25 @@ class SnapshotTable:
         reader = spark.read.schema(self.schema).option("basePath", f"{self.root}/data")
         return reader.parquet(*paths).select(*self.schema.names)
 
+    # -- notes of changed partitions, kept until a table built on this one has taken them in -------
+
+    def note_changes(self, spark: SparkSession, values: Collection[object] | None) -> None:
+        """Note partitions that are about to change; None stands for all of them."""
+        parts = None if values is None else sorted(self._text(v) for v in values)
+        publish_text(spark, f"{self.root}/noted/{uuid.uuid4().hex}.json", json.dumps(parts))
+
+    def noted_changes(self, spark: SparkSession) -> tuple[list[str], set[object] | None]:
+        """The names of all notes, and the partitions they name together; None when it is all of them."""
+        names = [n for n in child_names(spark, f"{self.root}/noted") if n.endswith(".json")]
+        noted = [json.loads(read_text(spark, f"{self.root}/noted/{n}")) for n in names]
+        if any(parts is None for parts in noted):
+            return names, None
+        return names, set(self.values({part for parts in noted for part in parts}))
+
+    def drop_notes(self, spark: SparkSession, names: Collection[str]) -> None:
+        for name in names:
+            delete(spark, f"{self.root}/noted/{name}")
+
     # -- writing -------------------------------------------------------------------------------
 
     def replace(self, df: DataFrame) -> list[str]:
@@ -90,27 +110,6 @@ class SnapshotTable:
         keep = {p: t for p, t in self.manifest(df.sparkSession).items() if p not in gone}
         return self._commit(df, keep)
 
-    def expire(self, spark: SparkSession, keep_last: int = 1) -> int:
-        """Delete all but the newest versions and every commit they do not use; returns how many.
-
-        Commits left behind by a crash go as well, so it must not run beside a writer.
-        """
-        known = self.versions(spark)
-        kept = known[-keep_last:]
-        used = {token for version in kept for token in self.manifest(spark, version).values()}
-        for version in known[:-keep_last]:
-            delete(spark, self._manifest_path(version))
-        unused = [n for n in child_names(spark, f"{self.root}/data") if n.removeprefix("commit=") not in used]
-        for name in unused:
-            delete(spark, f"{self.root}/data/{name}")
-        return len(unused)
-
-    def files_per_partition(self, spark: SparkSession) -> dict[str, list[int]]:
-        """File sizes by partition value."""
-        return {
-            part: file_sizes(spark, self._path(token, part)) for part, token in self.manifest(spark).items()
-        }
-
     def values(self, parts: Collection[str]) -> list[object]:
         """Partition values of partition names, NULL last."""
         if self.partition_by is None:
@@ -121,7 +120,7 @@ class SnapshotTable:
 
     def _commit(self, df: DataFrame, keep: dict[str, str]) -> list[str]:
         spark = df.sparkSession
-        version = 1 + max(self.versions(spark), default=0)
+        version = 1 + max(self._commits(spark), default=0)
         token = f"c{uuid.uuid4().hex}"
         target = f"{self.root}/data/commit={token}"
         rows = df.select(*self.schema.names)
@@ -136,6 +135,7 @@ class SnapshotTable:
             written = [_WHOLE]
         entries = {**keep, **{part: token for part in written}}
         if len(entries) > MAX_PARTITIONS:
+            delete(spark, target)
             raise ValueError(f"{self.root} would have more than {MAX_PARTITIONS} partitions")
         publish_text(spark, self._manifest_path(version), json.dumps(entries, indent=0, sort_keys=True))
         return written
@@ -160,6 +160,7 @@ def upsert(
     delete_missing_in: Collection[object] | None = None,
     delete_column: str | None = None,
     unique_source: bool = False,
+    note_changes: bool = False,
 ) -> list[object]:
     """Merge ``source`` into ``table``; returns the partition values whose rows changed.
 
@@ -172,21 +173,25 @@ def upsert(
     what its increment touches, and a run that changes nothing writes nothing.
 
     ``delete_missing_in`` lists values of ``delete_column`` (the partition column, if there is one)
-    for which target rows without a source row are removed.
+    for which target rows without a source row are removed. ``note_changes`` notes the partitions
+    beside the table before they are rewritten.
     """
     delete_column = delete_column or table.partition_by
     if delete_missing_in and (delete_column is None or table.partition_by not in (None, delete_column)):
         raise ValueError("rows can be removed by the partition column, or by any column of an unpartitioned table")
     spark = source.sparkSession
-    if not table.versions(spark):
+    if not table.exists(spark):
+        if note_changes:
+            table.note_changes(spark, None)
         # nothing to find or keep: every row is an insert, written in one pass
         empty = spark.createDataFrame([], table.schema)
         return table.values(table.replace(changed_rows(empty, source, keys, guard, update_columns, None, unique_source)))
     with materialized(source, "source") as fixed:
         current = table.read(spark)
-        changes = changed_rows(current, fixed, keys, guard, update_columns, table.partition_by, unique_source)
+        few = input_bytes(fixed) <= FEW_BYTES
+        changes = changed_rows(current, fixed, keys, guard, update_columns, table.partition_by, unique_source, few)
         with materialized(changes, "changes") as changed:
-            return _apply(table, fixed, changed, keys, set(delete_missing_in or ()), delete_column)
+            return _apply(table, fixed, changed, keys, set(delete_missing_in or ()), delete_column, note_changes)
 
 
 def _apply(
@@ -196,6 +201,7 @@ def _apply(
     keys: list[str],
     doomed_values: set[object],
     delete_column: str | None,
+    note_changes: bool,
 ) -> list[object]:
     spark = source.sparkSession
     by = table.partition_by
@@ -205,6 +211,8 @@ def _apply(
         touched = _touched_partitions(changed, by) | doomed_values
     if not touched:
         return []
+    if note_changes:
+        table.note_changes(spark, touched if by else None)
     target = table.read(spark, partitions=touched if by else None)
     if doomed_values:
         doomed = F.col(delete_column).isin([v for v in doomed_values if v is not None])
