@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from statelake.operators.envelope import decode, encode, reject_reason, split_rejects, stamp_event
 from statelake.plans.ingest import to_bronze
 from statelake.plans.silver import rejected_records
-from statelake.schemas import BRONZE_SCHEMA, CORRUPT_COLUMN, EVENT_FIELDS
+from statelake.schemas import BRONZE_SCHEMA, CORRUPT_COLUMN, EVENT_FIELDS, LOG_SCHEMA
 from tests.helpers import at, event, log_rows, rows
 
 GOOD = event("e1", "o1", "ORDER_CREATED", "2024-01-01T00:00:00+00:00", "2024-01-01T00:00:05+00:00")
@@ -71,3 +71,12 @@ def test_raw_layer_keeps_every_record_and_names_rejects(spark):
     good = raw.filter("event_id = 'e1'").first()
     assert good["lag_sec"] == 55 and good["raw_hour"] == 0 and str(good["raw_date"]) == "2024-01-01"
     assert rejected_records(raw).count() == 2
+
+
+def test_a_payload_is_parsed_once_however_often_its_fields_are_tested(spark, tmp_path, capsys):
+    """Over a JSON source the reject filter would otherwise be pushed through the decoding."""
+    log = spark.createDataFrame([(b"k", b"{}", "t", 0, 1, None)], LOG_SCHEMA)
+    log.write.parquet(f"{tmp_path}/log")
+    usable, _ = split_rejects(to_bronze(spark.read.parquet(f"{tmp_path}/log")))
+    usable.explain()
+    assert capsys.readouterr().out.count("from_json(") == 1

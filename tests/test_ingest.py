@@ -35,9 +35,9 @@ def test_nothing_new_writes_nothing(spark, places):
     bronze, offsets = places
     log = log_rows(spark, payloads(4))
     ingest_bronze(spark, log, bronze, offsets, RUN1)
-    versions = offset_table(offsets).versions(spark)
+    versions = offset_table(offsets).manifest(spark)
     result = ingest_bronze(spark, log, bronze, offsets, RUN2)
-    assert not result.written and offset_table(offsets).versions(spark) == versions
+    assert not result.written and offset_table(offsets).manifest(spark) == versions
     assert read_bronze(spark, bronze).count() == 4
 
 
@@ -100,7 +100,7 @@ def test_kafka_slice_starts_at_the_stored_positions(spark, places, monkeypatch):
     bronze, offsets = places
     asked = []
 
-    def slice_of(spark, servers, topic, positions):
+    def slice_of(spark, servers, topic, positions, options):
         asked.append(starting_offsets(positions, topic))
         return log_rows(spark, payloads(4))
 

@@ -27,6 +27,8 @@ def test_resume_with_and_without_broadcast(spark, monkeypatch):
     stored = spark.createDataFrame([("t", 0, 7)], POSITIONS)
     expected = [("t", 0, 7), ("t", 1, 2), ("u", 0, 0)]
     assert rows(resume(log(spark), stored)) == expected
+    monkeypatch.setattr(ops, "MAX_LITERAL_POSITIONS", 0)
+    assert rows(resume(log(spark), stored)) == expected
     monkeypatch.setattr(ops, "MAX_BROADCAST_POSITIONS", 0)
     assert rows(resume(log(spark), stored)) == expected
 
@@ -45,3 +47,18 @@ def test_starting_offsets_text(spark):
     assert json.loads(starting_offsets(stored, "t")) == {"t": {"0": 8, "1": 3}}
     assert starting_offsets(None, "t") == "earliest"
     assert starting_offsets(stored, "other") == "earliest"
+
+
+def test_every_partition_of_the_topic_is_named(spark):
+    """One partition never delivered, another was added; both start at their earliest record."""
+    stored = spark.createDataFrame([("t", 0, 8), ("t", 2, 3)], POSITIONS)
+    assert json.loads(starting_offsets(stored, "t", range(4))) == {"t": {"0": 8, "1": -2, "2": 3, "3": -2}}
+    assert starting_offsets(spark.createDataFrame([], POSITIONS), "t", range(4)) == "earliest"
+
+
+def test_positions_reach_the_scan_of_a_log_in_files(spark, tmp_path, capsys):
+    log(spark).write.parquet(f"{tmp_path}/log")
+    stored = spark.createDataFrame([("t", 0, 7), ("t", 1, 2)], POSITIONS)
+    resume(spark.read.parquet(f"{tmp_path}/log"), stored).explain()
+    text = capsys.readouterr().out
+    assert "GreaterThanOrEqual(offset,7)" in text.replace(" ", "") and "Join" not in text

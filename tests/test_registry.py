@@ -56,7 +56,7 @@ def test_merge_adds_no_exchange_to_its_inputs(spark, capsys):
 # these run jobs of their own before they return a scan of what was written
 WRITERS = {
     "csv_roundtrip", "gold_table_refresh", "ingest_two_batches", "silver_table_two_refreshes", "stored_offsets",
-    "stream_to_bronze", "stream_to_silver",
+    "stream_to_bronze", "stream_to_silver", "gold_after_interrupted_run", "ingest_nothing_new", "catalog_tables", "sample_with_children",
 }
 
 

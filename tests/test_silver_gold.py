@@ -4,18 +4,23 @@ import datetime as dt
 
 import pytest
 
+from statelake.functions.clocks import parse_columns
 from statelake.operators.merge import not_older, or_unset
-from statelake.plans import silver as silver_module
 from statelake.operators.summary import daily_summary
 from statelake.plans.gold import daily_order_summary, gold_table, refresh_gold
 from statelake.plans.ingest import to_bronze
 from statelake.plans.silver import (
     INGESTION_RULES,
     OFFSET_RULES,
+    TIME_COLUMNS,
     SilverRules,
+    changed_orders,
     current_state,
+    latest_events,
+    latest_of_changed,
     prepare_silver,
     refresh_silver,
+    rejected_records,
     silver_table,
 )
 from statelake.schemas import GOLD_SCHEMA, SILVER_SCHEMA
@@ -103,7 +108,7 @@ def test_stored_null_time_is_stuck_unless_the_guard_allows_it(spark, tmp_path):
         assert rows(table.read(spark), "current_status") == [(expected,)]
 
 
-def test_equal_times_across_increments(spark, tmp_path, monkeypatch):
+def test_equal_times_across_increments(spark, tmp_path):
     """The log holds SHIPPED after CREATED at one instant; increments arrive the wrong way round."""
     pair = raw(spark, [e(1, "a", "ORDER_CREATED", 5), e(2, "a", "SHIPPED", 5)])
     created, shipped = pair.filter("event_id = 'e1'"), pair.filter("event_id = 'e2'")
@@ -118,12 +123,6 @@ def test_equal_times_across_increments(spark, tmp_path, monkeypatch):
         refresh_silver(spark, part, ranked, as_of=NOW, history=pair)
     assert rows(ranked.read(spark), "event_type") == [("SHIPPED",)]
 
-    monkeypatch.setattr(silver_module, "MAX_BROADCAST_KEYS", 0)
-    many = silver_table(f"{tmp_path}/many")
-    for part in (shipped, created):
-        refresh_silver(spark, part, many, as_of=NOW, history=pair)
-    assert rows(many.read(spark), "event_type") == [("SHIPPED",)]
-
     tied = SilverRules(carry_tie=True)
     carried = silver_table(f"{tmp_path}/carried", tied)
     for part in (shipped, created):
@@ -165,3 +164,55 @@ def test_emptied_day(spark, tmp_path, prune, only_changed, by):
     if prune:
         assert sum(r[1] for r in got) == silver.read(spark).count()
     assert at("2024-03-02") == gold.read(spark).filter("order_date = '2024-03-02'").first()["updated_at"]
+
+
+# -- increments and interruptions --------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_a_copy_that_names_another_order_counts_in_an_increment(spark, threshold):
+    """e1 of order a comes in again under b: a falls back to e2, whichever way the ids travel."""
+    first = [e(1, "a", "SHIPPED", 5), e(2, "a", "ORDER_CREATED", 4)]
+    later = {**e(1, "b", "SHIPPED", 5), "ingestion_time": "2024-03-09T00:00:00+00:00"}
+    history = parse_columns(raw(spark, [*first, later]), TIME_COLUMNS)
+    increment = history.filter("order_id = 'b' OR event_id = 'e2'")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        orders = changed_orders(history, increment)
+        assert rows(orders) == [("a",), ("b",)]
+        got = rows(latest_of_changed(history, orders, OFFSET_RULES), "order_id", "event_id")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == rows(latest_events(history, OFFSET_RULES), "order_id", "event_id") == [("a", "e2"), ("b", "e1")]
+
+
+@pytest.mark.parametrize("rules", [OFFSET_RULES, SilverRules(skip_unchanged=True, carry_tie=True)])
+def test_summary_is_right_after_a_run_died_between_the_tables(spark, tmp_path, rules):
+    silver, gold = silver_table(f"{tmp_path}/s", rules), gold_table(f"{tmp_path}/g")
+    refresh_silver(spark, raw(spark, [e(1, "a", "ORDER_CREATED", 1), e(2, "b", "SHIPPED", 1, day=3)]), silver, rules, NOW)
+    refresh_gold(spark, silver, gold, as_of=NOW)
+    late = raw(spark, [e(3, "a", "DELIVERED", 1, day=2)])
+    refresh_silver(spark, late, silver, rules, NOW)  # died here
+    days = refresh_silver(spark, late, silver, rules, NOW)
+    assert refresh_gold(spark, silver, gold, days, NOW, prune_missing=True)
+    want = rows(daily_order_summary(silver.read(spark), NOW), "order_date", "total_orders")
+    assert rows(gold.read(spark), "order_date", "total_orders") == want
+    assert not refresh_gold(spark, silver, gold, [], NOW) and silver.noted_changes(spark) == ([], set())
+
+
+def test_rules_that_contradict_each_other_are_refused():
+    with pytest.raises(ValueError):
+        SilverRules(order=("event_time", "ingestion_time", "offset"), carry_tie=True)
+
+
+def test_records_whose_times_the_rules_need_are_rejected(spark):
+    bad = raw(spark, [{**BASIC[0], "ingestion_time": "junk"}])
+    assert rows(rejected_records(bad, INGESTION_RULES), "reject_reason") == [("bad_ingestion_time",)]
+    assert rejected_records(bad, OFFSET_RULES).count() == 0
+
+
+def test_records_without_ids_do_not_become_one_event(spark):
+    nameless = [{**BASIC[0], "event_id": None}] * 3
+    assert prepare_silver(raw(spark, [*BASIC, *nameless])).count() == len(BASIC)
+    assert current_state(raw(spark, [*BASIC, {**BASIC[0], "order_id": None}]), as_of=NOW).filter("order_id IS NULL").count() == 0

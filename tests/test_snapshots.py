@@ -5,8 +5,7 @@ import pytest
 from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
 
 from statelake.operators.merge import and_changed, merge_rows, not_older
-from statelake.plans.upkeep import compact
-from statelake.sources.paths import child_names
+from statelake.sources import snapshots
 from statelake.sources.snapshots import SnapshotTable, upsert
 from tests.helpers import rows
 
@@ -32,11 +31,10 @@ def test_empty_table_reads_as_empty(spark, table):
     assert table.read(spark).schema == SCHEMA and table.read(spark).count() == 0
 
 
-def test_replace_and_read_versions(spark, table):
+def test_replace_and_read(spark, table):
     table.replace(frame(spark, [("a", 1, 0)]))
     table.replace(frame(spark, [("b", 2, 1), ("c", 3, None)]))
     assert rows(table.read(spark)) == [("b", 2, day(1)), ("c", 3, None)]
-    assert rows(table.read(spark, version=1)) == [("a", 1, day(0))]
     assert rows(table.read(spark, partitions=[None])) == [("c", 3, None)]
     assert rows(table.read(spark, partitions=[day(1)])) == [("b", 2, day(1))]
 
@@ -59,28 +57,18 @@ def test_files_without_a_manifest_are_invisible(spark, table):
         draft.write("half a manif")
     assert rows(table.read(spark)) == [("a", 1, day(0))]
     table.replace(frame(spark, [("b", 2, 0)]))
-    assert rows(table.read(spark)) == [("b", 2, day(0))] and table.versions(spark) == [1, 2]
+    assert rows(table.read(spark)) == [("b", 2, day(0))]
 
 
 def test_a_second_writer_fails_when_it_publishes(spark, table, monkeypatch):
     table.replace(frame(spark, [("a", 1, 0)]))
-    monkeypatch.setattr(SnapshotTable, "versions", lambda self, spark: [])
+    monkeypatch.setattr(SnapshotTable, "_commits", lambda self, spark: [])
     with pytest.raises(FileExistsError):
         table.replace(frame(spark, [("b", 2, 0)]))
     monkeypatch.undo()
     assert rows(table.read(spark)) == [("a", 1, day(0))]
 
 
-def test_expire_removes_what_no_kept_version_uses(spark, table):
-    for v in range(3):
-        table.replace_partitions(frame(spark, [("a", v, 0)]), [day(0)])
-    table.replace_partitions(frame(spark, [("b", 7, 1)]), [day(1)])
-    assert table.expire(spark, keep_last=1) == 2
-    assert table.versions(spark) == [4]
-    assert rows(table.read(spark)) == [("a", 2, day(0)), ("b", 7, day(1))]
-    assert len(child_names(spark, f"{table.root}/data")) == 2
-
-
 def test_partition_column_must_have_plain_values(tmp_path):
     with pytest.raises(ValueError):
         SnapshotTable(str(tmp_path), SCHEMA, "k")
@@ -115,8 +103,9 @@ def test_a_run_that_changes_nothing_writes_nothing(spark, table):
     source = frame(spark, [("a", 1, 0), ("b", 1, 1)])
     guard = and_changed(["v", "d"], not_older("v"))
     upsert(table, source, ["k"], guard)
+    before = table.manifest(spark)
     assert upsert(table, source, ["k"], guard) == []
-    assert table.versions(spark) == [1]
+    assert table.manifest(spark) == before
 
 
 def test_untouched_partitions_stay_in_place(spark, table):
@@ -130,7 +119,7 @@ def test_untouched_partitions_stay_in_place(spark, table):
 def test_duplicate_source_key_is_an_error_and_leaves_the_table_alone(spark, table):
     with pytest.raises(Exception, match="more than one source row"):
         upsert(table, frame(spark, [("a", 2, 0), ("a", 3, 0)]), ["k"])
-    assert table.versions(spark) == []
+    assert not table.exists(spark)
     upsert(table, frame(spark, [("a", 1, 0)]), ["k"])
     with pytest.raises(Exception, match="more than one source row"):
         upsert(table, frame(spark, [("a", 2, 0), ("a", 3, 0)]), ["k"])
@@ -153,17 +142,24 @@ def test_delete_missing_without_partitions(spark, tmp_path):
         upsert(by_day, frame(spark, []), ["k"], delete_missing_in=["a"], delete_column="k")
 
 
-def test_compaction_merges_small_files_and_keeps_rows(spark, table):
-    many = frame(spark, [(f"k{i}", i, i % 2) for i in range(50)])
-    table.replace(many)
-    # a worn partition, as many small appends would leave it
-    token = table.manifest(spark)[str(day(0))]
-    many.filter("d = '2024-01-01'").repartition(6).drop("d").write.mode("overwrite").parquet(
-        f"{table.root}/data/commit={token}/d={day(0)}"
-    )
-    before = rows(table.read(spark))
-    assert len(table.files_per_partition(spark)[str(day(0))]) == 6
-    assert compact(spark, table) == [str(day(0))]
-    assert len(table.files_per_partition(spark)[str(day(0))]) == 1
-    assert rows(table.read(spark)) == before
-    assert compact(spark, table) == []
+def test_notes_stay_until_they_are_dropped(spark, table):
+    upsert(table, frame(spark, [("a", 1, 0)]), ["k"], note_changes=True)
+    names, noted = table.noted_changes(spark)
+    assert len(names) == 1 and noted is None  # the first commit may touch anything
+    table.drop_notes(spark, names)
+    upsert(table, frame(spark, [("a", 2, 3), ("b", 2, None)]), ["k"], note_changes=True)
+    names, noted = table.noted_changes(spark)
+    assert noted == {day(0), day(3), None}
+    table.drop_notes(spark, names)
+    assert table.noted_changes(spark) == ([], set())
+
+
+def test_the_size_of_the_source_does_not_change_the_result(spark, tmp_path, monkeypatch):
+    results = []
+    for limit in (0, 1 << 40):
+        monkeypatch.setattr(snapshots, "FEW_BYTES", limit)
+        table = SnapshotTable(f"{tmp_path}/{limit}", SCHEMA, "d")
+        upsert(table, frame(spark, [("a", 1, 0), ("b", 1, 1), (None, 1, 1)]), ["k"])
+        upsert(table, frame(spark, [("a", 2, 5), ("c", 2, None), (None, 2, 2)]), ["k"])
+        results.append(rows(table.read(spark)))
+    assert results[0] == results[1] and len(results[0]) == 5
