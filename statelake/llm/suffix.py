@@ -1,7 +1,7 @@
 """Exact removal of repeated 100-byte strings, by external induced sorting of shards.
 
-Every 100-byte window of a text has a least 16-byte string in it, its anchor; equal windows have equal
-anchors at equal places. A run of windows with one anchor is a strip of at most 184 bytes, and equal
+Every 100-byte window of a text has a least 24-byte string in it, its anchor; equal windows have equal
+anchors at equal places. A run of windows with one anchor is a strip of at most 176 bytes, and equal
 windows can only lie in strips of one anchor. So strips are dealt out by anchor:
 
 1. every task cuts its texts into strips and keeps the first of equal ones; the others are repeats of
@@ -40,7 +40,7 @@ from statelake.llm.induced import SPILL_BYTES, suffix_order
 from statelake.llm.tokens import mixed, span_hashes, text_bytes
 
 LENGTH = 100
-ANCHOR = 16
+ANCHOR = 24
 CUT_BYTES = 8 * 1024 * 1024
 CHUNK = 1 << 20
 SHARD_BYTES = 4 * 1024 * 1024
@@ -49,12 +49,15 @@ FIRST_ID = -(2**63)
 
 
 def anchor_hashes(data: np.ndarray) -> np.ndarray:
-    """A hash of the 16 bytes from every place on; the last 15 places are padded with zeros."""
+    """A hash of the ``ANCHOR`` bytes, a multiple of 8, from every place on; the last are padded with zeros."""
     padded = np.concatenate([data, np.zeros(ANCHOR, dtype=np.uint8)])
     two = padded[:-1].astype(np.uint16) | padded[1:].astype(np.uint16) << 8
     four = two[:-2].astype(np.uint32) | two[2:].astype(np.uint32) << 16
     eight = four[:-4].astype(np.uint64) | four[4:].astype(np.uint64) << np.uint64(32)
-    return mixed(eight[:-8] * np.uint64(0x9E3779B97F4A7C15) ^ mixed(eight[8:]))[: len(data)]
+    found = np.zeros(len(data), dtype=np.uint64)
+    for at in range(0, ANCHOR, 8):
+        found = mixed(found ^ eight[at : at + len(data)] * np.uint64(0x9E3779B97F4A7C15))
+    return found
 
 
 def least_places(hashes: np.ndarray, width: int) -> np.ndarray:
