@@ -134,3 +134,20 @@ def test_null_keys_do_not_gather_in_one_task(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert sum(r["count"] for r in merged) == 2000
     assert max(r["count"] for r in merged) < 2000
+
+
+def test_changed_rows_shuffles_each_side_once_and_null_keys_pass_by(spark, capsys):
+    target, source = spark.range(10).selectExpr("id AS k", "id AS v"), spark.range(5).selectExpr("if(id = 3, null, id) AS k", "id AS v")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        changed_rows(target, source, ["k"], unique_source=True).explain()
+        text = capsys.readouterr().out
+        assert text.count("Exchange hashpartitioning") == 2 and "Union" in text and text.count("Join") == 1
+        replace_rows(target, source, ["k"]).explain()
+        text = capsys.readouterr().out
+        assert text.count("Exchange hashpartitioning") == 2 and "LeftAnti" in text and text.count("Join") == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    found = sorted(tuple(r) for r in changed_rows(target, source, ["k"], unique_source=True).select("v", "__updated").collect())
+    assert found == [(0, True), (1, True), (2, True), (3, False), (4, True)]
