@@ -32,8 +32,9 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Found secrets are replaced by a marker in their documents."""
-    return secrets.redact(docs)
+    """Found secrets are replaced by a marker in their documents, whose length is counted anew."""
+    length = F.when(F.contains("text", F.lit(secrets.REDACTED)), F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
+    return secrets.redact(docs).withColumn("n_chars", length)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
