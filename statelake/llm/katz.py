@@ -1,17 +1,17 @@
 """Language-model scores by Katz backoff.
 
-The model is a bigram model over symbols: the most frequent training words, and one class for all
-other words, within which a word keeps its share of the unigram mass. Unigram and bigram counts up to
-five get Good-Turing discounts; what the discounts free goes to words never seen, and for every
-context to the followers never seen after it, through a backoff weight that makes the distribution of
-every context sum to one. A text is scored word by word, from the bigram where it was counted, else
-through the backoff weight of its context from the unigram, else from the class of unseen words.
+The model is a bigram model over all training words. Unigram and bigram counts up to five get
+Good-Turing discounts; what the discounts free goes to words never seen, and for every context to the
+followers never seen after it, through a backoff weight that makes the distribution of every context
+sum to one. A text is scored word by word, from the bigram where it was counted, else through the
+backoff weight of its context from the unigram, else from the class of unseen words.
 
 Scale: words and bigrams above a count threshold, picked so that their number is bounded, travel by
 broadcast and are looked up where the text lies. All others, each of which holds a small share of the
-corpus by construction, are exchanged with the counts they need, packed into sorted blocks. Counts
-and blocks cover every word of every text; the two bounds decide only by which way a count travels.
-The word bound also is the size of the symbol alphabet, a parameter of the model.
+corpus by construction, are exchanged with the counts and contexts they need, packed into sorted
+blocks. The two bounds decide only by which way a count travels, never what it is. A frequent word is
+coded by its place among them, any other by its hash. Bigrams of frequent contexts are dealt by both
+words, those of other contexts by the context, so that these meet its total and backoff weight.
 
 Defined cases: a NULL or empty text consists of its end alone; a NULL id counts as empty text in the
 choice of held-out rows; repeated rows are scored each for itself and count each in training; without
@@ -40,12 +40,14 @@ END = np.uint64(0x656E642D6F662D74)  # stands for the end of a text among the wo
 DISCOUNTED = 5
 FLUSH_TOKENS = 1_500_000
 BLOCK = "part int, kind int, from_row bigint, data binary"
-BIGRAM_COUNTS, BIGRAM_TOKENS, WORDS_TRAINED, WORDS_HELD = 0, 1, 2, 3
+PAIR_COUNTS, CONTEXTS, PAIRS_TRAINED, PAIRS_HELD = 0, 1, 2, 3
+# Held-out words of a bigram that is scored already are only counted, the others bring their probability.
+WORDS_TRAINED, WORDS_COUNTED, WORDS_HELD = 4, 5, 6
 
 
 @dataclass(frozen=True)
 class KatzRules:
-    """``frequent`` bounds the symbols, ``hot`` the broadcast bigrams, ``part_tokens`` sizes a part."""
+    """``frequent`` bounds the broadcast words, ``hot`` the broadcast bigrams, ``part_tokens`` sizes a part."""
 
     frequent: int = 1 << 19
     hot: int = 1 << 19
@@ -87,9 +89,24 @@ def counted(keys: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.nda
     return keys[first], np.add.reduceat(weights, first) if len(first) else weights
 
 
-def _blocks(kind: int, parts: int, base: int, keys: np.ndarray, *columns: np.ndarray) -> list[tuple]:
-    """Rows of ``BLOCK``; ``keys`` are dealt to parts by a scramble of their value."""
-    part = (mixed(keys) % np.uint64(parts)).astype(np.int64)
+def halves(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of 64 bits as two columns of a block."""
+    bits = values.view(np.uint64)
+    return bits & np.uint64(0xFFFFFFFF), bits >> np.uint64(32)
+
+
+def whole(low: np.ndarray, high: np.ndarray, kind: type = np.uint64) -> np.ndarray:
+    return (low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32)).view(kind)
+
+
+def pair_keys(contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """A hash of every bigram, from the codes of its words."""
+    return mixed(mixed(contexts + np.uint64(0x9E3779B97F4A7C15)) ^ words * np.uint64(0xD6E8FEB86659FD93))
+
+
+def _blocks(kind: int, parts: int, base: int, keys: np.ndarray, *columns: np.ndarray, deal: np.ndarray | None = None) -> list[tuple]:
+    """Rows of ``BLOCK``; dealt to parts by a scramble of ``keys``, or of ``deal``."""
+    part = (mixed(keys if deal is None else deal) % np.uint64(parts)).astype(np.int64)
     order = np.lexsort((keys, part))
     part, keys = part[order], keys[order]
     columns = tuple(c[order] for c in columns)
@@ -100,6 +117,11 @@ def _blocks(kind: int, parts: int, base: int, keys: np.ndarray, *columns: np.nda
     ]
 
 
+def _pair_blocks(kind: int, parts: int, base: int, width: int, contexts: np.ndarray, words: np.ndarray, *columns: np.ndarray) -> list[tuple]:
+    deal = np.where(contexts < np.uint64(width), pair_keys(contexts, words), contexts)
+    return _blocks(kind, parts, base, contexts, *halves(words), *columns, deal=deal)
+
+
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows], schema=schema)
 
@@ -185,15 +207,15 @@ class Unigrams:
     scale: float
 
     @property
-    def rare(self) -> int:
-        """The symbol of all words that are not frequent."""
+    def width(self) -> int:
+        """The codes below it are those of the frequent words."""
         return len(self.words)
 
-    def symbols(self, tokens: np.ndarray) -> np.ndarray:
+    def codes(self, tokens: np.ndarray) -> np.ndarray:
         if not len(self.words):
-            return np.zeros(len(tokens), dtype=np.int64)
+            return tokens
         at = np.minimum(np.searchsorted(self.words, tokens), len(self.words) - 1)
-        return np.where(self.words[at] == tokens, at, self.rare)
+        return np.where(self.words[at] == tokens, at.astype(np.uint64), tokens)
 
     def probability(self, counts: np.ndarray) -> np.ndarray:
         """The unigram probability of words of these counts; the unseen word has count zero."""
@@ -205,11 +227,6 @@ class Unigrams:
     def base(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + 0.1) / (self.total + 0.1 * (self.types + 1)))
 
-    def of_symbols(self) -> np.ndarray:
-        """The unigram probability of every symbol, the class of rare words last."""
-        frequent = self.probability(self.counts)
-        return np.append(frequent, max(1.0 - frequent.sum(), self.unseen))
-
 
 def unigrams(table: DataFrame, rules: KatzRules) -> Unigrams:
     few = [F.count_if(F.col("count") == r).alias(f"n{r}") for r in range(1, DISCOUNTED + 2)]
@@ -226,39 +243,53 @@ def unigrams(table: DataFrame, rules: KatzRules) -> Unigrams:
     return Unigrams(words[order], counts, total, types, factors, unseen, (1.0 - unseen) / seen if seen else 1.0)
 
 
-def bigram_keys(tokens: np.ndarray, rows: np.ndarray, model: Unigrams) -> tuple[np.ndarray, np.ndarray]:
-    """Symbols of all tokens, and the key of each with the symbol before it (an end before the first)."""
-    symbols = model.symbols(tokens)
-    end = model.symbols(np.array([END]))[0]
-    before = np.empty_like(symbols)
-    before[1:] = symbols[:-1]
-    before[rows[:-1]] = end
-    return symbols, (before * (model.rare + 1) + symbols).astype(np.uint64)
+def bigrams_of(tokens: np.ndarray, rows: np.ndarray, model: Unigrams) -> tuple[np.ndarray, np.ndarray]:
+    """The codes of all tokens, and the code before each (an end before the first)."""
+    codes = model.codes(tokens)
+    before = np.empty_like(codes)
+    before[1:] = codes[:-1]
+    before[rows[:-1]] = model.codes(np.array([END]))[0]
+    return before, codes
 
 
 def bigram_counts(train: DataFrame, shared, parts: int, text: str = "text") -> DataFrame:
-    """``(key, count)`` of all training bigrams."""
+    """``(context, word, count)`` of all training bigrams, by the codes of their words."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held: list[tuple] = []
         size = 0
+
+        def emit() -> pa.RecordBatch:
+            before, codes = (np.concatenate(x) for x in zip(*held, strict=True))
+            _, first, counts = np.unique(pair_keys(before, codes), return_index=True, return_counts=True)
+            return _batch(_pair_blocks(PAIR_COUNTS, parts, 0, shared.value.width, before[first], codes[first], counts), BLOCK_ARROW)
+
         for batch in batches:
-            held.append(bigram_keys(*tokens_of(batch.column(0)), shared.value)[1])
-            size += len(held[-1])
+            held.append(bigrams_of(*tokens_of(batch.column(0)), shared.value))
+            size += len(held[-1][0])
             if size >= FLUSH_TOKENS:
-                yield _batch(_blocks(BIGRAM_COUNTS, parts, 0, *counted(np.concatenate(held))), BLOCK_ARROW)
+                yield emit()
                 held, size = [], 0
         if held:
-            yield _batch(_blocks(BIGRAM_COUNTS, parts, 0, *counted(np.concatenate(held))), BLOCK_ARROW)
+            yield emit()
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, blocks in by_part(batches):
-            loaded = [unpack(data) for _, _, data in blocks]
-            keys, counts = counted(np.concatenate([k for k, _ in loaded]), np.concatenate([c for _, c in loaded]))
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], ["key", "count"])
+            loaded = []
+            while blocks:
+                before, low, high, counts = unpack(blocks.pop()[2])
+                loaded.append((before, whole(low, high), counts.astype(np.uint32)))
+            before, codes, counts = (np.concatenate(x) for x in zip(*loaded, strict=True))
+            del loaded
+            order = np.lexsort((codes, before))
+            before, codes, counts = before[order], codes[order], counts[order]
+            del order
+            first = np.flatnonzero(np.concatenate([[True], (before[1:] != before[:-1]) | (codes[1:] != codes[:-1])]))
+            columns = [before[first].view(np.int64), codes[first].view(np.int64), np.add.reduceat(counts, first, dtype=np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["context", "word", "count"])
 
     blocks = train.select(text).mapInArrow(count, BLOCK)
-    return blocks.repartition("part").sortWithinPartitions("part").mapInArrow(merge, "key bigint, count bigint")
+    return blocks.repartition("part").sortWithinPartitions("part").mapInArrow(merge, "context bigint, word bigint, count bigint")
 
 
 def by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple[int, int, bytes]]]]:
@@ -277,53 +308,69 @@ def by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple
 
 @dataclass
 class Backoff:
-    """Per context: its count, the scale of its counted followers, and its backoff weight."""
+    """Per frequent context: its count, the scale of its counted followers, and its backoff weight."""
 
     counts: np.ndarray
     scale: np.ndarray
     weight: np.ndarray
-    symbol: np.ndarray
     factors: list[float]
 
-    def log_bigram(self, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """log10 of the probability of each bigram, by its training count."""
-        context, symbol = np.divmod(keys.astype(np.int64), len(self.symbol))
-        seen = self.scale[context] * factor_of(counts, self.factors) * counts / np.maximum(self.counts[context], 1)
-        return np.log10(np.where(counts > 0, seen, self.weight[context] * self.symbol[symbol]))
+    def seen(self, counts: np.ndarray, totals: np.ndarray, scale: np.ndarray) -> np.ndarray:
+        """The probability of bigrams of these counts in contexts of these totals and scales."""
+        return scale * factor_of(counts, self.factors) * counts / np.maximum(totals, 1)
 
 
-def backoff(table: DataFrame, model: Unigrams) -> Backoff:
-    """Backoff weights from the bigram table; one row per context reaches the driver, a bounded number."""
-    few = [F.count_if(F.col("count") == r).alias(f"n{r}") for r in range(1, DISCOUNTED + 2)]
-    row = table.agg(*few).first()
-    factors = discounts([row[f"n{r}"] for r in range(1, DISCOUNTED + 2)])
-    width = model.rare + 1
-    symbol = model.of_symbols()
-    spark = table.sparkSession
-    mass = spark.createDataFrame(pa.table({"symbol": pa.array(np.arange(width)), "mass": pa.array(symbol)}))
+def backed_off(total: np.ndarray, kept: np.ndarray, followers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Scale and backoff weight of contexts, from their count, what discounts leave of it, and the mass of their followers."""
+    free, rest = 1.0 - kept / total, 1.0 - followers
+    everything = rest <= 1e-9
+    none = ~everything & (free <= 1e-12)
+    scale = np.where(everything, total / kept, np.where(none, total / (total + 1), 1.0))
+    free = np.where(none, 1.0 / (total + 1), free)
+    return scale, np.where(everything, 0.0, free / np.where(everything, 1.0, rest))
+
+
+def is_frequent(code: Column, width: int) -> Column:
+    return (code >= 0) & (code < width)
+
+
+def discounted(count: Column, factors: list[float]) -> Column:
     factor = F.lit(1.0)
     for r, f in enumerate(factors, 1):
-        factor = F.when(F.col("count") == r, f).otherwise(factor)
-    split = table.select(
-        F.floor(F.col("key") / width).cast("long").alias("context"), (F.col("key") % width).alias("symbol"),
-        "count", (factor * F.col("count")).alias("kept"),
-    )
-    sums = split.join(F.broadcast(mass), "symbol").groupBy("context").agg(
-        F.sum("count").alias("count"), F.sum("kept").alias("kept"), F.sum("mass").alias("mass")
+        factor = F.when(count == r, f).otherwise(factor)
+    return factor * count
+
+
+def rare_followers(bigrams: DataFrame, table: DataFrame, model: Unigrams) -> DataFrame:
+    """The bigrams that end in a word that is not frequent, with its count as ``word_count``."""
+    least = int(model.counts.min()) if model.width else None
+    rare = table.filter(F.col("count") < least) if least else table
+    pairs = bigrams.filter(~is_frequent(F.col("word"), model.width))
+    return pairs.join(rare.withColumnRenamed("count", "word_count"), "word").select("context", "word", "count", "word_count")
+
+
+def context_sums(bigrams: DataFrame, rare: DataFrame, model: Unigrams, factors: list[float]) -> DataFrame:
+    """``(context, count, kept, mass)`` of every context: its count, what the discounts leave of it,
+    and the unigram probability of all its followers together."""
+    frequent = pa.table({"word": pa.array(np.arange(model.width)), "mass": pa.array(model.probability(model.counts))})
+    mass = F.broadcast(bigrams.sparkSession.createDataFrame(frequent))
+    own = bigrams.join(mass, "word", "left").select(
+        "context", "count", discounted(F.col("count"), factors).alias("kept"), F.coalesce("mass", F.lit(0.0)).alias("mass")
     )
-    found = sums.toArrow()
-    counts, scale, weight = np.zeros(width, np.int64), np.ones(width), np.ones(width)
+    probability = discounted(F.col("word_count"), model.factors) * (model.scale / max(model.total, 1))
+    more = rare.select("context", F.lit(0).cast("long").alias("count"), F.lit(0.0).alias("kept"), probability.alias("mass"))
+    return own.unionByName(more).groupBy("context").agg(*[F.sum(c).alias(c) for c in ("count", "kept", "mass")])
+
+
+def backoff(sums: DataFrame, model: Unigrams, factors: list[float]) -> Backoff:
+    """Of the frequent contexts, whose number is bounded."""
+    found = sums.filter(is_frequent(F.col("context"), model.width)).toArrow()
+    counts, scale, weight = np.zeros(model.width, np.int64), np.ones(model.width), np.ones(model.width)
     if found.num_rows:
         at = np.asarray(found["context"])
-        total, kept, followers = (np.asarray(found[c]).astype(float) for c in ("count", "kept", "mass"))
         counts[at] = np.asarray(found["count"])
-        free, rest = 1.0 - kept / total, 1.0 - followers
-        everything = rest <= 1e-9
-        none = ~everything & (free <= 1e-12)
-        scale[at] = np.where(everything, total / kept, np.where(none, total / (total + 1), 1.0))
-        free = np.where(none, 1.0 / (total + 1), free)
-        weight[at] = np.where(everything, 0.0, free / np.where(everything, 1.0, rest))
-    return Backoff(counts, scale, weight, symbol, factors)
+        scale[at], weight[at] = backed_off(*(np.asarray(found[c]).astype(float) for c in ("count", "kept", "mass")))
+    return Backoff(counts, scale, weight, factors)
 
 
 # ---------------------------------------------------------------------------------------------------
@@ -335,46 +382,54 @@ def scored(docs: DataFrame, rules: KatzRules = KatzRules(), text: str = "text")
     spark = docs.sparkSession
     fit_python(spark)
     train = docs.filter(~held_out(F.col("doc_id")))
-    model = unigrams(stored(unigram_counts(train, text), "unigrams"), rules)
+    table = stored(unigram_counts(train, text), "unigrams")
+    model = unigrams(table, rules)
+    width = model.width
     shared = spark.sparkContext.broadcast(model)
     parts = max(1, math.ceil(model.total / rules.part_tokens))
     bigrams = stored(bigram_counts(train, shared, parts, text), "bigrams")
-    weights = backoff(bigrams, model)
+    few = [F.count_if(F.col("count") == r).alias(f"n{r}") for r in range(1, DISCOUNTED + 2)]
+    factors = discounts(list(bigrams.agg(*few).first()))
+    rare = stored(rare_followers(bigrams, table, model), "rare-followers")
+    contexts = stored(context_sums(bigrams, rare, model, factors), "contexts")
+    weights = backoff(contexts, model, factors)
     least = threshold(bigrams.groupBy("count").agg(F.count("*").alias("things")), rules.hot)
-    found = bigrams.filter(F.col("count") >= least).toArrow()
-    hot_keys = np.asarray(found["key"]).view(np.uint64) if found.num_rows else np.zeros(0, np.uint64)
+    is_hot = is_frequent(F.col("context"), width) & (F.col("count") >= least)
+    found = bigrams.filter(is_hot).toArrow()
+    before, after, counts = (np.asarray(found[c]) if found.num_rows else np.zeros(0, np.int64) for c in ("context", "word", "count"))
+    hot_keys = pair_keys(before.view(np.uint64), after.view(np.uint64))
     order = np.argsort(hot_keys)
-    hot_counts = np.asarray(found["count"])[order] if found.num_rows else np.zeros(0, np.int64)
-    lookup = spark.sparkContext.broadcast((weights, hot_keys[order], hot_counts))
+    hot_logs = np.log10(weights.seen(counts, weights.counts[before], weights.scale[before]))
+    lookup = spark.sparkContext.broadcast((weights, hot_keys[order], hot_logs[order]))
 
     found = StructType.fromDDL("__row bigint, n_tokens bigint, n_known bigint, base double, score double")
     made = StructType([found["__row"], docs.schema["doc_id"], *found.fields[1:]])
     sent = StructType(StructType.fromDDL(BLOCK).fields + made.fields)
 
     def cold_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        size = 0
-        for batch in batches:
-            held.append((np.asarray(batch.column(0)).view(np.uint64), np.asarray(batch.column(1))))
-            size += len(batch)
-            if size >= FLUSH_TOKENS:
-                yield _batch(_blocks(BIGRAM_COUNTS, parts, 0, *(np.concatenate(x) for x in zip(*held, strict=True))), BLOCK_ARROW)
-                held, size = [], 0
-        if held:
-            yield _batch(_blocks(BIGRAM_COUNTS, parts, 0, *(np.concatenate(x) for x in zip(*held, strict=True))), BLOCK_ARROW)
+        for held in gathered(batches):
+            before, after = held[0].view(np.uint64), held[1].view(np.uint64)
+            yield _batch(_pair_blocks(PAIR_COUNTS, parts, 0, width, before, after, *held[2:]), BLOCK_ARROW)
+
+    def cold_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for context, total, kept, mass in gathered(batches):
+            scale, weight = backed_off(total.astype(float), kept, mass)
+            yield _batch(_blocks(CONTEXTS, parts, 0, context.view(np.uint64), total, *halves(scale), *halves(weight)), BLOCK_ARROW)
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Scores what the broadcast tables answer; all else leaves as blocks and is scored in its part."""
-        words, (backoffs, hot_keys, hot_counts) = shared.value, lookup.value
+        words, (_, hot_keys, hot_logs) = shared.value, lookup.value
         counts = np.append(words.counts, 0)
-        open_ones: dict[int, list] = {BIGRAM_TOKENS: [], WORDS_TRAINED: [], WORDS_HELD: []}
+        open_ones: dict[int, list] = {k: [] for k in (PAIRS_TRAINED, PAIRS_HELD, WORDS_TRAINED, WORDS_COUNTED, WORDS_HELD)}
         base = size = 0
         empty: list = []
 
         def flush() -> Iterator[pa.RecordBatch]:
             for kind, held in open_ones.items():
                 if held:
-                    rows = _blocks(kind, parts, base, *(np.concatenate(x) for x in zip(*held, strict=True)))
+                    columns = [np.concatenate(x) for x in zip(*held, strict=True)]
+                    paired = kind in (PAIRS_TRAINED, PAIRS_HELD)
+                    rows = _pair_blocks(kind, parts, base, width, *columns) if paired else _blocks(kind, parts, base, *columns)
                     blocks = _batch(rows, BLOCK_ARROW)
                     yield pa.RecordBatch.from_arrays([*blocks.columns, *(pa.nulls(len(rows), k) for k in empty)], sent.names)
                     held.clear()
@@ -384,21 +439,24 @@ def scored(docs: DataFrame, rules: KatzRules = KatzRules(), text: str = "text")
             tokens, starts = tokens_of(batch.column(3))
             n = np.diff(starts)
             row, out = np.repeat(ids, n), np.repeat(held_rows, n)
-            symbols, bigram = bigram_keys(tokens, starts, words)
-            frequent = symbols < words.rare
-            log_base = np.where(frequent, words.base(counts[np.minimum(symbols, words.rare)]), 0.0)
-            log_pair = np.zeros(len(bigram))
-            known = np.zeros(len(bigram), dtype=bool)
+            before, codes = bigrams_of(tokens, starts, words)
+            frequent = codes < np.uint64(width)
+            log_base = np.where(frequent, words.base(counts[np.where(frequent, codes, np.uint64(width)).astype(np.int64)]), 0.0)
+            log_pair = np.zeros(len(codes))
+            known = np.zeros(len(codes), dtype=bool)
             if len(hot_keys):
-                at = np.minimum(np.searchsorted(hot_keys, bigram), len(hot_keys) - 1)
-                known = hot_keys[at] == bigram
-                log_pair[known] = backoffs.log_bigram(bigram[known], hot_counts[at[known]])
+                pairs = pair_keys(before, codes)
+                at = np.minimum(np.searchsorted(hot_keys, pairs), len(hot_keys) - 1)
+                known = hot_keys[at] == pairs
+                log_pair[known] = hot_logs[at[known]]
             if not size:
                 base = int(ids[0])
             for kind, keys, chosen in (
-                (BIGRAM_TOKENS, bigram, ~known), (WORDS_TRAINED, tokens, ~frequent & ~out), (WORDS_HELD, tokens, ~frequent & out)
+                (PAIRS_TRAINED, (before, codes), ~known & ~out), (PAIRS_HELD, (before, codes), ~known & out),
+                (WORDS_TRAINED, (tokens,), ~frequent & ~out),
+                (WORDS_COUNTED, (tokens,), ~frequent & out & known), (WORDS_HELD, (tokens,), ~frequent & out & ~known),
             ):
-                open_ones[kind].append((keys[chosen], row[chosen] - base))
+                open_ones[kind].append((*(k[chosen] for k in keys), row[chosen] - base))
                 size += int(chosen.sum())
             sums = [np.add.reduceat(x, starts[:-1]) for x in (frequent.astype(np.int64), log_base, log_pair)]
             columns = [batch.column(0), batch.column(1), pa.array(n), *(pa.array(x) for x in sums)]
@@ -466,8 +524,10 @@ def scored(docs: DataFrame, rules: KatzRules = KatzRules(), text: str = "text")
         F.monotonically_increasing_id().alias("__row"), "doc_id", held_out(F.col("doc_id")).alias("__held"), text
     )
     tokens = numbered.mapInArrow(look_up, StructType([StructField(f.name, f.dataType) for f in sent.fields]))
-    cold = bigrams.filter(F.col("count") < least).mapInArrow(cold_counts, BLOCK)
-    padded = cold.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in made.fields])
+    known_word = bigrams.filter(is_frequent(F.col("word"), width)).withColumn("word_count", F.lit(0).cast("long"))
+    cold = known_word.unionByName(rare).filter(~is_hot).mapInArrow(cold_counts, BLOCK)
+    others = contexts.filter(~is_frequent(F.col("context"), width)).mapInArrow(cold_contexts, BLOCK)
+    padded = cold.unionByName(others).select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in made.fields])
     dealt = tokens.unionByName(padded).repartition("part").sortWithinPartitions("part")
     replied = StructType([f for f in sent.fields if f.name not in ("part", "kind")])
     summed = StructType([f for f in made.fields if f.name != "__row"])
@@ -479,6 +539,20 @@ def scored(docs: DataFrame, rules: KatzRules = KatzRules(), text: str = "text")
     )
 
 
+def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """The columns of a few million rows at a time."""
+    held: list[list[np.ndarray]] = []
+    size = 0
+    for batch in batches:
+        held.append([np.asarray(c) for c in batch.columns])
+        size += len(batch)
+        if size >= FLUSH_TOKENS:
+            yield [np.concatenate(x) for x in zip(*held, strict=True)]
+            held, size = [], 0
+    if held:
+        yield [np.concatenate(x) for x in zip(*held, strict=True)]
+
+
 def pack_sums(rows: np.ndarray, known: np.ndarray, base: np.ndarray, log: np.ndarray) -> bytes:
     raw = rows.astype(np.uint32).tobytes() + known.astype(np.uint32).tobytes() + base.tobytes() + log.tobytes()
     return zstandard.ZstdCompressor(level=1).compress(raw)
@@ -493,28 +567,62 @@ def unpack_sums(data: bytes) -> tuple[np.ndarray, ...]:
 
 def answered(blocks: list[tuple[int, int, bytes]], words: Unigrams, backoffs: Backoff) -> Iterator[tuple[int, tuple]]:
     """Sums per text over the blocks of one part, by sender: rows, known tokens, base score, score."""
-    held: dict[int, list] = {k: [] for k in (BIGRAM_COUNTS, BIGRAM_TOKENS, WORDS_TRAINED, WORDS_HELD)}
+    held: dict[int, list] = {k: [] for k in range(WORDS_HELD + 1)}
     for kind, base, data in blocks:
-        held[kind].append((base, unpack(data)))
+        held[kind].append((base, data))
+    width = np.uint64(words.width)
     found: dict[int, list] = {}
-    if held[BIGRAM_TOKENS]:
-        keys = np.concatenate([np.zeros(0, np.uint64), *(x[0] for _, x in held[BIGRAM_COUNTS])])
-        counts = np.concatenate([np.zeros(0, np.int64), *(x[1] for _, x in held[BIGRAM_COUNTS])])
+
+    def table(kind: int, columns: int) -> list[np.ndarray]:
+        loaded = [unpack(data) for _, data in held.pop(kind)]
+        empty = [np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * columns]
+        return [np.concatenate(x) for x in zip(empty, *loaded, strict=True)]
+
+    if held[PAIRS_TRAINED] or held[PAIRS_HELD]:
+        loaded = [(np.array([2**64 - 1], np.uint64), *[np.zeros(1, np.uint32)] * 2)]
+        for _, data in held.pop(PAIR_COUNTS):
+            before, low, high, *values = unpack(data)
+            loaded.append((pair_keys(before, whole(low, high)), *(v.astype(np.uint32) for v in values)))
+        keys, counts, word_counts = (np.concatenate(x) for x in zip(*loaded, strict=True))
+        del loaded
         order = np.argsort(keys)
-        keys, counts = np.append(keys[order], np.uint64(2**64 - 1)), np.append(counts[order], 0)
-        for base, (bigram, row) in held[BIGRAM_TOKENS]:
-            at = np.searchsorted(keys, bigram)
-            logs = backoffs.log_bigram(bigram, np.where(keys[at] == bigram, counts[at], 0))
-            found.setdefault(base, []).append((row, np.zeros(len(row)), np.zeros(len(row)), logs))
-    rare = held[WORDS_TRAINED] + held[WORDS_HELD]
-    if rare:
-        keys, counts = counted(np.concatenate([x[0] for _, x in held[WORDS_TRAINED]] or [np.zeros(0, np.uint64)]))
-        keys, counts = np.append(keys, np.uint64(2**64 - 1)), np.append(counts, 0)
-        share = words.of_symbols()[-1]
-        for base, (tokens, row) in rare:
+        keys, counts, word_counts = keys[order], counts[order], word_counts[order]
+        contexts, totals, *rest = table(CONTEXTS, 5)
+        order = np.argsort(contexts)
+        contexts, totals = np.append(contexts[order], np.uint64(2**64 - 1)), np.append(totals[order], 0)
+        scales, weights = (np.append(whole(*x, np.float64)[order], 1.0) for x in (rest[:2], rest[2:]))
+        # Frequent contexts come first in all three, so that a code is its own place.
+        totals, scales, weights = (np.concatenate(x) for x in ((backoffs.counts, totals), (backoffs.scale, scales), (backoffs.weight, weights)))
+        log_frequent = np.log10(words.probability(words.counts))
+        for kind in (PAIRS_TRAINED, PAIRS_HELD):
+            for base, data in held[kind]:
+                before, low, high, row = unpack(data)
+                codes = whole(low, high)
+                pairs = pair_keys(before, codes)
+                at = np.searchsorted(keys, pairs)
+                hit = keys[at] == pairs
+                count = np.where(hit, counts[at], 0).astype(np.int64)
+                place = np.searchsorted(contexts, before)
+                place = np.where(contexts[place] == before, place, len(contexts) - 1) + words.width
+                place = np.where(before < width, before, place.astype(np.uint64)).astype(np.int64)
+                logs = np.log10(np.where(hit, backoffs.seen(count, totals[place], scales[place]), weights[place]))
+                # The unigram: of frequent words here; the part of any other held-out word adds it in all cases.
+                own = codes < width
+                below = ~hit & own
+                logs[below] += log_frequent[codes[below].astype(np.int64)]
+                if kind == PAIRS_HELD:
+                    above = hit & ~own
+                    logs[above] -= np.log10(words.probability(word_counts[at[above]]))
+                found.setdefault(base, []).append((row, np.zeros(len(row)), np.zeros(len(row)), logs))
+    trained = [(base, unpack(data)) for base, data in held[WORDS_TRAINED]]
+    keys, counts = counted(np.concatenate([np.zeros(0, np.uint64), *(x[0] for _, x in trained)]))
+    keys, counts = np.append(keys, np.uint64(2**64 - 1)), np.append(counts, 0)
+    for kind in (WORDS_TRAINED, WORDS_COUNTED, WORDS_HELD):
+        for base, (tokens, row) in trained if kind == WORDS_TRAINED else ((base, unpack(data)) for base, data in held[kind]):
             at = np.searchsorted(keys, tokens)
             count = np.where(keys[at] == tokens, counts[at], 0)
-            found.setdefault(base, []).append((row, count > 0, words.base(count), np.log10(words.probability(count) / share)))
+            logs = np.log10(words.probability(count)) if kind == WORDS_HELD else np.zeros(len(row))
+            found.setdefault(base, []).append((row, count > 0, words.base(count), logs))
     for base, parts in found.items():
         row, *values = (np.concatenate(x) for x in zip(*parts, strict=True))
         rows, at = np.unique(row, return_inverse=True)

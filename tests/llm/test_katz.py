@@ -90,6 +90,18 @@ def test_rare_words_keep_their_counts(docs):
     check(docs, [(i, t) for i, t, _ in DOCUMENTS], KatzRules(frequent=40, hot=10, part_tokens=3000))
 
 
+@pytest.mark.parametrize(("frequent", "hot"), [(40, 10), (40, 1 << 19), (1, 1), (1 << 19, 10)])
+def test_bounds_do_not_change_scores(docs, frequent, hot):
+    """Bigrams and contexts of words that are not broadcast keep their own counts."""
+    rows = [(i, t) for i, t, _ in DOCUMENTS]
+    model = Model([tokens(t) for i, t in rows if not is_held(i)])
+    pairs = [zip([None, *tokens(t)], tokens(t), strict=False) for _, t in rows]
+    want = sorted((str(i), sum(math.log10(model.two(a, b)) for a, b in p)) for (i, _), p in zip(rows, pairs, strict=True))
+    got = sorted((str(r["doc_id"]), r["score"]) for r in scored(docs, KatzRules(frequent=frequent, hot=hot, part_tokens=3000)).collect())
+    for a, b in zip(got, want, strict=True):
+        assert a == (b[0], pytest.approx(b[1], abs=1e-6))
+
+
 def test_every_context_sums_to_one():
     model = Model([tokens(t) for _, t, _ in DOCUMENTS])
     words = [*model.unigram, "never seen"]
