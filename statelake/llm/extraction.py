@@ -5,9 +5,9 @@ all pages sends one row per task. Partial wrappers are aligned in two steps (hos
 host), and the wrapper of each host goes back to its pages: by broadcast while all wrappers together
 are small, counted first, otherwise by a join on the host.
 
-The text is that of the slots the wrapper marks as main: below an article or main element, without
-menus, headers, footers, sidebars, notices, adverts, forms and comments; in a host without such
-elements the slots whose text varies. Blocks are joined by line ends in page order.
+The text is that of a page's main slots: below an article or main element, without menus, headers,
+footers, sidebars, notices, adverts, forms and comments; in a page without such elements the slots
+whose text varies over the host. Blocks are joined by line ends in page order.
 
 Defined cases: a NULL or empty page gives an empty text; a NULL or unreadable address is a host of its
 own; markup that never closes ends with the page; repeated rows give equal results; an empty table
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from statelake.llm.common import fit_python, stored
-from statelake.llm.wrappers import align, choose, extract, fold, parse, wrapper_of
+from statelake.llm.wrappers import align, choose_for, extract, fold, parse, wrapper_of
 
 SALTS = 64
 BROADCAST_BYTES = 16 * 1024 * 1024
@@ -110,7 +110,7 @@ def main_text(pages: DataFrame) -> DataFrame:
     joined = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host")).join(side, "host", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, tuple] = {}
+        known: dict[str, list] = {}
         for batch in batches:
             texts = []
             for source, text in zip(batch.column(2), batch.column(3), strict=True):
@@ -118,9 +118,9 @@ def main_text(pages: DataFrame) -> DataFrame:
                 if name not in known:
                     if len(known) >= HELD_HOSTS:
                         known.clear()
-                    wrapper = json.loads(name)
-                    known[name] = wrapper, choose(wrapper)
-                texts.append("\n".join(extract(page_items(source.as_py()), *known[name])))
+                    known[name] = json.loads(name)
+                items = page_items(source.as_py())
+                texts.append("\n".join(extract(items, known[name], choose_for(items))))
             columns = [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, ["page_id", "url", "text", "n_chars"])
 

@@ -186,10 +186,19 @@ def choose(wrapper: list) -> int | None:
     return next((k for k, wanted in enumerate(MAIN_TESTS) if _has(wrapper, wanted)), None)
 
 
+def choose_for(items: list) -> int | None:
+    """Which of ``MAIN_TESTS`` marks the main part of a page; the pages of a host may follow several templates."""
+
+    def has(own: list, wanted) -> bool:
+        return any(x[0] != TEXT and not is_aside(x[0]) and (wanted(x[0]) or any(has(i, wanted) for i in x[1])) for x in own)
+
+    return next((k for k, wanted in enumerate(MAIN_TESTS) if has(items, wanted)), None)
+
+
 def extract(items: list, wrapper: list, test: int | None, support: int = 3) -> list[str]:
     """The texts of a page that fall on main-text slots of its wrapper, in page order.
 
-    Below a main element every slot counts that no aside holds. A wrapper without such an element
+    Below a main element every slot counts that no aside holds. A page without such an element
     keeps the slots that vary from page to page once ``support`` pages were seen.
     """
     found: list[str] = []

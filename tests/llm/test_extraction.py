@@ -65,3 +65,14 @@ def test_without_main_elements_constant_slots_go():
     for s in sources[1:]:
         wrapper = align(wrapper, wrapper_of(page_items(s)))
     assert choose(wrapper) is None and extract(page_items(sources[2]), wrapper, None) == ["story 2"]
+
+
+def texts_of(spark, sources, url="http://mixed.example/"):
+    rows = [(k, url, s) for k, s in enumerate(sources)]
+    return [r["text"] for r in main_text(frame(spark, rows)).orderBy("page_id").collect()]
+
+
+def test_pages_of_one_host_with_several_templates(spark):
+    sources = ["<article><p>one</article><p>out", "<main><p>two</main><p>out", "<div class=content><p>three</div><p>out", "<p>four"]
+    for url in ("http://mixed.example/", None):
+        assert texts_of(spark, sources, url) == ["one", "two", "three", "four"]
