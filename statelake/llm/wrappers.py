@@ -162,6 +162,9 @@ def align(left: list, right: list) -> list:
 
 
 def _words(label: str) -> tuple[str, set[str]]:
+    """Tag and words of an element; the label of a folded group stands for no element and has none."""
+    if label.startswith("("):
+        return label, set()
     tag, *words = label.split(".")
     return tag, set(words)
 

@@ -76,3 +76,9 @@ def test_pages_of_one_host_with_several_templates(spark):
     sources = ["<article><p>one</article><p>out", "<main><p>two</main><p>out", "<div class=content><p>three</div><p>out", "<p>four"]
     for url in ("http://mixed.example/", None):
         assert texts_of(spark, sources, url) == ["one", "two", "three", "four"]
+
+
+def test_an_advert_in_a_repeated_group_drops_itself_only(spark):
+    article = "<article>" + "".join(f"<p>p{k}</p><div class='ad slot'>Buy!</div>" for k in range(3)) + "</article>"
+    content = "<div class='a'>no</div><div class='content x'>yes</div>" * 2
+    assert texts_of(spark, [article, content]) == ["p0\np1\np2", "yes\nyes"]
