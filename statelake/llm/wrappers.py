@@ -7,7 +7,8 @@ optional, and a slot whose text differs becomes a free text slot. Aligning all p
 number of steps, gives the host's wrapper.
 
 A wrapper node is a list ``[label, repeated, optional, pages, text, items]``; ``text`` is a hash while
-all pages agree on it, otherwise None. A page node is ``[label, instances]``, an instance being a list
+all pages agree on it, otherwise None, and ``pages`` are up to ``SUPPORT`` digests of the distinct pages
+that do. Pages of equal text beside what ``is_aside`` drops are one page. A page node is ``[label, instances]``, an instance being a list
 of page nodes, or a string for the label ``#``.
 """
 
@@ -22,6 +23,7 @@ import xxhash
 
 TEXT = "#"
 MAX_PERIOD = 4
+SUPPORT = 3
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(script|style|noscript|template|svg|iframe|object|textarea|select)\b[^>]*>.*?(?:</\1\s*>|\Z)"
@@ -119,17 +121,22 @@ def fold(nodes: list) -> list:
     return items
 
 
-def wrapper_of(items: list) -> list:
-    """The wrapper of one page's items."""
+def page_digest(items: list) -> int:
+    return xxhash.xxh64_intdigest("\n".join(extract(items, [], None))) >> 16
+
+
+def wrapper_of(items: list, page: int | None = None) -> list:
+    """The wrapper of one page's items, or of a part of the page with the digest ``page``."""
+    page = page_digest(items) if page is None else page
     result = []
     for label, instances in items:
         if label == TEXT:
-            result.append([label, 0, 0, 1, xxhash.xxh64_intdigest(instances[0]), []])
+            result.append([label, 0, 0, [page], xxhash.xxh64_intdigest(instances[0]), []])
             continue
-        body = wrapper_of(instances[0])
+        body = wrapper_of(instances[0], page)
         for other in instances[1:]:
-            body = align(body, wrapper_of(other))
-        result.append([label, int(len(instances) > 1), 0, 1, None, body])
+            body = align(body, wrapper_of(other, page))
+        result.append([label, int(len(instances) > 1), 0, [], None, body])
     return result
 
 
@@ -157,7 +164,8 @@ def align(left: list, right: list) -> list:
             continue
         a, b = left[i], right[j]
         text = a[4] if a[4] == b[4] else None
-        result.append([a[0], a[1] | b[1], a[2] | b[2], a[3] + b[3], text, align(a[5], b[5])])
+        pages = a[3] if text is None or a[3] == b[3] else sorted({*a[3], *b[3]})[:SUPPORT]
+        result.append([a[0], a[1] | b[1], a[2] | b[2], pages if text is not None else [], text, align(a[5], b[5])])
     return result
 
 
@@ -198,20 +206,20 @@ def choose_for(items: list) -> int | None:
     return next((k for k, wanted in enumerate(MAIN_TESTS) if has(items, wanted)), None)
 
 
-def extract(items: list, wrapper: list, test: int | None, support: int = 3) -> list[str]:
+def extract(items: list, wrapper: list, test: int | None, support: int = SUPPORT) -> list[str]:
     """The texts of a page that fall on main-text slots of its wrapper, in page order.
 
     Below a main element every slot counts that no aside holds. A page without such an element
-    keeps the slots that vary from page to page once ``support`` pages were seen.
+    keeps the slots that vary from page to page once ``support`` distinct pages (at most ``SUPPORT``) were seen.
     """
     found: list[str] = []
 
     def walk(own: list, of: list, inside: bool) -> None:
         places = {j: i for i, j in matched(of, own) if i is not None and j is not None}
         for j, (label, instances) in enumerate(own):
-            node = of[places[j]] if j in places else [label, 0, 1, 1, None, []]
+            node = of[places[j]] if j in places else [label, 0, 1, [], None, []]
             if label == TEXT:
-                fixed = test is None and node[3] >= support and node[4] is not None
+                fixed = test is None and len(node[3]) >= support and node[4] is not None
                 if inside and not fixed:
                     found.append(instances[0])
                 continue

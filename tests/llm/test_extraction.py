@@ -82,3 +82,12 @@ def test_an_advert_in_a_repeated_group_drops_itself_only(spark):
     article = "<article>" + "".join(f"<p>p{k}</p><div class='ad slot'>Buy!</div>" for k in range(3)) + "</article>"
     content = "<div class='a'>no</div><div class='content x'>yes</div>" * 2
     assert texts_of(spark, [article, content]) == ["p0\np1\np2", "yes\nyes"]
+
+
+def test_copies_and_repeats_of_a_page_are_no_support(spark):
+    copies = ["<body><h1>Title</h1><p>only</p><table><tr><td>x<td>x<td>x</table></body>"] * 5
+    assert texts_of(spark, copies) == ["Title\nonly\nx\nx\nx"] * 5
+    assert texts_of(spark, copies[:1]) == ["Title\nonly\nx\nx\nx"]
+    sides = [f"<body><nav>{k}</nav><p>only</p></body>" for k in range(4)]
+    assert texts_of(spark, sides) == ["only"] * 4
+    assert texts_of(spark, [f"<p>Welcome</p><div>story {k}</div>" for k in (1, 2, 2, 3)]) == ["story 1", "story 2", "story 2", "story 3"]
