@@ -50,6 +50,7 @@ ASIDE_WORDS = set(
     "sharing social related breadcrumb breadcrumbs pagination complementary contentinfo search login".split()
 )
 MAIN_TAGS = ("article", "main")
+NEVER_ASIDE = {"html", "body", *MAIN_TAGS}  # their classes speak of the page or of parts of it
 MAIN_WORDS = set("article content post entry main story".split())
 
 
@@ -179,7 +180,7 @@ def _words(label: str) -> tuple[str, set[str]]:
 
 def is_aside(label: str) -> bool:
     tag, words = _words(label)
-    return tag in ASIDE_TAGS or bool(words & ASIDE_WORDS)
+    return tag in ASIDE_TAGS or (tag not in NEVER_ASIDE and bool(words & ASIDE_WORDS))
 
 
 def _has(items: list, wanted) -> bool:

@@ -91,3 +91,11 @@ def test_copies_and_repeats_of_a_page_are_no_support(spark):
     sides = [f"<body><nav>{k}</nav><p>only</p></body>" for k in range(4)]
     assert texts_of(spark, sides) == ["only"] * 4
     assert texts_of(spark, [f"<p>Welcome</p><div>story {k}</div>" for k in (1, 2, 2, 3)]) == ["story 1", "story 2", "story 2", "story 3"]
+
+
+def test_classes_of_page_and_main_elements_make_no_aside(spark):
+    sources = [
+        "<html class='with-header'><body class='no-sidebar'><article class='post comments-open'><p>one</article></body></html>",
+        "<body class='has-sidebar'><main class='with-sidebar'><p>two</main></body>", "<body class='comments-open'><p>three</body>",
+    ]
+    assert texts_of(spark, sources) == ["one", "two", "three"]
