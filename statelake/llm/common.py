@@ -49,7 +49,7 @@ def source_key(source: Column) -> Column:
     return F.when(source.isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), source.cast("string")))
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """``df`` written once to the shared folder and scanned from there.
 
     Cuts the lineage, fixes generated row numbers, survives lost executors, and gives later joins
@@ -57,7 +57,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

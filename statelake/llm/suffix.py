@@ -20,8 +20,8 @@ judged on the input. Strips are compared by 64-bit hashes of anchor and content
 
 Defined cases: a NULL or text below 100 bytes loses nothing; rows of one id are ordered by their place
 in the table, so of repeated rows all but one lose every window; a NULL id comes first; an empty table
-gives an empty result; further columns are ignored. Row numbers are made twice, so the table must list
-its rows in the same order each time, as a scan of files does.
+gives an empty result; further columns are ignored. Numbered rows are written once, so all jobs see
+the same numbers whatever executors come and go.
 """
 
 from __future__ import annotations
@@ -247,7 +247,8 @@ def removed_spans(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataF
     """Numbered rows, and the byte spans ``(row, start, end)`` to remove, which may overlap."""
     fit_python(docs.sparkSession)
     order = F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST_ID))
-    numbered = docs.select(F.monotonically_increasing_id().alias("row"), order.alias("ord"), "doc_id", F.col(text).alias("text"))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), order.alias("ord"), "doc_id", F.col(text).alias("text"))
+    numbered = stored(rows, "numbered", "zstd")
     strips = numbered.select("row", "ord", "text").mapInArrow(cut, FOUND)
     sorted_strips = strips.repartition("anchor").sortWithinPartitions("anchor", "kind", "content", "ord", "row", "start")
     met = stored(sorted_strips.mapInArrow(meet, FOUND), "strips")

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from statelake.llm.induced import suffix_order
-from statelake.llm.suffix import repeats_in_shard, strips_of, without_repeats
+from statelake.llm.suffix import removed_spans, repeats_in_shard, strips_of, without_repeats
 from tests.llm.corpora import DOCUMENTS
 
 
@@ -76,3 +76,9 @@ def test_strips_hold_every_window_once():
     s = strips_of(data, at)
     got = sorted((t, int(a) + k) for t, a, w in zip(s["text"], s["start"], s["windows"], strict=True) for k in range(w))
     assert got == [(t, k) for t in range(4) for k in range(max(0, at[t + 1] - at[t] - 99))] and s["windows"].max() <= 85
+
+
+def test_row_numbers_are_made_once(docs):
+    numbered, spans = removed_spans(docs)
+    for df in (numbered, spans):
+        assert "monotonically_increasing_id" not in df._jdf.queryExecution().optimizedPlan().toString()
