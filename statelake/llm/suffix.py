@@ -10,13 +10,16 @@ windows can only lie in strips of one anchor. So strips are dealt out by anchor:
 2. strips meet by anchor, without their bytes. All but the first of equal strips are marked. Anchors
    with a single strip left are done;
 3. what remains are strips that agree in part. Their bytes are fetched, and the strips of whole anchors
-   are joined into shards, whose suffix and common-prefix arrays are built by induced sorting with
-   queues on disk, so a shard may be larger than memory. Runs of suffixes that share 100 bytes are
-   equal windows; all but the first of a run are marked;
+   are joined into shards of at most twice ``SHARD_BYTES``, whose suffix and common-prefix arrays are
+   built by induced sorting in memory (its queues can go to disk). Runs of suffixes that share 100 bytes
+   are equal windows; all but the first of a run are marked. An anchor with more than ``SHARD_BYTES`` of
+   strips is not sorted: its windows are dealt out by their own hash, after every task has dropped its
+   own copies, and meet as the strips do in step 2;
 4. marked windows become byte spans of their texts, which are cut out.
 
 A window is removed when an equal one starts earlier, in a smaller id or further ahead in the text,
-judged on the input. Strips are compared by 64-bit hashes of anchor and content together.
+judged on the input. Strips are compared by 64-bit hashes of anchor and content together, windows of
+large anchors by one 64-bit hash.
 
 Defined cases: a NULL or text below 100 bytes loses nothing; rows of one id are ordered by their place
 in the table, so of repeated rows all but one lose every window; a NULL id comes first; an empty table
@@ -243,7 +246,39 @@ def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield emit()
 
 
-def removed_spans(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
+def large_anchors(open_ones: DataFrame, most: int) -> DataFrame:
+    """Anchors with more than ``most`` bytes of open strips; at most one for so many bytes."""
+    size = F.sum(F.col("windows") + (LENGTH - 1))
+    return open_ones.groupBy("anchor").agg(size.alias("bytes")).filter(F.col("bytes") > most).select("anchor")
+
+
+def window_strips(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every window of strips with their bytes as a strip of its own, with its hash for an anchor.
+
+    The first of equal windows of a batch is kept, the others are marked right away.
+    """
+    for batch in batches:
+        if not len(batch):
+            continue
+        order, row, start, windows = (np.asarray(batch.column(i)).astype(np.int64) for i in (1, 2, 3, 4))
+        pieces = batch.column(5).to_pylist()
+        data = np.frombuffer(b"".join(pieces), dtype=np.uint8)
+        begins = np.concatenate([[0], np.cumsum([len(p) for p in pieces])[:-1]])
+        of = np.repeat(np.arange(len(windows)), windows)
+        offset = np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows)
+        at = begins[of] + offset
+        content = span_hashes(data, at, at + LENGTH).view(np.int64)
+        by, of, start = order[of], row[of], start[of] + offset
+        sort = np.lexsort((start, of, by, content))
+        again = np.zeros(len(sort), dtype=bool)
+        again[1:] = content[sort][1:] == content[sort][:-1]
+        first, later = sort[~again], sort[again]
+        one = np.ones(len(sort), dtype=np.int64)
+        yield _sent(STRIP, content[first], content[first], by[first], of[first], start[first], one[: len(first)])
+        yield _marked(of[later], start[later], one[: len(later)])
+
+
+def removed_spans(docs: DataFrame, text: str = "text", shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, DataFrame]:
     """Numbered rows, and the byte spans ``(row, start, end)`` to remove, which may overlap."""
     fit_python(docs.sparkSession)
     order = F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST_ID))
@@ -253,7 +288,7 @@ def removed_spans(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataF
     sorted_strips = strips.repartition("anchor").sortWithinPartitions("anchor", "kind", "content", "ord", "row", "start")
     met = stored(sorted_strips.mapInArrow(meet, FOUND), "strips")
     open_ones = met.filter(F.col("kind") == OPEN)
-    wanted = open_ones.groupBy("row").agg(F.collect_list(F.struct("anchor", "start", "windows")).alias("strips"))
+    large = stored(large_anchors(open_ones, shard_bytes), "large-anchors")
 
     piece = "anchor bigint, ord bigint, row bigint, start int, windows int, data binary"
     names = [c.split()[0] for c in piece.split(", ")]
@@ -270,17 +305,25 @@ def removed_spans(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataF
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds, strict=True)], names)
 
-    pieces = numbered.join(wanted, "row").select("row", "ord", "text", "strips").mapInArrow(fetch, piece)
-    dealt = pieces.repartition("anchor").sortWithinPartitions("anchor", "ord", "row", "start")
-    sorted_out = dealt.mapInArrow(shards, FOUND)
-    spans = met.filter(F.col("kind") == SPAN).unionByName(sorted_out)
+    def pieces(strips: DataFrame) -> DataFrame:
+        wanted = strips.groupBy("row").agg(F.collect_list(F.struct("anchor", "start", "windows")).alias("strips"))
+        return numbered.join(wanted, "row").select("row", "ord", "text", "strips").mapInArrow(fetch, piece)
+
+    some = not large.isEmpty()
+    small = open_ones.join(F.broadcast(large), "anchor", "left_anti") if some else open_ones
+    dealt = pieces(small).repartition("anchor").sortWithinPartitions("anchor", "ord", "row", "start")
+    spans = met.filter(F.col("kind") == SPAN).unionByName(dealt.mapInArrow(shards, FOUND))
+    if some:
+        own = pieces(open_ones.join(F.broadcast(large), "anchor", "left_semi")).mapInArrow(window_strips, FOUND)
+        sorted_windows = own.repartition("anchor").sortWithinPartitions("anchor", "kind", "content", "ord", "row", "start")
+        spans = spans.unionByName(sorted_windows.mapInArrow(meet, FOUND).filter(F.col("kind") == SPAN))
     end = F.col("start") + F.col("windows") + (LENGTH - 1)
     return numbered, spans.select("row", "start", end.alias("end"))
 
 
-def without_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
+def without_repeats(docs: DataFrame, text: str = "text", shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Every row with its size, the removed bytes and spans, the digest and bytes of what is kept."""
-    numbered, spans = removed_spans(docs, text)
+    numbered, spans = removed_spans(docs, text, shard_bytes)
     per_row = spans.groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
     made = StructType.fromDDL("n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")

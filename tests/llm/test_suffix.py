@@ -82,3 +82,15 @@ def test_row_numbers_are_made_once(docs):
     numbered, spans = removed_spans(docs)
     for df in (numbered, spans):
         assert "monotonically_increasing_id" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("most", [0, 20_000])
+def test_anchors_with_many_surroundings_are_dealt_by_window(spark, most):
+    rng = np.random.default_rng(9)
+    passage = "".join(rng.choice(list("abcdefgh"), 60))
+    sides = ["".join(rng.choice(list("abcdefgh"), 90)) for _ in range(40)]
+    rows = [(k, sides[rng.integers(40)] + passage + sides[rng.integers(40)]) for k in range(300)]
+    rows += [(k % 7, None if k % 3 else passage) for k in range(9)] + [(None, sides[0] + passage + sides[1])]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    got = sorted((tuple(r)[:5] for r in without_repeats(df, shard_bytes=most).collect()), key=str)
+    assert got == expected(rows)
