@@ -4,6 +4,7 @@ Not here: extraction (a tree), language-model scores (CRC-32), quality rules and
 the license scan (rolling hashes); their tests compare with brute force.
 """
 
+from statelake.llm import pii
 from statelake.llm.secrets import KINDS
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -21,6 +22,54 @@ def _found(number: int, kind: str) -> str:
         FROM documents) WHERE len(m) > 0"""
 
 
+def _pii_points(kind: str) -> str:
+    near = lambda words: f"regexp_matches(around, '(^|[^a-z])({words})([^a-z]|$)')"
+    return (
+        f"greatest(0, least(100, {pii.POINTS[kind]} + CASE WHEN {near(pii.CONTEXT[kind])} THEN {pii.SUPPORT} ELSE 0 END"
+        f" - CASE WHEN {near(pii.AGAINST)} THEN {pii.CONTRARY} ELSE 0 END))"
+    )
+
+
+def _pii_test(kind: str) -> str:
+    digits = "regexp_replace(m, '[^0-9]', '', 'g')"
+    luhn = (
+        f"list_sum(list_transform(range(1, length({digits}) + 1), lambda i: CAST(substr(CASE WHEN i % 2 = 1 THEN '0123456789'"
+        f" ELSE '0246813579' END, CAST(substr(reverse({digits}), i, 1) AS INTEGER) + 1, 1) AS INTEGER))) % 10 = 0"
+    )
+    code = "replace(m, ' ', '')"
+    turned = f"substr({code}, 5) || left({code}, 4)"
+    each = f"list_transform(range(1, length({code}) + 1), lambda i: ascii(substr({turned}, i, 1)))"
+    mod97 = f"list_reduce(list_prepend(0, {each}), lambda a, c: CASE WHEN c < 65 THEN a * 10 + c - 48 ELSE a * 100 + c - 55 END % 97) = 1"
+    tests = {
+        "email": "true",
+        "ip": rf"regexp_matches(m, '^{pii.OCTET}(\.{pii.OCTET}){{3}}$')",
+        "card": f"length({digits}) BETWEEN 16 AND 19 AND {luhn}",
+        "phone": f"length({digits}) BETWEEN 8 AND 15",
+        "iban": f"length({code}) BETWEEN 15 AND 34 AND {mod97}",
+        "shortcard": f"length({digits}) BETWEEN 13 AND 15 AND {luhn}",
+    }
+    added = f" AND apart AND {_pii_points(kind)} >= {pii.PiiRules.threshold}" if pii.ORDER.index(kind) >= pii.N_FIXED else ""
+    return tests.get(kind, "true") + added
+
+
+def _pii_found(name: str) -> str:
+    kinds = [name, "shortcard"] if name == "card" else [name]
+    pattern = pii.PATTERNS[name].replace("'", "''")
+    number = "CASE " + " ".join(f"WHEN {_pii_test(k)} THEN {pii.ORDER.index(k)}" for k in kinds) + " END"
+    points = "CASE " + " ".join(f"WHEN {_pii_test(k)} THEN {_pii_points(k)}" for k in kinds) + " END"
+    w = pii.PiiRules.window
+    return f"""
+      SELECT doc_id, {list(pii.PATTERNS).index(name)} AS pattern, s, e, {number} AS kind, {points} AS points FROM (
+        SELECT doc_id, m, s, e, translate(before || ' ' || after, '{_UPPER}', '{_LOWER}') AS around,
+               NOT regexp_matches(before, '[A-Za-z0-9]$') AND NOT regexp_matches(after, '^[A-Za-z0-9]') AS apart FROM (
+          SELECT doc_id, m[i] AS m, right(p[i], {w}) AS before, left(p[i + 1], {w}) AS after,
+                 list_sum(list_transform(p[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i-1], lambda x: length(x))), 0) AS s,
+                 list_sum(list_transform(p[1:i], lambda x: length(x))) + list_sum(list_transform(m[1:i], lambda x: length(x))) AS e FROM (
+            SELECT *, generate_subscripts(m, 1) AS i FROM (
+              SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{pattern}') AS m, string_split_regex(coalesce(text, ''), '{pattern}') AS p
+              FROM documents) WHERE len(m) > 0)))"""
+
+
 OP2 = """
 WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
 x AS (SELECT doc_id, octet_length(b) AS n, hex(b) AS h FROM d),
@@ -116,4 +165,24 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
 FROM q
 """
 
-ORACLE: dict[str, str] = {"op2_suffix": OP2, "op4_secrets": OP4, "op7_mixing": OP7, "op9_decontam": OP9, "op10_warc": OP10}
+_PII_NAMES = ", ".join(f"'{k}'" for k in pii.ORDER)
+OP11 = f"""
+WITH found AS ({" UNION ALL ".join(_pii_found(name) for name in pii.PATTERNS)}),
+placed AS (
+  SELECT *, max(CASE WHEN kind < {pii.N_FIXED} THEN e END) OVER (PARTITION BY doc_id ORDER BY s, pattern ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached
+  FROM found WHERE kind IS NOT NULL),
+named AS (
+  SELECT *, concat_ws(':', [{_PII_NAMES}][kind + 1], CAST(CAST(s AS BIGINT) AS VARCHAR), CAST(CAST(e AS BIGINT) AS VARCHAR)) AS t
+  FROM placed WHERE kind < {pii.N_FIXED} OR coalesce(reached, 0) <= s),
+rows AS (
+  SELECT doc_id, count_if(kind = 0) AS a, count_if(kind = 1) AS b, count_if(kind = 2) AS c, count_if(kind = 3) AS d,
+         count_if(kind >= {pii.N_FIXED}) AS added, max(points) AS top,
+         string_agg(CASE WHEN kind < {pii.N_FIXED} THEN t END, ',' ORDER BY kind, s) AS base, string_agg(t, ',' ORDER BY kind, s) AS everything
+  FROM named GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(a, 0) AS BIGINT) AS n_email, CAST(coalesce(b, 0) AS BIGINT) AS n_ip, CAST(coalesce(c, 0) AS BIGINT) AS n_card,
+       CAST(coalesce(d, 0) AS BIGINT) AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(everything, '') AS spans,
+       CAST(coalesce(added, 0) AS BIGINT) AS n_added, CAST(coalesce(top, 0) AS BIGINT) AS top_points
+FROM documents LEFT JOIN rows USING (doc_id)
+"""
+
+ORACLE: dict[str, str] = {"op2_suffix": OP2, "op4_secrets": OP4, "op7_mixing": OP7, "op9_decontam": OP9, "op10_warc": OP10, "op11_pii": OP11}

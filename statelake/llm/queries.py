@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from statelake.llm import decontam, extraction, katz, licenses, mixing, quality, secrets, simhash, suffix, warc
+from statelake.llm import decontam, extraction, katz, licenses, mixing, pii, quality, secrets, simhash, suffix, warc
 from statelake.llm.common import read_table
 
 
@@ -51,7 +51,11 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archived(read_table(spark, folder, "pages"))
 
 
+def op11_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.personal_data(read_table(spark, folder, "documents")).drop("found")
+
+
 def all_queries() -> dict:
     """Every query of this subpackage by name."""
-    named = [op1_extraction, op2_suffix, op3_katz, op4_secrets, op5_quality, op6_simhash, op7_mixing, op8_licenses, op9_decontam, op10_warc]
+    named = [op1_extraction, op2_suffix, op3_katz, op4_secrets, op5_quality, op6_simhash, op7_mixing, op8_licenses, op9_decontam, op10_warc, op11_pii]
     return {f.__name__: f for f in named}

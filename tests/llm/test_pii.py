@@ -1,0 +1,97 @@
+import hashlib
+import re
+import time
+
+import duckdb
+import pytest
+
+from statelake.llm.oracle import OP11
+from statelake.llm.pii import ORDER, PiiRules, personal_data
+from tests.llm.corpora import DOCUMENTS
+
+TEXTS = [
+    (100, "a@b.c_d@e.f mail bob@x.org; 1.2.3.4.5.6.7.8 and 256.1.1.1 and 001.02.3.255", "a"),
+    (101, "card 4111 1111 1111 1111, amex 378282246310005 or 378282246310006", "a"),
+    (102, "iban GB82 WEST 1234 5698 7654 32 or DE89370400440532013000, not DE89370400440532013001", "b"),
+    (103, "ssn 123-45-6789 but, after a very long stretch of words in which nothing is said, 123-45-6780", "b"),
+    (104, "call (201) 555-0123 today, and now for something that is quite different: order (201) 555-0199. +1 201 555 0123 and +1 2 3", "b"),
+    (105, "é😀 4111-1111-1111-1111 é😀 x1@y2.z3 +49 (30) 901820", None),
+    (106, "Example card 378282246310005", "a"),
+    (107, "0" * 16 + " 4111111111111111111111 1 2 3 4 5 6 7 8 9 0 1 2 3 4 5 6", "a"),
+    (108, "a@b..c @d.e f@g.h.i.j- k@-l.m-", "a"),
+]
+
+
+def base(text):
+    found = [("email", m) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    found += [("ip", m) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if max(map(int, m.group().split("."))) <= 255]
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        digits = [int(c) for c in reversed(m.group()) if c.isdigit()]
+        if 16 <= len(digits) <= 19 and sum(sum(divmod(2 * d, 10)) if i % 2 else d for i, d in enumerate(digits)) % 10 == 0:
+            found.append(("card", m))
+    found += [("phone", m) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text) if 8 <= sum(c.isdigit() for c in m.group()) <= 15]
+    return [(k, m.start(), m.end()) for k in ORDER for kind, m in found if kind == k]
+
+
+@pytest.fixture(scope="module")
+def texts(spark, docs):
+    more = spark.createDataFrame(TEXTS, "doc_id bigint, text string, source string")
+    return docs.select("doc_id", "text", "source").unionByName(more)
+
+
+def test_base_spans(texts, docs):
+    want = []
+    for i, text, _ in DOCUMENTS + TEXTS:
+        spans = base(text or "")
+        digest = hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in spans).encode()).hexdigest()
+        want.append((i, *[sum(s[0] == k for s in spans) for k in ORDER[:4]], digest))
+    columns = ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256"]
+    got = [tuple(r) for r in personal_data(texts).select(*columns).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert personal_data(docs).count() == len(DOCUMENTS)
+
+
+def test_equals_sql(spark, texts):
+    named = texts.filter("doc_id is not null").dropDuplicates()  # the SQL joins by id
+    documents = named.toPandas()  # noqa: F841
+    want = duckdb.sql(OP11).fetchall()
+    got = [tuple(r) for r in personal_data(named).drop("found").collect()]
+    assert sorted(got) == sorted(want)
+
+
+def added(texts, rules=PiiRules()):
+    rows = personal_data(texts, rules).select("doc_id", "found").collect()
+    return {r["doc_id"]: [(ORDER[s["kind"]], s["points"]) for s in r["found"] if s["kind"] >= 4] for r in rows}
+
+
+def test_checksums_and_context_decide_on_added_spans(texts):
+    found = added(texts)
+    assert found[101] == [("shortcard", 80)]  # the other one fails Luhn
+    assert found[102] == [("iban", 100), ("iban", 70)]  # the third fails modulo 97
+    assert found[103] == [("ssn", 60)]  # no word that speaks for the second
+    assert found[104] == [("localphone", 60)]  # contrary word, then inside a fixed span
+    assert found[106] == [("shortcard", 50)]
+
+
+def test_threshold_and_window(texts):
+    assert added(texts, PiiRules(threshold=101)) == {i: [] for i in added(texts)}
+    assert added(texts, PiiRules(window=2))[103] == []
+
+
+def test_long_texts_without_separators_take_linear_time(spark):
+    n = 300_000
+    rows = [(1, "x" * n), (2, "1" * n), (3, "a@" * n), (4, "a@b.c" * (n // 5)), (5, "1.1" * (n // 3)), (6, "+1" * n), (7, "1 " * n), (8, "0." * n)]
+    began = time.time()
+    got = {r["doc_id"]: r for r in personal_data(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    assert time.time() - began < 60
+    for i, text in rows:
+        assert got[i]["base_sha256"] == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in base(text)).encode()).hexdigest() if i > 2 else got[i]["spans"] == ""
+
+
+def test_empty_table(no_docs):
+    assert personal_data(no_docs).count() == 0
+
+
+def test_no_python_runs(texts):
+    plan = personal_data(texts)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
