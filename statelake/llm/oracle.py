@@ -185,4 +185,63 @@ SELECT doc_id, CAST(coalesce(a, 0) AS BIGINT) AS n_email, CAST(coalesce(b, 0) AS
 FROM documents LEFT JOIN rows USING (doc_id)
 """
 
-ORACLE: dict[str, str] = {"op2_suffix": OP2, "op4_secrets": OP4, "op7_mixing": OP7, "op9_decontam": OP9, "op10_warc": OP10, "op11_pii": OP11}
+
+
+def crc32_sql(text: str) -> str:
+    """CRC-32 of an ASCII text, bit by bit."""
+    bit = "list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: xor(c >> 1, (c & 1) * 3988292384))"
+    codes = f"list_transform(range(1, length({text}) + 1), lambda i: CAST(ascii(substr({text}, i, 1)) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {codes}), lambda a, b: {bit}), 4294967295)"
+
+
+def _field(value: str) -> str:
+    return f"coalesce(CAST(strlen(CAST({value} AS VARCHAR)) AS VARCHAR) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _level(tree: str, k: int) -> str:
+    """Level k + 1 of a tree, and the siblings of every node of level k."""
+    return f"""
+{tree}{k + 1} AS (
+  SELECT part, place // 16 AS place, CASE WHEN any_value(size) > 1 THEN sha256(string_agg(node, '' ORDER BY place)) ELSE any_value(node) END AS node,
+         (any_value(size) + 15) // 16 AS size FROM {tree}{k} GROUP BY part, place // 16),
+{tree}s{k} AS (
+  SELECT part, place, size > 1 AS inner_node,
+         coalesce(string_agg(node, '') OVER (PARTITION BY part, place // 16 ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+         coalesce(string_agg(node, '') OVER (PARTITION BY part, place // 16 ORDER BY place ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM {tree}{k})"""
+
+
+def _op12(levels: int = 6, top_levels: int = 4) -> str:
+    head = [_field(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    leaf = lambda text: f"sha256({' || '.join([*head, _field(text)])})"
+    steps = [("t", k) for k in range(levels)] + [("u", k) for k in range(top_levels)]
+    folds, before = [], "altered"
+    for i, (tree, k) in enumerate(steps):
+        folds.append(f"f{i} AS (SELECT *, CASE WHEN {tree}{k}i THEN sha256({tree}{k}l || {before} || {tree}{k}r) ELSE {before} END AS h{i} FROM {'joined' if not i else f'f{i - 1}'})")
+        before = f"h{i}"
+    joins = "".join(f" JOIN ts{k} ON ts{k}.part = b.part AND ts{k}.place = b.place // {16 ** k}" for k in range(levels))
+    joins += "".join(f" JOIN us{k} ON us{k}.place = p.place // {16 ** k}" for k in range(top_levels))
+    columns = ", ".join(f"{t}s{k}.inner_node AS {t}{k}i, {t}s{k}.l AS {t}{k}l, {t}s{k}.r AS {t}{k}r" for t, k in steps)
+    proof = " || ".join(f"CASE WHEN {t}{k}i THEN {t}{k}l || {t}{k}r ELSE '' END" for t, k in steps)
+    count = " + ".join(f"CAST({t}{k}i AS BIGINT)" for t, k in steps)
+    return f"""
+WITH hashed AS (
+  SELECT doc_id, CASE WHEN source IS NULL THEN '0' ELSE '1' || source END AS part, {leaf("text")} AS leaf,
+         CASE WHEN doc_id IS NOT NULL AND {crc32_sql("CAST(doc_id AS VARCHAR)")} % 5 = 0
+              THEN {leaf(f"translate(text, '{_UPPER}', '{_LOWER}')")} ELSE {leaf("text")} END AS altered FROM documents),
+b AS (SELECT *, row_number() OVER (PARTITION BY part ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY part) AS size FROM hashed),
+t0 AS (SELECT part, place, leaf AS node, size FROM b),{",".join(_level("t", k) for k in range(levels))},
+p AS (SELECT part AS source_part, node, row_number() OVER (ORDER BY part) - 1 AS place, count(*) OVER () AS size FROM t{levels}),
+u0 AS (SELECT 0 AS part, place, node, size FROM p),{",".join(_level("u", k) for k in range(top_levels))},
+joined AS (
+  SELECT b.doc_id, leaf, altered, p.node AS subroot, (SELECT node FROM u{top_levels}) AS root, {columns}
+  FROM b JOIN p ON p.source_part = b.part{joins}),
+{", ".join(folds)}
+SELECT doc_id, leaf, subroot, root, sha256({proof}) AS proof_sha256, {before} AS folded_root, {before} = root AS verified, {count} AS n_steps
+FROM f{len(steps) - 1}
+"""
+
+
+OP12_SQL = _op12()
+
+ORACLE: dict[str, str] = {"op2_suffix": OP2, "op4_secrets": OP4, "op7_mixing": OP7, "op9_decontam": OP9, "op10_warc": OP10, "op11_pii": OP11, "op12_merkle": OP12_SQL}
