@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statelake.llm.common import stored
-from statelake.llm.ranks import ranked
+from statelake.llm.ranks import dealt, placed
 
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -153,21 +153,25 @@ def _one(df: DataFrame, column: str) -> int:
 def manifest(docs: DataFrame, rules: TreeRules = TreeRules()) -> DataFrame:
     """One row per row of ``docs``: its leaf, subroot, root, the digest of its proof, the root that the
     (tampered) leaf folds to, whether that is the root, and the number of hashes on the way."""
-    placed = ranked(
-        stored(leaves(docs, rules), "merkle-leaves"), ["part"], [F.col("doc_id").asc_nulls_first(), F.col("leaf")], label="merkle-placed"
-    ).select("part", F.col("__place").alias("place"), F.col("__size").alias("size"), F.col("leaf").alias("node"), "doc_id", "altered")
-    placed = stored(placed, "merkle-ranked")
-    largest = _one(placed, "size")
-    subroots, levels = climb(placed, largest, rules, F.struct("doc_id", "altered"))
+    hashed = stored(leaves(docs, rules), "merkle-leaves")
+    sorted_rows = dealt(hashed, ["part"], [F.col("doc_id").asc_nulls_first(), F.col("leaf")], "merkle-dealt")
+    bottom = stored(
+        placed(sorted_rows, ["part"]).select(
+            "part", F.col("__place").alias("place"), F.col("__size").alias("size"), F.col("leaf").alias("node"), "doc_id", "altered"
+        ),
+        "merkle-bottom",
+    )
+    largest = _one(bottom, "size")
+    subroots, levels = climb(bottom, largest, rules, F.struct("doc_id", "altered"))
 
     subroots = stored(subroots.select("part", "node"), "merkle-subroots")
-    sources = ranked(subroots, [], [F.col("part")], label="merkle-sources")
+    sources = placed(dealt(subroots, [], [F.col("part")], "merkle-sources"), [])
     upper = stored(
         sources.select(F.lit("").alias("part"), F.col("__place").alias("place"), F.col("__size").alias("size"), "node", F.col("part").alias("source")),
         "merkle-upper",
     )
     above, root = paths_above(upper, rules)
-    found = placed.filter("size = 1").join(above, "part").select(F.col("node").alias("leaf"), "doc_id", "altered", "top", "path")
+    found = bottom.filter("size = 1").join(above, "part").select(F.col("node").alias("leaf"), "doc_id", "altered", "top", "path")
     if levels:
         proven = descend(above, levels, rules)[0]
         found = found.unionByName(proven.select(F.col("node").alias("leaf"), "payload.doc_id", "payload.altered", "top", "path"))

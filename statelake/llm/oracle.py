@@ -244,4 +244,31 @@ FROM f{len(steps) - 1}
 
 OP12_SQL = _op12()
 
-ORACLE: dict[str, str] = {"op2_suffix": OP2, "op4_secrets": OP4, "op7_mixing": OP7, "op9_decontam": OP9, "op10_warc": OP10, "op11_pii": OP11, "op12_merkle": OP12_SQL}
+OP13_SQL = f"""
+WITH t AS (
+  SELECT conv_id, turn, length(coalesce(text, '')) AS n,
+         sha256(CAST(strlen(coalesce(role, '')) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, '')) AS c
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT conv_id, list(c || ':' || CAST(n AS VARCHAR) ORDER BY turn NULLS FIRST, substr(c, 1, 1) < '8', substr(c, 1, 16), substr(c, 17, 1) < '8', substr(c, 17, 16)) AS l
+  FROM t GROUP BY conv_id),
+headed AS (SELECT *, {crc32_sql("CAST(conv_id AS VARCHAR)")} % 6 AS h FROM own),
+built AS (SELECT o.conv_id, list_concat(coalesce(b.l[1:h], []), o.l[h + 1:]) AS l FROM headed o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 100),
+r AS (
+  SELECT conv_id, d, md5(array_to_string(l[1:d], ',')) AS k, md5(array_to_string(l[1:d - 1], ',')) AS up,
+         CASE WHEN d > 0 THEN CAST(split_part(l[d], ':', 2) AS BIGINT) ELSE 0 END AS n, d = len(l) AS ends
+  FROM (SELECT *, unnest(range(0, len(l) + 1)) AS d FROM built)),
+node AS (
+  SELECT d, k, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(up) AS up, any_value(n) AS n,
+         string_agg(CASE WHEN ends THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id) AS ids FROM r GROUP BY d, k),
+kids AS (SELECT d - 1 AS d, up AS k, count(*) AS n_children FROM node WHERE d > 0 GROUP BY d, up),
+known AS (SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN kids USING (d, k)),
+below AS (
+  SELECT r.d, r.k, sum((u.n_convs - 1) * u.n) AS saved, count_if(u.n_children = 0) AS leaves
+  FROM known u JOIN r ON r.conv_id = u.conv_id AND r.d <= u.d GROUP BY r.d, r.k)
+SELECT known.conv_id, CAST(known.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, known.n_convs, CAST(known.n_children AS BIGINT) AS n_children,
+       CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(known.ids, '')) AS ends_sha256
+FROM known JOIN below USING (d, k) LEFT JOIN known p ON known.d > 0 AND p.d = known.d - 1 AND p.k = known.up
+"""
+
+ORACLE: dict[str, str] = {"op2_suffix": OP2, "op4_secrets": OP4, "op7_mixing": OP7, "op9_decontam": OP9, "op10_warc": OP10, "op11_pii": OP11, "op12_merkle": OP12_SQL, "op13_trie": OP13_SQL}

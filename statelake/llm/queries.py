@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from statelake.llm import decontam, extraction, katz, licenses, merkle, mixing, pii, quality, secrets, simhash, suffix, warc
+from statelake.llm import decontam, extraction, katz, licenses, merkle, mixing, pii, quality, secrets, simhash, suffix, trie, warc
 from statelake.llm.common import read_table
 
 
@@ -59,7 +59,11 @@ def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.manifest(read_table(spark, folder, "documents"))
 
 
+def op13_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie.prefix_trie(read_table(spark, folder, "conversations"))
+
+
 def all_queries() -> dict:
     """Every query of this subpackage by name."""
-    named = [op1_extraction, op2_suffix, op3_katz, op4_secrets, op5_quality, op6_simhash, op7_mixing, op8_licenses, op9_decontam, op10_warc, op11_pii, op12_merkle]
+    named = [op1_extraction, op2_suffix, op3_katz, op4_secrets, op5_quality, op6_simhash, op7_mixing, op8_licenses, op9_decontam, op10_warc, op11_pii, op12_merkle, op13_trie]
     return {f.__name__: f for f in named}

@@ -16,32 +16,38 @@ from pyspark.sql import functions as F
 from statelake.llm.common import stored
 
 
-def ranked(df: DataFrame, group: Sequence[str], order: Sequence[Column], sums: Mapping[str, str] | None = None, label: str = "ranked") -> DataFrame:
-    """``df`` with ``__place`` (0-based place in its group), ``__size`` (rows of the group) and, for
-    every ``new: old`` of ``sums``, the sum of ``old`` up to and with the row; written to the shared folder.
+def dealt(df: DataFrame, group: Sequence[str], order: Sequence[Column], label: str) -> DataFrame:
+    """``df``, written in ranges of group and order, with the range (``__range``) and a number that
+    ascends in this order over all rows (``__at``, without gaps inside a range).
 
-    Group columns must not be NULL. ``df`` is scanned twice (range bounds are sampled), so it should
-    be a written table or a cheap plan.
+    ``df`` is scanned twice (range bounds are sampled), so it should be a written table or a cheap plan.
     """
-    sums = dict(sums or {})
-    dealt = df.withColumn("__scan", F.monotonically_increasing_id()).repartitionByRange(*[F.col(c) for c in group], *order, "__scan")
-    in_order = dealt.sortWithinPartitions(*[F.col(c) for c in group], *order, "__scan").drop("__scan")
-    fixed = stored(in_order.withColumn("__range", F.spark_partition_id()).withColumn("__at", F.monotonically_increasing_id()), label)
-    totals = fixed.groupBy(*group, "__range").agg(
-        F.count("*").alias("__rows"), F.min("__at").alias("__first"), *[F.sum(old).alias(f"__sum_{new}") for new, old in sums.items()]
-    )
-    ranges = Window.partitionBy(*group).orderBy("__range")
-    earlier = ranges.rowsBetween(Window.unboundedPreceding, -1)
-    before = totals.select(
-        *group, "__range", "__first",
-        F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__before"),
-        F.sum("__rows").over(Window.partitionBy(*group)).alias("__size"),
-        *[F.coalesce(F.sum(f"__sum_{new}").over(earlier), F.lit(0)).alias(f"__before_{new}") for new in sums],
-    )
-    if sums:
-        inside = Window.partitionBy("__range", *group).orderBy("__at").rowsBetween(Window.unboundedPreceding, 0)
-        fixed = fixed.withColumns({new: F.sum(old).over(inside) for new, old in sums.items()})
-    joined = fixed.join(before, ["__range", *group])
-    return joined.withColumns(
-        {"__place": F.col("__before") + F.col("__at") - F.col("__first")} | {new: F.col(new) + F.col(f"__before_{new}") for new in sums}
-    ).select(*df.columns, *sums, "__place", "__size")
+    keys = [*[F.col(c) for c in group], *order, F.col("__scan")]
+    spread = df.withColumn("__scan", F.monotonically_increasing_id()).repartitionByRange(*keys)
+    numbered = spread.sortWithinPartitions(*keys).drop("__scan")
+    return stored(numbered.withColumn("__range", F.spark_partition_id()).withColumn("__at", F.monotonically_increasing_id()), label)
+
+
+def _earlier(totals: DataFrame, group: Sequence[str], sums: Sequence[str]) -> DataFrame:
+    """Per range and group, the sums over the earlier ranges of the group."""
+    before = Window.partitionBy(*group).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    return totals.withColumns({c: F.coalesce(F.sum(c).over(before), F.lit(0)) for c in sums})
+
+
+def placed(fixed: DataFrame, group: Sequence[str]) -> DataFrame:
+    """``dealt`` rows with ``__place``, 0-based, and ``__size`` in their group, which must not be NULL."""
+    totals = fixed.groupBy(*group, "__range").agg(F.count("*").alias("__size"), F.count("*").alias("__before"), F.min("__at").alias("__first"))
+    whole = totals.withColumn("__size", F.sum("__size").over(Window.partitionBy(*group)))
+    joined = fixed.join(_earlier(whole, group, ["__before"]), ["__range", *group])
+    place = F.col("__before") + F.col("__at") - F.col("__first")
+    return joined.withColumn("__place", place).select(*fixed.columns, "__place", "__size")
+
+
+def running(fixed: DataFrame, group: Sequence[str], sums: Mapping[str, str]) -> DataFrame:
+    """``dealt`` rows with, for every ``new: old`` of ``sums``, the sum of ``old`` up to and with the row."""
+    totals = fixed.groupBy(*group, "__range").agg(*[F.sum(old).alias(f"__sum_{new}") for new, old in sums.items()])
+    before = _earlier(totals, group, [f"__sum_{new}" for new in sums])
+    inside = Window.partitionBy("__range", *group).orderBy("__at").rowsBetween(Window.unboundedPreceding, 0)
+    local = fixed.withColumns({new: F.sum(old).over(inside) for new, old in sums.items()})
+    joined = local.join(before, ["__range", *group])
+    return joined.select(*fixed.columns, *[(F.col(new) + F.col(f"__sum_{new}")).alias(new) for new in sums])

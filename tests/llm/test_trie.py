@@ -1,0 +1,98 @@
+import hashlib
+import zlib
+
+import duckdb
+import pytest
+
+from statelake.llm import trie
+from statelake.llm.oracle import OP13_SQL
+from statelake.llm.trie import TrieRules, prefix_trie
+
+
+def reference(role, text):
+    content = hashlib.sha256(f"{len(role.encode())}:{role}{text}".encode()).digest()
+    return tuple(int.from_bytes(content[i : i + 8], "big", signed=True) for i in (0, 8))
+
+
+def brute(rows):
+    convs = {}
+    for c, turn, role, text in rows:
+        if c is not None:
+            convs.setdefault(c, []).append((turn is not None, turn or 0, *reference(role or "", text or ""), role or "", text or ""))
+    convs = {c: [t[4:] for t in sorted(ts)] for c, ts in convs.items()}
+    built = {}
+    for c, own in convs.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        built[c] = convs.get(c - (abs(c) % 100) * (1 if c >= 0 else -1), [])[:h] + own[h:]
+    members = {}
+    for c, ts in built.items():
+        for d in range(len(ts) + 1):
+            members.setdefault(tuple(ts[:d]), []).append(c)
+    out = []
+    for node, ids in members.items():
+        below = [n for n in members if n[: len(node)] == node]
+        leaves = [n for n in below if not any(m[:-1] == n for m in below if m)]
+        saved = sum((len(members[n]) - 1) * len(n[-1][1]) for n in below if n)
+        ends = ",".join(str(c) for c in sorted(ids) if len(built[c]) == len(node))
+        parent = min(members[node[:-1]]) if node else None
+        children = sum(1 for m in members if len(m) == len(node) + 1 and m[:-1] == node)
+        out.append((min(ids), len(node), parent, len(ids), children, len(leaves), saved, hashlib.sha256(ends.encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def corpus():
+    rows = []
+    for c in [*range(0, 40), *range(100, 130), *range(205, 225), -3, -250]:  # 200 is absent
+        for t in range(c * 7 % 9 + (1 if c * 7 % 9 == 0 else 0)):
+            rows.append((c, t, "user" if t % 2 == 0 else "assistant", f"turn {t} of {c % 3 if t < 4 else c % 5} é😀"))
+    rows += [(300, None, None, None), (300, 1, "", ""), (300, 1, "user", "a"), (300, 1, "user", "a"), (300, 0, None, "x")]
+    rows += [(301, 5, "user", "a"), (302, None, "us", "era"), (303, 1, "user", "a"), (None, 0, "user", "lost"), (399, 0, None, None)]
+    return rows
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(*r, 1, 2) for r in rows], "conv_id bigint, turn bigint, role string, text string, depth int, k1 int").repartition(3)
+
+
+def found(frame, rules=TrieRules()):
+    return sorted(map(tuple, prefix_trie(frame, rules).collect()), key=str)
+
+
+def test_equals_brute_force(spark):
+    assert found(table(spark, corpus())) == brute(corpus())
+
+
+def test_columns(spark):
+    kinds = prefix_trie(table(spark, corpus()[:4])).dtypes
+    names = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens"]
+    assert kinds == [(n, "bigint") for n in names] + [("ends_sha256", "string")]
+
+
+def test_long_conversation_and_many_equal_ones(spark):
+    rows = [(7, t, "user", f"t{t // 2}") for t in range(150)]
+    rows += [(1000 + c, 0, "user", "same") for c in range(200) if c % 100] + [(5000, 0, "user", "w" * 1_000_000)]
+    assert found(table(spark, rows)) == brute(rows)
+
+
+def test_ids_of_a_node_are_hashed_in_order_over_chunks(spark, monkeypatch):
+    monkeypatch.setattr(trie, "CHUNK", 3)
+    rows = [(100 * c, 0, "user", "same") for c in range(50)]
+    assert found(table(spark, rows)) == brute(rows)
+
+
+def test_clashing_fingerprints_are_noticed_and_mended(spark, monkeypatch):
+    honest = TrieRules.base
+    monkeypatch.setattr(TrieRules, "base", lambda self, j: 1 if self.seed == 0 else honest(self, j))  # sums that forget the order
+    rows = [(0, 0, "u", "a"), (0, 1, "u", "b"), (100, 0, "u", "b"), (100, 1, "u", "a"), (200, 0, "u", "a")]
+    assert found(table(spark, rows)) == brute(rows)
+    with pytest.raises(RuntimeError):
+        prefix_trie(table(spark, rows), TrieRules(tries=1))
+
+
+def test_empty_table(spark):
+    assert prefix_trie(table(spark, corpus()).filter("1 = 0")).count() == 0
+
+
+def test_equals_sql(spark):
+    conversations = table(spark, corpus()).toPandas().convert_dtypes()  # noqa: F841
+    assert sorted(duckdb.sql(OP13_SQL).fetchall(), key=str) == brute(corpus())
