@@ -39,25 +39,32 @@ def local_if_small(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
 
 
 def _from_positions(rows: list[Row]) -> Column:
-    """A record is new when it is past its partition's position, or its partition has none."""
+    """The condition of ``resume`` over a few positions, in plain comparisons."""
     new = F.lit(False)
     known = F.lit(False)
     for row in rows:
         here = (F.col("topic") == row["topic"]) & (F.col("partition") == row["partition"])
         known = known | here
         new = new | (here & (F.col("offset") >= row["next_offset"]))
-    return new | ~known
+    unknown = ~known | F.col("topic").isNull() | F.col("partition").isNull()
+    return new | (unknown & (F.col("offset") >= 0))
 
 
 def resume(log: DataFrame, positions: DataFrame) -> DataFrame:
-    """The part of ``log`` at or after the stored positions; unknown partitions count from zero.
+    """The part of ``log`` at or after the stored positions.
+
+    A record whose partition has no position, or whose topic or partition is NULL, counts from zero; a
+    position without an offset is zero, one without a topic or partition concerns nobody; of several
+    positions of a partition the furthest counts; a record without an offset is never new.
 
     The positions are counted first. Few of them become a filter of plain comparisons, which reaches
     the scan of a log in files. Up to ``MAX_BROADCAST_POSITIONS`` they travel by broadcast and
-    the log is filtered where it lies; above that the join shuffles.
+    the log is filtered where it lies; above that the join shuffles. All three keep the same rows.
     """
-    small, fits = local_if_small(positions.select(*_SLOT, "next_offset"), MAX_BROADCAST_POSITIONS)
-    if fits and (rows := small.limit(MAX_LITERAL_POSITIONS + 1).collect()) and len(rows) <= MAX_LITERAL_POSITIONS:
+    named = positions.filter(F.col("topic").isNotNull() & F.col("partition").isNotNull())
+    furthest = named.groupBy(*_SLOT).agg(F.coalesce(F.max("next_offset"), F.lit(0)).alias("next_offset"))
+    small, fits = local_if_small(furthest, MAX_BROADCAST_POSITIONS)
+    if fits and len(rows := small.limit(MAX_LITERAL_POSITIONS + 1).collect()) <= MAX_LITERAL_POSITIONS:
         return log.filter(_from_positions(rows))
     side = F.broadcast(small) if fits else small
     joined = log.join(side, _SLOT, "left")

@@ -221,6 +221,15 @@ FROM wide WHERE order_delivered_customer_date IS NOT NULL GROUP BY 1""",
 SELECT log.topic, log."partition", log."offset" FROM log LEFT JOIN positions p
   ON p.topic = log.topic AND p."partition" = log."partition"
 WHERE log."offset" >= coalesce(p.next_offset, 0)""",
+    "log_resume_null_slots": f"""{_LOG},
+dealt AS (
+  SELECT slots, CASE WHEN "offset" % 7 > 0 THEN topic END AS topic, CAST(CASE WHEN "offset" % 11 > 0 THEN "offset" % slots END AS INTEGER) AS "partition",
+         "offset", ingestion_time FROM log, (VALUES (4), (300)) v(slots)),
+known AS (
+  SELECT slots, topic, "partition", max("offset") + 1 AS next_offset FROM dealt
+  WHERE ingestion_time < TIMESTAMP '2024-01-16' GROUP BY ALL)
+SELECT slots, d.topic, d."partition", d."offset" FROM dealt d LEFT JOIN known k USING (slots, topic, "partition")
+WHERE d."offset" >= coalesce(k.next_offset, 0)""",
     "log_advance": f"{_LOG}, {_POSITIONS} {_ADVANCED}",
     "stored_offsets": f"{_LOG}, {_POSITIONS} {_ADVANCED}",
     "lifecycle_unpivot": _lifecycle(_STAGES),

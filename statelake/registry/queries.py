@@ -317,6 +317,19 @@ def log_resume(spark, folder):
     return rest.select("topic", "partition", "offset")
 
 
+@query
+def log_resume_null_slots(spark, folder):
+    """Records without topic or partition, resumed over a few positions and over more than fit a filter."""
+    parts = []
+    for slots in (4, 300):
+        topic = F.when(F.col("offset") % 7 > 0, F.col("topic"))
+        partition = F.when(F.col("offset") % 11 > 0, F.col("offset") % slots).cast("int")
+        log = deliveries(spark, folder).withColumns({"topic": topic, "partition": partition})
+        positions = next_offsets(log.filter("ingestion_time < timestamp'2024-01-16'"))
+        parts.append(resume(log, positions).select(F.lit(slots).alias("slots"), "topic", "partition", "offset"))
+    return parts[0].unionByName(parts[1])
+
+
 @query
 def log_advance(spark, folder):
     """Stored positions moved on by a batch in which one partition was silent."""

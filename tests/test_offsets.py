@@ -33,6 +33,17 @@ def test_resume_with_and_without_broadcast(spark, monkeypatch):
     assert rows(resume(log(spark), stored)) == expected
 
 
+def test_null_slots_count_alike_at_every_number_of_positions(spark):
+    records = [("t", 0, 1), ("t", 0, 9), (None, 0, 4), ("t", None, 5), (None, None, 6), ("t", 7000, 0), ("t", 7000, None), (None, 0, -1), ("t", 0, None)]
+    awkward = [("t", 0, 3), ("t", 0, 9), ("t", 0, None), (None, 0, 50), ("t", None, 50), ("u", 3, None)]
+    frame = spark.createDataFrame([*records, ("u", 3, 0)], LOG)
+    expected = {("t", 0, 9), (None, 0, 4), ("t", None, 5), (None, None, 6), ("t", 7000, 0), ("u", 3, 0)}
+    for others in (2, 300):
+        stored = spark.createDataFrame(awkward + [("v", k, 1) for k in range(others)], POSITIONS)
+        got = [tuple(r) for r in resume(frame, stored).collect()]
+        assert set(got) == expected and len(got) == len(expected)
+
+
 def test_resume_from_nothing_reads_all(spark):
     assert resume(log(spark), spark.createDataFrame([], POSITIONS)).count() == 4
 
