@@ -9,8 +9,8 @@ and joins the key, which makes the keys selective:
 * second segment equal, and one of three pieces of the first;
 * first segment with one wildcard, and one of two pieces of the second.
 
-Fingerprints meet by equality of a key and are verified. A key fixes at least 43 bits, so a group has
-at most 2**21 members whatever the corpus; large groups look their neighbours up by flipping bits
+Fingerprints meet by equality of a key and are verified. A key fixes at least 42 bits, so a group has
+at most 2**22 members whatever the corpus; large groups look their neighbours up by flipping bits
 instead of comparing all pairs. Copies share a fingerprint and enter as one. Links become components
 by star contraction.
 
@@ -29,6 +29,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from statelake.llm.common import fit_python, stored
 from statelake.llm.components import components
@@ -58,17 +59,19 @@ def fingerprint(text: str | None) -> int:
     return int(np.packbits(2 * bits > len(found), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``(doc_id, fp)`` for every row."""
+def fingerprints(docs: DataFrame, text: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """``(doc_id, fp)`` for every row, with the columns ``carry``."""
     fit_python(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.array([fingerprint(t.as_py()) for t in batch.column(1)], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+            columns = [batch.column(0), pa.array(found.view(np.int64)), *batch.columns[2:]]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fp", *carry])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", text).mapInArrow(run, f"doc_id {kind}, fp bigint")
+    sent = docs.select("doc_id", text, *carry)
+    kinds = [("doc_id", sent.schema[0].dataType), ("fp", LongType()), *((f.name, f.dataType) for f in sent.schema[2:])]
+    return sent.mapInArrow(run, StructType([StructField(*k) for k in kinds]))
 
 
 def signatures(fps: np.ndarray) -> np.ndarray:
@@ -163,14 +166,16 @@ def links(distinct: DataFrame) -> DataFrame:
     return grouped.mapInArrow(verify, "u bigint, v bigint").distinct()
 
 
+def _rooted(classes: DataFrame) -> DataFrame:
+    """``classes`` (``fp`` and more) with the ``root`` of the component of each."""
+    joined = components(links(classes.select("fp")))
+    return classes.join(joined, classes["fp"] == joined["node"], "left").withColumn("root", F.coalesce("root", "fp")).drop("node")
+
+
 def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     """``(doc_id, fingerprint, component_id)`` for every row."""
     marked = stored(fingerprints(docs, text), "fingerprints")
-    classes = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    joined = components(links(classes))
-    rooted = classes.join(joined, classes["fp"] == joined["node"], "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
+    rooted = _rooted(marked.groupBy("fp").agg(F.min("doc_id").alias("least")))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     labels = rooted.join(least, "root").select("fp", "component_id")
     return marked.join(labels, "fp").select(
@@ -179,12 +184,18 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The document with the smallest id of every component, once.
+    """One row of every component: that with the smallest id, of rows with this id the one whose text has
+    the smallest hash. So rows that share an id but belong to different components all stay.
 
-    A NULL id is kept only where its component has no other id. The join on the id also brings
-    repeated rows together, of which the first by text stays.
+    A NULL id is kept only where its component has no other id. Of rows equal in id and text one stays.
     """
-    found = near_duplicates(docs, text).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    firsts = found.select(F.col("doc_id").alias("__kept"), F.lit(True).alias("__first")).distinct()
-    kept = docs.join(firsts, docs["doc_id"].eqNullSafe(firsts["__kept"])).drop("__kept", "__first")
-    return kept.dropDuplicates(["doc_id"])
+    content = [F.xxhash64(F.col(text)), F.xxhash64(F.lit("again"), F.col(text))]
+    identity = F.struct(F.col("doc_id").isNull().alias("nameless"), F.col("doc_id").alias("id"), content[0].alias("a"), content[1].alias("b"))
+    packed = docs.select(F.struct(*docs.columns).alias("__doc"), "doc_id", text, identity.alias("__who"))
+    marked = stored(fingerprints(packed, text, ("__who",)), "fingerprints")
+    firsts = _rooted(marked.groupBy("fp").agg(F.min("__who").alias("first"))).groupBy("root").agg(F.min("first").alias("first"))
+    same = F.xxhash64(F.col("first.id").isNull(), "first.id", "first.a", "first.b")
+    chosen = firsts.select("first", same.alias("__key")).distinct()
+    keyed = packed.select("__doc", "__who", F.xxhash64(F.col("__who.id").isNull(), "__who.id", "__who.a", "__who.b").alias("__key"))
+    kept = keyed.join(chosen, (keyed["__key"] == chosen["__key"]) & keyed["__who"].eqNullSafe(chosen["first"])).drop(chosen["__key"])
+    return kept.dropDuplicates(["__key", "__who"]).select("__doc.*")

@@ -6,7 +6,7 @@ import xxhash
 
 from statelake.llm.components import components
 from statelake.llm.simhash import fingerprint, links, links_within, near_duplicates, one_of_each, signatures
-from tests.llm.corpora import DOCUMENTS, WORD, lower
+from tests.llm.corpora import CLEAN, DOCUMENTS, LONG, WORD, lower
 
 
 def print_of(text):
@@ -96,5 +96,12 @@ def test_one_of_each(docs):
     assert len(ids) == len(set(ids)) and 4 in ids and 5 not in ids and 1 in ids and 2 not in ids
 
 
+def test_rows_that_share_an_id_but_no_text_all_stay(spark):
+    other = "nothing of what stands here occurs in any of the other texts of this small table of three"
+    rows = [(1, LONG, "a"), (1, CLEAN, "b"), (2, other, "c"), (1, CLEAN, "d"), (None, LONG, "e"), (None, "one more", "f")]
+    kept = one_of_each(spark.createDataFrame(rows, "doc_id int, text string, __key string")).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept) == sorted([(1, LONG), (1, CLEAN), (2, other), (0, "one more")])
+
+
 def test_empty_table(no_docs):
     assert near_duplicates(no_docs).count() == 0 and one_of_each(no_docs).count() == 0
