@@ -157,7 +157,7 @@ def current_state(
 
 
 def silver_table(path: str, rules: SilverRules = OFFSET_RULES) -> SnapshotTable:
-    return SnapshotTable(path, rules.schema, "event_date")
+    return SnapshotTable(path, rules.schema, "event_date", key="order_id")
 
 
 def refresh_silver(

@@ -9,6 +9,9 @@ file system renames exclusively; an object store does not, and needs a lock from
 This is a directory, a pointer and the rewriting of touched days, and no more: histories, expiry and
 compaction are left to table providers.
 
+A table with a ``key`` keeps every file sorted by it and with Bloom filters on it. An upsert of few
+keys then looks them up by value: row groups whose value range or filter rules them out are not read.
+
 The manifest has one row per partition value (days, for the tables here) and is the only thing that
 passes through the driver; ``MAX_PARTITIONS`` bounds it.
 """
@@ -18,10 +21,11 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
-from collections.abc import Collection
+from collections.abc import Collection, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegralType, StructType
 
@@ -32,7 +36,13 @@ from statelake.sources.paths import child_names, delete, publish_text, read_text
 MAX_PARTITIONS = 100_000
 # Keys of a source written in no more bytes than this filter the table by broadcast.
 FEW_BYTES = 64 * 1024 * 1024
+# Up to so many keys are looked up by value; more are joined.
+FEW_KEYS = 512
+# Small row groups let a lookup skip more; the Bloom filter of each is as large as its keys need, at most this.
+ROW_GROUP_BYTES = 32 * 1024 * 1024
+BLOOM_BYTES = 1024 * 1024
 PARTITION_TYPES = (DateType, IntegralType)
+_IN_PUSHED = "spark.sql.parquet.pushdown.inFilterThreshold"
 _NULL_VALUE = "__HIVE_DEFAULT_PARTITION__"
 _WHOLE = ""
 
@@ -43,11 +53,13 @@ def _null_last(value: object) -> tuple[bool, str]:
 
 @dataclass(frozen=True)
 class SnapshotTable:
-    """Where a table lives and what it looks like."""
+    """Where a table lives and what it looks like; ``key`` is the column that lookups go by."""
 
     root: str
     schema: StructType
     partition_by: str | None = None
+    key: str | None = None
+    row_group_bytes: int = ROW_GROUP_BYTES
 
     def __post_init__(self) -> None:
         if self.partition_by and not isinstance(self.schema[self.partition_by].dataType, PARTITION_TYPES):
@@ -127,11 +139,11 @@ class SnapshotTable:
         if self.partition_by:
             # The rebalance hint gathers small partitions into full files and, unlike a plain
             # repartition, lets adaptive execution split a day that holds most of the rows.
-            rows.hint("rebalance", self.partition_by).write.partitionBy(self.partition_by).parquet(target)
+            self._writer(rows.hint("rebalance", self.partition_by)).partitionBy(self.partition_by).parquet(target)
             prefix = f"{self.partition_by}="
             written = [n.removeprefix(prefix) for n in child_names(spark, target) if n.startswith(prefix)]
         else:
-            rows.hint("rebalance").write.parquet(target)
+            self._writer(rows.hint("rebalance")).parquet(target)
             written = [_WHOLE]
         entries = {**keep, **{part: token for part in written}}
         if len(entries) > MAX_PARTITIONS:
@@ -140,6 +152,19 @@ class SnapshotTable:
         publish_text(spark, self._manifest_path(version), json.dumps(entries, indent=0, sort_keys=True))
         return written
 
+    def _writer(self, rows: DataFrame) -> DataFrameWriter:
+        if self.key is None:
+            return rows.write
+        order = [c for c in (self.partition_by, self.key) if c]
+        # Setting names of the Parquet writer.
+        options = {
+            f"parquet.bloom.filter.enabled#{self.key}": "true",
+            "parquet.bloom.filter.adaptive.enabled": "true",
+            "parquet.bloom.filter.max.bytes": str(BLOOM_BYTES),
+            "parquet.block.size": str(self.row_group_bytes),
+        }
+        return rows.sortWithinPartitions(*order).write.options(**options)
+
     def _manifest_path(self, version: int) -> str:
         return f"{self.root}/manifest/{version:010d}.json"
 
@@ -187,11 +212,37 @@ def upsert(
         empty = spark.createDataFrame([], table.schema)
         return table.values(table.replace(changed_rows(empty, source, keys, guard, update_columns, None, unique_source)))
     with materialized(source, "source") as fixed:
-        current = table.read(spark)
         few = input_bytes(fixed) <= FEW_BYTES
-        changes = changed_rows(current, fixed, keys, guard, update_columns, table.partition_by, unique_source, few)
-        with materialized(changes, "changes") as changed:
-            return _apply(table, fixed, changed, keys, set(delete_missing_in or ()), delete_column, note_changes)
+        values = few_values(fixed, table.key) if few and table.key in keys else None
+        with looked_up(table.read(spark), table.key, values) as current:
+            changes = changed_rows(current, fixed, keys, guard, update_columns, table.partition_by, unique_source, few)
+            with materialized(changes, "changes") as changed:
+                return _apply(table, fixed, changed, keys, set(delete_missing_in or ()), delete_column, note_changes)
+
+
+def few_values(df: DataFrame, column: str, most: int = FEW_KEYS) -> list[object] | None:
+    """The distinct values of ``column`` but NULL, or None when there are more than ``most``."""
+    rows = df.select(column).filter(F.col(column).isNotNull()).distinct().limit(most + 1).collect()
+    return None if len(rows) > most else [row[0] for row in rows]
+
+
+@contextmanager
+def looked_up(df: DataFrame, column: str | None, values: list[object] | None) -> Iterator[DataFrame]:
+    """The rows of ``df`` whose ``column`` is one of ``values``; all rows when these are None.
+
+    While the block runs, the values reach the Parquet reader one by one. Spark would push down
+    no more than their range if there are more than a handful.
+    """
+    if values is None:
+        yield df
+        return
+    spark = df.sparkSession
+    before = spark.conf.get(_IN_PUSHED)
+    spark.conf.set(_IN_PUSHED, str(max(int(before), len(values))))
+    try:
+        yield df.filter(F.col(column).isin(values) if values else F.lit(False))
+    finally:
+        spark.conf.set(_IN_PUSHED, before)
 
 
 def _apply(
