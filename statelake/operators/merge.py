@@ -140,11 +140,12 @@ def changed_rows(
     locate: str | None = None,
     unique_source: bool = False,
     few: bool = False,
+    remember: Sequence[str] = (),
 ) -> DataFrame:
     """Only the rows a merge inserts or updates, in their final form.
 
     With ``locate`` the column ``__old_<locate>`` tells where an updated row lies now (NULL for an
-    insert), and ``__updated`` tells the two apart. One join from the source to the target, of which
+    insert), and ``__updated`` tells the two apart. Columns to ``remember`` get an old value likewise. One join from the source to the target, of which
     only the columns are read that the update does not replace. ``few`` says that the keys of the
     source are known to be small: they are then broadcast to cut the target down where it lies. NULL
     keys match nothing; they pass by the join, so they never gather in a task.
@@ -169,14 +170,13 @@ def changed_rows(
         elif column not in updated:
             value = F.when(inserted, value).otherwise(F.col(f"t.{column}"))
         output.append(value.alias(column))
-    if locate:
-        output.append(F.col(f"t.{locate}").alias(f"{_OLD}{locate}"))
+    kept = list(dict.fromkeys([*([locate] if locate else []), *remember]))
+    output += [F.col(f"t.{c}").alias(f"{_OLD}{c}") for c in kept]
     output.append(F.col(f"t.{_HERE}").isNotNull().alias("__updated"))
     passed = [
         (F.col(c) if c in source.columns else F.lit(None).cast(target.schema[c].dataType)).alias(c) for c in target.columns
     ]
-    if locate:
-        passed.append(F.lit(None).cast(target.schema[locate].dataType).alias(f"{_OLD}{locate}"))
+    passed += [F.lit(None).cast(target.schema[c].dataType).alias(f"{_OLD}{c}") for c in kept]
     passed.append(F.lit(False).alias("__updated"))
     return joined.select(*output).unionByName(nameless.select(*passed))
 

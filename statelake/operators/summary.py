@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +37,47 @@ def daily_summary(
     return daily.withColumn("delivery_rate", safe_ratio(part, "total_orders"))
 
 
+def count_changes(changed: DataFrame, removed: DataFrame | None, by: Sequence[str]) -> DataFrame:
+    """What a change does to the row counts per ``by``: ``(*by, change)`` where the change is not zero.
+
+    ``changed`` has the new values, ``__updated``, and the old ones of updated rows as ``__old_<name>``;
+    ``removed`` are rows that go. Each task adds up its own rows first.
+    """
+    one = F.lit(1).cast("long")
+    images = changed.select(*by, one.alias("change")).unionByName(
+        changed.filter("__updated").select(*[F.col(f"__old_{c}").alias(c) for c in by], (-one).alias("change"))
+    )
+    if removed is not None:
+        images = images.unionByName(removed.select(*by, (-one).alias("change")))
+    return images.groupBy(*by).agg(F.sum("change").alias("change")).filter("change <> 0")
+
+
+def apply_changes(counts: DataFrame, changes: DataFrame, by: Sequence[str], count: str = "orders") -> DataFrame:
+    """``counts`` with all ``changes`` added; groups that end at zero are gone, one below zero is an error."""
+    both = counts.select(*by, count).unionByName(changes.select(*by, F.col("change").alias(count)))
+    summed = both.groupBy(*by).agg(F.sum(count).alias(count))
+    broken = F.raise_error(F.lit(f"changes take more rows away than were counted by {tuple(by)}"))
+    return summed.filter(F.when(F.col(count) < 0, broken.cast("boolean")).otherwise(F.col(count) > 0))
+
+
+def summary_of_counts(
+    counts: DataFrame,
+    date: str = "event_date",
+    status: str = "current_status",
+    count: str = "orders",
+    wanted: Mapping[str, str] = STATUS_COLUMNS,
+    part: str = "delivered_orders",
+    with_other: bool = False,
+) -> DataFrame:
+    """``daily_summary`` from row counts by day and status."""
+    total = lambda condition: F.coalesce(F.sum(F.when(condition, F.col(count))), F.lit(0))
+    sums = [F.sum(count).alias("total_orders"), *[total(F.col(status) == value).alias(alias) for alias, value in wanted.items()]]
+    if with_other:
+        sums.append(total(~F.coalesce(F.col(status).isin(*wanted.values()), F.lit(False))).alias("other_orders"))
+    daily = counts.groupBy(F.col(date).alias("order_date")).agg(*sums)
+    return daily.withColumn("delivery_rate", safe_ratio(part, "total_orders"))
+
+
 def daily_revenue(
     orders: DataFrame,
     payments: DataFrame,

@@ -6,10 +6,12 @@ import datetime as dt
 from collections.abc import Collection, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from statelake.functions.clocks import clock
-from statelake.operators.summary import STATUS_COLUMNS, daily_summary
-from statelake.schemas import GOLD_SCHEMA
+from statelake.operators.merge import and_changed
+from statelake.operators.summary import STATUS_COLUMNS, apply_changes, daily_summary, summary_of_counts
+from statelake.schemas import COUNTS_SCHEMA, GOLD_SCHEMA
 from statelake.session import sized
 from statelake.sources.snapshots import MAX_PARTITIONS, SnapshotTable, upsert
 from statelake.sources.tables import merge_into, read_table
@@ -65,8 +67,74 @@ def refresh_gold(
     return bool(changed)
 
 
-def _stored_days(spark: SparkSession, gold: SnapshotTable) -> set[object]:
-    rows = gold.read(spark).select("order_date").limit(MAX_PARTITIONS + 1).collect()
+# What the state table has to count changes by for ``refresh_gold_by_changes``.
+COUNTED_BY = ("event_date", "current_status")
+
+
+def counts_table(path: str) -> SnapshotTable:
+    """Orders by day and status; a few thousand rows, replaced whole."""
+    return SnapshotTable(path, COUNTS_SCHEMA)
+
+
+def refresh_counts(spark: SparkSession, silver: SnapshotTable, counts: SnapshotTable) -> bool:
+    """Bring ``counts`` up to the last commit of ``silver``; returns whether rows of the state were counted.
+
+    Normally the commits since the last refresh are taken in by what each wrote about its changes, in
+    one commit of ``counts`` that also holds the number of the last commit taken in. So a run that dies
+    and is repeated, before or after that commit, takes every change in exactly once. The state itself
+    is counted the first time, and when a commit is found that wrote no changes.
+    """
+    version = silver.version(spark)
+    known = counts.read(spark)
+    applied = known.agg(F.max("version")).first()[0]
+    if applied == version:
+        return False
+    changes = None if applied is None or applied > version else silver.count_changes_since(spark, applied)
+    with sized(spark, paths=(silver.root,) if changes is None else (counts.root,)):
+        if changes is None:
+            fresh = silver.read(spark).groupBy(*COUNTED_BY).agg(F.count("*").alias("orders"))
+        else:
+            fresh = apply_changes(known, changes, COUNTED_BY)
+        counts.replace(fresh.withColumn("version", F.lit(version).cast("long")))
+    silver.drop_count_changes(spark, version)
+    return changes is None
+
+
+def refresh_gold_by_changes(
+    spark: SparkSession,
+    silver: SnapshotTable,
+    counts: SnapshotTable,
+    gold: SnapshotTable,
+    as_of: dt.datetime | str | Column | None = None,
+    wanted: Mapping[str, str] = STATUS_COLUMNS,
+    prune_missing: bool = False,
+) -> bool:
+    """As ``refresh_gold``, without reading the state: its cost is that of the changes.
+
+    The summary of all days follows from ``counts``; days whose numbers are stored already stay as they
+    are, which also makes good a run that died between the two tables. ``silver`` has to be a table with
+    ``count_by=COUNTED_BY``.
+    """
+    if tuple(silver.count_by) != COUNTED_BY:
+        raise ValueError(f"the state table has to count its changes by {COUNTED_BY}")
+    notes, _ = silver.noted_changes(spark)
+    refresh_counts(spark, silver, counts)
+    summary = summary_of_counts(counts.read(spark), wanted=wanted).withColumn("updated_at", clock(as_of)).select(*GOLD_SCHEMA.names)
+    numbers = [c for c in GOLD_SCHEMA.names if c not in ("order_date", "updated_at")]
+    stored, days = _stored_days(spark, gold), _stored_days(spark, summary)
+    doomed = stored - days if prune_missing else set()
+    doomed |= stored & days & {None}  # a row without a day matches none, so the old one goes
+    changed = upsert(
+        gold, summary, ["order_date"], and_changed(numbers, "TRUE"), [*numbers, "updated_at"],
+        delete_missing_in=doomed, delete_column="order_date", unique_source=True,
+    )
+    silver.drop_notes(spark, notes)
+    return bool(changed)
+
+
+def _stored_days(spark: SparkSession, gold: SnapshotTable | DataFrame) -> set[object]:
+    summary = gold.read(spark) if isinstance(gold, SnapshotTable) else gold
+    rows = summary.select("order_date").limit(MAX_PARTITIONS + 1).collect()
     if len(rows) > MAX_PARTITIONS:
         raise ValueError(f"the summary holds more than {MAX_PARTITIONS} days; name the days to refresh")
     return {row["order_date"] for row in rows}

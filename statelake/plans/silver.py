@@ -156,8 +156,9 @@ def current_state(
     return to_state_rows(latest_events(typed, rules), rules, as_of)
 
 
-def silver_table(path: str, rules: SilverRules = OFFSET_RULES) -> SnapshotTable:
-    return SnapshotTable(path, rules.schema, "event_date", key="order_id")
+def silver_table(path: str, rules: SilverRules = OFFSET_RULES, count_by: tuple[str, ...] = ()) -> SnapshotTable:
+    """The state table; with ``count_by`` it also writes how each upsert changes the counts of these groups."""
+    return SnapshotTable(path, rules.schema, "event_date", key="order_id", count_by=count_by)
 
 
 def refresh_silver(

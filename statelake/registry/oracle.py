@@ -71,10 +71,10 @@ _SILVER_COLUMNS = [
 ]
 
 
-def _merged(guard: str) -> str:
+def _merged(guard: str, sides: str = _SIDES) -> str:
     take = f"t.order_id IS NULL OR (s.order_id IS NOT NULL AND coalesce({guard}, FALSE))"
     columns = ",\n  ".join(f"CASE WHEN {take} THEN s.{c} ELSE t.{c} END AS {c}" for c in _SILVER_COLUMNS)
-    return f"""{_SIDES}
+    return f"""{sides}
 SELECT coalesce(t.order_id, s.order_id) AS order_id,
   {columns}
 FROM tgt t FULL OUTER JOIN src s ON t.order_id = s.order_id"""
@@ -273,6 +273,12 @@ FROM ({_silver(_latest('deduped', _BY_INGESTION), '2024-02-01', 'order_status')}
   CAST(floor(epoch(run)) AS BIGINT) - CAST(floor(epoch(ingestion_time)) AS BIGINT) AS lag_sec,
   CAST(run AS DATE) AS raw_date, CAST(0 AS INTEGER) AS raw_hour FROM runs""",
     "silver_table_two_refreshes": _merged("s.event_time >= t.event_time"),
+    "silver_table_last_hours": _merged(
+        "s.event_time >= t.event_time",
+        f"""{_LOG},
+tgt AS ({_silver(_latest("deduped", where=_EARLY), "2024-02-01")}),
+src AS ({_silver(_latest("deduped", where="original_event_time >= TIMESTAMP '2024-01-30 12:00:00'"), "2024-02-02")})""",
+    ),
     "gold_table_refresh": f"""{_LOG},
 tgt AS ({_silver(_latest("deduped", where="event_type <> 'CANCELLED'"), "2024-02-01")}),
 src AS ({_silver(_latest("deduped", where="event_type = 'CANCELLED'"), "2024-02-02")}),
@@ -306,5 +312,10 @@ SELECT order_id, event_type, event_time, event_type AS current_status, CAST(even
 FROM ({_latest('deduped')})""",
 }
 
+ORACLE["gold_by_changes"] = ORACLE["gold_table_refresh"].replace(
+    _daily("SELECT * FROM state"),
+    _daily("SELECT * FROM state WHERE NOT (event_date = DATE '2024-01-30' AND current_status = 'CANCELLED')"),
+)
+
 # An interrupted run leaves no trace once the next one has ended.
 ORACLE["gold_after_interrupted_run"] = ORACLE["gold_table_refresh"]

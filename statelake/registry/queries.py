@@ -21,7 +21,7 @@ from statelake.operators.merge import and_changed, merge_rows, not_older
 from statelake.operators.offsets import advance_offsets, next_offsets, resume
 from statelake.operators.sampling import child_rows, stratified_sample
 from statelake.operators.summary import cancellation_rate, daily_revenue, daily_summary, delivery_time
-from statelake.plans.gold import daily_order_summary, gold_table, refresh_gold
+from statelake.plans.gold import COUNTED_BY, counts_table, daily_order_summary, gold_table, refresh_gold, refresh_gold_by_changes
 from statelake.plans.ingest import ingest_bronze, offset_table, to_bronze
 from statelake.plans.profile import profile_table
 from statelake.plans.sample import write_sample
@@ -44,6 +44,7 @@ from statelake.schemas import EVENT_FIELDS, GOLD_SCHEMA, LOG_SCHEMA
 from statelake.session import begin_query, scratch_path
 from statelake.sources import tables
 from statelake.sources.files import read_bronze, read_csv, write_csv
+from statelake.sources.snapshots import upsert
 from statelake.streaming.bronze import stream_bronze
 from statelake.streaming.silver import STREAM_RULES, stream_silver
 
@@ -483,6 +484,41 @@ def gold_table_refresh(spark, folder):
     return gold.read(spark).drop("updated_at")
 
 
+@query
+def silver_table_last_hours(spark, folder):
+    """State table after a run over the early kinds of events and one over the last half day, whose few
+    orders are looked up by key as long as they are few."""
+    silver = silver_table(scratch_path(spark, "silver"))
+    raw = inputs.bronze(spark, folder)
+    refresh_silver(spark, raw.filter(F.col("event_type").isin("ORDER_CREATED", "PAYMENT_APPROVED", "SHIPPED")), silver, FOLD_RULES, FIRST_RUN)
+    last = raw.filter(F.col("original_event_time") >= "2024-01-30T12:00")
+    refresh_silver(spark, last, silver, FOLD_RULES, SECOND_RUN)
+    return plain(silver.read(spark))
+
+
+@query
+def gold_by_changes(spark, folder):
+    """The summary kept up by counts of changed rows: orders move, some are removed, a run is repeated."""
+    silver = silver_table(scratch_path(spark, "silver"), count_by=COUNTED_BY)
+    counts, gold = counts_table(scratch_path(spark, "counts")), gold_table(scratch_path(spark, "gold"))
+    raw = inputs.bronze(spark, folder)
+    late = raw.filter("event_type = 'CANCELLED'")
+
+    def summed(at):
+        refresh_gold_by_changes(spark, silver, counts, gold, at, prune_missing=True)
+
+    refresh_silver(spark, raw.filter("event_type <> 'CANCELLED'"), silver, FOLD_RULES, FIRST_RUN)
+    summed(FIRST_RUN)
+    refresh_silver(spark, late, silver, FOLD_RULES, SECOND_RUN)
+    summed(SECOND_RUN)
+    refresh_silver(spark, late, silver, FOLD_RULES, SECOND_RUN)  # the same events again
+    last_day = dt.date(2024, 1, 30)
+    left = silver.read(spark, partitions=[last_day]).filter("current_status <> 'CANCELLED'")
+    upsert(silver, left, ["order_id"], delete_missing_in=[last_day], unique_source=True)
+    summed(SECOND_RUN)
+    return gold.read(spark).drop("updated_at")
+
+
 @query
 def gold_after_interrupted_run(spark, folder):
     """As ``gold_table_refresh``, but the second run dies between the two tables and is repeated."""

@@ -79,6 +79,16 @@ SILVER_SCHEMA = StructType(
 TIE_COLUMN = "event_offset"
 SILVER_TIE_SCHEMA = StructType(SILVER_SCHEMA.fields + [StructField(TIE_COLUMN, LongType())])
 
+# Orders by day and status, as of a commit of the state table.
+COUNTS_SCHEMA = StructType(
+    [
+        StructField("event_date", DateType()),
+        StructField("current_status", StringType()),
+        StructField("orders", LongType()),
+        StructField("version", LongType()),
+    ]
+)
+
 # Columns of the daily summary table.
 GOLD_SCHEMA = StructType(
     [

@@ -12,6 +12,10 @@ compaction are left to table providers.
 A table with a ``key`` keeps every file sorted by it and with Bloom filters on it. An upsert of few
 keys then looks them up by value: row groups whose value range or filter rules them out are not read.
 
+A table with ``count_by`` writes, before each upsert is committed, by how much that upsert changes the
+row counts of every group, under the number of the commit. Tables of such counts are kept up to date
+from these small files alone. A file whose commit never came is overwritten by the next one's.
+
 The manifest has one row per partition value (days, for the tables here) and is the only thing that
 passes through the driver; ``MAX_PARTITIONS`` bounds it.
 """
@@ -27,9 +31,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, IntegralType, StructType
+from pyspark.sql.types import DateType, IntegralType, LongType, StructField, StructType
 
 from statelake.operators.merge import changed_rows, replace_rows
+from statelake.operators.summary import count_changes
 from statelake.session import input_bytes, materialized
 from statelake.sources.paths import child_names, delete, publish_text, read_text
 
@@ -53,13 +58,15 @@ def _null_last(value: object) -> tuple[bool, str]:
 
 @dataclass(frozen=True)
 class SnapshotTable:
-    """Where a table lives and what it looks like; ``key`` is the column that lookups go by."""
+    """Where a table lives and what it looks like; ``key`` is the column that lookups go by, ``count_by``
+    the groups whose counts the changes are written for."""
 
     root: str
     schema: StructType
     partition_by: str | None = None
     key: str | None = None
     row_group_bytes: int = ROW_GROUP_BYTES
+    count_by: tuple[str, ...] = ()
 
     def __post_init__(self) -> None:
         if self.partition_by and not isinstance(self.schema[self.partition_by].dataType, PARTITION_TYPES):
@@ -74,6 +81,10 @@ class SnapshotTable:
     def exists(self, spark: SparkSession) -> bool:
         return bool(self._commits(spark))
 
+    def version(self, spark: SparkSession) -> int:
+        """The number of the last commit, 0 before the first."""
+        return max(self._commits(spark), default=0)
+
     def manifest(self, spark: SparkSession) -> dict[str, str]:
         """Partition value to commit token; empty before the first commit."""
         known = self._commits(spark)
@@ -110,17 +121,45 @@ class SnapshotTable:
         for name in names:
             delete(spark, f"{self.root}/noted/{name}")
 
+    # -- changes of counts, by commit ----------------------------------------------------------------
+
+    def write_count_changes(self, changed: DataFrame, removed: DataFrame | None) -> None:
+        """For the commit that comes next."""
+        number = 1 + self.version(changed.sparkSession)
+        changes = count_changes(changed, removed, self.count_by)
+        changes.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/counts/{number:010d}")
+
+    def count_changes_since(self, spark: SparkSession, version: int) -> DataFrame | None:
+        """The changes of all commits after ``version``; None when any of them left none."""
+        there = set(child_names(spark, f"{self.root}/counts"))
+        wanted = [f"{n:010d}" for n in self._commits(spark) if n > version]
+        fields = [*(self.schema[c] for c in self.count_by), StructField("change", LongType())]
+        if not set(wanted) <= there:
+            return None
+        if not wanted:
+            return spark.createDataFrame([], StructType(fields))
+        return spark.read.schema(StructType(fields)).parquet(*[f"{self.root}/counts/{n}" for n in wanted])
+
+    def drop_count_changes(self, spark: SparkSession, version: int) -> None:
+        """Those of the commits up to ``version``."""
+        for name in child_names(spark, f"{self.root}/counts"):
+            if name.isdigit() and int(name) <= version:
+                delete(spark, f"{self.root}/counts/{name}")
+
     # -- writing -------------------------------------------------------------------------------
 
-    def replace(self, df: DataFrame) -> list[str]:
-        """Make ``df`` the whole content of the table; returns the partitions written."""
-        return self._commit(df, keep={})
+    def replace(self, df: DataFrame, counted: bool = False) -> list[str]:
+        """Make ``df`` the whole content of the table; returns the partitions written.
+
+        ``counted`` says that the changes of counts were written for this commit.
+        """
+        return self._commit(df, {}, counted)
 
-    def replace_partitions(self, df: DataFrame, touched: Collection[object]) -> list[str]:
+    def replace_partitions(self, df: DataFrame, touched: Collection[object], counted: bool = False) -> list[str]:
         """Replace the ``touched`` partitions by the rows of ``df``; one that gets no rows is dropped."""
         gone = {self._text(value) for value in touched}
         keep = {p: t for p, t in self.manifest(df.sparkSession).items() if p not in gone}
-        return self._commit(df, keep)
+        return self._commit(df, keep, counted)
 
     def values(self, parts: Collection[str]) -> list[object]:
         """Partition values of partition names, NULL last."""
@@ -130,9 +169,11 @@ class SnapshotTable:
         typed = [None if part == _NULL_VALUE else convert(part) for part in parts]
         return sorted(typed, key=_null_last)
 
-    def _commit(self, df: DataFrame, keep: dict[str, str]) -> list[str]:
+    def _commit(self, df: DataFrame, keep: dict[str, str], counted: bool) -> list[str]:
         spark = df.sparkSession
-        version = 1 + max(self._commits(spark), default=0)
+        version = 1 + self.version(spark)
+        if self.count_by and not counted:  # those of a commit that never came are not this one's
+            delete(spark, f"{self.root}/counts/{version:010d}")
         token = f"c{uuid.uuid4().hex}"
         target = f"{self.root}/data/commit={token}"
         rows = df.select(*self.schema.names)
@@ -215,7 +256,9 @@ def upsert(
         few = input_bytes(fixed) <= FEW_BYTES
         values = few_values(fixed, table.key) if few and table.key in keys else None
         with looked_up(table.read(spark), table.key, values) as current:
-            changes = changed_rows(current, fixed, keys, guard, update_columns, table.partition_by, unique_source, few)
+            changes = changed_rows(
+                current, fixed, keys, guard, update_columns, table.partition_by, unique_source, few, table.count_by
+            )
             with materialized(changes, "changes") as changed:
                 return _apply(table, fixed, changed, keys, set(delete_missing_in or ()), delete_column, note_changes)
 
@@ -265,16 +308,21 @@ def _apply(
     if note_changes:
         table.note_changes(spark, touched if by else None)
     target = table.read(spark, partitions=touched if by else None)
+    removed = None
     if doomed_values:
-        doomed = F.col(delete_column).isin([v for v in doomed_values if v is not None])
-        doomed = F.coalesce(doomed, F.lit(None in doomed_values))
+        doomed = F.coalesce(F.col(delete_column).isin([v for v in doomed_values if v is not None]), F.lit(False))
+        if None in doomed_values:
+            doomed = doomed | F.col(delete_column).isNull()
         present = target.filter(doomed).join(source.select(*keys), keys, "left_semi")
+        removed = target.filter(doomed).join(source.select(*keys), keys, "left_anti")
         target = target.filter(~doomed).unionByName(present.select(*target.columns))
+    if table.count_by:
+        table.write_count_changes(changed, removed)
     merged = replace_rows(target, changed, keys)
     if by is None:
-        table.replace(merged)
+        table.replace(merged, counted=True)
     else:
-        table.replace_partitions(merged, touched)
+        table.replace_partitions(merged, touched, counted=True)
     return sorted(touched, key=_null_last)
 
 
