@@ -11,8 +11,10 @@ from statelake.session import scratch_path
 
 # The white space that separates words, as a character class.
 SPACE = r"[\x20\x09-\x0D]"
-# Rows per Arrow batch handed to Python: texts are long, and a batch has to fit beside its arrays.
+# Rows and bytes of an Arrow batch handed to Python, whichever comes first: a batch has to fit beside
+# its arrays, which take many times its bytes, and some texts are very long.
 ARROW_ROWS = 512
+ARROW_BYTES = 4 * 1024 * 1024
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -23,6 +25,9 @@ def fit_python(spark: SparkSession) -> None:
     now = int(spark.conf.get(key))
     if now <= 0 or now > ARROW_ROWS:
         spark.conf.set(key, str(ARROW_ROWS))
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) in (f"{64 * 1024 * 1024}b", "64m", "-1"):  # its default, or none; a bound set by hand stays
+        spark.conf.set(key, str(ARROW_BYTES))
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if ROOT not in known.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(p for p in (known, ROOT) if p)

@@ -38,7 +38,7 @@ from statelake.llm.tokens import NOT_SPACE, mixed, word_hashes
 
 END = np.uint64(0x656E642D6F662D74)  # stands for the end of a text among the word hashes
 DISCOUNTED = 5
-FLUSH_TOKENS = 1_500_000
+FLUSH_TOKENS = 500_000
 BLOCK = "part int, kind int, from_row bigint, data binary"
 PAIR_COUNTS, CONTEXTS, PAIRS_TRAINED, PAIRS_HELD = 0, 1, 2, 3
 # Held-out words of a bigram that is scored already are only counted, the others bring their probability.
@@ -51,7 +51,7 @@ class KatzRules:
 
     frequent: int = 1 << 19
     hot: int = 1 << 19
-    part_tokens: int = 3_000_000
+    part_tokens: int = 1_500_000
 
 
 def held_out(doc_id: Column) -> Column:
