@@ -16,7 +16,7 @@ from statelake.operators.latest import dedup_newest, drop_copies, latest_by, row
 from statelake.operators.merge import and_changed, not_older, not_older_then
 from statelake.schemas import SILVER_SCHEMA, SILVER_TIE_SCHEMA, TIE_COLUMN
 from statelake.session import materialized, sized
-from statelake.sources.snapshots import SnapshotTable, upsert
+from statelake.sources.snapshots import Batch, SnapshotTable, upsert
 from statelake.sources.tables import merge_into
 
 TIME_COLUMNS = ["original_event_time", "event_time", "ingestion_time"]
@@ -168,18 +168,29 @@ def refresh_silver(
     rules: SilverRules = OFFSET_RULES,
     as_of: dt.datetime | str | Column | None = None,
     history: DataFrame | None = None,
+    batch: Batch | None = None,
 ) -> list[object]:
     """Merge the state of ``bronze`` into ``table``; returns the days whose rows changed.
 
     Records without ids or with unreadable times the rules need are left out. When ``bronze`` is only
     an increment, either pass the whole raw layer, increment included, as ``history`` to rank the
     changed orders over all their events, or use rules with ``carry_tie``. The changed days are noted
-    beside the table before it is committed, until a summary has taken them in.
+    beside the table before it is committed, until a summary has taken them in. ``batch`` names the
+    micro-batch that ``bronze`` is; one that the table has taken in already changes nothing.
     """
     columns = [c for c in rules.schema.names if c != "order_id"]
     with sized(spark, bronze, *([] if history is None else [history]), paths=(table.root,)):
         with _state_of(bronze, rules, as_of, history) as source:
-            return upsert(table, source, ["order_id"], rules.guard, columns, unique_source=True, note_changes=True)
+            return upsert(
+                table, source, ["order_id"], rules.guard, columns, unique_source=True, note_changes=True, batch=batch
+            )
+
+
+def refresh_state(spark: SparkSession, state: DataFrame, table: SnapshotTable, rules: SilverRules) -> list[object]:
+    """Merge state rows, one per order, into ``table``; returns the days whose rows changed."""
+    columns = [c for c in rules.schema.names if c != "order_id"]
+    with sized(spark, state, paths=(table.root,)):
+        return upsert(table, state, ["order_id"], rules.guard, columns, unique_source=True, note_changes=True)
 
 
 def usable_records(bronze: DataFrame, rules: SilverRules) -> DataFrame:

@@ -16,6 +16,9 @@ A table with ``count_by`` writes, before each upsert is committed, by how much t
 row counts of every group, under the number of the commit. Tables of such counts are kept up to date
 from these small files alone. A file whose commit never came is overwritten by the next one's.
 
+A commit on behalf of a stream's micro-batch names the stream and the batch in its manifest, so the
+batch counts as taken in exactly when its data does.
+
 The manifest has one row per partition value (days, for the tables here) and is the only thing that
 passes through the driver; ``MAX_PARTITIONS`` bounds it.
 """
@@ -56,6 +59,14 @@ def _null_last(value: object) -> tuple[bool, str]:
     return value is None, str(value)
 
 
+@dataclass(frozen=True)
+class Batch:
+    """A micro-batch: the stream's lasting id, and the number, which a repeated batch has again."""
+
+    stream: str
+    number: int
+
+
 @dataclass(frozen=True)
 class SnapshotTable:
     """Where a table lives and what it looks like; ``key`` is the column that lookups go by, ``count_by``
@@ -87,8 +98,18 @@ class SnapshotTable:
 
     def manifest(self, spark: SparkSession) -> dict[str, str]:
         """Partition value to commit token; empty before the first commit."""
+        return self._last_manifest(spark)["partitions"]
+
+    def batches(self, spark: SparkSession) -> dict[str, int]:
+        """The last micro-batch taken in from every stream."""
+        return self._last_manifest(spark)["batches"]
+
+    def _last_manifest(self, spark: SparkSession) -> dict[str, dict]:
         known = self._commits(spark)
-        return json.loads(read_text(spark, self._manifest_path(known[-1]))) if known else {}
+        content = json.loads(read_text(spark, self._manifest_path(known[-1]))) if known else {}
+        if not isinstance(content.get("partitions"), dict):  # a table from before batches were named
+            return {"partitions": content, "batches": {}}
+        return content
 
     def read(self, spark: SparkSession, partitions: Collection[object] | None = None) -> DataFrame:
         """The table as last committed. With ``partitions`` only those are listed and scanned."""
@@ -148,18 +169,21 @@ class SnapshotTable:
 
     # -- writing -------------------------------------------------------------------------------
 
-    def replace(self, df: DataFrame, counted: bool = False) -> list[str]:
+    def replace(self, df: DataFrame, counted: bool = False, batch: Batch | None = None) -> list[str]:
         """Make ``df`` the whole content of the table; returns the partitions written.
 
-        ``counted`` says that the changes of counts were written for this commit.
+        ``counted`` says that the changes of counts were written for this commit, ``batch`` names the
+        micro-batch it takes in.
         """
-        return self._commit(df, {}, counted)
+        return self._commit(df, {}, counted, batch)
 
-    def replace_partitions(self, df: DataFrame, touched: Collection[object], counted: bool = False) -> list[str]:
+    def replace_partitions(
+        self, df: DataFrame, touched: Collection[object], counted: bool = False, batch: Batch | None = None
+    ) -> list[str]:
         """Replace the ``touched`` partitions by the rows of ``df``; one that gets no rows is dropped."""
         gone = {self._text(value) for value in touched}
         keep = {p: t for p, t in self.manifest(df.sparkSession).items() if p not in gone}
-        return self._commit(df, keep, counted)
+        return self._commit(df, keep, counted, batch)
 
     def values(self, parts: Collection[str]) -> list[object]:
         """Partition values of partition names, NULL last."""
@@ -169,7 +193,7 @@ class SnapshotTable:
         typed = [None if part == _NULL_VALUE else convert(part) for part in parts]
         return sorted(typed, key=_null_last)
 
-    def _commit(self, df: DataFrame, keep: dict[str, str], counted: bool) -> list[str]:
+    def _commit(self, df: DataFrame, keep: dict[str, str], counted: bool, batch: Batch | None) -> list[str]:
         spark = df.sparkSession
         version = 1 + self.version(spark)
         if self.count_by and not counted:  # those of a commit that never came are not this one's
@@ -190,7 +214,9 @@ class SnapshotTable:
         if len(entries) > MAX_PARTITIONS:
             delete(spark, target)
             raise ValueError(f"{self.root} would have more than {MAX_PARTITIONS} partitions")
-        publish_text(spark, self._manifest_path(version), json.dumps(entries, indent=0, sort_keys=True))
+        batches = self.batches(spark) | ({batch.stream: batch.number} if batch else {})
+        content = {"partitions": entries, "batches": batches}
+        publish_text(spark, self._manifest_path(version), json.dumps(content, indent=0, sort_keys=True))
         return written
 
     def _writer(self, rows: DataFrame) -> DataFrameWriter:
@@ -227,9 +253,13 @@ def upsert(
     delete_column: str | None = None,
     unique_source: bool = False,
     note_changes: bool = False,
+    batch: Batch | None = None,
 ) -> list[object]:
     """Merge ``source`` into ``table``; returns the partition values whose rows changed.
 
+    A ``batch`` that is committed already, or an earlier one of its stream, changes nothing, whatever
+    the guard lets through.
+
     A table without a partition column counts as one partition, named ``""``.
 
     The source is written to the shared folder once, since it is read more than once and is usually
@@ -246,12 +276,14 @@ def upsert(
     if delete_missing_in and (delete_column is None or table.partition_by not in (None, delete_column)):
         raise ValueError("rows can be removed by the partition column, or by any column of an unpartitioned table")
     spark = source.sparkSession
+    if batch and table.batches(spark).get(batch.stream, -1) >= batch.number:
+        return []
     if not table.exists(spark):
         if note_changes:
             table.note_changes(spark, None)
         # nothing to find or keep: every row is an insert, written in one pass
         empty = spark.createDataFrame([], table.schema)
-        return table.values(table.replace(changed_rows(empty, source, keys, guard, update_columns, None, unique_source)))
+        return table.values(table.replace(changed_rows(empty, source, keys, guard, update_columns, None, unique_source), batch=batch))
     with materialized(source, "source") as fixed:
         few = input_bytes(fixed) <= FEW_BYTES
         values = few_values(fixed, table.key) if few and table.key in keys else None
@@ -260,7 +292,7 @@ def upsert(
                 current, fixed, keys, guard, update_columns, table.partition_by, unique_source, few, table.count_by
             )
             with materialized(changes, "changes") as changed:
-                return _apply(table, fixed, changed, keys, set(delete_missing_in or ()), delete_column, note_changes)
+                return _apply(table, fixed, changed, keys, set(delete_missing_in or ()), delete_column, note_changes, batch)
 
 
 def few_values(df: DataFrame, column: str, most: int = FEW_KEYS) -> list[object] | None:
@@ -296,6 +328,7 @@ def _apply(
     doomed_values: set[object],
     delete_column: str | None,
     note_changes: bool,
+    batch: Batch | None,
 ) -> list[object]:
     spark = source.sparkSession
     by = table.partition_by
@@ -320,9 +353,9 @@ def _apply(
         table.write_count_changes(changed, removed)
     merged = replace_rows(target, changed, keys)
     if by is None:
-        table.replace(merged, counted=True)
+        table.replace(merged, counted=True, batch=batch)
     else:
-        table.replace_partitions(merged, touched, counted=True)
+        table.replace_partitions(merged, touched, counted=True, batch=batch)
     return sorted(touched, key=_null_last)
 
 
