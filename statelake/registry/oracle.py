@@ -317,5 +317,12 @@ ORACLE["gold_by_changes"] = ORACLE["gold_table_refresh"].replace(
     _daily("SELECT * FROM state WHERE NOT (event_date = DATE '2024-01-30' AND current_status = 'CANCELLED')"),
 )
 
+ORACLE["stream_latest_state"] = f"""{_LOG}
+SELECT order_id, event_type, event_time, event_type AS current_status, CAST(event_time AS DATE) AS event_date,
+       count(*) OVER () AS orders_held
+FROM ({_latest('deduped')})"""
+ORACLE["stream_events_once"] = f"WITH {_EVENTS} SELECT event_id, order_id, event_type FROM single"
+ORACLE["stream_unguarded_repeat"] = ORACLE["merge_unconditional"]
+
 # An interrupted run leaves no trace once the next one has ended.
 ORACLE["gold_after_interrupted_run"] = ORACLE["gold_table_refresh"]

@@ -44,8 +44,10 @@ from statelake.schemas import EVENT_FIELDS, GOLD_SCHEMA, LOG_SCHEMA
 from statelake.session import begin_query, scratch_path
 from statelake.sources import tables
 from statelake.sources.files import read_bronze, read_csv, write_csv
-from statelake.sources.snapshots import upsert
+from statelake.sources.snapshots import Batch, upsert
 from statelake.streaming.bronze import stream_bronze
+from statelake.streaming.copies import stream_events
+from statelake.streaming.latest import LATEST_RULES, changed_state, merge_changed_state, stream_latest
 from statelake.streaming.silver import STREAM_RULES, stream_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -649,3 +651,42 @@ def stream_to_silver(spark, folder):
     raw = to_bronze(_log_files(spark, folder), PROCESSED_AT)
     stream_silver(raw, silver, scratch_path(spark, "progress"), as_of=PROCESSED_AT).awaitTermination()
     return plain(silver.read(spark).select("order_id", "event_type", "event_time", "current_status", "event_date"))
+
+
+@query
+def stream_latest_state(spark, folder):
+    """The same with the newest event of every order held by the stream, merged into the table at the end."""
+    silver, path = silver_table(scratch_path(spark, "silver"), LATEST_RULES), scratch_path(spark, "changes")
+    raw = to_bronze(_log_files(spark, folder), PROCESSED_AT)
+    stream_latest(raw, path, scratch_path(spark, "progress"), as_of=PROCESSED_AT).awaitTermination()
+    held = changed_state(spark, path).count()
+    merge_changed_state(spark, path, silver)
+    state = silver.read(spark).select("order_id", "event_type", "event_time", "current_status", "event_date")
+    return plain(state.withColumn("orders_held", F.lit(held)))
+
+
+@query
+def stream_events_once(spark, folder):
+    """Events without redeliveries: the log arrives week by week, each taken in by a restarted stream."""
+    log, path, progress = scratch_path(spark, "log"), scratch_path(spark, "events"), scratch_path(spark, "progress")
+    records = inputs.log(spark, folder).select(*LOG_SCHEMA.names)
+    bounds = ["2000-01-01", "2024-01-08", "2024-01-15", "2024-01-22", "2100-01-01"]
+    for first, last in zip(bounds, bounds[1:]):
+        week = (F.col("timestamp") >= F.lit(first).cast("timestamp")) & (F.col("timestamp") < F.lit(last).cast("timestamp"))
+        records.filter(week).write.mode("append").parquet(log)
+        raw = to_bronze(spark.readStream.schema(LOG_SCHEMA).parquet(log), PROCESSED_AT)
+        stream_events(raw, path, progress, within="1 hour").awaitTermination()
+    return plain(read_bronze(spark, path).select("event_id", "order_id", "event_type"))
+
+
+@query
+def stream_unguarded_repeat(spark, folder):
+    """Two batches under rules without a guard, the second taken in twice under a later clock."""
+    rules = SilverRules(copies="fold", guarded=False)
+    silver = silver_table(scratch_path(spark, "silver"), rules)
+    raw = inputs.bronze(spark, folder)
+    early = raw.filter(F.col("event_type").isin("ORDER_CREATED", "PAYMENT_APPROVED", "SHIPPED"))
+    late = raw.filter(F.col("event_type").isin("SHIPPED", "DELIVERED", "CANCELLED"))
+    for number, batch, at in ((0, early, FIRST_RUN), (1, late, SECOND_RUN), (1, late, "2024-02-03 00:00:00"), (0, early, "2024-02-03 00:00:00")):
+        refresh_silver(spark, batch, silver, rules, at, batch=Batch("orders", number))
+    return plain(silver.read(spark))
