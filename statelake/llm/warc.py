@@ -10,9 +10,10 @@ and the others are revisits of it; smaller payloads are always responses. Revisi
 of their own in WARC form and get it through the digest.
 
 Defined cases: a NULL page is an empty payload; rows repeated with one id count as records of their
-own, of which one is the response; a NULL id sorts below all others; a NULL address leaves its header
-out, line ends in an address are percent-encoded; an empty table gives an empty archive; further
-columns are ignored.
+own, of which one is the response; a NULL id sorts below all others and differs from an empty one; a
+NULL address leaves its header out, line ends (CR, LF) in an address are percent-encoded, all other
+characters, also such that other software takes for line ends, stand as they are; very long pages move
+once, as bytes; an empty table gives an empty archive; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,7 +36,20 @@ def _line(name: str, value: Column) -> Column:
 
 
 def _record_id(page: Column, copy: Column) -> Column:
-    return F.concat(F.lit("<urn:page:"), F.coalesce(page.cast("string"), F.lit("")), F.lit(":"), copy.cast("string"), F.lit(">"))
+    """``none`` for a NULL id; any other is encoded, so that it holds no delimiter, after a ``=``."""
+    name = F.coalesce(F.concat(F.lit("="), F.url_encode(page.cast("string"))), F.lit("none"))
+    return F.concat(F.lit("<urn:page:"), name, F.lit(":"), copy.cast("string"), F.lit(">"))
+
+
+def _page_of(record_id: Column) -> Column:
+    return F.url_decode(F.nullif(F.regexp_extract(record_id, "^<urn:page:=?([^:]*):[0-9]+>$", 1), F.when(~F.contains(record_id, F.lit(":=")), F.lit("none"))))
+
+
+def _header(block: Column, name: str) -> Column:
+    """The value of a header line, NULL where there is none. Lines end at CR LF and nowhere else."""
+    line = F.concat(F.lit(END), block)
+    found = F.regexp_extract(line, rf"(?s)\r\n{name}: ([^\r]*)\r\n", 1)
+    return F.when(F.contains(line, F.lit(f"{END}{name}: ")), found)
 
 
 def payload_of(html: Column) -> Column:
@@ -101,14 +115,13 @@ def read_archive(spark: SparkSession, folder: str) -> DataFrame:
         F.octet_length("payload").cast("long").alias("payload_bytes"),
         (F.sha2("payload", 256) == F.col("sha256")).alias("__intact"),
     )
-    head = F.decode("header", "UTF-8")
-    value = lambda name: F.nullif(F.regexp_extract(head, rf"(?m)^{name}: ([^\r]*)", 1), F.lit(""))
+    value = lambda name: _header(F.decode("header", "UTF-8"), name)
     records = spark.read.parquet(f"{folder}/records").select(
         "sha256", "header", "http",
         value("WARC-Type").alias("record_type"),
         value("WARC-Target-URI").alias("url"),
-        F.nullif(F.regexp_extract(value("WARC-Record-ID"), "<urn:page:(.*):[0-9]+>", 1), F.lit("")).alias("page_id"),
-        F.nullif(F.regexp_extract(value("WARC-Refers-To"), "<urn:page:(.*):[0-9]+>", 1), F.lit("")).alias("refers_to"),
+        _page_of(value("WARC-Record-ID")).alias("page_id"),
+        _page_of(value("WARC-Refers-To")).alias("refers_to"),
         value("WARC-Payload-Digest").alias("__announced"),
     )
     joined = records.join(payloads, "sha256")
@@ -122,17 +135,48 @@ def warc_records(archive: DataFrame) -> DataFrame:
     return archive.withColumn("record", F.concat("header", "http", body, F.encode(F.lit(END + END), "UTF-8")))
 
 
+def parsed(records: DataFrame) -> DataFrame:
+    """What the bytes of each ``record`` say by themselves, and ``sound``: its lengths add up, and the
+    payload of a response has the digest and length its headers announce."""
+    end = END + END
+    head = F.substring_index(F.decode("record", "UTF-8"), end, 1)
+    first = F.octet_length(head) + 4
+    told = F.try_to_number(_header(F.concat(head, F.lit(END)), "Content-Length"), F.lit("9999999999999999999")).cast("long")
+    split = records.withColumn("__head", F.concat(head, F.lit(END))).withColumn("__block", F.substr("record", first + 1, told.cast("int")))
+    http = F.substring_index(F.decode("__block", "UTF-8"), end, 1)
+    split = split.withColumn("__told", told).withColumn("__http", F.concat(http, F.lit(END))).withColumn("__from", F.octet_length(http) + 5)
+    kind = _header(F.col("__head"), "WARC-Type")
+    size = F.try_to_number(_header(F.col("__http"), "Content-Length"), F.lit("9999999999999999999")).cast("long")
+    announced = F.regexp_extract(_header(F.col("__head"), "WARC-Payload-Digest"), "^sha1:([0-9a-f]{40})$", 1)
+    body = F.substr("__block", F.col("__from"), F.octet_length("__block"))
+    whole = F.octet_length(F.encode("__head", "UTF-8")) + 2 + F.col("__told") + 4 == F.octet_length("record")
+    filled = (F.octet_length(body) == size) & (F.sha1(body) == announced)
+    right = whole & F.when(kind == "response", filled).otherwise(F.octet_length(body) == 0)
+    return split.select(
+        *[c for c in records.columns if c != "record"],
+        _page_of(_header(F.col("__head"), "WARC-Record-ID")).alias("page_id"), size.alias("payload_bytes"), announced.alias("payload_digest"),
+        kind.alias("record_type"), _page_of(_header(F.col("__head"), "WARC-Refers-To")).alias("refers_to"), F.coalesce(right, F.lit(False)).alias("sound"),
+    )
+
+
 def archived(pages: DataFrame) -> DataFrame:
     """One row per page, read back from an archive written for it in the shared folder.
 
-    Raises when a payload does not have the digest it was stored or announced under.
+    Every record is rebuilt to its exact bytes and parsed again; a revisit is also held against the
+    stored payload it stands for. Payloads move to their responses only. Raises when a record does not
+    parse, or a payload does not have the digest or length it was stored or announced under.
     """
     spark = pages.sparkSession
     folder = scratch_path(spark, "archive")
     write_archive(pages, folder)
     kind = pages.schema["page_id"].dataType
-    found = read_archive(spark, folder)
-    digest = F.when(F.col("verified"), F.col("payload_digest")).otherwise(F.raise_error(F.lit("a payload does not have its digest")))
+    stored_ones = read_archive(spark, folder)
+    rebuilt = warc_records(stored_ones.filter("record_type = 'response'")).select("record", "verified", F.col("payload_digest").alias("__sha1"), F.col("payload_bytes").alias("__size"))
+    bare = F.concat("header", "http", F.encode(F.lit(END + END), "UTF-8"))
+    revisits = stored_ones.filter("record_type <> 'response'").select(bare.alias("record"), "verified", F.col("payload_digest").alias("__sha1"), F.col("payload_bytes").alias("__size"))
+    found = parsed(rebuilt.unionByName(revisits))
+    sound = F.col("sound") & F.col("verified") & (F.col("__sha1") == F.col("payload_digest")) & (F.col("__size") == F.col("payload_bytes"))
+    digest = F.when(sound, F.col("payload_digest")).otherwise(F.raise_error(F.lit("a record is not what was archived")))
     return found.select(
         F.col("page_id").cast(kind).alias("page_id"),
         "payload_bytes",

@@ -1,5 +1,8 @@
 import hashlib
 
+import pytest
+
+from statelake.llm import warc
 from statelake.llm.warc import archived, read_archive, warc_records, write_archive
 from statelake.session import scratch_path
 
@@ -43,5 +46,36 @@ def test_payloads_are_stored_once_and_records_come_back(spark):
     assert sorted(bytes(r["payload"]) for r in rows) == sorted((h or "").encode() for _, _, h, _ in PAGES)
 
 
+def test_addresses_and_ids_with_separators(spark):
+    ends = ["\u2028", "\u2029", "\u0085", "\x0b", "\x0c", "\x1c", "\r", "\n", "\r\n"]
+    rows = [(f"p{i}", f"http://a/{e}WARC-Payload-Digest: sha1:{'0' * 40}{e}WARC-Type: revisit{e}", f"x{i}") for i, e in enumerate(ends)]
+    rows += [("", "u", "empty"), (None, "u", "none"), ("none", "u", "word"), ("a:1>", "u", BIG), ("=b%3A :0>\r\nWARC-Type: revisit", "u", BIG), ("é", "", "e"), ("=", None, "")]
+    frame = spark.createDataFrame(rows, "page_id string, url string, html string")
+    got = {(r["page_id"], r["payload_digest"]): (r["record_type"], r["refers_to"]) for r in archived(frame).collect()}
+    want = {(i, hashlib.sha1(h.encode()).hexdigest()): ("response", None) for i, _, h in rows}
+    want[("=b%3A :0>\r\nWARC-Type: revisit", hashlib.sha1(BIG.encode()).hexdigest())] = ("revisit", "a:1>")
+    assert got == want
+
+
+def test_very_long_page(spark):
+    html = "é<p>\r\n\r\n" * 400_000
+    row = archived(spark.createDataFrame([(1, None, html)], "page_id int, url string, html string")).first()
+    assert row["payload_bytes"] == len(html.encode()) and row["payload_digest"] == hashlib.sha1(html.encode()).hexdigest()
+
+
+@pytest.mark.parametrize("table", ["payloads", "records"])
+def test_damage_is_noticed(spark, monkeypatch, table):
+    def spoil(frame, folder):
+        write_archive(frame, folder)
+        held = spark.read.parquet(f"{folder}/{table}")
+        column, old, new = ("payload", b"x", b"z") if table == "payloads" else ("header", b"Length: ", b"Length: 1")
+        rows = [tuple(bytes(v).replace(old, new) if c == column else v for c, v in zip(held.columns, r)) for r in held.collect()]
+        spark.createDataFrame(rows, held.schema).write.mode("overwrite").parquet(f"{folder}/{table}")
+
+    monkeypatch.setattr(warc, "write_archive", spoil)
+    with pytest.raises(Exception, match="not what was archived"):
+        archived(pages(spark)).collect()
+
+
 def test_empty_table(spark):
     assert archived(pages(spark).filter("1 = 0")).count() == 0
