@@ -5,7 +5,7 @@ the license scan (rolling hashes); their tests compare with brute force.
 """
 
 from statelake.llm import pii
-from statelake.llm.secrets import KINDS
+from statelake.llm.secrets import KINDS, SecretRules
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -96,7 +96,10 @@ kept AS (
   FROM spans WHERE (kind <> 0 OR length(v) >= 12)
     AND (kind < 3 OR (regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]') AND NOT regexp_matches(v, '[0-9a-f]{{16}}|AKIA[A-Z0-9]{{14}}')))),
 found AS (SELECT * FROM kept WHERE kind < 3 OR coalesce(reached, 0) <= s),
-owned AS (SELECT v, count(DISTINCT CASE WHEN source IS NULL THEN '1' ELSE '0' || source END) <= 1 AS live FROM found GROUP BY v),
+owned AS (
+  SELECT v, count(DISTINCT CASE WHEN source IS NULL THEN '1' ELSE '0' || source END) <= {SecretRules.max_owners}
+         AND count(DISTINCT concat(coalesce('0' || CAST(doc_id AS VARCHAR), '1'), ' ', coalesce('0' || source, '1'))) <= {SecretRules.max_repositories} AS live
+  FROM found GROUP BY v),
 named AS (
   SELECT doc_id, kind, live, s, concat_ws(':', ['assign', 'access', 'hex', 'generic'][kind + 1], CAST(CAST(s AS BIGINT) AS VARCHAR), CAST(CAST(e AS BIGINT) AS VARCHAR)) AS t
   FROM found JOIN owned USING (v) WHERE kind < 3 OR live),

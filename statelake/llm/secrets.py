@@ -2,8 +2,8 @@
 
 A text is cut at each match of a pattern; gaps and matches become rows, and running sums of their
 lengths give the spans. The hash of each candidate's value is then counted over distinct repositories
-and owners. A value that one owner alone holds looks live; one that several owners hold is an example
-that was copied around. The fixed kinds are always reported; strings of the ``generic`` kind (long,
+and owners. A value that one owner alone holds, in few repositories, looks live; one that several owners
+hold, or one owner all over its repositories, is an example that was copied around. The fixed kinds are always reported; strings of the ``generic`` kind (long,
 mixed letters and digits, outside the fixed spans) are added only when they look live.
 
 Defined cases: a NULL or empty text has no spans; repeated rows are scanned each for itself and count
@@ -33,10 +33,12 @@ REDACTED = "[SECRET]"
 
 @dataclass(frozen=True)
 class SecretRules:
-    """``max_owners`` is the largest number of owners a live-looking value may have."""
+    """``max_owners`` and ``max_repositories`` are the largest numbers of owners and of repositories that a
+    live-looking value may have."""
 
     min_assigned: int = 12
     max_owners: int = 1
+    max_repositories: int = 10
 
 
 def _pieces(text: Column, kind: str) -> Column:
@@ -108,7 +110,8 @@ def ownership(found: DataFrame) -> DataFrame:
 def spans_of(scan: DataFrame, rules: SecretRules) -> DataFrame:
     """``scan`` with ``spans`` (sorted structs of start, kind, end), ``n_live`` and ``n_shared``."""
     found = stored(candidates(scan, rules), "secret-candidates")
-    judged = found.join(ownership(found), "hash").withColumn("live", F.col("n_owners") <= rules.max_owners)
+    few = (F.col("n_owners") <= rules.max_owners) & (F.col("n_repositories") <= rules.max_repositories)
+    judged = found.join(ownership(found), "hash").withColumn("live", few)
     reported = judged.filter((F.col("kind") < ORDER.index("generic")) | F.col("live"))
     per_row = reported.groupBy("__row").agg(
         F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("spans"),

@@ -1,7 +1,7 @@
 import hashlib
 import re
 
-from statelake.llm.secrets import redact, secrets
+from statelake.llm.secrets import SecretRules, redact, secrets
 from tests.llm.corpora import DOCUMENTS
 
 ASSIGN = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -30,6 +30,18 @@ def test_owner_specific_strings_are_added_and_copied_ones_are_not(docs):
     assert spans[15] == "generic:10:34" and spans[16] == spans[17] == ""
 
 
+def test_a_value_in_many_repositories_of_one_owner_is_shared(spark):
+    many, few = "Wd93kfLq02mZx8Yt61Bn7c", "Qp47vbNs58hTe2Ru90Lk3d"
+    rows = [(k, f"key {many} here", "one") for k in range(11)] + [(k, f"and {few} there", "one") for k in range(100, 110)]
+    rows += [(100, f"and {few} there", "one"), (500, "token = abcdefabcdefGH", "one"), (None, "token = abcdefabcdefGH", None)]
+    found = {(r["doc_id"], r["spans"]): (r["n_live"], r["n_shared"]) for r in secrets(spark.createDataFrame(rows, "doc_id int, text string, source string")).collect()}
+    assert all(found[(k, "")] == (0, 0) for k in range(11))  # an added kind, so not reported
+    assert {v for (i, _), v in found.items() if i is not None and 100 <= i < 110} == {(1, 0)}
+    assert found[(500, "assign:0:22")] == found[(None, "assign:0:22")] == (0, 1)  # two owners
+    lax = secrets(spark.createDataFrame(rows, "doc_id int, text string, source string"), SecretRules(max_repositories=11, max_owners=2))
+    assert lax.filter("n_shared > 0").count() == 0
+
+
 def test_redaction_takes_every_span_out(docs):
     after = {r["doc_id"]: r["text"] for r in redact(docs).collect()}
     assert "hunter2hunter2" not in after[13] and "abcdefghijklmnop" not in after[13] and "TOKEN=short" in after[13]
