@@ -23,6 +23,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -263,11 +264,9 @@ def _result(carried: list[pa.Array], hashes: np.ndarray, rows: np.ndarray, block
     return pa.RecordBatch.from_arrays([*carried, pa.array(np.diff(rows)), spans, items], names)
 
 
-def marked(docs: DataFrame, block: Block, carry: list[str], text: str = "text") -> DataFrame:
+def marked(docs: DataFrame, shared: Broadcast[Block], carry: list[str], text: str = "text") -> DataFrame:
     """Every row of ``docs``: ``carry``, ``n_words``, and the spans and items found of one block."""
-    spark = docs.sparkSession
-    fit_python(spark)
-    shared = spark.sparkContext.broadcast(block)
+    fit_python(docs.sparkSession)
     names = [*carry, "n_words", "removal_spans", "items"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -311,23 +310,32 @@ def _merged(spans) -> object:
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, carry: list[str], text: str = "text") -> DataFrame:
-    """Every row of ``docs`` with its words, hits, items, removal spans and the verdict."""
+    """Every row of ``docs`` with its words, hits, items, removal spans and the verdict.
+
+    Blocks are searched one after the other: what a block finds is written and its broadcast taken
+    back before the next one is made, so driver and workers hold two blocks at most.
+    """
+    spread = docs.sparkSession.sparkContext.broadcast
     blocks = blocks_of(benchmark)
     first = next(blocks, None)
     second = next(blocks, None) if first else None
-    if first is None:
-        first = Block.of([], [])
     if second is None:
-        found = marked(docs, first, carry, text)
+        found = marked(docs, spread(first or Block.of([], [])), carry, text)
     else:
         numbered = stored(docs.select(F.monotonically_increasing_id().alias("__row"), *carry, text), "numbered")
-        found = marked(numbered, first, ["__row", *carry], text)
-        parts = [marked(numbered, block, ["__row"], text) for block in (second, *blocks)]
-        more = parts[0]
-        for part in parts[1:]:
-            more = more.unionByName(part)
-        more = more.filter(F.size("removal_spans") > 0).select("__row", "removal_spans", "items")
-        every = found.select("__row", "removal_spans", "items").filter(F.size("removal_spans") > 0).unionByName(more)
+
+        def searched(block: Block, kept: list[str]) -> DataFrame:
+            shared = spread(block)
+            result = stored(marked(numbered, shared, kept, text).filter(F.lit(len(kept) > 1) | (F.size("removal_spans") > 0)), "block")
+            shared.destroy()
+            return result
+
+        found = searched(first, ["__row", *carry])
+        first = None
+        every = found.select("__row", "removal_spans", "items").filter(F.size("removal_spans") > 0)
+        while second is not None:
+            every = every.unionByName(searched(second, ["__row"]).select("__row", "removal_spans", "items"))
+            second = next(blocks, None)
         merged = every.groupBy("__row").agg(
             _merged(F.flatten(F.collect_list("removal_spans"))).alias("removal_spans"),
             F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
