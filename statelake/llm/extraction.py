@@ -5,13 +5,15 @@ all pages sends one row per task. Partial wrappers are aligned in two steps (hos
 host), and the wrapper of each host goes back to its pages: by broadcast while all wrappers together
 are small, counted first, otherwise by a join on the host.
 
-The text is that of a page's main slots: below an article or main element, without menus, headers,
-footers, sidebars, notices, adverts, forms and comments; in a page without such elements the slots
-whose text varies over the host. Blocks are joined by line ends in page order.
+The text is that of a page's main part: the element that holds what differs from the host's other pages,
+without menus, headers, footers, sidebars, notices, adverts, forms and comments. Names such as article
+say where such a part ends; by themselves they decide only for hosts of a few pages, where nothing is
+known to be the same everywhere. Blocks are joined by line ends in page order.
 
 Defined cases: a NULL or empty page gives an empty text; a NULL or unreadable address is a host of its
-own; markup that never closes ends with the page; repeated rows give equal results; an empty table
-gives an empty result; further columns are ignored.
+own; markup, quotes and comments that never close end with the page, a tag in such a quote at the next
+``>``; a page of any length or depth takes time in proportion to its length; repeated rows give equal
+results; an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from statelake.llm.common import fit_python, stored
-from statelake.llm.wrappers import align, choose_for, extract, fold, parse, wrapper_of
+from statelake.llm.wrappers import align, fold, main_texts, parse, wrapper_of
 
 SALTS = 64
 BROADCAST_BYTES = 16 * 1024 * 1024
@@ -119,8 +121,7 @@ def main_text(pages: DataFrame) -> DataFrame:
                     if len(known) >= HELD_HOSTS:
                         known.clear()
                     known[name] = json.loads(name)
-                items = page_items(source.as_py())
-                texts.append("\n".join(extract(items, known[name], choose_for(items))))
+                texts.append("\n".join(main_texts(page_items(source.as_py()), known[name])))
             columns = [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, ["page_id", "url", "text", "n_chars"])
 

@@ -14,9 +14,13 @@ of page nodes, or a string for the label ``#``.
 
 from __future__ import annotations
 
+import functools
 import html
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 from difflib import SequenceMatcher
 
 import xxhash
@@ -24,14 +28,19 @@ import xxhash
 TEXT = "#"
 MAX_PERIOD = 4
 SUPPORT = 3
+# Elements below this depth dissolve into the one at it: their blocks and asides count, their nesting does not.
+MAX_DEPTH = 48
+# Item lists are compared pair by pair while that takes no more steps than this, else by next places.
+COMPARED = 1_000_000
+# A tag, comment or text at once where quotes hold no angle brackets; all else starts with a bare ``<``.
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|svg|iframe|object|textarea|select)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-z][a-z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>"
-    r"|<[!?/][^>]*>|[^<]+|<",
-    re.IGNORECASE | re.DOTALL,
+    r"<(/?)([a-z][a-z0-9:-]*+)([^<>\"']*+(?:\"[^\"<>]*+\"[^<>\"']*+|'[^'<>]*+'[^<>\"']*+)*+)>|<!--|[^<]++|<",
+    re.IGNORECASE,
 )
-ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.IGNORECASE)
+NAME = re.compile(r"<(/?)([a-z][a-z0-9:-]*+)", re.IGNORECASE)
+STOP = re.compile("[>\"']")
+RAW = {t: re.compile(rf"</{t}\s*+>", re.IGNORECASE) for t in "script style noscript template svg iframe object textarea select".split()}
+ATTRIBUTE = re.compile(r"([^\s=/>\"']++)(?:\s*+=\s*+(\"[^\"]*+\"|'[^']*+'|[^\s>]*+))?+")
 # Elements that make blocks, those that end an open paragraph or sibling, and those without content.
 BLOCKS = set(
     "html head title body div p article section main nav header footer aside ul ol li table thead tbody tfoot tr td th "
@@ -42,59 +51,163 @@ ENDS = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
     "body": {"head", "title"},
 }
-# Elements, and words in class, id or role, that mark what is not the main text.
+# Elements, and words in class or role, that mark what is not the main text.
 ASIDE_TAGS = set("head title nav header footer aside form fieldset button label dialog menu".split())
-ASIDE_WORDS = set(
-    "ad ads advert advertisement adverts sponsor sponsored promo banner nav navbar navigation menu sidebar footer header cookie "
+ADVERT_WORDS = set("ad ads advert advertisement adverts sponsor sponsored promo".split())
+ASIDE_WORDS = ADVERT_WORDS | set(
+    "banner nav navbar navigation menu sidebar footer header cookie "
     "cookies consent notice notices alert popup modal newsletter subscribe signup comment comments reply replies disqus share "
     "sharing social related breadcrumb breadcrumbs pagination complementary contentinfo search login".split()
 )
 MAIN_TAGS = ("article", "main")
 NEVER_ASIDE = {"html", "body", *MAIN_TAGS}  # their classes speak of the page or of parts of it
 MAIN_WORDS = set("article content post entry main story".split())
+# Elements that hold other blocks and no text of their own; a part of a class word or an id marks only these.
+CONTAINERS = set("html body div section article main ul ol dl table thead tbody tfoot tr td figure details blockquote".split())
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+HIDDEN = "hidden"
+
+
+def _attributes(text: str) -> dict[str, str]:
+    found: dict[str, str] = {}
+    for name, value in ATTRIBUTE.findall(text):
+        found.setdefault(name.lower(), value.strip("\"'").lower())
+    return found
 
 
 def _label(tag: str, attributes: str) -> str:
-    words = sorted({w for _, v in ATTRIBUTE.findall(attributes) for w in re.split(r"[^a-z]+", v.lower()) if w})
-    return ".".join([tag, *words])
+    """The element with its class and role words, without such as hold digits, which name single pages.
+
+    An id names one element and counts only where it is an aside word by itself, on a container.
+    """
+    if not attributes or attributes.isspace():
+        return tag
+    given = _attributes(attributes)
+    words = {w for w in f"{given.get('class', '')} {given.get('role', '')}".split() if re.fullmatch("[a-z_-]+", w)}
+    if given.get("id") in ASIDE_WORDS and tag in CONTAINERS:
+        words.add(given["id"])
+    if HIDDEN in given or re.search(r"display\s*:\s*none", given.get("style", "")):
+        words.add(HIDDEN)
+    return ".".join([tag, *sorted(words)])
+
+
+def tokens_of(source: str) -> Iterator[tuple[str, str, str] | str]:
+    """Tags as (``/`` or empty, name, attributes), and pieces of text, in time linear in the page.
+
+    A quote that never closes ends with its tag at the next ``>``; so does a tag that never ends
+    outside of quotes. Comments, declarations and raw elements are left out.
+    """
+    at, n = 0, len(source)
+    last_end, last = source.rfind(">"), {q: source.rfind(q) for q in "\"'"}
+    dead: set[int] = set()  # quotes from which, outside of quotes, no tag end follows
+
+    def end_of(start: int) -> int:
+        seen, j = [], start
+        while (stop := STOP.search(source, j)) and stop.start() not in dead:
+            k = stop.start()
+            if source[k] == ">":
+                return k
+            if k >= last[source[k]]:
+                break
+            seen.append(k)
+            j = source.index(source[k], k + 1) + 1
+        dead.update(seen)
+        return source.find(">", start)
+
+    while at < n:
+        match = TOKEN.match(source, at)
+        piece, tag = match.group(0), match.group(2)
+        if tag is None and piece != "<":
+            if piece == "<!--":
+                end = source.find("-->", at + 4)
+                at = n if end < 0 else end + 3
+            else:
+                yield piece
+                at = match.end()
+            continue
+        if tag is None:
+            name = NAME.match(source, at) if at < last_end else None
+            if name:
+                end = end_of(name.end())
+                token = name.group(1), name.group(2).lower(), source[name.end() : end]
+                at = end + 1
+            else:
+                declared = at < last_end and source[at + 1] in "!?/"
+                if not declared:
+                    yield piece
+                at = source.find(">", at) + 1 if declared else at + 1
+                continue
+        else:
+            token, at = (match.group(1), tag.lower(), match.group(3)), match.end()
+        if not token[0] and token[1] in RAW:
+            if not token[2].endswith("/") or token[1] in ("script", "style", "textarea"):
+                closed = RAW[token[1]].search(source, at)
+                at = closed.end() if closed else n
+            continue
+        if token[1] not in RAW:
+            yield token
 
 
 def parse(source: str) -> list:
     """The page as one page node, unfolded: every child list holds nodes in order."""
     root: list = ["", []]
-    stack, texts = [root], []
+    # per open element: its tag, the node its blocks go to, and whether its text is left out
+    stack: list[tuple[str, list, bool]] = [("", root, False)]
+    opened: Counter[str] = Counter()
+    texts: list[str] = []
+    advert: tuple[str, int] | None = None  # an inline element whose text is left out, and the depth it stands at
+    nested = 0
 
     def flush() -> None:
         if texts:
             joined = " ".join(html.unescape("".join(texts)).split())
-            if joined:
-                stack[-1][1].append([TEXT, joined])
+            if joined and not stack[-1][2]:
+                stack[-1][1][1].append([TEXT, joined])
             texts.clear()
 
-    for match in TOKEN.finditer(source):
-        raw, end, tag = match.group(1), match.group(2), match.group(3)
-        if tag is None:
-            piece = match.group(0)
-            if raw is None and not (piece[0] == "<" and len(piece) > 1):
-                texts.append(piece)
+    def close() -> None:
+        nonlocal advert
+        opened[stack.pop()[0]] -= 1
+        if advert and len(stack) < advert[1]:
+            advert = None
+
+    for token in tokens_of(source):
+        if isinstance(token, str):
+            if not advert:
+                texts.append(token)
             continue
-        tag = tag.lower()
+        end, tag, attributes = token
         if tag not in BLOCKS:
+            if advert and tag == advert[0]:
+                nested += -1 if end else not attributes.endswith("/")
+                if not nested:
+                    advert = None
+            elif not advert and not end and attributes and not attributes.endswith("/"):
+                words = set(_label(tag, attributes).split(".")[1:])
+                if words & ADVERT_WORDS or HIDDEN in words:
+                    advert, nested = (tag, len(stack)), 1
             if tag == "br":
                 texts.append(" ")
             continue
         flush()
         if end:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0].split(".")[0] == tag), 0)
-            if depth:
-                del stack[depth:]
+            if opened[tag]:
+                while stack[-1][0] != tag:
+                    close()
+                close()
             continue
-        while len(stack) > 1 and (open_tag := stack[-1][0].split(".")[0]) and (open_tag == "p" or open_tag in ENDS.get(tag, ())):
-            stack.pop()
-        node = [_label(tag, match.group(4)), []]
-        stack[-1][1].append(node)
-        if tag not in VOID and not match.group(4).endswith("/"):
-            stack.append(node)
+        while len(stack) > 1 and (stack[-1][0] == "p" or stack[-1][0] in ENDS.get(tag, ())):
+            close()
+        label = _label(tag, attributes)
+        silent = stack[-1][2]
+        if len(stack) > MAX_DEPTH:
+            node, silent = stack[-1][1], silent or is_aside(label)
+        else:
+            node = [label, []]
+            stack[-1][1][1].append(node)
+        if tag not in VOID and not attributes.endswith("/"):
+            stack.append((tag, node, silent))
+            opened[tag] += 1
     flush()
     return root
 
@@ -109,16 +222,20 @@ def fold(nodes: list) -> list:
         else:
             items.append([label, [instance]])
     for period in range(2, MAX_PERIOD + 1):
+        folded: list = []
         at = 0
-        while at + 2 * period <= len(items):
+        while at < len(items):
             labels = [i[0] for i in items[at : at + period]]
             times = 1
-            while [i[0] for i in items[at + times * period : at + (times + 1) * period]] == labels:
+            while len(labels) == period and [i[0] for i in items[at + times * period : at + (times + 1) * period]] == labels:
                 times += 1
             if times > 1:
-                group = [items[at + k * period : at + (k + 1) * period] for k in range(times)]
-                items[at : at + times * period] = [["(" + " ".join(labels) + ")", group]]
-            at += 1
+                folded.append(["(" + " ".join(labels) + ")", [items[at + k * period : at + (k + 1) * period] for k in range(times)]])
+                at += times * period
+            else:
+                folded.append(items[at])
+                at += 1
+        items = folded
     return items
 
 
@@ -147,6 +264,9 @@ def matched(left: list, right: list) -> Iterator[tuple[int | None, int | None]]:
     if a == b:
         yield from ((k, k) for k in range(len(a)))
         return
+    if len(a) * len(b) > COMPARED:
+        yield from _next_places(a, b)
+        return
     for kind, i, j, k, m in SequenceMatcher(None, a, b, autojunk=False).get_opcodes():
         if kind == "equal":
             yield from zip(range(i, j), range(k, m), strict=True)
@@ -155,6 +275,24 @@ def matched(left: list, right: list) -> Iterator[tuple[int | None, int | None]]:
             yield from ((None, y) for y in range(k, m))
 
 
+def _next_places(a: list, b: list) -> Iterator[tuple[int | None, int | None]]:
+    """As ``matched``, each item of ``b`` with the next equal one of ``a`` that is near enough to skip to."""
+    places: dict[str, list[int]] = {}
+    for i, label in enumerate(a):
+        places.setdefault(label, []).append(i)
+    i = 0
+    for j, label in enumerate(b):
+        known = places.get(label, [])
+        k = bisect_left(known, i)
+        if k < len(known) and known[k] - i <= 1 + len(b) - j:
+            yield from ((x, None) for x in range(i, known[k]))
+            yield known[k], j
+            i = known[k] + 1
+        else:
+            yield None, j
+    yield from ((x, None) for x in range(i, len(a)))
+
+
 def align(left: list, right: list) -> list:
     """The least wrapper that both item lists fit."""
     result = []
@@ -171,16 +309,22 @@ def align(left: list, right: list) -> list:
 
 
 def _words(label: str) -> tuple[str, set[str]]:
-    """Tag and words of an element; the label of a folded group stands for no element and has none."""
+    """Tag and words of an element; the label of a folded group stands for no element and has none.
+
+    A container also has the parts of its words, as in ``site-footer``; on a heading or paragraph a word
+    counts as a whole.
+    """
     if label.startswith("("):
         return label, set()
     tag, *words = label.split(".")
-    return tag, set(words)
+    parts = {p for w in words for p in re.split("[-_]", w)} if tag in CONTAINERS else set()
+    return tag, {*words, *parts}
 
 
+@functools.lru_cache(1 << 16)
 def is_aside(label: str) -> bool:
     tag, words = _words(label)
-    return tag in ASIDE_TAGS or (tag not in NEVER_ASIDE and bool(words & ASIDE_WORDS))
+    return HIDDEN in words or tag in ASIDE_TAGS or (tag not in NEVER_ASIDE and bool(words & ASIDE_WORDS))
 
 
 def _has(items: list, wanted) -> bool:
@@ -193,42 +337,114 @@ MAIN_TESTS = [
 ]
 
 
+@functools.lru_cache(1 << 16)
+def is_marked(label: str) -> bool:
+    """Whether an element calls itself main."""
+    return any(wanted(label) for wanted in MAIN_TESTS)
+
+
 def choose(wrapper: list) -> int | None:
     """Which of ``MAIN_TESTS`` marks the main part of a wrapper; None when nothing does."""
     return next((k for k, wanted in enumerate(MAIN_TESTS) if _has(wrapper, wanted)), None)
 
 
-def choose_for(items: list) -> int | None:
-    """Which of ``MAIN_TESTS`` marks the main part of a page; the pages of a host may follow several templates."""
+@dataclass
+class Element:
+    """An element of a page, or a text of it (``label`` ``#``), beside its place in the wrapper.
 
-    def has(own: list, wanted) -> bool:
-        return any(x[0] != TEXT and not is_aside(x[0]) and (wanted(x[0]) or any(has(i, wanted) for i in x[1])) for x in own)
+    ``fixed`` texts are the same on all pages of the host; ``mass`` is the length of the others below.
+    """
 
-    return next((k for k, wanted in enumerate(MAIN_TESTS) if has(items, wanted)), None)
+    label: str
+    text: str = ""
+    fixed: bool = False
+    mass: int = 0
+    children: list[Element] = field(default_factory=list)
 
+    @property
+    def tag(self) -> str:
+        return self.label.split(".")[0]
 
-def extract(items: list, wrapper: list, test: int | None, support: int = SUPPORT) -> list[str]:
-    """The texts of a page that fall on main-text slots of its wrapper, in page order.
 
-    Below a main element every slot counts that no aside holds. A page without such an element
-    keeps the slots that vary from page to page once ``support`` distinct pages (at most ``SUPPORT``) were seen.
+def elements(items: list, wrapper: list, support: int = SUPPORT) -> list[Element]:
+    """What of a page no aside holds, in page order; folded groups are taken apart.
+
+    A text is fixed if ``support`` distinct pages (at most ``SUPPORT``) of the host have it and none another.
     """
-    found: list[str] = []
-
-    def walk(own: list, of: list, inside: bool) -> None:
-        places = {j: i for i, j in matched(of, own) if i is not None and j is not None}
-        for j, (label, instances) in enumerate(own):
-            node = of[places[j]] if j in places else [label, 0, 1, [], None, []]
-            if label == TEXT:
-                fixed = test is None and len(node[3]) >= support and node[4] is not None
-                if inside and not fixed:
-                    found.append(instances[0])
-                continue
-            if is_aside(label):
-                continue
-            within = inside or (test is not None and MAIN_TESTS[test](label))
+    made: list[Element] = []
+    places = {j: i for i, j in matched(wrapper, items) if i is not None and j is not None}
+    for j, (label, instances) in enumerate(items):
+        node = wrapper[places[j]] if j in places else [label, 0, 1, [], None, []]
+        if label == TEXT:
+            fixed = len(node[3]) >= support and node[4] is not None
+            made.append(Element(label, instances[0], fixed, 0 if fixed else len(instances[0])))
+        elif label.startswith("("):
             for instance in instances:
-                walk(instance, node[5], within)
+                made += elements(instance, node[5], support)
+        elif not is_aside(label):
+            for instance in instances:
+                below = elements(instance, node[5], support)
+                made.append(Element(label, mass=sum(e.mass for e in below), children=below))
+    return made
 
-    walk(items, wrapper, test is None)
-    return found
+
+def regions(page: list[Element]) -> list[Element]:
+    """The elements that are the main part of a page: where its text differs from the host's other pages.
+
+    From the outermost element down, as long as one element holds that text: half of it if the element
+    calls itself main, else four fifths, with no headings or paragraphs beside it. Of several main
+    elements side by side, such as teasers beside an article, those count that hold half as much as the
+    largest. Where no element holds it, the main elements below do if a quarter of it is theirs.
+    """
+    here = Element("", mass=sum(e.mass for e in page), children=page)
+    while here.mass:
+        own = [e for e in here.children if e.label != TEXT and e.mass]
+        best = max(own, key=lambda e: (e.mass, is_marked(e.label)), default=None)
+        if best is None or 2 * best.mass < here.mass:
+            break
+        if is_marked(best.label):
+            return [e for e in own if is_marked(e.label) and 2 * e.mass >= best.mass]
+        loose = any(e.mass and (e.label == TEXT or e.tag not in CONTAINERS) for e in here.children)
+        if best.tag not in CONTAINERS or loose or 5 * best.mass < 4 * here.mass:
+            break
+        here = best
+    outermost: list[Element] = []
+    rest = list(reversed(here.children))
+    while rest:
+        e = rest.pop()
+        if is_marked(e.label):
+            outermost.append(e)
+        else:
+            rest += reversed(e.children)
+    largest = max((e.mass for e in outermost), default=0)
+    chosen = [e for e in outermost if e.mass and 2 * e.mass >= largest]
+    return chosen if chosen and 4 * sum(e.mass for e in chosen) >= here.mass else [here]
+
+
+def _texts(element: Element, fixed: bool) -> Iterator[str]:
+    rest = [element]
+    while rest:
+        e = rest.pop()
+        if e.label == TEXT and (fixed or not e.fixed):
+            yield e.text
+        rest += reversed(e.children)
+
+
+def main_texts(items: list, wrapper: list, support: int = SUPPORT) -> list[str]:
+    """The blocks of a page's main part, in page order: all of an element that calls itself main, else
+    those that are not the same all over the host."""
+    page = elements(items, wrapper, support)
+    return [t for e in regions(page) for t in _texts(e, is_marked(e.label))]
+
+
+def extract(items: list, wrapper: list, test: int | None, support: int = SUPPORT) -> list[str]:
+    """The texts of a page on slots of its wrapper that no aside holds: below elements that ``MAIN_TESTS``
+    number ``test`` marks, or without one, those that are not fixed."""
+
+    def walk(own: list[Element], inside: bool) -> Iterator[str]:
+        for e in own:
+            if e.label == TEXT and inside and not (test is None and e.fixed):
+                yield e.text
+            yield from walk(e.children, inside or (test is not None and e.label != TEXT and MAIN_TESTS[test](e.label)))
+
+    return list(walk(elements(items, wrapper, support), test is None))
