@@ -14,7 +14,7 @@ from statelake.operators.profile import reconcile, row_count, top_rows, value_co
 from statelake.plans.gold import gold_table, merge_gold_table, refresh_gold
 from statelake.plans.ingest import ingest_bronze, ingest_kafka, offset_table
 from statelake.plans.profile import profile_table
-from statelake.plans.sample import stratified_orders, write_sample
+from statelake.plans.sample import write_sampled_orders
 from statelake.plans.silver import (
     INGESTION_RULES,
     OFFSET_RULES,
@@ -57,11 +57,11 @@ def profile(spark: SparkSession, args: argparse.Namespace) -> None:
 def sample(spark: SparkSession, args: argparse.Namespace) -> None:
     # child tables pass through as text; only their order id is looked at
     children = {
-        name: spark.read.option("header", True).csv(path)
+        name: (spark.read.option("header", True).csv(path), "order_id", "order_id")
         for name, path in (("items", args.items), ("payments", args.payments))
         if path
     }
-    write_sample(stratified_orders(read_csv(spark, args.orders, ORDERS_CSV_SCHEMA), children), args.out)
+    write_sampled_orders(read_csv(spark, args.orders, ORDERS_CSV_SCHEMA), children, args.out)
 
 
 def events(spark: SparkSession, args: argparse.Namespace) -> None:

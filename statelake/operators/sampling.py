@@ -106,13 +106,15 @@ def _sortable(df: DataFrame, keys: Sequence[str]) -> list[str]:
 def child_rows(children: DataFrame, sample: DataFrame, key: str, child_key: str | None = None, max_sample_rows: int | None = None) -> DataFrame:
     """Rows of ``children`` whose key is in ``sample``.
 
-    With ``max_sample_rows``, the bound a sample claims to have (the sum of its caps), the keys are
-    counted; up to ``MAX_BROADCAST_KEYS`` they are broadcast and the children are filtered in place.
-    Otherwise it is a shuffled semi join, where adaptive execution splits a hot child key.
+    With ``max_sample_rows``, the bound a sample claims to have (the sum of its caps), the sample is
+    computed here, once; up to ``MAX_BROADCAST_KEYS`` keys are broadcast and the children are filtered in
+    place. Otherwise it is a shuffled semi join, where adaptive execution splits a hot child key.
     """
     name = child_key or key
     keys = sample.select(F.col(key).alias(name)).distinct()
     claimed = max_sample_rows is not None and max_sample_rows <= MAX_BROADCAST_KEYS
-    if claimed and keys.limit(MAX_BROADCAST_KEYS + 1).count() <= MAX_BROADCAST_KEYS:
-        keys = F.broadcast(keys)
+    if claimed:
+        found = keys.limit(MAX_BROADCAST_KEYS + 1).toArrow()
+        if found.num_rows <= MAX_BROADCAST_KEYS:
+            keys = F.broadcast(children.sparkSession.createDataFrame(found))
     return children.join(keys, name, "left_semi")

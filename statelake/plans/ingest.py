@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from types import MappingProxyType
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from statelake.functions.clocks import clock, parse_timestamp, seconds_between
@@ -59,8 +59,8 @@ def ingest_bronze(
 ) -> IngestResult:
     """Append what is new in ``log`` to the raw layer and advance the stored positions.
 
-    ``resumed`` says that ``log`` already starts at the stored positions, as a Kafka slice does. The
-    run's clock is fixed once, and the positions are read back from what was written under it. So
+    ``resumed`` says that ``log`` already starts at the stored positions, as a Kafka slice does. The log
+    is read once: the rows are counted as they are written. The run's clock is fixed once, and the positions are read back from what was written under it. So
     they are right even if the log grew meanwhile or lost tasks read it twice, and nothing has to be
     cached. A crash between the two steps repeats records but loses none; deduplication on the event
     id takes the repeats out.
@@ -69,9 +69,10 @@ def ingest_bronze(
     positions = offset_table(offsets_path)
     stored = positions.read(spark)
     fresh = log if resumed else resume(log, stored)
-    if fresh.isEmpty():
+    seen = Observation()
+    append_parquet(to_bronze(fresh, stamp).observe(seen, F.count(F.lit(1)).alias("records")), bronze_path)
+    if not seen.get["records"]:
         return IngestResult(False)
-    append_parquet(to_bronze(fresh, stamp), bronze_path)
 
     landed = read_parquet(spark, bronze_path, BRONZE_SCHEMA, bronze_path).filter(
         (F.col("raw_date") == F.to_date(clock(stamp))) & (F.col("raw_hour") == F.hour(clock(stamp)))

@@ -24,7 +24,7 @@ from statelake.operators.summary import cancellation_rate, daily_revenue, daily_
 from statelake.plans.gold import COUNTED_BY, counts_table, daily_order_summary, gold_table, refresh_gold, refresh_gold_by_changes
 from statelake.plans.ingest import ingest_bronze, offset_table, to_bronze
 from statelake.plans.profile import profile_table
-from statelake.plans.sample import write_sample
+from statelake.plans.sample import write_sampled_orders
 from statelake.plans.silver import (
     INGESTION_RULES,
     OFFSET_RULES,
@@ -582,19 +582,11 @@ def parse_with_pattern(spark, folder):
 def sample_with_children(spark, folder):
     """A sample of orders with its rows of two other tables, through CSV files."""
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    sample = stratified_sample(orders, "o_orderstatus", CHILD_CAPS, "o_orderkey")
-    bound = sum(CHILD_CAPS.values())
     lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber")
     customers = table(spark, folder, "customer").select("c_custkey", "c_mktsegment")
     path = scratch_path(spark, "sample")
-    write_sample(
-        {
-            "orders": sample,
-            "lines": child_rows(lines, sample, "o_orderkey", "l_orderkey", bound),
-            "customers": child_rows(customers, sample, "o_custkey", "c_custkey", bound),
-        },
-        path,
-    )
+    children = {"lines": (lines, "o_orderkey", "l_orderkey"), "customers": (customers, "o_custkey", "c_custkey")}
+    write_sampled_orders(orders, children, path, CHILD_CAPS, "o_orderstatus", "o_orderkey")
     parts = [
         read_csv(spark, f"{path}/{name}_sample", df.schema).groupBy(F.lit(name).alias("part")).agg(
             F.count("*").alias("rows"), F.sum(key).alias("keys")
