@@ -324,5 +324,25 @@ FROM ({_latest('deduped')})"""
 ORACLE["stream_events_once"] = f"WITH {_EVENTS} SELECT event_id, order_id, event_type FROM single"
 ORACLE["stream_unguarded_repeat"] = ORACLE["merge_unconditional"]
 
+ORACLE["audit_of_layers"] = f"""{_LOG},
+state AS ({_STATE})
+SELECT event_date AS day, count(*) AS raw_orders, count(*) AS state_orders, NOT bool_or(customer_id = '7') AS same_state, TRUE AS same_summary
+FROM state GROUP BY event_date"""
+ORACLE["fingerprints_of_days"] = f"""{_LOG},
+state AS ({_STATE})
+SELECT event_date AS day, count(*) AS left_rows, count(*) AS right_rows, TRUE AS same FROM state GROUP BY event_date"""
+ORACLE["distinct_by_sketches"] = f"""{_LOG}
+SELECT CAST(weekofyear(event_time) AS INTEGER) AS period, count(DISTINCT customer_id) AS customers, TRUE AS within_error FROM log GROUP BY 1"""
+ORACLE["rejects_retried"] = f"""{_LOG},
+usable AS (SELECT * FROM log WHERE CAST(event_id AS BIGINT) % 15 <> 7),
+single_copy AS (SELECT * FROM usable QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ingestion_time DESC, "offset" DESC) = 1)
+SELECT order_id, event_id, event_type, event_time, event_type AS current_status, CAST(event_time AS DATE) AS event_date
+FROM ({_latest('single_copy')})"""
+ORACLE["checked_csv"] = """
+SELECT part, count(*) AS rows, CAST(sum(key) AS BIGINT) AS keys FROM (
+  SELECT CASE WHEN o_orderkey % 2 = 0 AND o_orderkey % 50 = 0 THEN 'fields: 1'
+              WHEN o_orderkey % 53 = 1 THEN 'a value does not fit its type' ELSE o_orderstatus END AS part,
+         CASE WHEN NOT (o_orderkey % 50 = 0) AND o_orderkey % 53 <> 1 THEN o_orderkey END AS key FROM orders) GROUP BY part"""
+
 # An interrupted run leaves no trace once the next one has ended.
 ORACLE["gold_after_interrupted_run"] = ORACLE["gold_table_refresh"]

@@ -21,9 +21,13 @@ from statelake.operators.merge import and_changed, merge_rows, not_older
 from statelake.operators.offsets import advance_offsets, next_offsets, resume
 from statelake.operators.sampling import child_rows, stratified_sample
 from statelake.operators.summary import cancellation_rate, daily_revenue, daily_summary, delivery_time
+from statelake.operators.fingerprint import compare
+from statelake.operators.sketches import distinct_by, standard_error
+from statelake.plans.audit import add_to_sketches, audit_layers, sketch_table, state_fingerprints
 from statelake.plans.gold import COUNTED_BY, counts_table, daily_order_summary, gold_table, refresh_gold, refresh_gold_by_changes
 from statelake.plans.ingest import ingest_bronze, offset_table, to_bronze
 from statelake.plans.profile import profile_table
+from statelake.plans.rejects import decoded_again, keep_rejects, reject_table, retry_rejects
 from statelake.plans.sample import write_sampled_orders
 from statelake.plans.silver import (
     INGESTION_RULES,
@@ -43,6 +47,7 @@ from statelake.registry.inputs import PROCESSED_AT, as_text, deliveries, plain,
 from statelake.schemas import EVENT_FIELDS, GOLD_SCHEMA, LOG_SCHEMA
 from statelake.session import begin_query, scratch_path
 from statelake.sources import tables
+from statelake.sources.checked_csv import read_checked_csv
 from statelake.sources.files import read_bronze, read_csv, write_csv
 from statelake.sources.snapshots import Batch, upsert
 from statelake.streaming.bronze import stream_bronze
@@ -682,3 +687,78 @@ def stream_unguarded_repeat(spark, folder):
     for number, batch, at in ((0, early, FIRST_RUN), (1, late, SECOND_RUN), (1, late, "2024-02-03 00:00:00"), (0, early, "2024-02-03 00:00:00")):
         refresh_silver(spark, batch, silver, rules, at, batch=Batch("orders", number))
     return plain(silver.read(spark))
+
+
+# -- audits, distinct counts, rejects ---------------------------------------------------------------
+
+
+@query
+def audit_of_layers(spark, folder):
+    """Raw layer, state and summary by day, after one customer of the state was renamed behind its back."""
+    silver, gold = silver_table(scratch_path(spark, "silver"), FOLD_RULES), gold_table(scratch_path(spark, "gold"))
+    raw = inputs.bronze(spark, folder)
+    refresh_silver(spark, raw, silver, FOLD_RULES, FIRST_RUN)
+    refresh_gold(spark, silver, gold, as_of=FIRST_RUN)
+    renamed = F.when(F.col("customer_id") == "7", F.lit("seven")).otherwise(F.col("customer_id"))
+    state = silver.read(spark).withColumn("customer_id", renamed)
+    return audit_layers(raw, state, gold.read(spark), FOLD_RULES)
+
+
+@query
+def fingerprints_of_days(spark, folder):
+    """State tables from the two rule sets, held against each other: days on which they agree in full."""
+    raw = inputs.bronze(spark, folder)
+    left, right = (current_state(raw, rules, FIRST_RUN) for rules in (FOLD_RULES, OFFSET_RULES))
+    return compare(state_fingerprints(left), state_fingerprints(right))
+
+
+@query
+def distinct_by_sketches(spark, folder):
+    """Customers per week from one sketch a day, taken in by three runs that overlap; whether the
+    estimate is within four standard errors of the exact count."""
+    events = deliveries(spark, folder).withColumn("day", F.to_date("event_time"))
+    sketches = sketch_table(scratch_path(spark, "sketches"))
+    for part in ("day < '2024-01-12'", "day >= '2024-01-10' AND day < '2024-01-20'", "day >= '2024-01-10'"):
+        add_to_sketches(spark, events.filter(part), "day", "customer_id", sketches)
+    week = F.weekofyear("day")
+    exact = events.groupBy(week.alias("period")).agg(F.count_distinct("customer_id").alias("customers"))
+    estimated = distinct_by(sketches.read(spark), week)
+    near = F.abs(F.col("estimate") - F.col("customers")) <= F.greatest(F.lit(1.0), 4 * standard_error() * F.col("customers"))
+    return exact.join(estimated, "period").select("period", "customers", near.alias("within_error"))
+
+
+@query
+def rejects_retried(spark, folder):
+    """The state after broken payloads were mended and taken in; events without a readable time stay out."""
+    rules = LATEST_RULES
+    cut, timeless = F.col("offset") % 10 == 0, F.expr("CAST(get_json_object(CAST(value AS STRING), '$.event_id') AS BIGINT) % 15 = 7")
+    text = F.col("value").cast("string")
+    text = F.when(timeless, F.regexp_replace(text, '"event_time":"[^"]*"', '"event_time":"unknown"')).otherwise(text)
+    text = F.when(cut, F.substr(text, F.lit(1), F.char_length(text) - 1)).otherwise(text)
+    raw = to_bronze(inputs.log(spark, folder).withColumn("value", text.cast("binary")), PROCESSED_AT)
+    silver, rejects = silver_table(scratch_path(spark, "silver"), rules), reject_table(scratch_path(spark, "rejects"))
+    refresh_silver(spark, raw, silver, rules, FIRST_RUN)
+    for _ in range(2):  # the raw layer is gone over again
+        keep_rejects(spark, raw, rejects, rules)
+        retry_rejects(spark, rejects, lambda found: decoded_again(found, F.concat("corrupt_record", F.lit("}"))), silver, rules, FIRST_RUN)
+    return plain(silver.read(spark).select("order_id", "event_id", "event_type", "event_time", "current_status", "event_date"))
+
+
+@query
+def checked_csv(spark, folder):
+    """Orders from CSV files of two headers, with short lines and unreadable prices: sums over the good
+    lines, and the number of rejects by reason."""
+    path = scratch_path(spark, "csv")
+    orders = table(spark, folder, "orders")
+    key, price = F.col("o_orderkey").cast("string"), F.col("o_totalprice").cast("string")
+    bad = F.when(F.col("o_orderkey") % 53 == 1, F.lit("n/a")).otherwise(price)
+    half = F.col("o_orderkey") % 2 == 0
+    first = F.when(F.col("o_orderkey") % 50 == 0, key).otherwise(F.concat_ws(",", key, "o_orderstatus", bad))
+    second = F.concat_ws(",", bad, F.lit("more"), key, "o_orderstatus")
+    for part, line, header in ((half, first, "o_orderkey,o_orderstatus,o_totalprice"), (~half, second, "o_totalprice,note,o_orderkey,o_orderstatus")):
+        orders.filter(part).select(line.alias(header)).write.mode("append").option("header", True).option("sep", "\t").csv(path)
+    schema = "o_orderkey bigint, o_orderstatus string, o_totalprice double"
+    good, rejects = read_checked_csv(spark, path, spark.createDataFrame([], schema).schema)
+    sums = good.groupBy("o_orderstatus").agg(F.count("*").alias("rows"), F.sum("o_orderkey").alias("keys"))
+    told = rejects.groupBy("reason").agg(F.count("*").alias("rows"), F.lit(None).cast("long").alias("keys"))
+    return sums.withColumnRenamed("o_orderstatus", "part").unionByName(told.withColumnRenamed("reason", "part"))
