@@ -3,16 +3,19 @@
 All rolling word five-grams of all texts are hashed and joined with the positions of the same hashes
 in license templates. A match votes for the diagonal (text position minus template position). Votes
 are counted per diagonal, neighbouring diagonals (shifted by a few inserted or dropped words) are
-merged, and the merged run is verified: the share of the template's words that its matches cover has
-to reach the similarity. Names of licenses in running text are found beside that as plain phrases.
+merged unless they hold mostly the same template words, which then stand there twice, and the merged
+run is verified: the share of the template's words that its matches cover has to reach the similarity.
+Names of licenses in running text are found beside that as plain phrases. Templates and phrases are
+arguments; those of the library are its defaults.
 
-Defined cases: a NULL or empty text, or one of fewer than five words, has no matches; repeated rows
+Defined cases: a NULL or empty text, or one of fewer than five words, has no matches; a template of
+fewer than five words is an error; very long texts go through batches of bounded bytes; repeated rows
 are scanned each for itself; an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,6 +29,9 @@ from statelake.llm.license_texts import PHRASES, TEMPLATES
 from statelake.llm.tokens import ALPHANUMERIC, span_hashes, word_hashes
 
 GRAM = 5
+# Templates of more five-grams than this meet the texts by a shuffle.
+BROADCAST_GRAMS = 1_000_000
+Named = Sequence[tuple[str, str]]
 
 
 @dataclass(frozen=True)
@@ -41,23 +47,26 @@ def gram_hashes(words: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return span_hashes(words, starts, starts + GRAM).view(np.int64)
 
 
-def template_positions(spark: SparkSession) -> DataFrame:
-    """``(gram, template, label, at, length)``; as many rows as the templates have five-grams."""
-    hashes, rows = word_hashes(pa.array([text for _, text in TEMPLATES]), ALPHANUMERIC)
+def template_positions(spark: SparkSession, templates: Named = TEMPLATES) -> DataFrame:
+    """``(gram, template, label, at, length)``; as many rows as the templates (label, text) have five-grams."""
+    hashes, rows = word_hashes(pa.array([text for _, text in templates], pa.string()), ALPHANUMERIC)
+    if len(templates) and int(np.diff(rows).min()) < GRAM:
+        raise ValueError(f"a template needs at least {GRAM} words")
     found = []
-    for k, (label, _) in enumerate(TEMPLATES):
+    for k, (label, _) in enumerate(templates):
         own = hashes[rows[k] : rows[k + 1]]
         grams = gram_hashes(own, np.arange(len(own) - GRAM + 1))
         found += [(int(g), k, label, at, len(own)) for at, g in enumerate(grams)]
-    return spark.createDataFrame(found, "gram bigint, template int, label string, at int, length int")
+    positions = spark.createDataFrame(found, "gram bigint, template int, label string, at int, length int")
+    return F.broadcast(positions) if len(found) <= BROADCAST_GRAMS else positions
 
 
-def grams_of(docs: DataFrame, carry: list[str], text: str = "text") -> DataFrame:
+def grams_of(docs: DataFrame, carry: list[str], text: str = "text", named: Named = PHRASES) -> DataFrame:
     """Every row with its words, its phrases, and the hashes of all its five-grams in order."""
     spark = docs.sparkSession
     fit_python(spark)
-    hashes, rows = word_hashes(pa.array([p for p, _ in PHRASES]), ALPHANUMERIC)
-    phrases = [(hashes[rows[k] : rows[k + 1]], label) for k, (_, label) in enumerate(PHRASES)]
+    hashes, rows = word_hashes(pa.array([p for p, _ in named], pa.string()), ALPHANUMERIC)
+    phrases = [(hashes[rows[k] : rows[k + 1]], label) for k, (_, label) in enumerate(named)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -73,7 +82,7 @@ def grams_of(docs: DataFrame, carry: list[str], text: str = "text") -> DataFrame
                 places.append(at[same])
                 for r in np.unique(row[at[same]]):
                     labels[r].add(label)
-            found = np.sort(np.concatenate(places))
+            found = np.sort(np.concatenate([np.zeros(0, np.int64), *places]))
             count = np.bincount(row[found], minlength=len(n))
             ends = np.cumsum(count)
             some = count > 0
@@ -107,8 +116,11 @@ def verified_spans(votes: DataFrame, rules: LicenseRules) -> DataFrame:
     """Per row and template the runs that cover enough of the template: label, words, score."""
     by_diagonal = Window.partitionBy("__row", "template").orderBy("diagonal")
     diagonals = votes.groupBy("__row", "template", "label", "length", "diagonal").agg(F.collect_set("at").alias("at"))
+    before = F.lag("at").over(by_diagonal)
     step = F.col("diagonal") - F.lag("diagonal").over(by_diagonal)
-    runs = diagonals.withColumn("run", F.sum(F.coalesce((step > rules.slack).cast("int"), F.lit(0))).over(by_diagonal))
+    again = 2 * F.size(F.array_intersect("at", before)) > F.least(F.size("at"), F.size(before))
+    apart = F.coalesce(((step > rules.slack) | again).cast("int"), F.lit(0))
+    runs = diagonals.withColumn("apart", apart).withColumn("run", F.sum("apart").over(by_diagonal))
     merged = runs.groupBy("__row", "template", "label", "length", "run").agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("at")))).alias("at"),
         F.min(F.col("diagonal") + F.array_min("at")).alias("start"),
@@ -120,17 +132,24 @@ def verified_spans(votes: DataFrame, rules: LicenseRules) -> DataFrame:
     return scored.filter(F.col("score") >= rules.similarity).select("__row", "label", "start", "end", "score")
 
 
-def license_scan(docs: DataFrame, carry: list[str], rules: LicenseRules = LicenseRules(), text: str = "text") -> DataFrame:
+def license_scan(
+    docs: DataFrame,
+    carry: list[str],
+    rules: LicenseRules = LicenseRules(),
+    text: str = "text",
+    templates: Named = TEMPLATES,
+    phrases: Named = PHRASES,
+) -> DataFrame:
     """Every row with its phrases, all labels, the verified spans and the best score.
 
-    The templates are a constant of the library, so their side of the join is broadcast. A row goes
-    on with its matches and its first gram only.
+    ``templates`` are pairs of label and text, ``phrases`` of text and label. A row goes on with its
+    matches and its first gram only.
     """
     spark = docs.sparkSession
-    rows = grams_of(docs, carry, text).select(F.monotonically_increasing_id().alias("__row"), "*")
+    rows = grams_of(docs, carry, text, phrases).select(F.monotonically_increasing_id().alias("__row"), "*")
     kept = [c for c in rows.columns if c != "grams"]
     exploded = rows.select(*kept, F.posexplode_outer("grams").alias("place", "gram"))
-    joined = exploded.join(F.broadcast(template_positions(spark)), "gram", "left")
+    joined = exploded.join(template_positions(spark, templates), "gram", "left")
     seen = stored(joined.filter(F.col("template").isNotNull() | (F.coalesce("place", F.lit(0)) == 0)), "license-votes")
     votes = seen.filter(F.col("template").isNotNull()).withColumn("diagonal", F.col("place") - F.col("at"))
     per_row = (

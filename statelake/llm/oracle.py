@@ -1,10 +1,12 @@
 """DuckDB SQL with the same result as the query of the same name, where SQL can express it.
 
-Not here: extraction (a tree), language-model scores (CRC-32), quality rules and SimHash (XXH64), and
-the license scan (rolling hashes); their tests compare with brute force.
+Not here: extraction (a tree), language-model scores (a model), quality rules and SimHash (XXH64);
+their tests compare with brute force.
 """
 
 from statelake.llm import pii
+from statelake.llm.license_texts import PHRASES, TEMPLATES
+from statelake.llm.licenses import GRAM, LicenseRules
 from statelake.llm.secrets import KINDS, SecretRules
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -274,4 +276,41 @@ SELECT known.conv_id, CAST(known.d AS BIGINT) AS depth, p.conv_id AS parent_conv
 FROM known JOIN below USING (d, k) LEFT JOIN known p ON known.d > 0 AND p.d = known.d - 1 AND p.k = known.up
 """
 
-ORACLE: dict[str, str] = {"op2_suffix": OP2, "op4_secrets": OP4, "op7_mixing": OP7, "op9_decontam": OP9, "op10_warc": OP10, "op11_pii": OP11, "op12_merkle": OP12_SQL, "op13_trie": OP13_SQL}
+
+
+def _op8() -> str:
+    lowered = lambda text: f"regexp_extract_all(translate({text}, '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    quoted = lambda text: text.replace("'", "''")
+    templates = ", ".join(f"({k}, '{label}', '{quoted(text)}')" for k, (label, text) in enumerate(TEMPLATES))
+    phrases = ", ".join(f"('{quoted(text)}', '{label}')" for text, label in PHRASES)
+    grams = f"array_to_string(w[i + 1 : i + {GRAM}], ' ')"
+    rules = LicenseRules()
+    return f"""
+WITH doc AS (SELECT doc_id, {lowered("coalesce(text, '')")} AS w FROM documents),
+template AS (SELECT t, label, {lowered("body")} AS w FROM (VALUES {templates}) v(t, label, body)),
+phrase AS (SELECT label, string_split(body, ' ') AS p, body FROM (VALUES {phrases}) v(body, label)),
+pos AS (SELECT t, label, i AS q, len(w) AS n, {grams} AS g FROM (SELECT *, unnest(range(0, len(w) - {GRAM} + 1)) AS i FROM template)),
+gram AS (SELECT doc_id, i AS place, {grams} AS g FROM (SELECT *, unnest(range(0, len(w) - {GRAM} + 1)) AS i FROM doc)),
+vote AS (SELECT DISTINCT doc_id, t, label, n, place - q AS d, q FROM gram JOIN pos USING (g)),
+diagonal AS (SELECT doc_id, t, label, n, d, list(q) AS ats FROM vote GROUP BY doc_id, t, label, n, d),
+edge AS (
+  SELECT *, CASE WHEN d - lag(d) OVER o > {rules.slack} OR 2 * len(list_intersect(ats, lag(ats) OVER o)) > least(len(ats), len(lag(ats) OVER o))
+                 THEN 1 ELSE 0 END AS apart FROM diagonal WINDOW o AS (PARTITION BY doc_id, t ORDER BY d)),
+run AS (SELECT *, sum(apart) OVER (PARTITION BY doc_id, t ORDER BY d) AS r FROM edge),
+word AS (SELECT DISTINCT doc_id, t, label, n, r, unnest(ats) AS q FROM run),
+step AS (SELECT *, least({GRAM}, coalesce(lead(q) OVER (PARTITION BY doc_id, t, r ORDER BY q) - q, {GRAM})) AS c FROM word),
+scored AS (SELECT doc_id, label, CAST(sum(c) AS DOUBLE) / CAST(n AS DOUBLE) AS score FROM step GROUP BY doc_id, t, label, n, r),
+good AS (SELECT doc_id, max(score) AS score, list(DISTINCT label) AS labels FROM scored WHERE score >= {rules.similarity} GROUP BY doc_id),
+named AS (
+  SELECT doc_id, i, label FROM (SELECT doc_id, w, label, p, unnest(range(0, len(w) - len(p) + 1)) AS i FROM doc, phrase)
+  WHERE w[i + 1 : i + len(p)] = p),
+base AS (SELECT doc_id, count(*) AS n_base, min(i) AS a, max(i) AS b, list(DISTINCT label) AS labels FROM named GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, a AS first_word, b AS last_word,
+       coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(good.labels, [])))), ',') AS labels,
+       coalesce(good.score, CAST(0 AS DOUBLE)) AS score
+FROM doc LEFT JOIN base USING (doc_id) LEFT JOIN good USING (doc_id)
+"""
+
+
+ORACLE: dict[str, str] = {"op2_suffix": OP2, "op4_secrets": OP4, "op7_mixing": OP7, "op8_licenses": _op8(), "op9_decontam": OP9, "op10_warc": OP10, "op11_pii": OP11, "op12_merkle": OP12_SQL, "op13_trie": OP13_SQL}
