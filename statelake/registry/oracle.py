@@ -344,5 +344,7 @@ SELECT part, count(*) AS rows, CAST(sum(key) AS BIGINT) AS keys FROM (
               WHEN o_orderkey % 53 = 1 THEN 'a value does not fit its type' ELSE o_orderstatus END AS part,
          CASE WHEN NOT (o_orderkey % 50 = 0) AND o_orderkey % 53 <> 1 THEN o_orderkey END AS key FROM orders) GROUP BY part"""
 
+ORACLE["silver_catalog_table"] = f"{_LOG} SELECT *, TRUE AS properties_kept FROM ({_STATE})"
+
 # An interrupted run leaves no trace once the next one has ended.
 ORACLE["gold_after_interrupted_run"] = ORACLE["gold_table_refresh"]

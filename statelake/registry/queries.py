@@ -44,7 +44,7 @@ from statelake.plans.silver import (
 )
 from statelake.registry import inputs
 from statelake.registry.inputs import PROCESSED_AT, as_text, deliveries, plain, single_events, table, wide_orders
-from statelake.schemas import EVENT_FIELDS, GOLD_SCHEMA, LOG_SCHEMA
+from statelake.schemas import EVENT_FIELDS, GOLD_SCHEMA, LOG_SCHEMA, SILVER_SCHEMA
 from statelake.session import begin_query, scratch_path
 from statelake.sources import tables
 from statelake.sources.checked_csv import read_checked_csv
@@ -573,6 +573,23 @@ def catalog_tables(spark, folder):
     )
 
 
+@query
+def silver_catalog_table(spark, folder):
+    """The state table by DDL with its properties, filled through a named relation, read back by name."""
+    namespace = f"spark_catalog.q{uuid.uuid4().hex}"
+    tables.create_namespace(spark, namespace)
+    name = f"{namespace}.current_orders"
+    kept = {k: v for k, v in tables.SILVER_PROPERTIES.items() if k.startswith("write.")}
+    for _ in range(2):  # the statement may be run again
+        tables.create_table(spark, name, SILVER_SCHEMA, partition_by=["event_date"], provider="parquet", properties=kept)
+    with tables.named(current_state(inputs.bronze(spark, folder), FOLD_RULES, FIRST_RUN)) as relation:
+        columns = ", ".join(spark.table(name).columns)
+        spark.sql(f"INSERT INTO {name} SELECT {columns} FROM {relation}")
+    told = {r["key"]: r["value"] for r in tables.table_properties(spark, name).collect()}
+    state = tables.read_table(spark, name).select(*SILVER_SCHEMA.names)
+    return plain(state.withColumn("properties_kept", F.lit(all(told.get(k) == v for k, v in kept.items()))))
+
+
 @query
 def parse_with_pattern(spark, folder):
     """Times in a form of their own, read by pattern."""

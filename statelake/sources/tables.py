@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import uuid
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -91,15 +93,21 @@ def merge_sql(
     return "\n".join(lines)
 
 
-def merge_into(table: str, source: DataFrame, keys: Sequence[str], **options) -> None:
-    """Merge through the table's provider, which plans the row-level write itself."""
-    view = "statelake_merge_source"
-    source.createOrReplaceTempView(view)
-    spark = source.sparkSession
+@contextmanager
+def named(df: DataFrame) -> Iterator[str]:
+    """A name under which SQL can use ``df`` inside the block; no two are alike."""
+    view = f"statelake_{uuid.uuid4().hex}"
+    df.createOrReplaceTempView(view)
     try:
-        spark.sql(merge_sql(table, view, keys, source.columns, **options))
+        yield view
     finally:
-        spark.catalog.dropTempView(view)
+        df.sparkSession.catalog.dropTempView(view)
+
+
+def merge_into(table: str, source: DataFrame, keys: Sequence[str], **options) -> None:
+    """Merge through the table's provider, which plans the row-level write itself."""
+    with named(source) as view:
+        source.sparkSession.sql(merge_sql(table, view, keys, source.columns, **options))
 
 
 def maintenance_sql(catalog: str, table: str, older_than: str) -> list[str]:
