@@ -12,7 +12,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-from statelake.sources.paths import delete, size_in_bytes
+from statelake.sources.paths import child_names, delete, size_in_bytes
 
 # One reduce task should hold about this much; it is also the target file size of the state tables.
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
@@ -165,9 +165,32 @@ def shared_folder(spark: SparkSession) -> str:
     return _own_scratch[app]
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/statelake/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder; nothing is created."""
-    return f"{shared_folder(spark)}/statelake/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, in this application's part of it; nothing is created."""
+    return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_dropped(spark: SparkSession) -> Iterator[set[str]]:
+    """Delete what this application writes to its scratch inside the block, and nothing it wrote before.
+
+    Results that were not written elsewhere by the end of the block still read from there, so write
+    them inside; scratch paths added to the yielded set stay. Nested blocks and other applications on
+    the same folder do not disturb one another.
+    """
+    root = _scratch_root(spark)
+    before = set(child_names(spark, root))
+    kept: set[str] = set()
+    try:
+        yield kept
+    finally:
+        for name in child_names(spark, root):
+            if name not in before and f"{root}/{name}" not in kept:
+                delete(spark, f"{root}/{name}")
 
 
 @contextmanager

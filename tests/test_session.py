@@ -1,7 +1,10 @@
 """Task sizes follow the inputs, and go back afterwards."""
 
+import pytest
+
 from statelake import session
-from statelake.session import begin_query, fit_session, input_bytes, shuffle_partitions_for, sized
+from statelake.session import begin_query, fit_session, input_bytes, scratch_dropped, scratch_path, shuffle_partitions_for, sized
+from statelake.sources.paths import exists
 
 WIDTH = "spark.sql.shuffle.partitions"
 
@@ -34,3 +37,21 @@ def test_one_query_does_not_widen_the_next(spark, monkeypatch):
     begin_query(spark)
     assert spark.conf.get(WIDTH) == "17"
     spark.conf.set(WIDTH, before)
+
+
+def test_scratch_of_a_block_goes_and_other_scratch_stays(spark):
+    def written(label):
+        path = scratch_path(spark, label)
+        spark.range(3).write.parquet(path)
+        return path
+
+    before = written("before")
+    with scratch_dropped(spark) as kept:
+        inner, result = written("inner"), written("result")
+        kept.add(result)
+        with pytest.raises(OSError), scratch_dropped(spark):
+            nested = written("nested")
+            raise OSError("gone")
+        assert exists(spark, inner) and not exists(spark, nested)
+    assert [exists(spark, p) for p in (before, inner, result)] == [True, False, True]
+    assert spark.sparkContext.applicationId in before
