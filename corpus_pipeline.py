@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statelake.llm import decontam, mixing, quality, secrets, simhash
-from statelake.llm.common import read_table, stored
+from statelake.llm.common import read_table
+from statelake.session import scratch_dropped, scratch_path
+from statelake.sources.paths import delete
 
 
 def packed(docs: DataFrame) -> DataFrame:
@@ -54,8 +56,19 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and read again."""
-    docs = read_table(spark, sf_dir, "documents")
+    """All stages over ``documents``, each written and read again.
+
+    What a stage wrote for itself goes with it; the rows of a stage go when the next one has written its own.
+    """
+    docs, last = read_table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = scratch_path(spark, name.replace(" ", "-"))
+        with scratch_dropped(spark) as kept:
+            kept.add(path)
+            found = stage(spark, docs, sf_dir)
+            found.write.parquet(path)
+        docs = spark.read.schema(found.schema).parquet(path)
+        if last:
+            delete(spark, last)
+        last = path
     return STAGES[-1][1](spark, docs, sf_dir)
