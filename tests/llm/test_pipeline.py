@@ -2,6 +2,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from statelake.llm import oracle, queries
+from statelake.llm.common import stored
 from tests.llm.corpora import CLEAN, PASSAGE
 from tests.parity import compare, connect
 
@@ -23,7 +24,7 @@ def test_every_stage_acts_and_keeps_clean_documents(spark, tmp_path):
     spark.createDataFrame([(1, PASSAGE)], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     now, left = spark.read.parquet(str(tmp_path / "documents.parquet")), {}
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        now = corpus_pipeline.stored(stage(spark, now, str(tmp_path)), "test")
+        now = stored(stage(spark, now, str(tmp_path)), "test")
         assert now.columns == docs.columns
         left[name] = {r["doc_id"]: r["text"] for r in now.collect()}
         assert now.count() == len(left[name]) + ("quality" in name)  # the repeated row goes with near-duplicates
