@@ -96,9 +96,14 @@ def as_text(events: DataFrame) -> DataFrame:
     )
 
 
-def log(spark: SparkSession, folder: str) -> DataFrame:
-    """The deliveries as keyed JSON records of a log."""
+def log(spark: SparkSession, folder: str, slices: int | None = None) -> DataFrame:
+    """The deliveries as keyed JSON records of a log; with ``slices`` in so many ranges of offsets.
+
+    The ranges are dealt out before the records are encoded, which the sampling for them would do once more.
+    """
     events = deliveries(spark, folder).withColumn("timestamp", F.col("ingestion_time"))
+    if slices:
+        events = events.repartitionByRange(slices, "offset")
     return encode(as_text(events), keep=("topic", "partition", "offset", "timestamp"))
 
 

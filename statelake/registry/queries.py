@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import datetime as dt
 import functools
+import math
 import uuid
 from collections.abc import Callable
 
@@ -45,7 +46,7 @@ from statelake.plans.silver import (
 from statelake.registry import inputs
 from statelake.registry.inputs import PROCESSED_AT, as_text, deliveries, plain, single_events, table, wide_orders
 from statelake.schemas import EVENT_FIELDS, GOLD_SCHEMA, LOG_SCHEMA, SILVER_SCHEMA
-from statelake.session import begin_query, scratch_path
+from statelake.session import begin_query, bounded_tasks, scratch_path
 from statelake.sources import tables
 from statelake.sources.checked_csv import read_checked_csv
 from statelake.sources.files import read_bronze, read_csv, write_csv
@@ -59,6 +60,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 FOLD_RULES = SilverRules(copies="fold")
 SAMPLE_CAPS = {"F": 500, "O": 70, "P": 2_000_000}
 CHILD_CAPS = {"F": 500, "O": 70}
+# Each event is delivered once to three times; a file of the streamed log holds the records of so many.
+MICRO_BATCHES, EVENTS_PER_FILE = 4, 50_000
 FIRST_RUN, SECOND_RUN = "2024-02-01 00:00:00", "2024-02-02 00:00:00"
 FIRST_RUN_AT, SECOND_RUN_AT = dt.datetime(2024, 2, 1), dt.datetime(2024, 2, 2)
 
@@ -644,9 +647,13 @@ def csv_roundtrip(spark, folder):
 
 
 def _log_files(spark, folder):
+    """The log as files of a bounded size, so that their number grows with the log and the tasks do not;
+    a stream takes them in by ``MICRO_BATCHES`` micro-batches."""
     path = scratch_path(spark, "log")
-    inputs.log(spark, folder).select(*LOG_SCHEMA.names).repartitionByRange(4, "offset").write.parquet(path)
-    return spark.readStream.schema(LOG_SCHEMA).option("maxFilesPerTrigger", 1).parquet(path)
+    events = table(spark, folder, "events").count()
+    per_batch = max(1, math.ceil(events / (MICRO_BATCHES * EVENTS_PER_FILE)))
+    inputs.log(spark, folder, MICRO_BATCHES * per_batch).select(*LOG_SCHEMA.names).write.parquet(path)
+    return spark.readStream.schema(LOG_SCHEMA).option("maxFilesPerTrigger", per_batch).parquet(path)
 
 
 @query
@@ -672,7 +679,8 @@ def stream_latest_state(spark, folder):
     """The same with the newest event of every order held by the stream, merged into the table at the end."""
     silver, path = silver_table(scratch_path(spark, "silver"), LATEST_RULES), scratch_path(spark, "changes")
     raw = to_bronze(_log_files(spark, folder), PROCESSED_AT)
-    stream_latest(raw, path, scratch_path(spark, "progress"), as_of=PROCESSED_AT).awaitTermination()
+    with bounded_tasks(spark):
+        stream_latest(raw, path, scratch_path(spark, "progress"), as_of=PROCESSED_AT).awaitTermination()
     held = changed_state(spark, path).count()
     merge_changed_state(spark, path, silver)
     state = silver.read(spark).select("order_id", "event_type", "event_time", "current_status", "event_date")
