@@ -6,9 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from statelake.registry import queries
-from statelake.session import STREAM_SPLIT_BYTES, bounded_tasks
+from statelake.session import OPEN_FILES, STREAM_SPLIT_BYTES, bounded_tasks
 
-SPLIT = "spark.sql.files.maxPartitionBytes"
+SPLIT, FILES = "spark.sql.files.maxPartitionBytes", "spark.sql.maxConcurrentOutputFileWriters"
 KINDS = ["signup", "purchase", "view", "click", "error"]
 
 
@@ -44,6 +44,8 @@ def test_files_of_the_log_grow_in_number_and_stay_of_a_size(spark, tmp_path, mon
     ("name", "starts"),
     [
         ("stream_latest_state", "stream_latest"),
+        ("stream_to_bronze", "stream_bronze"),
+        ("stream_events_once", "stream_events"),
     ],
 )
 def test_streams_run_with_bounded_tasks(spark, tmp_path, monkeypatch, name, starts):
@@ -55,19 +57,19 @@ def test_streams_run_with_bounded_tasks(spark, tmp_path, monkeypatch, name, star
 
         def awaitTermination(self):
             self.query.awaitTermination()
-            seen.append(spark.conf.get(SPLIT, None))
+            seen.append((spark.conf.get(SPLIT, None), spark.conf.get(FILES, None)))
 
     monkeypatch.setattr(queries, starts, Watched)
     queries.all_queries()[name](spark, events_table(spark, str(tmp_path), 60)).collect()
-    assert seen and set(seen) == {str(STREAM_SPLIT_BYTES)}
-    assert spark.conf.get(SPLIT, None) is None
+    assert seen and set(seen) == {(str(STREAM_SPLIT_BYTES), str(OPEN_FILES))}
+    assert spark.conf.get(SPLIT, None) is None and spark.conf.get(FILES, None) is None
 
 
 def test_a_session_keeps_its_own_sizes(spark):
     spark.conf.set(SPLIT, "1m")
     try:
         with bounded_tasks(spark):
-            assert spark.conf.get(SPLIT) == "1m"
-        assert spark.conf.get(SPLIT) == "1m"
+            assert spark.conf.get(SPLIT) == "1m" and spark.conf.get(FILES) == str(OPEN_FILES)
+        assert spark.conf.get(SPLIT) == "1m" and spark.conf.get(FILES, None) is None
     finally:
         spark.conf.unset(SPLIT)
