@@ -45,6 +45,7 @@ def test_files_of_the_log_grow_in_number_and_stay_of_a_size(spark, tmp_path, mon
     [
         ("stream_latest_state", "stream_latest"),
         ("stream_to_bronze", "stream_bronze"),
+        ("stream_to_silver", "stream_silver"),
         ("stream_events_once", "stream_events"),
     ],
 )
