@@ -30,6 +30,7 @@ the same numbers whatever executors come and go.
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,7 +46,7 @@ from statelake.llm.tokens import mixed, span_hashes, text_bytes
 LENGTH = 100
 ANCHOR = 24
 CUT_BYTES = 8 * 1024 * 1024
-CHUNK = 1 << 20
+CHUNK = 1 << 16
 SHARD_BYTES = 4 * 1024 * 1024
 STRIP, SPAN, OPEN = 0, 1, 2
 FIRST_ID = -(2**63)
@@ -59,42 +60,57 @@ def anchor_hashes(data: np.ndarray) -> np.ndarray:
     eight = four[:-4].astype(np.uint64) | four[4:].astype(np.uint64) << np.uint64(32)
     found = np.zeros(len(data), dtype=np.uint64)
     for at in range(0, ANCHOR, 8):
-        found = mixed(found ^ eight[at : at + len(data)] * np.uint64(0x9E3779B97F4A7C15))
-    return found
+        found ^= eight[at : at + len(data)]
+        found *= np.uint64(0x9E3779B97F4A7C15)
+        found ^= found >> np.uint64(32)
+    return mixed(found)
 
 
 def least_places(hashes: np.ndarray, width: int) -> np.ndarray:
     """For every window of ``width`` hashes the place of the least one, the leftmost of equals."""
     bits = np.uint64(max(len(hashes), 2) - 1).item().bit_length()
     low = np.uint64((1 << bits) - 1)
-    keys = (hashes & ~low) | np.arange(len(hashes), dtype=np.uint64)
-    pad = -len(keys) % width
-    blocks = np.concatenate([keys, np.full(pad, np.iinfo(np.uint64).max, dtype=np.uint64)]).reshape(-1, width)
-    ahead = np.minimum.accumulate(blocks, axis=1).reshape(-1)
-    back = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].reshape(-1)
-    n = len(keys) - width + 1
-    return (np.minimum(back[:n], ahead[width - 1 : width - 1 + n]) & low).astype(np.int64)
+    least = (hashes & ~low) | np.arange(len(hashes), dtype=np.uint64)
+    reach = 1
+    while reach < width:
+        step = min(reach, width - reach)
+        least = np.minimum(least[:-step], least[step:])
+        reach += step
+    return (least & low).astype(np.int64)
 
 
 def strips_of(data: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
     """All strips of texts that lie behind one another: anchor, content hash, text, start, windows.
 
-    Works through the bytes in chunks that overlap by a window; a strip may be cut at a chunk's end.
+    Works through the bytes in chunks that fit a processor's cache; a strip that may go on behind a
+    chunk's end begins the next one.
     """
-    parts = [_strips_between(data, at, a, min(a + CHUNK, len(data) - LENGTH + 1)) for a in range(0, len(data) - LENGTH + 1, CHUNK)]
+    parts, first, end = [], 0, len(data) - LENGTH + 1
+    while first < end:
+        last = min(first + CHUNK, end)
+        found = _strips_between(data, at, first, last)
+        first = last
+        if found:
+            text, start, windows = (int(found[i][-1]) for i in (2, 3, 4))
+            if last < end and at[text] + start + windows == last:
+                first = int(at[text]) + start
+                found = tuple(x[:-1] for x in found)
+            parts.append(found)
     fields = ("anchor", "content", "text", "start", "windows")
-    return {k: np.concatenate([np.zeros(0, np.int64), *(p[i] for p in parts if p)]) for i, k in enumerate(fields)}
+    return {k: np.concatenate([np.zeros(0, np.int64), *(p[i] for p in parts)]) for i, k in enumerate(fields)}
 
 
 def _strips_between(data: np.ndarray, at: np.ndarray, first: int, last: int) -> tuple | None:
     chunk = data[first : last + LENGTH - 1]
-    hashes = anchor_hashes(chunk)
-    anchor = least_places(hashes, LENGTH - ANCHOR + 1)
-    text = np.searchsorted(at, np.arange(first, last), side="right") - 1
-    places = np.flatnonzero(np.arange(first + LENGTH, last + LENGTH) <= at[text + 1])
+    a, b = np.searchsorted(at, [first, last - 1], side="right") - 1
+    sizes = np.diff(np.clip(at[a : b + 2], first, last))
+    text = np.repeat(np.arange(a, b + 1), sizes)
+    places = np.flatnonzero(np.arange(first + LENGTH, last + LENGTH) <= np.repeat(at[a + 1 : b + 2], sizes))
     if not len(places):
         return None
-    anchor, text = anchor[places], text[places]
+    hashes = anchor_hashes(chunk)
+    anchor = least_places(hashes, LENGTH - ANCHOR + 1)[places]
+    text = text[places]
     new = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])]))
     windows = np.diff(np.append(new, len(places)))
     start, text = places[new], text[new]
@@ -128,6 +144,22 @@ def _marked(row: np.ndarray, start: np.ndarray, windows: np.ndarray) -> pa.Recor
     return _sent(SPAN, mixed(row.astype(np.uint64)).view(np.int64), zero, zero, row, start, windows)
 
 
+def first_of_equals(keys: tuple, order: tuple) -> tuple[np.ndarray, np.ndarray]:
+    """The first of all rows with equal ``keys``, by ``order``, and the others; the former sorted by the first key."""
+    sort = np.argsort(keys[0])
+    same = np.zeros(len(sort) + 1, dtype=bool)
+    same[1:-1] = keys[0][sort][1:] == keys[0][sort][:-1]
+    shared = same[1:] | same[:-1]
+    alone, some = sort[~shared], sort[shared]
+    some = some[np.lexsort([k[some] for k in (*order[::-1], *keys[::-1])])]
+    again = np.zeros(len(some), dtype=bool)
+    again[1:] = True
+    for key in keys:
+        again[1:] &= key[some][1:] == key[some][:-1]
+    first = np.concatenate([alone, some[~again]])
+    return first[np.argsort(keys[0][first])], some[again]
+
+
 def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Step 1, over batches of row number, order and text."""
     held: list[pa.RecordBatch] = []
@@ -139,11 +171,7 @@ def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row, order = (np.asarray(whole.column(i)) for i in (0, 1))
         s = strips_of(data, at)
         of, by = row[s["text"]], order[s["text"]]
-        sort = np.lexsort((s["start"], of, by, s["content"], s["anchor"]))
-        anchor, content = s["anchor"][sort], s["content"][sort]
-        again = np.zeros(len(sort), dtype=bool)
-        again[1:] = (anchor[1:] == anchor[:-1]) & (content[1:] == content[:-1])
-        first, later = sort[~again], sort[again]
+        first, later = first_of_equals((s["anchor"], s["content"]), (by, of, s["start"]))
         yield _sent(STRIP, s["anchor"][first], s["content"][first], by[first], of[first], s["start"][first], s["windows"][first])
         yield _marked(of[later], s["start"][later], s["windows"][later])
 
@@ -203,17 +231,18 @@ def repeats_in_shard(pieces: list[bytes], windows: np.ndarray, limit: int = SPIL
     Pieces come in order, each holds ``windows`` windows.
     """
     sizes = np.array([len(p) + 1 for p in pieces])
-    begins = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    text = np.ones(int(sizes.sum()) + 1, dtype=np.int16)
-    for begin, piece in zip(begins, pieces, strict=True):
-        text[begin : begin + len(piece)] = np.frombuffer(piece, dtype=np.uint8)
-        text[begin : begin + len(piece)] += 2
-    text[-1] = 0
+    ends = np.cumsum(sizes)
+    text = np.zeros(int(ends[-1]) + 1, dtype=np.int16)
+    text[:-1] = np.frombuffer(b"\0".join([*pieces, b""]), dtype=np.uint8)
+    text[:-1] += 2
+    text[ends - 1] = 1
     order, prefix = suffix_order(text, limit)
-    piece = np.searchsorted(begins, order, side="right") - 1
-    offset = order - begins[piece]
-    starts = offset < windows[piece]
     group = np.cumsum(prefix < LENGTH)
+    shared = np.append(prefix[1:] >= LENGTH, False) | (prefix >= LENGTH)
+    order, group = order[shared], group[shared]
+    piece = np.repeat(np.arange(len(pieces)), sizes)[order]
+    offset = order - (ends - sizes)[piece]
+    starts = offset < windows[piece]
     order, group, piece, offset = order[starts], group[starts], piece[starts], offset[starts]
     by = np.lexsort((order, group))
     later = np.zeros(len(by), dtype=bool)
@@ -269,15 +298,18 @@ def window_strips(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         at = begins[of] + offset
         content = span_hashes(data, at, at + LENGTH).view(np.int64)
         by, of, start = order[of], row[of], start[of] + offset
-        sort = np.lexsort((start, of, by, content))
-        again = np.zeros(len(sort), dtype=bool)
-        again[1:] = content[sort][1:] == content[sort][:-1]
-        first, later = sort[~again], sort[again]
-        one = np.ones(len(sort), dtype=np.int64)
+        first, later = first_of_equals((content,), (by, of, start))
+        one = np.ones(len(content), dtype=np.int64)
         yield _sent(STRIP, content[first], content[first], by[first], of[first], start[first], one[: len(first)])
         yield _marked(of[later], start[later], one[: len(later)])
 
 
+def listed(column: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
+    """What lists of structs hold: the row of every struct, and the fields; a NULL list is empty."""
+    sizes = np.asarray(column.value_lengths().fill_null(0))
+    return np.repeat(np.arange(len(column)), sizes), [np.asarray(x) for x in column.flatten().flatten()]
+
+
 def removed_spans(docs: DataFrame, text: str = "text", shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, DataFrame]:
     """Numbered rows, and the byte spans ``(row, start, end)`` to remove, which may overlap."""
     fit_python(docs.sparkSession)
@@ -295,15 +327,13 @@ def removed_spans(docs: DataFrame, text: str = "text", shard_bytes: int = SHARD_
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[], [], [], [], [], []]
-            for row, by, content, strips in zip(*(batch.column(i) for i in range(4)), strict=True):
-                data = (content.as_py() or "").encode()
-                for s in strips.as_py():
-                    end = s["start"] + s["windows"] + LENGTH - 1
-                    for k, v in enumerate((s["anchor"], by.as_py(), row.as_py(), s["start"], s["windows"], data[s["start"] : end])):
-                        out[k].append(v)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds, strict=True)], names)
+            data, at = text_bytes(batch.column(2).cast(pa.large_string()))
+            of, (anchor, start, windows) = listed(batch.column(3))
+            first = at[of] + start
+            raw = data.tobytes()
+            found = [raw[a:b] for a, b in zip(first.tolist(), (first + windows + LENGTH - 1).tolist(), strict=True)]
+            row, by = (np.asarray(batch.column(i))[of] for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in (anchor, by, row, start, windows)), pa.array(found, pa.binary())], names)
 
     def pieces(strips: DataFrame) -> DataFrame:
         wanted = strips.groupBy("row").agg(F.collect_list(F.struct("anchor", "start", "windows")).alias("strips"))
@@ -321,6 +351,21 @@ def removed_spans(docs: DataFrame, text: str = "text", shard_bytes: int = SHARD_
     return numbered, spans.select("row", "start", end.alias("end"))
 
 
+def joined(row: np.ndarray, spans: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans that overlap or follow one another as one: row, start and end, in order."""
+    start, end = (x.astype(np.int64) for x in spans)
+    order = np.lexsort((start, row))
+    row, start, end = row[order], start[order], end[order]
+    if not len(row):
+        return row, start, end
+    apart = row * (int(end.max()) + 1)
+    reached = np.maximum.accumulate(apart + end)
+    new = np.concatenate([[True], (row[1:] != row[:-1]) | ((apart + start)[1:] > reached[:-1])])
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(row)) - 1
+    return row[first], start[first], reached[last] - apart[last]
+
+
 def without_repeats(docs: DataFrame, text: str = "text", shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Every row with its size, the removed bytes and spans, the digest and bytes of what is kept."""
     numbered, spans = removed_spans(docs, text, shard_bytes)
@@ -332,22 +377,19 @@ def without_repeats(docs: DataFrame, text: str = "text", shard_bytes: int = SHAR
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for content, spans in zip(batch.column(1), batch.column(2), strict=True):
-                data = (content.as_py() or "").encode()
-                parts, at, removed, runs = [], 0, 0, 0
-                for s in sorted((x["start"], x["end"]) for x in spans.as_py() or ()):
-                    if s[0] > at or not runs:
-                        parts.append(data[at : s[0]])
-                        runs += 1
-                        removed += s[1] - s[0]
-                        at = s[1]
-                    elif s[1] > at:
-                        removed += s[1] - at
-                        at = s[1]
-                kept = b"".join([*parts, data[at:]])
-                rows.append((len(data), removed, runs, hashlib.sha256(kept).hexdigest(), kept))
-            columns = [pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()))]
+            data, at = text_bytes(batch.column(1).cast(pa.large_string()))
+            n_bytes = np.diff(at)
+            row, first, last = joined(*listed(batch.column(2)))
+            removed, runs = np.zeros(len(batch), dtype=np.int64), np.bincount(row, minlength=len(batch))
+            np.add.at(removed, row, last - first)
+            inside = np.ones(len(data), dtype=bool)
+            for a, b in zip((at[row] + first).tolist(), (at[row] + last).tolist(), strict=True):
+                inside[a:b] = False
+            bounds = np.append(0, np.cumsum(n_bytes - removed))
+            left = data[inside].tobytes()
+            kept = [left[a:b] for a, b in itertools.pairwise(bounds.tolist())]
+            digests = pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string())
+            columns = [pa.array(x, pa.int64()) for x in (n_bytes, removed, runs)] + [digests, pa.array(kept, pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names)
 
     return numbered.join(per_row, "row", "left").select("doc_id", "text", "spans").mapInArrow(remove, result)

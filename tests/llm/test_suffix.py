@@ -1,11 +1,13 @@
 import hashlib
+import itertools
 import re
 
 import numpy as np
 import pytest
 
+from statelake.llm import suffix
 from statelake.llm.induced import suffix_order
-from statelake.llm.suffix import removed_spans, repeats_in_shard, strips_of, without_repeats
+from statelake.llm.suffix import joined, removed_spans, repeats_in_shard, strips_of, without_repeats
 from tests.llm.corpora import DOCUMENTS
 
 
@@ -94,3 +96,55 @@ def test_anchors_with_many_surroundings_are_dealt_by_window(spark, most):
     df = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
     got = sorted((tuple(r)[:5] for r in without_repeats(df, shard_bytes=most).collect()), key=str)
     assert got == expected(rows)
+
+
+def test_strips_do_not_depend_on_chunks(monkeypatch):
+    data = np.random.default_rng(4).integers(97, 100, 5000).astype(np.uint8)
+    at = np.array([0, 130, 130, 2600, 5000])
+    whole = strips_of(data, at)
+    for size in (150, 1000):
+        monkeypatch.setattr(suffix, "CHUNK", size)
+        for name, values in strips_of(data, at).items():
+            assert values.tolist() == whole[name].tolist()
+
+
+@pytest.mark.parametrize("top", [3, 300])
+def test_suffix_order_of_long_runs(top):
+    """Pieces between minima that take more than one number to compare."""
+    rng = np.random.default_rng(top)
+    for trial in range(30):
+        values = np.repeat(rng.integers(1, top, 9), rng.integers(1, 30, 9))
+        text = np.append(np.tile(values, 1 + trial % 2), 0).astype(np.int16)
+        plain = text.tolist()
+        order, prefix = suffix_order(text)
+        assert order.tolist() == sorted(range(len(plain)), key=lambda k: plain[k:])
+        for k, (a, b) in enumerate(itertools.pairwise(order.tolist()), 1):
+            same = next(n for n in range(len(plain)) if plain[a + n] != plain[b + n])
+            assert prefix[k] == min(same, 100)
+
+
+def test_only_what_is_still_undecided_is_sorted_again(monkeypatch):
+    """The sort of a shard takes one pass over its symbols and few over its names, however long its repeats are."""
+    rng = np.random.default_rng(8)
+    parts = rng.integers(1, 200, (60, 90))
+    text = np.append(np.concatenate([parts[j] for j in rng.integers(0, 60, 40)] + [rng.integers(1, 200, 6000)]), 0).astype(np.int16)
+    done = []
+    for name in ("argsort", "lexsort", "unique"):
+        plain = getattr(np, name)
+        monkeypatch.setattr(np, name, lambda x, *a, plain=plain, **b: (done.append(np.size(x[-1] if isinstance(x, tuple) else x)), plain(x, *a, **b))[1])
+    order, _ = suffix_order(text)
+    assert sorted(order.tolist()) == list(range(len(text)))
+    assert sum(done) < 4 * len(text)
+
+
+def test_spans_that_touch_or_overlap_are_one():
+    rng = np.random.default_rng(6)
+    for _ in range(50):
+        row, start = rng.integers(0, 4, 12), rng.integers(0, 40, 12)
+        end = start + rng.integers(1, 9, 12)
+        inside = np.zeros((4, 60), dtype=bool)
+        for r, a, b in zip(row, start, end, strict=True):
+            inside[r, a:b] = True
+        got = [tuple(int(x) for x in s) for s in zip(*joined(row, [start, end]), strict=True)]
+        steps = np.diff(np.pad(inside, ((0, 0), (1, 1))).astype(int))
+        assert got == [(r, int(a), int(b)) for r in range(4) for a, b in zip(np.flatnonzero(steps[r] == 1), np.flatnonzero(steps[r] == -1), strict=True)]
